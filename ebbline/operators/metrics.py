@@ -8,8 +8,9 @@ on that histogram. Undefined values are NULL.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ebbline.functions.scalar import ratio_or_null, safe_divide
@@ -63,84 +64,78 @@ def totals_of(cumulative: DataFrame, group: Sequence[str] = (), threshold: float
     )
 
 
-def _with_totals(df: DataFrame, totals: DataFrame, columns: Sequence[str], group: Sequence[str]) -> DataFrame:
-    """Group totals on every row; without groups they are one row of numbers and become literals."""
-    if group:
-        return df.join(totals.select(*group, *columns), list(group))
-    row = totals.select(*columns).first()
-    return df.withColumns({c: F.lit(row[c]) for c in columns})
+TOTALS = ("total", "positives", "targeted", "hits", "auc", "pr_auc")
 
 
-def captured_in_top(
-    scored: DataFrame,
-    cumulative: DataFrame,
-    totals: DataFrame,
-    shares: Sequence[float],
-    group: Sequence[str] = (),
-    bucket_rows: int = 500_000,
-) -> DataFrame:
-    """Per group and share: size of the top (``max(1, floor(total * share))``), positives and score sum in it.
+class Scored:
+    """Predictions with their score histogram, shared by metrics, sweeps and top-K tables.
 
-    Scores entirely inside the top come from the histogram. Only rows of the one score that straddles the cut
-    are ranked, by client and snapshot; the other predictions are never sorted.
+    ``predictions`` are read several times: pass stored rows or a cheap projection of them. The histogram
+    is staged.
     """
-    group = list(group)
-    share = F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share")
-    size = F.greatest(F.lit(1).cast("bigint"), F.floor(F.col("total") * F.col("share")))
-    above = F.col("cum_n") - F.col("n")
-    reached = (
-        _with_totals(cumulative, totals, ["total"], group)
-        .select("*", share)
-        .withColumn("size", size)
-        .filter(above < F.col("size"))
-        .withColumn("need", F.when(F.col("cum_n") > F.col("size"), F.col("size") - above))
-    )
-    taken = F.coalesce("need", "n")
-    inside = reached.groupBy(*group, "share").agg(
-        F.max("size").alias("size"),
-        F.coalesce(F.sum(F.when(F.col("need").isNull(), F.col("pos"))), F.lit(0)).alias("captured_whole"),
-        F.sum(taken * F.col("y_score")).alias("score_sum"),
-    )
-    # At most one row per group and share; staging it gives the planner its true size.
-    cut = stage(reached.filter(F.col("need").isNotNull()).select(*group, "share", "y_score", "need"), "cut")
-    tie = [*group, "y_score"]
-    tied = scored.join(cut.select(*tie).distinct(), tie, "left_semi").withColumn("_day", F.unix_date("snapshot_date"))
-    ranked = row_numbers(stage(tied, "ties"), [By("client_id"), By("_day")], tie, "rank", bucket_rows)
-    captured_ties = (
-        ranked.join(cut, tie)
-        .filter(F.col("rank") <= F.col("need"))
-        .groupBy(*group, "share")
-        .agg(F.sum(F.col("y_true").cast("bigint")).alias("captured_ties"))
-    )
-    captured = F.col("captured_whole") + F.coalesce("captured_ties", F.lit(0))
-    return inside.join(captured_ties, [*group, "share"], "left").select(
-        *group, "share", "size", captured.alias("captured"), "score_sum"
-    )
-
-
-class Scored:
-    """Staged predictions with their histogram, shared by metrics, sweeps and top-K tables."""
 
     def __init__(self, predictions: DataFrame, group: Sequence[str] = (), bucket_rows: int = 500_000):
         self.group, self.bucket_rows = list(group), bucket_rows
-        self.rows = stage(predictions.select(*self.group, *SCORE_COLUMNS), "predictions")
+        self.rows = predictions.select(*dict.fromkeys([*self.group, *SCORE_COLUMNS]))
         self.cumulative = cumulative_histogram(score_histogram(self.rows, self.group), self.group, bucket_rows)
 
-    def top(self, totals: DataFrame, shares: Sequence[float]) -> DataFrame:
-        return captured_in_top(self.rows, self.cumulative, totals, shares, self.group, self.bucket_rows)
+    @cached_property
+    def numbers(self) -> Row:
+        """Totals without groups, at threshold 0.5."""
+        return totals_of(self.cumulative).first()
+
+    def _with_totals(self, df: DataFrame, threshold: float = 0.5) -> DataFrame:
+        """Group totals on every row; without groups they are one row of numbers and become literals."""
+        if self.group:
+            return df.join(totals_of(self.cumulative, self.group, threshold), self.group)
+        row = self.numbers if threshold == 0.5 else totals_of(self.cumulative, (), threshold).first()
+        return df.withColumns({c: F.lit(row[c]).cast("double" if c in ("auc", "pr_auc") else "bigint") for c in TOTALS})
+
+    def top(self, shares: Sequence[float]) -> DataFrame:
+        """Per group and share: size of the top (``max(1, floor(total * share))``), positives and score sum in it.
+
+        Scores entirely inside the top come from the histogram. Only rows of the one score that straddles the
+        cut are ranked, by client and snapshot; the other predictions are never sorted.
+        """
+        group, above = self.group, F.col("cum_n") - F.col("n")
+        reached = (
+            self._with_totals(self.cumulative)
+            .withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
+            .withColumn("size", F.expr("greatest(1L, floor(total * share))"))
+            .filter(above < F.col("size"))
+            .withColumn("need", F.when(F.col("cum_n") > F.col("size"), F.col("size") - above))
+        )
+        inside = reached.groupBy(*group, "share").agg(
+            F.max("size").alias("size"),
+            F.expr("coalesce(sum(CASE WHEN need IS NULL THEN pos END), 0L) AS captured"),
+            F.expr("sum(coalesce(need, n) * y_score) AS score_sum"),
+        )
+        # At most one row per group and share; staging it gives the planner its true size.
+        cut = stage(reached.filter("need IS NOT NULL").select(*group, "share", "y_score", "need"), "cut")
+        if cut.isEmpty():
+            return inside
+        tie = [*group, "y_score"]
+        tied = self.rows.join(cut.select(*tie).distinct(), tie, "left_semi")
+        tied = tied.withColumn("_day", F.unix_date("snapshot_date"))
+        ranked = row_numbers(tied, [By("client_id"), By("_day")], tie, "rank", self.bucket_rows)
+        from_ties = (
+            ranked.join(cut, tie)
+            .filter("rank <= need")
+            .groupBy(*group, "share")
+            .agg(F.expr("sum(CAST(y_true AS BIGINT)) AS from_ties"))
+        )
+        captured = F.col("captured") + F.coalesce("from_ties", F.lit(0))
+        return inside.join(from_ties, [*group, "share"], "left").withColumn("captured", captured).drop("from_ties")
 
     def metrics(self, threshold: float = 0.5, top_share: float = 0.1) -> DataFrame:
         """One row per group: ROC-AUC, average precision, precision / recall / F1 at the threshold, share of
         the positives found in the top rows, positive rate."""
-        needed = ["total", "positives", "targeted", "hits", "auc", "pr_auc"]
-        totals = totals_of(self.cumulative, self.group, threshold)
-        joined = _with_totals(self.top(totals, [top_share]), totals, needed, self.group)
         at_threshold = threshold_columns(F.col("targeted"), F.col("hits"), F.col("positives"))
         recall_name = f"top_{round(top_share * 100)}pct_churn_recall"
-        return joined.select(
+        return self._with_totals(self.top([top_share]), threshold).select(
             *self.group,
-            F.col("auc").cast("double").alias("auc"),
-            F.col("pr_auc").cast("double").alias("pr_auc"),
+            "auc",
+            "pr_auc",
             *[c.alias(name) for name, c in at_threshold.items()],
             safe_divide(F.col("captured"), F.greatest(F.col("positives"), F.lit(1))).alias(recall_name),
             ratio_or_null(F.col("positives"), F.col("total")).alias("positive_rate"),

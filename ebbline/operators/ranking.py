@@ -31,22 +31,17 @@ class By:
         return F.col(self.name).desc() if self.descending else F.col(self.name).asc()
 
 
-def _edges(df: DataFrame, columns: Sequence[str], bucket_rows: int) -> tuple[int, list[list[float]]]:
-    """Row count, and for each column the inner edges of equally filled buckets (at most MAX_BUCKETS).
-
-    One pass; the driver receives a bounded number of values whatever the size of the table.
-    """
-    probs = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-    sketches = [
-        F.percentile_approx(F.col(c).cast("double"), probs, EDGE_ACCURACY).alias(f"e{i}") for i, c in enumerate(columns)
-    ]
-    row = df.agg(F.count("*").alias("n"), *sketches).first()
-    buckets = min(MAX_BUCKETS, -(-row.n // bucket_rows)) if row.n else 1
-    keep = [MAX_BUCKETS * i // buckets for i in range(1, buckets)]
-    return row.n, [sorted({row[f"e{i}"][k - 1] for k in keep}) if keep else [] for i in range(len(columns))]
+def _edges(df: DataFrame, columns: Sequence[str], buckets: int) -> list[list[float]]:
+    """For each column the inner edges of equally filled buckets, from one pass. The driver
+    receives a bounded number of values whatever the size of the table."""
+    probs = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+    row = df.agg(
+        *[F.expr(f"percentile_approx(CAST({c} AS DOUBLE), array({probs}), {EDGE_ACCURACY}) AS {c}") for c in columns]
+    ).first()
+    return [sorted(set(row[c])) for c in columns]
 
 
-def _count_edges(df: DataFrame, column: str, edges: list[float], out: str) -> DataFrame:
+def count_edges(df: DataFrame, column: str, edges: list[float], out: str) -> DataFrame:
     """Number of edges at or below the value."""
     if not edges:
         return df.withColumn(out, F.lit(0))
@@ -62,17 +57,17 @@ def _place(df: DataFrame, order: Sequence[By], edges: list[list[float]]) -> Data
     """Bucket number ``_b`` in ascending order of the first column: odd numbers hold exactly one edge value, even
     ones the open range between two edges. ``_s`` cuts one-value buckets by the second column."""
     first = edges[0]
-    placed = _count_edges(df, order[0].name, first, "_i")
+    placed = count_edges(df, order[0].name, first, "_i")
     at_edge = F.lit(False)
     if first:
-        values = F.array(*[F.lit(v) for v in first])
+        values = F.expr(f"array({', '.join(f'{v!r}D' for v in first)})")
         at_edge = (F.col("_i") > 0) & (F.get(values, F.col("_i") - 1) == F.col(order[0].name).cast("double"))
     placed = placed.withColumn("_single", at_edge).withColumn(
         "_b", F.when(F.col("_single"), 2 * F.col("_i") - 1).otherwise(2 * F.col("_i"))
     )
     if len(order) < 2:
         return placed.withColumn("_s", F.lit(0)).drop("_i", "_single")
-    placed = _count_edges(placed, order[1].name, edges[1], "_j")
+    placed = count_edges(placed, order[1].name, edges[1], "_j")
     return placed.withColumn("_s", F.when(F.col("_single"), F.col("_j")).otherwise(0)).drop("_i", "_j", "_single")
 
 
@@ -85,16 +80,17 @@ def running_totals(
 ) -> DataFrame:
     """Add ``sum(measure)`` from the first row of the group up to each row in the given total order.
 
-    ``measures`` maps output names to SQL expressions; ``{"rank": "1"}`` is a row number. ``df`` is read three
-    times, so pass a table or a staged frame. ``order`` must be total within a group.
+    ``measures`` maps output names to SQL expressions; ``{"rank": "1"}`` is a row number. ``df`` is read up to
+    four times, so pass stored rows or a cheap projection of them. ``order`` must be total within a group.
     """
     sorts = [by.sort for by in order]
     exprs = {name: F.expr(sql) for name, sql in measures.items()}
-    rows, edges = _edges(df, [by.name for by in order[:2]], bucket_rows)
-    if rows <= bucket_rows:  # counted: one task can sort this
+    rows = df.count()
+    if rows <= bucket_rows:  # one task can sort this
         window = Window.partitionBy(*group).orderBy(*sorts).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({name: F.sum(expr).over(window) for name, expr in exprs.items()})
 
+    edges = _edges(df, [by.name for by in order[:2]], min(MAX_BUCKETS, -(-rows // bucket_rows)))
     placed = _place(df, order, edges)
     cell = [*group, "_b", "_s"]
     per_cell = placed.groupBy(*cell).agg(*[F.sum(expr).alias(f"_t_{name}") for name, expr in exprs.items()])

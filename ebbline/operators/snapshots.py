@@ -25,17 +25,47 @@ def buyer_activity(activity: DataFrame, cfg: ChurnConfig) -> DataFrame:
     return join_key_table(activity, buyers, "client_id", "left_semi", broadcast=small, salts=cfg.join_salts)
 
 
-def dataset_bounds(activity: DataFrame, cfg: ChurnConfig) -> DataFrame:
-    """First and last event time over all logs, buyers only. Without a broadcastable buyer set one
-    aggregate per client replaces the join: partial aggregation absorbs hot clients."""
-    buyers = ever_buyers(activity)
-    if fits_broadcast(buyers, cfg.broadcast_rows):
-        kept = activity.join(F.broadcast(buyers), "client_id", "left_semi")
-        return kept.agg(F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"))
-    per_client = activity.groupBy("client_id").agg(
-        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.max(F.col("event") == BUY).alias("bought")
+@dataclass(frozen=True)
+class Bounds:
+    min_ts: dt.datetime | None
+    max_ts: dt.datetime | None
+    n_buyers: int
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([(self.min_ts, self.max_ts)], "min_ts timestamp_ntz, max_ts timestamp_ntz")
+
+
+def _buyer_bounds(activity: DataFrame, rows: str) -> Bounds:
+    """Bounds over the events of buyers that match ``rows``. One aggregate per client takes the place of a
+    join with the buyers, and partial aggregation absorbs hot clients."""
+    per_client = (
+        activity.filter(f"event = '{BUY}' OR {rows}")
+        .groupBy("client_id")
+        .agg(
+            F.expr(f"min(CASE WHEN {rows} THEN ts END) AS low"),
+            F.expr(f"max(CASE WHEN {rows} THEN ts END) AS high"),
+            F.expr(f"max(event = '{BUY}') AS bought"),
+        )
     )
-    return per_client.filter("bought").agg(F.min("first_ts").alias("min_ts"), F.max("last_ts").alias("max_ts"))
+    row = per_client.filter("bought").agg(F.min("low"), F.max("high"), F.count("*")).first()
+    return Bounds(*row)
+
+
+def dataset_bounds(activity: DataFrame) -> Bounds:
+    """First and last event time over all logs, buyers only.
+
+    The first and last day of the whole data almost always hold an event of some buyer, so only
+    these days (and the small buy log) are grouped by client; if they do not, all events are.
+    """
+    whole = activity.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    if whole.low is None:
+        return Bounds(None, None, 0)
+    head_end, tail_start = whole.low.date() + DAY, whole.high.date()
+    in_head, in_tail = f"ts < TIMESTAMP_NTZ '{head_end}'", f"ts >= TIMESTAMP_NTZ '{tail_start}'"
+    found = _buyer_bounds(activity, f"({in_head} OR {in_tail})")
+    if found.min_ts is not None and found.min_ts.date() < head_end and found.max_ts.date() >= tail_start:
+        return found
+    return _buyer_bounds(activity, "true")
 
 
 @dataclass(frozen=True)
@@ -75,7 +105,7 @@ def grid_between(min_ts: dt.datetime, max_ts: dt.datetime, cfg: ChurnConfig) ->
 
 
 def snapshot_grid(activity: DataFrame, cfg: ChurnConfig) -> SnapshotGrid:
-    bounds = dataset_bounds(activity, cfg).first()
+    bounds = dataset_bounds(activity)
     return grid_between(bounds.min_ts, bounds.max_ts, cfg)
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.functions.scalar import is_close, ratio_or_null, safe_divide
-from ebbline.operators.metrics import Scored, threshold_columns, totals_of
-from ebbline.operators.ranking import _count_edges
+from ebbline.operators.metrics import Scored, threshold_columns
+from ebbline.operators.ranking import count_edges
 
 # Shares of the top-K table and quantiles that join the regular thresholds.
 TOP_SHARES = (0.01, 0.02, 0.05, 0.10, 0.20)
@@ -23,14 +23,13 @@ def score_quantiles(scored: Scored, probs: Sequence[float]) -> list[float]:
 
     The order statistics around each position are looked up in the cumulative histogram, so at most two
     rows per quantile reach the driver and no task holds all scores."""
-    total = scored.cumulative.agg(F.sum("n")).first()[0]
+    total = scored.numbers.total
     if not total:
         return []
     positions = [(total - 1) * p for p in probs]
     wanted = sorted({int(i) for x in positions for i in (np.floor(x), np.ceil(x))})
-    below = F.lit(total) - F.col("cum_n")  # rows with a smaller score
-    hit = F.exists(F.array(*[F.lit(i) for i in wanted]), lambda i: (i >= below) & (i < below + F.col("n")))
-    rows = scored.cumulative.filter(hit).select("y_score", below.alias("first"), "n").collect()
+    ranges = scored.cumulative.selectExpr("y_score", f"{total}L - cum_n AS first", "n")  # rows with a smaller score
+    rows = ranges.filter(f"exists(array({', '.join(f'{i}L' for i in wanted)}), i -> i >= first AND i < first + n)").collect()
 
     def statistic(i: int) -> float:
         return next(r.y_score for r in rows if r["first"] <= i < r["first"] + r.n)
@@ -50,8 +49,9 @@ def threshold_candidates(scored: Scored) -> list[float]:
 
 def threshold_frame(spark: SparkSession, thresholds: Sequence[float]) -> DataFrame:
     """``position`` 1.. and ``threshold`` in ascending order."""
-    values = F.posexplode(F.array(*[F.lit(float(t)) for t in sorted(thresholds)])).alias("p", "threshold")
-    return spark.range(1).select(values).select((F.col("p") + 1).alias("position"), "threshold")
+    values = ", ".join(f"{float(t)!r}D" for t in sorted(thresholds))
+    exploded = spark.range(1).selectExpr(f"posexplode(array({values})) AS (p, threshold)")
+    return exploded.selectExpr("p + 1 AS position", "threshold")
 
 
 def threshold_sweep(scored: Scored, thresholds: Sequence[float] | None = None) -> DataFrame:
@@ -62,7 +62,7 @@ def threshold_sweep(scored: Scored, thresholds: Sequence[float] | None = None) -
     thresholds = sorted(threshold_candidates(scored) if thresholds is None else thresholds)
     spark = scored.rows.sparkSession
     places = (
-        _count_edges(scored.cumulative, "y_score", thresholds, "place")
+        count_edges(scored.cumulative, "y_score", thresholds, "place")
         .groupBy("place")
         .agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
         .filter("place > 0")
@@ -70,7 +70,7 @@ def threshold_sweep(scored: Scored, thresholds: Sequence[float] | None = None) -
         .groupBy("position")
         .agg(F.sum("n").alias("targeted_users"), F.sum("pos").alias("hits"))
     )
-    totals = totals_of(scored.cumulative).select("total", "positives").first()
+    totals = scored.numbers
     fixed = scored.metrics().select("auc", "pr_auc", "top_10pct_churn_recall", "positive_rate").first()
     targeted, hits = (F.coalesce(c, F.lit(0).cast("bigint")) for c in ("targeted_users", "hits"))
     at_threshold = threshold_columns(targeted, hits, F.lit(totals.positives))
@@ -107,12 +107,11 @@ def threshold_summary(test_sweep: DataFrame, chosen: float, baseline: float = 0.
 
 def top_k_strategy(scored: Scored, shares: Sequence[float] = TOP_SHARES) -> DataFrame:
     """Size, captured positives, precision, recall and lift of the best-scored share of rows."""
-    totals = totals_of(scored.cumulative)
-    numbers = totals.select("total", "positives").first()
+    numbers = scored.numbers
     base = ratio_or_null(F.lit(numbers.positives), F.lit(numbers.total))
     precision = ratio_or_null(F.col("captured"), F.col("size"))
     return (
-        scored.top(totals, shares)
+        scored.top(shares)
         .select(
             F.col("share").alias("top_k_pct"),
             F.col("size").alias("targeted_users"),

@@ -43,7 +43,7 @@ class Effort:
 
 
 FULL = Effort()
-FAST = Effort(trees=20, rounds=10, forest_depth=5, boost_depth=3, iterations=50)
+FAST = Effort(trees=10, rounds=5, forest_depth=4, boost_depth=3, iterations=30)
 
 
 def feature_names(table: DataFrame, cfg: ChurnConfig) -> list[str]:
