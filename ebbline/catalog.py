@@ -20,7 +20,7 @@ from ebbline.operators.derived import funnel_columns, trend_columns
 from ebbline.operators.metrics import Scored, binary_metrics, prediction_frame
 from ebbline.operators.profile import project, search_days, snapshot_profile
 from ebbline.operators.sampling import cap_rows, class_counts
-from ebbline.operators.snapshots import buyer_activity, dataset_bounds, present_dates, snapshot_grid
+from ebbline.operators.snapshots import buyer_activity, dataset_bounds, grid_between, present_dates, snapshot_grid
 from ebbline.plans.backtest import run_rolling_backtest
 from ebbline.plans.feature_table import FeatureTable, assign_time_splits, build_feature_table, run_record
 from ebbline.plans.models import FAST, feature_importance, feature_names, fit, train_and_evaluate
@@ -49,16 +49,16 @@ def stream_profile(
     spark: SparkSession, sf_dir: str, cfg: ChurnConfig = STREAM_CONFIG, events=(BUY, CART, PAGE), details=()
 ) -> DataFrame:
     activity = stream_activity(spark, sf_dir)
-    grid = snapshot_grid(activity, cfg)
+    bounds = dataset_bounds(activity)
     products = part_products(spark, sf_dir)
-    return snapshot_profile(day_rows(activity), grid, cfg, products, events, details)
+    return snapshot_profile(day_rows(activity), grid_between(bounds, cfg), cfg, products, events, details, bounds)
 
 
 def orders_profile(spark: SparkSession, sf_dir: str, details=()) -> DataFrame:
-    activity = order_activity(spark, sf_dir)
-    grid = snapshot_grid(activity, ORDERS_CONFIG)
+    activity, cfg = order_activity(spark, sf_dir), ORDERS_CONFIG
+    bounds = dataset_bounds(activity)
     products = part_products(spark, sf_dir)
-    return snapshot_profile(day_rows(activity), grid, ORDERS_CONFIG, products, (BUY,), details)
+    return snapshot_profile(day_rows(activity), grid_between(bounds, cfg), cfg, products, (BUY,), details, bounds)
 
 
 def columns_like(df: DataFrame, *prefixes: str) -> DataFrame:
@@ -116,7 +116,7 @@ def event_volume(spark, sf_dir):
 # --- snapshots, cohorts, labels -----------------------------------------------------------------
 
 
-def bounds(spark, sf_dir):
+def time_bounds(spark, sf_dir):
     return dataset_bounds(stream_activity(spark, sf_dir)).frame(spark)
 
 
@@ -352,11 +352,12 @@ def rolling_backtest_logistic(spark, sf_dir):
 def run_comparison(spark, sf_dir):
     """The three cohort definitions, each with two fixed scores in the place of models."""
     activity = stream_activity(spark, sf_dir)
-    grid = snapshot_grid(activity, STREAM_CONFIG)
+    bounds = dataset_bounds(activity)
+    grid = grid_between(bounds, STREAM_CONFIG)
     scored, records = None, None
     for name in ("historical_buyers", "recently_active_buyers", "recent_engaged_buyers"):
         cfg = replace(STREAM_CONFIG, cohort=name)
-        profile = stage(snapshot_profile(day_rows(activity), grid, cfg, events=(BUY, PAGE)), "profile")
+        profile = stage(snapshot_profile(day_rows(activity), grid, cfg, events=(BUY, PAGE), bounds=bounds), "profile")
         record = run_record(spark, FeatureTable(profile, grid, cfg), "events").withColumn("prefix", F.lit(name))
         rows = assign_time_splits(profile)
         for model, event in (("buy_score", BUY), ("page_score", PAGE)):
@@ -422,7 +423,7 @@ QUERIES = {
     "buyer_event_counts": buyer_event_counts,
     "search_day_conversions": search_day_conversions,
     "event_volume": event_volume,
-    "dataset_bounds": bounds,
+    "dataset_bounds": time_bounds,
     "snapshot_grid": grid_dates,
     "cohort_historical_buyers": cohort("historical_buyers"),
     "cohort_recently_active": cohort("recently_active_buyers"),

@@ -1,20 +1,26 @@
-"""One row per client and snapshot: cohort, label and windowed features in a single aggregation.
+"""One row per client and snapshot: cohort, label and windowed features from one partitioning by client.
 
 Shape of the plan:
 
 1. ``buyers``: first and last buy day per client, from the buy log alone. No other client can be
    in any cohort, so the large logs are cut down to buyers before anything is shuffled.
-2. Each log is joined to ``buyers`` and fanned out to the snapshots that cover each row.
-3. Distinct items and categories come from grouping by item first and counting groups later, so no
-   ``count(distinct)`` blows rows up, and a hot client is spread over its items. Distinct days
-   are bits of a word, joined with ``bit_or``: map-side, without a shuffle of their own.
-4. The branches are unioned and grouped once by ``(snapshot_date, client_id)``. No star of joins.
+2. The remaining rows are rolled up to (client, log, day, item): a narrow shuffle with map-side aggregation, in
+   which a hot client is spread over its items and days.
+3. The rollup is partitioned by client. Clients that hold very many rows get several parts, cut by
+   category or page, found by a sketch beforehand. Everything up to the client is now local: the
+   fan-out to snapshots, items, categories, and the aggregation per client and snapshot.
+   Rows are copied per snapshot only here, so the copies are never shuffled.
+4. Distinct items and categories are counted by grouping first, so no ``count(distinct)`` expands rows. Distinct
+   days are bits of a word, joined with ``bit_or``.
+5. The last grouping by ``(snapshot_date, client_id)`` merges the parts: it shuffles about one row per
+   result row and log family. No star of joins.
 
 The many similar columns are written as SQL expressions, one string each.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -31,14 +37,19 @@ from ebbline.config import (
     ChurnConfig,
 )
 from ebbline.operators.joins import fits_broadcast, join_key_table
-from ebbline.operators.snapshots import SnapshotGrid, fan_out
+from ebbline.operators.snapshots import HOT_SKETCH, Bounds, SnapshotGrid, fan_out, hot_clients
 
 KEYS = ("snapshot_date", "client_id")
+SPAN = ("client_id", "first_buy", "last_buy")
 WORD_BITS = 62
 TEXT_SUMS = ("n", "n_text", "text_chars", "text_words")
 SEARCH_PARTS = ("chars", "words", "to_cart", "to_buy")
 
 
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def quoted(names) -> str:
     return ", ".join(f"'{n}'" for n in names)
 
@@ -121,39 +132,43 @@ def attach_products(days: DataFrame, products: DataFrame, cfg: ChurnConfig) -> D
     return join_key_table(days, products, "sku", "left", broadcast=small, salts=cfg.join_salts)
 
 
-def _covering_rows(
-    days: DataFrame, buyers: DataFrame, grid: SnapshotGrid, cfg: ChurnConfig, broadcast: bool, ahead: int
-) -> DataFrame:
-    """Day rows of buyers, once per snapshot at which the client can be in the cohort.
-
-    After the snapshot only buys, cart additions and page visits count."""
-    joined = join_key_table(days, buyers, "client_id", "inner", broadcast=broadcast, salts=cfg.join_salts)
-    until = "last_buy" if cfg.cohort == "recent_engaged_buyers" else None
-    rows = fan_out(joined, grid, cfg.observation_days, ahead, after="first_buy", until=until)
-    return rows.filter(f"lead >= 1 OR event IN ({quoted(ENGAGEMENT_EVENTS)})").drop("first_buy", "last_buy", "day")
-
-
-def _without_items(rows: DataFrame, m: Measures) -> DataFrame:
-    """Enough for cohorts and labels: the final grouping is the only shuffle."""
-    return project(rows, (*KEYS, "event"), m.of_row())
-
+def _rollup(rows: DataFrame, items: tuple[str, ...], sums: tuple[str, ...] = ("n",)) -> DataFrame:
+    """Day rows summed per item. The buy span depends on the client, so it adds no groups."""
+    return aggregate(rows, (*SPAN, "event", "day", *items), {c: f"sum({c})" for c in sums})
 
-def _by_item(rows: DataFrame, item: str, m: Measures, extra: dict[str, str]) -> DataFrame:
-    """One row per item; what lies after the snapshot is kept in the group without item."""
-    keyed = rows.withColumn("item", F.expr(f"CASE WHEN lead >= 1 THEN {item} END"))
-    return aggregate(keyed, (*KEYS, "event", "item"), m.of_rows() | extra)
 
+def _by_client(rows: DataFrame, hot: Sequence[int], parts: int) -> DataFrame:
+    """Partition by client; hot clients in ``parts`` pieces along categories and pages."""
+    part = "0"
+    if hot:
+        ids = ", ".join(f"{h}L" for h in hot)
+        part = f"CASE WHEN client_id IN ({ids}) THEN pmod(xxhash64(event, coalesce(category, item)), {parts}) ELSE 0 END"
+    return rows.selectExpr("*", f"CAST({part} AS INT) AS part").repartition("client_id", "part")
 
-def _page_items(rows: DataFrame, m: Measures) -> DataFrame:
-    return _by_item(rows, "url", m, {}).selectExpr("*", "CAST(item IS NOT NULL AS BIGINT) AS n_items").drop("item")
 
+def _fanned(rows: DataFrame, grid: SnapshotGrid, cfg: ChurnConfig, ahead: int) -> DataFrame:
+    """Rows once per snapshot at which the client can be in the cohort.
 
-def _product_categories(rows: DataFrame, m: Measures) -> DataFrame:
-    """One row per category with the sums over its items; price and category depend on the item."""
-    past = {c: f"max(CASE WHEN lead >= 1 THEN {c} END)" for c in ("category", "price")}
+    After the snapshot only buys, cart additions and page visits count."""
+    until = "last_buy" if cfg.cohort == "recent_engaged_buyers" else None
+    copies = fan_out(rows, grid, cfg.observation_days, ahead, after="first_buy", until=until)
+    return copies.filter(f"lead >= 1 OR event IN ({quoted(ENGAGEMENT_EVENTS)})").drop("first_buy", "last_buy", "day")
+
+
+def _item_parts(rows: DataFrame, m: Measures) -> DataFrame:
+    """One row per category with the sums over its items; price and category depend on the item. What lies
+    after the snapshot is kept in the group without item."""
+    past = {c: f"CASE WHEN lead >= 1 THEN {c} END" for c in ("item", "category", "price")}
+    kept = [c for c in rows.columns if c not in past]
+    keyed = project(rows, tuple(kept), past)
+    items = aggregate(
+        keyed,
+        (*KEYS, "part", "event", "item"),
+        m.of_rows() | {"category": "max(category)", "price": "max(price)"},
+    )
     return aggregate(
-        _by_item(rows, "sku", m, past),
-        (*KEYS, "event", "category"),
+        items,
+        (*KEYS, "part", "event", "category"),
         m.merged()
         | {
             "n_items": "count(item)",
@@ -164,26 +179,26 @@ def _product_categories(rows: DataFrame, m: Measures) -> DataFrame:
     )
 
 
-def search_days(days: DataFrame) -> DataFrame:
+def search_days(days: DataFrame, keys: tuple[str, ...] = ("client_id",)) -> DataFrame:
     """Searches per client and day, with flags for a cart or buy on the same and on the next day.
 
     Cart and buy days are sent to the search days they can answer, so one grouping replaces four
     left joins on day and day + 1. Partial aggregation absorbs hot clients."""
-    sums = {c: f"sum({c})" for c in TEXT_SUMS}
-    searches = days.filter(F.col("event") == SEARCH).select("client_id", "day", *TEXT_SUMS)
+    searches = days.filter(F.col("event") == SEARCH).select(*keys, "day", *TEXT_SUMS)
     answers = (
         days.filter(F.col("event").isin(CART, BUY))
-        .selectExpr("client_id", "event", "day AS answered_on", "explode(array(0, 1)) AS gap")
-        .selectExpr("client_id", "date_sub(answered_on, gap) AS day", "concat(event, '_', gap) AS answer")
+        .selectExpr(*keys, "event", "day AS answered_on", "explode(array(0, 1)) AS gap")
+        .selectExpr(*keys, "date_sub(answered_on, gap) AS day", "concat(event, '_', gap) AS answer")
     )
+    sums = {c: f"sum({c})" for c in TEXT_SUMS}
     flags = {
         f"{e}_{gap}": f"coalesce(bool_or(answer = '{e}_{gap}'), false)" for e in (CART, BUY) for gap in (0, 1)
     }
     both = searches.unionByName(answers, allowMissingColumns=True)
-    return aggregate(both, ("client_id", "day"), sums | flags).filter("n > 0")
+    return aggregate(both, (*keys, "day"), sums | flags).filter("n > 0")
 
 
-def _search_rows(rows: DataFrame, m: Measures) -> DataFrame:
+def _search_parts(rows: DataFrame, m: Measures) -> DataFrame:
     # With leak_safe the day after the last observed day is not looked at: it lies in the label window.
     next_day = "AND lead > 1" if m.cfg.leak_safe else ""
 
@@ -281,42 +296,62 @@ def snapshot_profile(
     products: DataFrame | None = None,
     events: tuple[str, ...] = ENGAGEMENT_EVENTS,
     details: tuple[str, ...] = (),
+    bounds: Bounds | None = None,
+    rolled: bool = False,
 ) -> DataFrame:
     """Cohort rows with labels and the features of ``events``.
 
     ``details`` names the logs whose item, price or text features are wanted; the others are grouped
-    without their items. The engagement logs are always read: cohort and label need them.
+    without their items. The engagement logs are always read: cohort and label need them. ``bounds`` of the same
+    data saves the passes for the number of buyers and the hot clients; ``rolled`` says that ``days`` is a stored
+    daily rollup.
     """
     m = Measures(cfg)
     used = [e for e in ALL_EVENTS if e in events or e in ENGAGEMENT_EVENTS]
+    itemised = [e for e in used if e in details and e != SEARCH]
+    plain = [e for e in used if e not in details and e != SEARCH]
     buyers = buy_spans(days)
-    small = fits_broadcast(buyers, cfg.broadcast_rows)
-
-    def covering(source: DataFrame, ahead: int = cfg.label_days) -> DataFrame:
-        return _covering_rows(source, buyers, grid, cfg, small, ahead)
-
-    def logs(names: list[str]) -> DataFrame:
-        return days.filter(F.col("event").isin(*names))
-
-    branches = []
-    product_logs = [e for e in used if e in PRODUCT_EVENTS and e in details]
+    small = bounds.n_buyers <= cfg.broadcast_rows if bounds else fits_broadcast(buyers, cfg.broadcast_rows)
+    hot: Sequence[int] = ()
+    if itemised:  # without items a client has few rows per day, however active it is
+        if bounds is None:
+            row = days.agg(F.count("*").alias("n"), F.expr(f"{HOT_SKETCH.format('client_id')} AS heaviest")).first()
+            hot = hot_clients(row.n, row.heaviest)
+        else:
+            hot = bounds.hot
+
+    def of_buyers(names: Sequence[str]) -> DataFrame:
+        rows = days.filter(F.col("event").isin(*names))
+        return join_key_table(rows, buyers, "client_id", "inner", broadcast=small, salts=cfg.join_salts)
+
+    def rolled_up(names: Sequence[str], items: tuple[str, ...]) -> DataFrame:
+        rows = of_buyers(names)
+        return rows.select(*SPAN, "event", "day", *items, "n") if rolled and items else _rollup(rows, items)
+
+    logs = []
+    product_logs = [e for e in itemised if e in PRODUCT_EVENTS]
     if product_logs:
         if products is None:
             raise ValueError("product features need the product table")
-        branches.append(_product_categories(covering(attach_products(logs(product_logs), products, cfg)), m))
-    if PAGE in details:
-        branches.append(_page_items(covering(logs([PAGE])), m))
-    plain = [e for e in used if e != SEARCH and e not in details]
+        priced = attach_products(rolled_up(product_logs, ("sku",)), products, cfg)
+        logs.append(priced.withColumnRenamed("sku", "item"))
+    if PAGE in itemised:
+        pages = rolled_up([PAGE], ("url",)).withColumnRenamed("url", "item")
+        logs.append(pages.selectExpr("*", "CAST(NULL AS BIGINT) AS category", "CAST(NULL AS DOUBLE) AS price"))
     if plain:
-        branches.append(_without_items(covering(logs(plain)), m))
+        logs.append(rolled_up(plain, ()))
+    local = _by_client(_union(logs), hot, cfg.join_salts)
+    copies = _fanned(local, grid, cfg, cfg.label_days)
+    branches = [_item_parts(copies, m) if itemised else project(copies, (*KEYS, "event"), m.of_row())]
     if SEARCH in used:
-        searches = search_days(days).withColumn("event", F.lit(SEARCH))
-        branches.append(_search_rows(covering(searches, ahead=0), m))
+        searches = search_days(of_buyers([SEARCH, CART, BUY]), SPAN).repartition("client_id")
+        copies = _fanned(searches.withColumn("event", F.lit(SEARCH)), grid, cfg, 0)
+        branches.append(_search_parts(copies, m))
     if cfg.cohort == "historical_buyers":  # clients without any row in the windows belong to the cohort too
         markers = fan_out(buyers.withColumn("day", F.col("first_buy")), grid, back=None, ahead=0)
         branches.append(markers.select(*KEYS))
 
-    parts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
+    parts = _union(branches)
     sums = m.of_future()
     for e in used:
         sums |= m.of_event(e)

@@ -25,17 +25,29 @@ def buyer_activity(activity: DataFrame, cfg: ChurnConfig) -> DataFrame:
     return join_key_table(activity, buyers, "client_id", "left_semi", broadcast=small, salts=cfg.join_salts)
 
 
+# Clients that hold more than this share of the rows are spread over several tasks.
+HOT_SHARE = 1 / 2000
+HOT_SKETCH = "approx_top_k({}, 1000, 100000)"
+
+
+def hot_clients(total: int, heaviest) -> tuple[int, ...]:
+    return tuple(sorted(h["item"] for h in heaviest if h["item"] is not None and h["count"] > max(total * HOT_SHARE, 1000)))
+
+
 @dataclass(frozen=True)
 class Bounds:
+    """Time span of the buyers' events, number of buyers, and clients known to hold very many rows."""
+
     min_ts: dt.datetime | None
     max_ts: dt.datetime | None
     n_buyers: int
+    hot: tuple[int, ...] = ()
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(self.min_ts, self.max_ts)], "min_ts timestamp_ntz, max_ts timestamp_ntz")
 
 
-def _buyer_bounds(activity: DataFrame, rows: str) -> Bounds:
+def _buyer_bounds(activity: DataFrame, rows: str, hot: tuple[int, ...]) -> Bounds:
     """Bounds over the events of buyers that match ``rows``. One aggregate per client takes the place of a
     join with the buyers, and partial aggregation absorbs hot clients."""
     per_client = (
@@ -48,24 +60,26 @@ def _buyer_bounds(activity: DataFrame, rows: str) -> Bounds:
         )
     )
     row = per_client.filter("bought").agg(F.min("low"), F.max("high"), F.count("*")).first()
-    return Bounds(*row)
+    return Bounds(*row, hot)
 
 
 def dataset_bounds(activity: DataFrame) -> Bounds:
-    """First and last event time over all logs, buyers only.
+    """First and last event time over all logs, buyers only; heavy clients come from a sketch on the way.
 
     The first and last day of the whole data almost always hold an event of some buyer, so only
     these days (and the small buy log) are grouped by client; if they do not, all events are.
     """
-    whole = activity.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    sketch = F.expr(f"{HOT_SKETCH.format('client_id')} AS heaviest")
+    whole = activity.agg(F.min("ts").alias("low"), F.max("ts").alias("high"), F.count("*").alias("n"), sketch).first()
+    hot = hot_clients(whole.n, whole.heaviest)
     if whole.low is None:
         return Bounds(None, None, 0)
     head_end, tail_start = whole.low.date() + DAY, whole.high.date()
     in_head, in_tail = f"ts < TIMESTAMP_NTZ '{head_end}'", f"ts >= TIMESTAMP_NTZ '{tail_start}'"
-    found = _buyer_bounds(activity, f"({in_head} OR {in_tail})")
+    found = _buyer_bounds(activity, f"({in_head} OR {in_tail})", hot)
     if found.min_ts is not None and found.min_ts.date() < head_end and found.max_ts.date() >= tail_start:
         return found
-    return _buyer_bounds(activity, "true")
+    return _buyer_bounds(activity, "true", hot)
 
 
 @dataclass(frozen=True)
@@ -87,12 +101,12 @@ class SnapshotGrid:
         return spark.range(1).select(F.explode(F.sequence(start, stop, step)).alias("snapshot_date"))
 
 
-def grid_between(min_ts: dt.datetime, max_ts: dt.datetime, cfg: ChurnConfig) -> SnapshotGrid:
+def grid_between(bounds: Bounds, cfg: ChurnConfig) -> SnapshotGrid:
     """Snapshots with a full observation window before and a full label window after them."""
-    if min_ts is None or max_ts is None:
+    if bounds.min_ts is None or bounds.max_ts is None:
         raise ValueError("no dated events of buyers: cannot place snapshots")
-    first = min_ts.date() + cfg.observation_days * DAY
-    last = max_ts.date() - cfg.label_days * DAY
+    first = bounds.min_ts.date() + cfg.observation_days * DAY
+    last = bounds.max_ts.date() - cfg.label_days * DAY
     if first >= last:
         raise ValueError("history too short for one observation and one label window")
     count = (last - first).days // cfg.snapshot_step_days + 1
@@ -105,8 +119,7 @@ def grid_between(min_ts: dt.datetime, max_ts: dt.datetime, cfg: ChurnConfig) ->
 
 
 def snapshot_grid(activity: DataFrame, cfg: ChurnConfig) -> SnapshotGrid:
-    bounds = dataset_bounds(activity)
-    return grid_between(bounds.min_ts, bounds.max_ts, cfg)
+    return grid_between(dataset_bounds(activity), cfg)
 
 
 def fan_out(

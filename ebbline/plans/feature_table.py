@@ -11,7 +11,14 @@ from ebbline.config import ALL_EVENTS, ChurnConfig
 from ebbline.operators.days import day_rows
 from ebbline.operators.derived import funnel_columns, trend_columns
 from ebbline.operators.profile import project, snapshot_profile
-from ebbline.operators.snapshots import SnapshotGrid, present_dates, snapshot_grid, split_column
+from ebbline.operators.snapshots import (
+    Bounds,
+    SnapshotGrid,
+    dataset_bounds,
+    grid_between,
+    present_dates,
+    split_column,
+)
 from ebbline.session import stage
 from ebbline.sources.logs import sample_clients
 from ebbline.sources.results import RUN_RECORD_SCHEMA
@@ -36,18 +43,21 @@ def build_feature_table(
     activity: DataFrame,
     products: DataFrame,
     cfg: ChurnConfig,
-    grid: SnapshotGrid | None = None,
-    days: DataFrame | None = None,
+    bounds: Bounds | None = None,
+    rollup: DataFrame | None = None,
 ) -> FeatureTable:
-    """``grid`` skips the pass over the logs for the bounds; ``days`` reuses a written rollup.
+    """``bounds`` skips the pass over the logs that finds them; ``rollup`` reuses a stored daily rollup.
 
     The aggregate is staged once, because the split depends on the dates present in it; the derived columns are
     a narrow projection of the staged rows.
     """
     activity = sample_clients(activity, cfg.sample_frac, cfg.seed)
-    grid = grid or snapshot_grid(activity, cfg)
-    days = day_rows(activity) if days is None else days
-    profile = snapshot_profile(days, grid, cfg, products, events=ALL_EVENTS, details=ALL_EVENTS)
+    bounds = bounds or dataset_bounds(activity)
+    grid = grid_between(bounds, cfg)
+    days = day_rows(activity) if rollup is None else sample_clients(rollup, cfg.sample_frac, cfg.seed)
+    profile = snapshot_profile(
+        days, grid, cfg, products, events=ALL_EVENTS, details=ALL_EVENTS, bounds=bounds, rolled=rollup is not None
+    )
     staged = stage(profile, "profile")
     return FeatureTable(add_derived(assign_time_splits(staged), cfg), grid, cfg)
 

@@ -39,13 +39,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stream_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as activity; one scan serves all five logs."""
-    names = F.create_map(*[F.lit(x) for pair in EVENT_TYPE_TO_LOG.items() for x in pair])
+    names = " ".join(f"WHEN '{kind}' THEN '{log}'" for kind, log in EVENT_TYPE_TO_LOG.items())
     key = F.get_json_object("props", "$.k").cast("bigint")
     event = F.col("event")
     return (
         _table(spark, sf_dir, "events")
         .filter(F.col("user_id").isNotNull() & F.col("event_type").isin(*EVENT_TYPE_TO_LOG))
-        .withColumn("event", names[F.col("event_type")])
+        .withColumn("event", F.expr(f"CASE event_type {names} END"))
         .select(
             F.col("user_id").alias("client_id"),
             "ts",
