@@ -76,6 +76,7 @@ class Scored:
 
     def __init__(self, predictions: DataFrame, group: Sequence[str] = (), bucket_rows: int = 500_000):
         self.group, self.bucket_rows = list(group), bucket_rows
+        self._totals: dict[float, DataFrame] = {}
         self.rows = predictions.select(*dict.fromkeys([*self.group, *SCORE_COLUMNS]))
         self.cumulative = cumulative_histogram(score_histogram(self.rows, self.group), self.group, bucket_rows)
 
@@ -85,9 +86,14 @@ class Scored:
         return totals_of(self.cumulative).first()
 
     def _with_totals(self, df: DataFrame, threshold: float = 0.5) -> DataFrame:
-        """Group totals on every row; without groups they are one row of numbers and become literals."""
+        """Group totals on every row; without groups they are one row of numbers and become literals.
+
+        The staged totals have a known size, so a handful of groups is broadcast: a shuffle by
+        group would send everything to a handful of tasks."""
         if self.group:
-            return df.join(totals_of(self.cumulative, self.group, threshold), self.group)
+            if threshold not in self._totals:
+                self._totals[threshold] = stage(totals_of(self.cumulative, self.group, threshold), "totals")
+            return df.join(self._totals[threshold], self.group)
         row = self.numbers if threshold == 0.5 else totals_of(self.cumulative, (), threshold).first()
         return df.withColumns({c: F.lit(row[c]).cast("double" if c in ("auc", "pr_auc") else "bigint") for c in TOTALS})
 

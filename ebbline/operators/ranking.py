@@ -104,7 +104,7 @@ def running_totals(
     )
     inside = Window.partitionBy(*cell).orderBy(*sorts).rowsBetween(Window.unboundedPreceding, 0)
     totals = {name: F.sum(expr).over(inside) + F.col(f"_o_{name}") for name, expr in exprs.items()}
-    return placed.join(offsets, cell).withColumns(totals).drop("_b", "_s", *[f"_o_{name}" for name in exprs])
+    return placed.join(offsets, cell).withColumns(totals).select(*df.columns, *exprs)
 
 
 def row_numbers(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -139,14 +140,15 @@ def fit(train: DataFrame, model: str, names: list[str], seed: int = 42, effort:
     return registry[model]().fit(weighted)
 
 
-def score(fitted: PipelineModel, rows: DataFrame, names: list[str]) -> DataFrame:
-    """Probability of churn per row."""
+def score(fitted: PipelineModel, rows: DataFrame, names: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Probability of churn per row, with the keys and the columns to ``keep``."""
     scored = fitted.transform(rows.na.fill(0, names))
     return scored.select(
         "client_id",
         "snapshot_date",
         F.col("churn").cast("int").alias("y_true"),
         vector_to_array("probability")[1].alias("y_score"),
+        *keep,
     )
 
 
@@ -192,17 +194,11 @@ def train_and_evaluate(
     scored = []
     for model in models:
         fitted = fit(train, model, names, cfg.seed, effort)
-        scores = score(fitted, held_out, names).join(
-            held_out.select("client_id", "snapshot_date", "split"), ["client_id", "snapshot_date"]
-        )
-        scored.append(scores.withColumn("model", F.lit(model)))
+        scored.append(score(fitted, held_out, names, ("split",)).withColumn("model", F.lit(model)))
         if output:
             results.save_model(fitted, f"{output}/models/{model}")
             results.write_csv(feature_importance(spark, fitted, names), f"{output}/feature_importance_{model}")
-    predictions = scored[0]
-    for other in scored[1:]:
-        predictions = predictions.unionByName(other)
-    predictions = stage(predictions, "model-predictions")
+    predictions = stage(reduce(DataFrame.unionByName, scored), "model-predictions")
     metrics = order_metrics(stage(binary_metrics(predictions, ("model", "split")), "metrics"))
     best = choose_best_model(metrics).first().model
 
