@@ -38,6 +38,7 @@ from ebbline.config import (
 )
 from ebbline.operators.joins import fits_broadcast, join_key_table
 from ebbline.operators.snapshots import HOT_SKETCH, Bounds, SnapshotGrid, fan_out, hot_clients
+from ebbline.session import stage
 
 KEYS = ("snapshot_date", "client_id")
 SPAN = ("client_id", "first_buy", "last_buy")
@@ -312,6 +313,8 @@ def snapshot_profile(
     plain = [e for e in used if e not in details and e != SEARCH]
     buyers = buy_spans(days)
     small = bounds.n_buyers <= cfg.broadcast_rows if bounds else fits_broadcast(buyers, cfg.broadcast_rows)
+    if not small:
+        buyers = stage(buyers, "buyers")  # every log is joined to it
     hot: Sequence[int] = ()
     if itemised:  # without items a client has few rows per day, however active it is
         if bounds is None:

@@ -8,9 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app_name: str = "ebbline", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def build_session(
+    app_name: str = "ebbline",
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
+    settings: dict[str, str] | None = None,
+) -> SparkSession:
     """Create a session. On a cluster leave ``master`` to spark-submit and size
-    ``spark.sql.shuffle.partitions`` generously; AQE merges small partitions."""
+    ``spark.sql.shuffle.partitions`` for the largest shuffle (about 200 MB each); AQE merges small ones."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
@@ -22,6 +27,8 @@ def build_session(app_name: str = "ebbline", master: str | None = None, shuffle_
         builder = builder.master(master)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for name, value in (settings or {}).items():
+        builder = builder.config(name, value)
     return builder.getOrCreate()
 
 

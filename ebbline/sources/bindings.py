@@ -40,7 +40,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stream_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as activity; one scan serves all five logs."""
     names = " ".join(f"WHEN '{kind}' THEN '{log}'" for kind, log in EVENT_TYPE_TO_LOG.items())
-    key = F.get_json_object("props", "$.k").cast("bigint")
+    key = F.regexp_extract("props", r'"k": *([0-9]+)', 1).try_cast("bigint")
     event = F.col("event")
     return (
         _table(spark, sf_dir, "events")
