@@ -39,9 +39,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    # Small data: keep partitions small enough for all cores to take part.
-    small = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k"}
-    spark = build_session("bench", master=f"local[{cpus}]", shuffle_partitions=cpus, settings=small)
+    spark = build_session("bench", master=f"local[{cpus}]", shuffle_partitions=cpus)
     spark.sparkContext.setLogLevel("ERROR")
     times = {}
     for name in HEADLINE:
