@@ -224,36 +224,37 @@ PRED = f"""pred AS (
 SCORED = [*TABLE, SPLITS, PRED]
 
 
-def metric_ctes(source: str, group: str) -> list[str]:
+def metric_ctes(source: str, group: str, suffix: str = "") -> list[str]:
     """``measured``: one row per group. AUC from average ranks, precision steps from plain windows."""
+    ranked, main, levels, steps, measured = (n + suffix for n in ("ranked", "main", "levels", "steps", "measured"))
     return [
-        f"""ranked AS (
+        f"""{ranked} AS (
   SELECT {group}, s, client_id, y_true, y_score,
          rank() OVER (PARTITION BY {group} ORDER BY y_score)
            + (count(*) OVER (PARTITION BY {group}, y_score) - 1) / 2 AS mid_rank,
          row_number() OVER (PARTITION BY {group} ORDER BY y_score DESC, client_id, s) AS place,
          count(*) OVER (PARTITION BY {group}) AS n
   FROM {source})""",
-        f"""main AS (
+        f"""{main} AS (
   SELECT {group}, n, sum(y_true) AS p, sum(mid_rank) FILTER (WHERE y_true = 1) AS rank_sum,
          count(*) FILTER (WHERE y_score >= 0.5) AS targeted,
          count(*) FILTER (WHERE y_score >= 0.5 AND y_true = 1) AS hits,
          count(*) FILTER (WHERE y_true = 1 AND place <= greatest(1, floor(n * 0.1))) AS top_hits
-  FROM ranked GROUP BY {group}, n)""",
-        f"""levels AS (
+  FROM {ranked} GROUP BY {group}, n)""",
+        f"""{levels} AS (
   SELECT {group}, y_score, sum(y_true) AS pos,
          sum(sum(y_true)) OVER (PARTITION BY {group} ORDER BY y_score DESC) AS cum_pos,
          sum(count(*)) OVER (PARTITION BY {group} ORDER BY y_score DESC) AS cum_n
   FROM {source} GROUP BY {group}, y_score)""",
-        f"""steps AS (
+        f"""{steps} AS (
   SELECT {group}, coalesce(sum(pos * CAST(cum_pos AS DOUBLE) / cum_n) / nullif(sum(pos), 0), 0) AS ap
-  FROM levels GROUP BY {group})""",
-        f"""measured AS (
+  FROM {levels} GROUP BY {group})""",
+        f"""{measured} AS (
   SELECT {group}, CASE WHEN p > 0 AND p < n THEN (rank_sum - p * (p + 1) / 2) / (CAST(p AS DOUBLE) * (n - p)) END AS auc,
          ap AS pr_auc, coalesce(hits / nullif(targeted, 0), 0) AS precision, coalesce(hits / nullif(p, 0), 0) AS recall,
          coalesce(2 * hits / nullif(targeted + p, 0), 0) AS f1, top_hits / greatest(p, 1) AS top_10pct_churn_recall,
          p / n AS positive_rate
-  FROM main JOIN steps USING ({group}))""",
+  FROM {main} JOIN {steps} USING ({group}))""",
     ]
 
 
@@ -294,26 +295,11 @@ VALID_SWEEP = [*SCORED, split_source("valid"), *metric_ctes("src", "g"), CANDIDA
 BEST = "ORDER BY f1 DESC, recall DESC, precision DESC, threshold DESC LIMIT 1"
 
 
-def renamed(ctes: list[str], suffix: str) -> list[str]:
-    """The metric expressions a second time under other names."""
-    names = ("ranked", "main", "levels", "steps", "measured")
-    out = []
-    for text in ctes:
-        for n in names:
-            for before in ("", "FROM ", "JOIN "):
-                text = text.replace(f"{before}{n} ", f"{before}{n}_{suffix} ") if before else (
-                    f"{n}_{suffix}" + text[len(n):] if text.startswith(f"{n} AS") else text
-                )
-            text = text.replace(f"FROM {n})", f"FROM {n}_{suffix})")
-        out.append(text)
-    return out
-
-
 SUMMARY = [
     *VALID_SWEEP,
     "best AS (SELECT threshold AS chosen FROM sweep " + BEST + ")",
     "src_t AS (SELECT *, 0 AS g FROM pred WHERE split = 'test')",
-    *renamed(metric_ctes("src_t", "g"), "t"),
+    *metric_ctes("src_t", "g", "_t"),
     sweep_cte("test_sweep", "src_t", "measured_t"),
     """summary AS (
   SELECT *, 'threshold_0.50' AS strategy FROM test_sweep WHERE abs(threshold - 0.5) < 1e-6

@@ -35,7 +35,7 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach. Only a local session may fall back to a temporary one."""
     context = spark.sparkContext
-    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

@@ -86,6 +86,12 @@ def unify(logs: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, logs.values())
 
 
+def register_views(frames: dict[str, DataFrame]) -> None:
+    """Name the typed logs (and products) for SQL users; views stay lazy."""
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(name)
+
+
 def read_activity(spark: SparkSession, root: str) -> DataFrame:
     return unify(read_logs(spark, root))
 

@@ -61,6 +61,16 @@ def test_hot_client_in_parts_gives_the_same(spark):
     check(got, expected)
 
 
+def test_hot_client_is_spread_by_item(spark):
+    rows = [(c, PAGE, None, i) for c in (1, 2) for i in range(40)] + [(1, BUY, 7, i) for i in range(40)]
+    df = spark.createDataFrame(rows, "client_id long, event string, category long, item long")
+    spread = profile_module._by_client(df, hot=[1], parts=8)
+    parts = dict(spread.groupBy("client_id").agg({"part": "max"}).collect())
+    assert parts[2] == 0 and parts[1] > 3
+    # a category stays together, so that its share can be counted inside the part
+    assert spread.filter("category = 7").select("part").distinct().count() == 1
+
+
 def test_windows_of_several_words(spark, monkeypatch):
     monkeypatch.setattr(profile_module, "WORD_BITS", 6)
     got, expected = build(spark, random_rows(5), CFG)

@@ -18,10 +18,8 @@ QUICK = (
     "stratified_cap_rows",
     "binary_metrics_by_snapshot",
     "error_profile",
-    "threshold_summary",
     "top_k_strategy",
     "rolling_metrics",
-    "run_comparison",
     "buy_count_histogram",
     "orders_buy_features",
 )

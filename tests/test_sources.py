@@ -1,6 +1,7 @@
 """Reading, typing, bounds, grid, splits, scalar rules, sinks."""
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from fixtures import PRODUCTS, activity_frame, at, product_frame, row
@@ -19,6 +20,7 @@ from ebbline.operators.snapshots import (
     split_names,
 )
 from ebbline.plans.feature_table import build_feature_table, run_record
+from ebbline.session import shared_folder, stage
 from ebbline.sources import logs, results
 
 CFG = ChurnConfig(
@@ -47,6 +49,8 @@ def write_logs(spark, root):
 def test_read_and_build_from_files(spark, tmp_path):
     root = str(tmp_path / "raw")
     write_logs(spark, root)
+    logs.register_views(logs.read_logs(spark, root))
+    assert spark.sql(f"SELECT count(DISTINCT client_id) FROM {PAGE}").first()[0] == 2
     activity = logs.read_activity(spark, root)
     counts = dict(activity.groupBy("event").count().collect())
     assert counts[BUY] == 30 + 15 + 10 + 2 and counts[PAGE] == 60 and counts[SEARCH] == 30
@@ -78,6 +82,19 @@ def test_read_and_build_from_files(spark, tmp_path):
     assert read.active_user_definition == "recent_engaged_buyers" and "2 days" in read.active_user_definition_detail
 
 
+def test_shared_folder_follows_the_session(spark):
+    def session(setting, context_folder, master):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: context_folder)
+        return SimpleNamespace(sparkContext=context, conf={"spark.checkpoint.dir": setting} if setting else {})
+
+    assert shared_folder(session("hdfs://a/b/", "file:/tmp/x", "yarn")) == "hdfs://a/b"
+    assert shared_folder(session(None, "hdfs://c", "yarn")) == "hdfs://c"
+    with pytest.raises(ValueError):
+        shared_folder(session(None, None, "yarn"))
+    staged = stage(spark.range(5), "numbers")
+    assert staged.count() == 5 and "/ebbline/numbers-" in staged.inputFiles()[0]
+
+
 def test_missing_input(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         logs.find_parquet(spark, str(tmp_path), "product_buy")
