@@ -16,10 +16,6 @@ def ratio_or_null(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
-def floor_at_zero(value: Column) -> Column:
-    return F.greatest(value, F.lit(0))
-
-
 def word_count(text: Column) -> Column:
     """1 + spaces inside the trimmed text; NULL and blank count 0, runs of spaces count each."""
     trimmed = F.trim(text)
