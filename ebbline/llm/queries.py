@@ -5,10 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbline.llm import files, quality, token_counts, token_files
+from ebbline.llm import decontamination, files, mixing, quality, token_counts, token_files, warc
 from ebbline.llm.common import read_table
 
 
+def op2_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = files.new_folder(spark, "warc")
+    manifest = warc.write_warc(read_table(spark, sf_dir, "pages"), folder)
+    return warc.read_warc(manifest, folder).drop("url")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = quality.ledger(read_table(spark, sf_dir, "documents"))
     base = entries["fail_bits"].bitwiseAND(quality.BASE.mask) != 0
@@ -16,6 +22,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "fail_bits", "sole_rule", "policy")
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontamination.decontaminate(documents, items).drop("text_hash", "n_near_items")
+
+
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix_plan(read_table(spark, sf_dir, "documents"))
+    return plan.selectExpr("doc_id", "size", "source_size", "target", "size * copies AS taken", "copies")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_rows(read_table(spark, sf_dir, "documents"))
 
@@ -31,12 +47,79 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_warc_writer": op2_warc_writer,
     "op3_quality_rules": op3_quality_rules,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op8_mix_sources": op8_mix_sources,
     "op7_token_files": op7_token_files,
     "op10_token_counts": op10_token_counts,
 }
 #: Pre-tokens, tokenizer files and learned models are no SQL; tests compare those queries with brute force.
 ORACLES: dict[str, str] = {
+    "op2_warc_writer": r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY h) AS first_id FROM p
+), d AS (
+  SELECT page_id, strlen(h) AS payload_bytes, first_id, list_transform(range(0, 8), lambda g: CAST('0x' || substr(x, 5 * g + 1, 5) AS BIGINT)) AS v FROM f
+)
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31 AS BIGINT) + 1, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first_id THEN first_id END AS refers_to
+FROM d
+""",
+    "op5_benchmark_decontamination": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), s AS (
+  SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, n, list_slice(w, i, i + n - 1) AS g FROM s
+), spots AS (
+  SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM windows)
+), found AS (
+  SELECT doc_id, i, windows.n AS n, item_id FROM spots JOIN windows ON windows.n = spots.n AND windows.g = list_slice(spots.w, i, i + spots.n - 1)
+), hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS k FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op8_mix_sources": r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    CAST('0x' || substr(md5(concat_ws(chr(1), coalesce(CAST(doc_id AS VARCHAR), chr(0)), coalesce(text, chr(0)), coalesce(lang, chr(0)), coalesce(source, chr(0)), coalesce(CAST(n_chars AS VARCHAR), chr(0)))), 1, 15) AS BIGINT) AS h
+  FROM documents
+), c AS (
+  SELECT *, length(bin(size)) AS k FROM d
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM c GROUP BY source
+), o AS (
+  SELECT *, sum(source_size) OVER () AS total, sum(w) OVER () AS ws,
+    coalesce(sum(source_size) OVER (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_size,
+    coalesce(sum(w) OVER (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_w FROM s
+), q AS (
+  SELECT *, (3 * total - 4 * before_size) * w >= 4 * source_size * (ws - before_w) AS capped FROM o
+), t AS (
+  SELECT source, source_size, CASE WHEN capped THEN CAST(2 * source_size AS DOUBLE)
+    ELSE CAST(w * (3 * total - 4 * sum(CASE WHEN capped THEN source_size ELSE 0 END) OVER ()) AS DOUBLE) / CAST(2 * sum(CASE WHEN capped THEN 0 ELSE w END) OVER () AS DOUBLE) END AS target,
+    CAST('0x' || substr(md5(concat_ws(chr(1), coalesce(source, chr(0)), '17')), 1, 7) AS BIGINT) / 268435456.0::DOUBLE AS u FROM q
+), z AS (
+  SELECT *, h % CAST(ceil(sqrt(count(*) OVER (PARTITION BY source, k))) AS BIGINT) AS b FROM c
+), r AS (
+  SELECT z.*, source_size, target, u, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS ratio,
+    row_number() OVER (PARTITION BY z.source ORDER BY k, b, size, h, doc_id) AS n FROM z JOIN t ON z.source IS NOT DISTINCT FROM t.source
+), x AS (
+  SELECT *, CAST(floor(ratio) + floor(u + (ratio - floor(ratio)) * n) - floor(u + (ratio - floor(ratio)) * (n - 1)) AS BIGINT) AS copies FROM r
+)
+SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM x
+""",
     "op3_quality_rules": r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
