@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbline.llm import decontamination, files, mixing, quality, token_counts, token_files, warc
+from ebbline.llm import decontamination, files, mixing, privacy, quality, token_counts, token_files, warc
 from ebbline.llm.common import read_table
 
 
+def op1_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.private_spans(read_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op2_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = files.new_folder(spark, "warc")
     manifest = warc.write_warc(read_table(spark, sf_dir, "pages"), folder)
@@ -47,6 +51,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_privacy": op1_privacy,
     "op2_warc_writer": op2_warc_writer,
     "op3_quality_rules": op3_quality_rules,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
