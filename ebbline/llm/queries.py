@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbline.llm import decontamination, files, mixing, privacy, quality, token_counts, token_files, warc
+from ebbline.llm import decontamination, files, mixing, near_duplicates, privacy, quality, token_counts, token_files, warc
 from ebbline.llm.common import read_table
 
 
@@ -26,6 +26,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "fail_bits", "sole_rule", "policy")
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     return decontamination.decontaminate(documents, items).drop("text_hash", "n_near_items")
@@ -54,6 +58,7 @@ QUERIES = {
     "op1_privacy": op1_privacy,
     "op2_warc_writer": op2_warc_writer,
     "op3_quality_rules": op3_quality_rules,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op8_mix_sources": op8_mix_sources,
     "op7_token_files": op7_token_files,
