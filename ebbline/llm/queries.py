@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbline.llm import decontamination, files, mixing, near_duplicates, privacy, quality, token_counts, token_files, warc
+from ebbline.llm import decontamination, files, mixing, near_duplicates, privacy, quality, repeated_passages, token_counts, token_files, warc
 from ebbline.llm.common import read_table
 
 
@@ -50,6 +50,10 @@ def token_file_rows(documents: DataFrame) -> DataFrame:
     return token_files.read_token_files(manifest, folder)
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages.repeated_passages(read_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(token_counts.VOCABULARY))
 
@@ -62,6 +66,7 @@ QUERIES = {
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op8_mix_sources": op8_mix_sources,
     "op7_token_files": op7_token_files,
+    "op9_repeated_passages": op9_repeated_passages,
     "op10_token_counts": op10_token_counts,
 }
 #: Pre-tokens, tokenizer files and learned models are no SQL; tests compare those queries with brute force.
