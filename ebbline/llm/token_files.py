@@ -34,6 +34,8 @@ MAGIC = b"EFTOKEN1"
 FOOTER = struct.Struct("<qqqqqq8s")
 READ_BYTES = 4 << 20
 KNOWN_CHUNKS = 700_000
+#: Chunks that are learned at a time, and how many of them are joined to a string.
+AT_ONCE, JOINED = 20_000, 200
 
 
 class EliasFano:
@@ -127,7 +129,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.first: dict[str, bytes] = {}
+        # a token of a byte-level vocabulary has one character for each byte
+        self.id_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())], np.int64)
         self.chunks: dict[str, bytes] = {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         with open(path, encoding="utf-8") as file:
@@ -150,10 +153,20 @@ class Encoder:
         if len(self.chunks) + len(fresh) > KNOWN_CHUNKS:
             self.chunks = {}
             fresh = list(chunks)
-        for i in range(0, len(fresh), 20_000):
-            part = fresh[i : i + 20_000]
-            for chunk, e in zip(part, self.tokenizer.encode_batch_fast([f" {c}" for c in part], add_special_tokens=False)):
-                self.chunks[chunk] = np.array(e.ids, f"<u{self.width}").tobytes()
+        for i in range(0, len(fresh), AT_ONCE):
+            part = fresh[i : i + AT_ONCE]
+            # Long strings cost the tokenizer far less than many short ones; the ids are cut where the bytes end.
+            strings = ["".join(f" {c}" for c in part[k : k + JOINED]) for k in range(0, len(part), JOINED)]
+            ids = np.concatenate([np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)])
+            ends = np.cumsum([len(c.encode()) + 1 for c in part])
+            reached = np.cumsum(self.id_bytes[ids])
+            at = np.searchsorted(reached, ends)
+            if not np.array_equal(reached[at], ends):
+                raise ValueError("the tokenizer joined chunks")
+            data, first = ids.astype(f"<u{self.width}").tobytes(), 0
+            for chunk, last in zip(part, ((at + 1) * self.width).tolist()):
+                self.chunks[chunk] = data[first:last]
+                first = last
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         step: list[list[str] | None] = [self.cut(t) for t in texts]
