@@ -8,8 +8,8 @@ An occurrence of an item at a document lies on a diagonal: document position min
 its words. So the posting list of a term, its positions less the term's offset in the item, is a list of diagonals, and a phrase
 occurs where the lists of its terms intersect. Lists are taken from the rarest terms first: for every window of an
 item the SEEDS positions with the rarest terms (by training document postings) are seeds; a diagonal on which fewer seeds
-meet than any window has cannot hold a window. Only for the diagonals that are left are the other lists intersected: the
-positions that match are counted in runs, and a run of ``window`` words (or the whole of a shorter item) is an exact match. For
+meet than any window has cannot hold a window. The diagonals that are left are checked on the texts of their documents, which
+is less to shuffle than the lists of frequent terms: the positions that match are counted in runs, and a run of ``window`` words (or the whole of a shorter item) is an exact match. For
 proximity, the seeds of an item that meet within ``slop`` positions of one diagonal are counted.
 
 Null and empty texts have no words: n_words 0, never hit; an item without words matches nothing. Repeated document rows
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ebbline.session import stage
 
 WINDOW = 10
-SEEDS = 2
+SEEDS = 3
 SLOP = 5
 #: Seeds that must be near each other for a proximity match.
 NEAR_SEEDS = 4
@@ -40,11 +40,11 @@ def words(text: Column) -> Column:
     return F.array_remove(parts, "")
 
 
-def item_terms(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """item (a hash of id and text), item_id, item_words, ipos, term: one row per word of every distinct item."""
+def item_texts(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """item (a hash of id and text), item_id, w (the words) and item_words of every distinct item with words."""
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).distinct()
     rows = rows.select(F.xxhash64("item_id", "text").alias("item"), "item_id", words(F.col("text")).alias("w"))
-    return rows.select("item", "item_id", F.size("w").alias("item_words"), F.posexplode("w").alias("ipos", "term"))
+    return rows.withColumn("item_words", F.size("w")).where("item_words > 0")
 
 
 def build_index(documents: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -73,19 +73,32 @@ def seeds(item_words: DataFrame, frequencies: DataFrame, window: int = WINDOW, c
     return rows.select("item", "item_words", "ipos", "term_id").distinct()
 
 
-def phrase_matches(postings: DataFrame, item_words: DataFrame, seed_rows: DataFrame, window: int = WINDOW, count: int = SEEDS) -> DataFrame:
-    """doc_id, text_hash, item_id, pos: every document position inside an occurrence of a window."""
+def candidate_diagonals(postings: DataFrame, seed_rows: DataFrame, count: int = SEEDS) -> DataFrame:
+    """The stored diagonals of an item in a document on which ``count`` seeds meet, or all of a shorter item."""
     met = seed_diagonals(postings, seed_rows).groupBy(*DOC, "item", "diag").agg(F.count_distinct("ipos").alias("met"), F.first("item_words").alias("item_words"))
-    found = stage(met.where(F.col("met") >= F.least(F.lit(count), "item_words")).select(*DOC, "item", "diag"), "diagonals")
-    # The rest of the lists: what must stand where, for the diagonals that are left.
-    wanted = found.join(item_words, "item").select(*DOC, "item", "item_id", "item_words", "diag", "ipos", "term_id", (F.col("diag") + F.col("ipos")).alias("pos"))
-    lists = postings.where("pos > 0").select(*DOC, "pos", "term_id").distinct()
-    match = (wanted["doc_id"].eqNullSafe(lists["doc_id"])) & (wanted["text_hash"].eqNullSafe(lists["text_hash"])) & (wanted["pos"] == lists["pos"]) & (wanted["term_id"] == lists["term_id"])
-    hits = wanted.join(lists, match, "left_semi")
+    found = met.where(F.col("met") >= F.least(F.lit(count), "item_words")).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), "item", "diag", "item_words")
+    return stage(found, "diagonals")
+
+
+def phrase_matches(documents: DataFrame, diagonals: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_hash, item_id, pos: every document position inside an occurrence of a window. The text of a document with
+    diagonals is read again, cut to the length of the item and compared with it word by word."""
+    text = F.col(text_col).cast("string")
+    spots = diagonals.groupBy("_d", "_t").agg(F.collect_list(F.struct("item", "diag", "item_words")).alias("spots"))
+    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("_text"))
+    docs = docs.join(spots, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_t")))
+    # A text is cut into words once, whatever the number of its diagonals.
+    parts = docs.select(*DOC, words(F.col("_text")).alias("w"), "spots").select(*DOC, "w", F.explode("spots").alias("s")).select(*DOC, "w", "s.*")
+    # Word i of the item stands at word diag + i of the document, counted from 1.
+    start = F.greatest(F.col("diag"), F.lit(1))
+    parts = parts.select(*DOC, "item", "diag", F.slice("w", start, F.greatest(F.col("item_words") - (start - F.col("diag")), F.lit(0))).alias("part"))
+    both = parts.join(items, "item").withColumn("skip", F.greatest(1 - F.col("diag"), F.lit(0)))
+    same = F.filter(F.sequence(F.lit(0), F.size("part") - 1), lambda i: F.get("part", i) == F.get("w", i + F.col("skip")))
+    hits = both.where(F.size("part") > 0).select(*DOC, "item", "item_id", "item_words", "diag", F.explode(F.transform(same, lambda i: i + F.col("skip"))).alias("ipos")).distinct()
     line = Window.partitionBy(*DOC, "item", "diag").orderBy("ipos")
     runs = hits.withColumn("run", F.col("ipos") - F.row_number().over(line))
     length = F.count(F.lit(1)).over(Window.partitionBy(*DOC, "item", "diag", "run"))
-    return runs.withColumn("length", length).where(F.col("length") >= F.least(F.lit(window), "item_words")).select(*DOC, "item_id", "pos")
+    return runs.withColumn("length", length).where(F.col("length") >= F.least(F.lit(window), "item_words")).select(*DOC, "item_id", (F.col("diag") + F.col("ipos")).alias("pos"))
 
 
 def seed_diagonals(postings: DataFrame, seed_rows: DataFrame) -> DataFrame:
@@ -107,27 +120,31 @@ def proximity_matches(postings: DataFrame, seed_rows: DataFrame, slop: int = SLO
     return best.join(seeds_of, "item").where(F.col("met") >= F.least(F.lit(near), "seeds")).select(*DOC, "item")
 
 
-def decontaminate(documents: DataFrame, items: DataFrame, window: int = WINDOW, count: int = SEEDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated and n_near_items (items with a proximity match)
-    for every document row."""
-    listed = item_terms(items)
+def decontaminate(documents: DataFrame, items: DataFrame, window: int = WINDOW, count: int = SEEDS, id_col: str = "doc_id", text_col: str = "text", proximity: bool = True) -> DataFrame:
+    """doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated and, if asked for, n_near_items (items with a
+    proximity match) for every document row."""
+    texts = stage(item_texts(items), "items")
+    listed = texts.select("item", "item_words", F.posexplode("w").alias("ipos", "term"))
     terms = number_terms(listed)
     item_words = stage(listed.join(terms, "term").drop("term"), "item-terms")
     postings = build_index(documents, terms, id_col, text_col)
     frequencies = postings.where("pos > 0").groupBy("term_id").agg(F.count(F.lit(1)).alias("df"))
     seed_rows = stage(seeds(item_words, frequencies, window, count), "seeds")
-    matches = stage(phrase_matches(postings, item_words, seed_rows, window, count), "matches")
+    diagonals = candidate_diagonals(postings, seed_rows, count)
+    matches = stage(phrase_matches(documents, diagonals, texts, window, id_col, text_col), "matches")
     hits = matches.groupBy(*DOC).agg(F.count_distinct("pos").alias("n_hit"))
     names = matches.select(*DOC, "item_id").distinct().groupBy(*DOC).agg(F.count(F.lit(1)).alias("n_items"), F.array_join(F.array_sort(F.collect_list(F.col("item_id").cast("string"))), ",").alias("ids"))
     headers = postings.where("pos = 0").select(*DOC, "n_words")
-    near = proximity_matches(postings, seed_rows).groupBy(*DOC).agg(F.count(F.lit(1)).alias("n_near_items"))
+    counted = [hits, names]
+    if proximity:
+        counted.append(proximity_matches(postings, seed_rows).groupBy(*DOC).agg(F.count(F.lit(1)).alias("n_near_items")))
     rows = headers
-    for more in (hits, names, near):
+    for more in counted:
         more = more.withColumnsRenamed({"doc_id": "_d", "text_hash": "_t"})
         rows = rows.join(more, rows["doc_id"].eqNullSafe(more["_d"]) & rows["text_hash"].eqNullSafe(more["_t"]), "left").drop("_d", "_t")
     zero = F.lit(0).cast("long")
     return rows.select(
         *DOC, F.col("n_words").cast("long").alias("n_words"), F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"),
         F.sha2(F.coalesce("ids", F.lit("")), 256).alias("items_sha256"), (F.coalesce("n_hit", zero) > 0).alias("contaminated"),
-        F.coalesce("n_near_items", zero).alias("n_near_items"),
+        *([F.coalesce("n_near_items", zero).alias("n_near_items")] if proximity else []),
     )

@@ -32,7 +32,7 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
-    return decontamination.decontaminate(documents, items).drop("text_hash", "n_near_items")
+    return decontamination.decontaminate(documents, items, proximity=False).drop("text_hash")
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
