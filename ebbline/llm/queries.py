@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbline.llm import decontamination, files, mixing, near_duplicates, privacy, quality, repeated_passages, token_counts, token_files, warc
+from ebbline.llm import decontamination, files, mixing, near_duplicates, privacy, quality, repeated_passages, token_counts, token_files, toxicity, warc
 from ebbline.llm.common import read_table
 
 
@@ -35,6 +35,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.decontaminate(documents, items, proximity=False).drop("text_hash")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).drop("text_hash")
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(read_table(spark, sf_dir, "documents"))
     return plan.selectExpr("doc_id", "size", "source_size", "target", "size * copies AS taken", "copies")
@@ -64,6 +68,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_toxicity": op6_toxicity,
     "op8_mix_sources": op8_mix_sources,
     "op7_token_files": op7_token_files,
     "op9_repeated_passages": op9_repeated_passages,
