@@ -6,8 +6,8 @@ longer than SPAN count nothing, strings longer than PIECE are taken in overlappi
 
 A text is a bag of sentences and these a bag of words; words are runs without ASCII white space, lower-cased, of letters and digits only,
 and single characters in a row ("i d i o t") make one word; marks stand at either end of a word. The value of a landmark z for a word w is
-K(w, z) / K(z, z), at most 1; below FLOOR it counts as 0. For a text, the largest value over its distinct words and the logarithm of
-their sum are taken. Landmarks are the words and word beginnings that tell toxic training texts best from the others,
+K(w, z) / K(z, z), where no subsequence of w weighs more than it does in z; below FLOOR it counts as 0. For a text, the largest square over its distinct words and the logarithm of
+the sum of squares are taken. Landmarks are the words and word beginnings that tell toxic training texts best from the others,
 chosen so that every toxic text is covered several times. With the kernel matrix M of the landmarks, k(text) M^(-1/2) is the
 Nyström map (of either half); a linear squared-hinge machine is trained on it and its margin turned into a probability by a
 logistic fit.
@@ -42,7 +42,7 @@ CANDIDATES = 1500
 COVER = 4
 #: A landmark must be worth so much for each toxic training text.
 LEAST_GAIN = 0.02
-PENALTY = 0.02
+PENALTY = 0.001
 SEEN_WORDS = 500_000
 #: Words evaluated at a time.
 CHUNK = 2048
@@ -104,11 +104,12 @@ def pieces(word: str) -> list[str]:
 
 @dataclass
 class Kernel:
-    """Values of words for a set of landmarks."""
+    """Values of words for a set of landmarks. ``own`` holds the weights of their triples, ``weights`` the same over K(z, z)."""
 
     landmarks: list[str]
     rows: np.ndarray = field(init=False)
     weights: np.ndarray = field(init=False)
+    own: np.ndarray = field(init=False)
     gram: np.ndarray = field(init=False)
     most: np.ndarray = field(init=False)
 
@@ -123,11 +124,12 @@ class Kernel:
                 self.rows[key] = keys[key]
                 self.weights[keys[key], z] = weight
         self.gram = self.weights.T.astype(float) @ self.weights
+        self.own = self.weights.copy()
         self.weights /= np.maximum(np.diag(self.gram), 1e-12).astype(np.float32)
         self.most = self.weights.max(axis=1)
 
     def values(self, words: Sequence[str]) -> np.ndarray:
-        """One row per word: K(w, z) / K(z, z), at most 1, 0 below FLOOR."""
+        """One row per word: K(w, z) / K(z, z) with weights cut at those of z, 0 below FLOOR."""
         out = np.zeros((len(words), len(self.landmarks)), np.float32)
         by_length: dict[int, list[tuple[int, str]]] = {}
         for i, word in enumerate(words):
@@ -150,10 +152,13 @@ class Kernel:
                 which, triple = which[keep], triple[keep]
                 if not len(which):
                     continue
+                spots, inverse = np.unique(which * (empty + 1) + rows[which, triple], return_inverse=True)
+                got = np.bincount(inverse, weight[triple]).astype(np.float32)  # weight of each triple in its piece
+                which, row = np.divmod(spots, empty + 1)
                 starts = np.flatnonzero(np.r_[True, which[1:] != which[:-1]])
-                total = np.add.reduceat(self.weights[rows[which, triple]] * weight[triple, None].astype(np.float32), starts)
+                total = np.add.reduceat(np.minimum(got[:, None], self.own[row]) * self.weights[row], starts)
                 ids = np.array([part[w][0] for w in which[starts]])
-                np.maximum.at(out, ids, np.minimum(total, 1.0))
+                np.maximum.at(out, ids, total)
         out[out < FLOOR] = 0
         return out
 
@@ -184,8 +189,9 @@ class TextKernel:
         for i, bag in enumerate(bags):
             hits = [self.near[w] for w in bag if w in self.near]
             if hits:
-                out[i, :size] = np.max(hits, axis=0)
-                out[i, size:] = np.log1p(np.sum(hits, axis=0)) / 4
+                squares = np.square(hits)  # what is only half alike counts a quarter
+                out[i, :size] = np.max(squares, axis=0)
+                out[i, size:] = np.log1p(np.sum(squares, axis=0)) / 4
         return out
 
 
@@ -196,8 +202,12 @@ class Model:
     bias: float
     slope: float
     offset: float
+    #: The score of every text if there is no kernel.
+    share: float = 0.0
 
     def score(self, values: np.ndarray) -> np.ndarray:
+        if self.kernel is None:
+            return np.full(len(values), self.share)
         margin = values @ self.alpha + self.bias
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -500, 500)))
 
@@ -311,8 +321,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, landm
     chosen = choose_landmarks(sample, counts, landmarks) if len(counts) == 2 else []
     if not chosen:
         share = counts.get(1, 0) / max(sum(counts.values()), 1)
-        odds = math.log(max(share, 1e-300) / max(1 - share, 1e-300)) if counts else -700.0
-        return Model(None, np.zeros(0), 0.0, 0.0, odds)
+        return Model(None, np.zeros(0), 0.0, 0.0, 0.0, share)
     kernel = Kernel(chosen)
 
     def make(batch):

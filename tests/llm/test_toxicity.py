@@ -9,8 +9,8 @@ from ebbline.llm import toxicity as tx
 from ebbline.llm.queries import op6_toxicity
 
 
-def plain_kernel(a, b):
-    """Sum over all subsequences of three characters of the products of their weights."""
+def plain_value(a, b):
+    """Sum over all subsequences of three characters of the products of their weights, a's cut at b's, over K(b, b)."""
     def weights(s):
         out = {}
         for i, j, k in itertools.combinations(range(len(s)), 3):
@@ -20,7 +20,7 @@ def plain_kernel(a, b):
         return out
 
     x, y = weights(a), weights(b)
-    return sum(v * y.get(key, 0) for key, v in x.items())
+    return sum(min(v, y.get(key, 0)) * y.get(key, 0) for key, v in x.items()) / sum(v * v for v in y.values())
 
 
 def test_values_equal_the_kernel():
@@ -29,13 +29,13 @@ def test_values_equal_the_kernel():
     got = tx.Kernel(landmarks).values(words)
     for word, row in zip(words, got):
         for z, value in zip(landmarks, row):
-            want = max(min(1, plain_kernel(p, z) / plain_kernel(z, z)) for p in tx.pieces(word))
+            want = max(plain_value(p, z) for p in tx.pieces(word))
             assert value == pytest.approx(want if want >= tx.FLOOR else 0, abs=1e-5)
 
 
 def test_gaps_and_inserted_characters_are_tolerated():
     kernel = tx.Kernel(["^idiot$", "^worthless$"])
-    found = lambda text: tx.TextKernel(kernel).values([text.encode()])[0, :2].max()
+    found = lambda text: tx.TextKernel(kernel).values([text.encode()])[0, :2].max() ** 0.5
     for text in ("an idiot", "an id.i-ot!", "an i d i o t here", "an idxiot", "IDIIOT", "w o r t h l e s s", "wor*thless", "worxthless"):
         assert found(text) >= 0.7, text
     for text in ("", "a b", "the people thought it worth a thing", "idea video radio", "x" * 50_000, "idle riot"):
