@@ -8,12 +8,14 @@ Documents with equal sets form a class; from here on classes are compared. The s
 hashed shingles, BITS bits each; two sets of similarity J differ in about (1 - J) * SYMBOLS symbols. The join returns every
 pair of signatures that differ in at most RADIUS symbols: they are cut into CHUNKS chunks, and by the pigeonhole
 principle some chunk of such a pair differs in at most ERRORS symbols, so the pair agrees in one of the keys made by
-leaving ERRORS symbols out of a chunk. At similarity 0.75 a pair lies outside RADIUS with a probability of 3e-6.
+leaving ERRORS symbols out of a chunk. At similarity 0.75 a pair lies outside RADIUS with a probability of 3e-6. What
+shares a key is then measured by WIDE more minima of 4 bits; there, WIDE_RADIUS loses a pair with a probability of 1e-6.
 
 Large buckets are never paired in full. First every member of a bucket is compared with the bucket's least class;
 confirmed links join classes to components. A pair inside one component needs no further test. Only buckets that still hold
 several components go on: their members are dealt in blocks to cells of bounded size, where signatures of different components are
-compared, and what lies within RADIUS is confirmed on the texts. So the components are those of all links.
+compared. In NEAREST rounds every class proposes its nearest one of another component only, which joins most; in the last round
+all pairs within the radii are confirmed on the texts. So the components are those of all links.
 
 A row's component_id is the least doc_id reachable (null ids are never the least), kept says that it is the row's own. Repeated
 rows are copies of each other. Null ids are kept; a group of null ids only has a null component. Other columns are not read.
@@ -29,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import BooleanType
 from xxhash import xxh64_intdigest
 
 from ebbline.llm.common import map_batches, texts_of
@@ -38,17 +40,26 @@ from ebbline.session import stage
 SHINGLE = 5
 PERCENT = 75
 SYMBOLS, BITS = 40, 16
+WIDE, WIDE_RADIUS = 512, 166
 CHUNKS, ERRORS = 8, 2
 #: The largest distance that the pigeonhole principle covers.
 RADIUS = CHUNKS * (ERRORS + 1) - 1
 #: Members of a bucket in a block, and links of one class that are confirmed together.
 BLOCK, LINKS = 512, 200
 MAX_ROUNDS = 60
+NEAREST = 2
+#: Bits of the summary that keeps texts nobody asks for out of a shuffle: 1 MB whatever the input.
+FILTER_BITS = 1 << 23
 
 _random = np.random.default_rng(20240229)
 _PLACES = _random.integers(0, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTORS = _random.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _random.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)
+_WIDE_FACTORS = _random.integers(0, 1 << 31, WIDE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_WIDE_SHIFTS = _random.integers(0, 1 << 32, WIDE, dtype=np.uint32)
+#: How many of the two symbols in a byte are not 0.
+_DIFFERENT = np.array([(b & 15 > 0) + (b >> 4 > 0) for b in range(256)], np.uint8)
+SIG_BYTES = 2 * SYMBOLS
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -79,6 +90,37 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (_mix(least) >> np.uint64(64 - BITS)).astype(np.uint16)
 
 
+def wide_signature(shingles: np.ndarray) -> np.ndarray:
+    """WIDE numbers of 4 bits, two to a byte."""
+    least = np.full(WIDE, np.iinfo(np.uint32).max, np.uint32)
+    short = (shingles >> np.uint64(32)).astype(np.uint32)
+    for i in range(0, len(short), 512):
+        part = short[None, i : i + 512] * _WIDE_FACTORS[:, None] + _WIDE_SHIFTS[:, None]
+        np.minimum(least, part.min(axis=1), out=least)
+    bits = ((least * np.uint32(0x9E3779B1)) >> np.uint32(28)).astype(np.uint8)
+    return bits[::2] | bits[1::2] << 4
+
+
+def full_signature(shingles: np.ndarray) -> bytes:
+    return signature(shingles).tobytes() + wide_signature(shingles).tobytes()
+
+
+def sig_parts(values) -> tuple[np.ndarray, np.ndarray]:
+    """The matrices of both signatures."""
+    both = np.frombuffer(b"".join(values), np.uint8).reshape(-1, SIG_BYTES + WIDE // 2)
+    return np.ascontiguousarray(both[:, :SIG_BYTES]).view(np.uint16), both[:, SIG_BYTES:]
+
+
+def distances(sigs: np.ndarray, wides: np.ndarray, sig: np.ndarray, wide: np.ndarray) -> np.ndarray:
+    """Distances of the wide signatures; beyond either radius, WIDE + 1."""
+    far = np.full(len(sigs), WIDE + 1, np.int32)
+    near = np.flatnonzero((sigs != sig).sum(axis=1) <= RADIUS)
+    if len(near):
+        d = _DIFFERENT[wides[near] ^ (wide[near] if wide.ndim == 2 else wide)].sum(axis=1, dtype=np.int32)
+        far[near] = np.where(d <= WIDE_RADIUS, d, WIDE + 1)
+    return far
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
@@ -93,7 +135,7 @@ def signatures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             shingles = shingle_set(text)
             out["n_shingles"].append(len(shingles))
             out["set_id"].append(hashlib.blake2b(shingles.tobytes(), digest_size=16).hexdigest() if len(shingles) else None)
-            out["sig"].append(signature(shingles).tobytes() if len(shingles) else None)
+            out["sig"].append(full_signature(shingles) if len(shingles) else None)
         return {"row": batch.column("_row"), "doc_id": batch.column("_id"), "text_hash": batch.column("_hash")} | out
 
     text = F.col(text_col).cast("string")
@@ -116,28 +158,43 @@ def chunk_keys(sigs: np.ndarray) -> np.ndarray:
     return keys
 
 
-def sig_matrix(values) -> np.ndarray:
-    return np.frombuffer(b"".join(values), np.uint16).reshape(-1, SYMBOLS)
-
-
 def key_rows(classes: DataFrame) -> DataFrame:
     """key, class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                keys = chunk_keys(sig_matrix(batch.column("sig").to_pylist()))
+                keys = chunk_keys(sig_parts(batch.column("sig").to_pylist())[0])
                 ids = np.repeat(batch.column("class").to_numpy(zero_copy_only=False), keys.shape[1])
                 yield pa.record_batch([pa.array(keys.ravel()), pa.array(ids)], names=["key", "class"])
 
     return classes.select("class", "sig").mapInArrow(run, "key long, class long")
 
 
-@F.pandas_udf(IntegerType())
-def distance(a: pd.Series, b: pd.Series) -> pd.Series:
+@F.pandas_udf(BooleanType())
+def near(a: pd.Series, b: pd.Series) -> pd.Series:
     if not len(a):
-        return pd.Series([], dtype=np.int32)
-    return pd.Series((sig_matrix(a) != sig_matrix(b)).sum(axis=1).astype(np.int32))
+        return pd.Series([], dtype=bool)
+    return pd.Series(distances(*sig_parts(a), *sig_parts(b)) <= WIDE_RADIUS)
+
+
+def asked_for(routes: DataFrame):
+    """A filter on the hash of a document's address that lets pass every document of ``routes`` and few others. It is a
+    bitmap of FILTER_BITS bits, built by Spark and sent to the tasks."""
+    spot = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(FILTER_BITS)) + 1
+    maps = routes.select(spot.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m"))
+    found = np.zeros(FILTER_BITS, bool)
+    for r in maps.collect():
+        bits = np.unpackbits(np.frombuffer(bytes(r.m), np.uint8), bitorder="little")
+        found[(r.n - 1) * len(bits) : r.n * len(bits)] = bits
+    packed = np.packbits(found)
+
+    @F.pandas_udf(BooleanType())
+    def passes(h: pd.Series) -> pd.Series:
+        at = h.to_numpy(np.int64) % FILTER_BITS
+        return pd.Series((packed[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
+
+    return passes
 
 
 def confirm(pairs: DataFrame, classes: DataFrame, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -152,6 +209,7 @@ def confirm(pairs: DataFrame, classes: DataFrame, df: DataFrame, id_col: str, te
     routes = stage(members.unionByName(heads).join(classes.select("class", "doc_id", "text_hash"), "class"), "routes")
     text = F.col(text_col).cast("string")
     docs = df.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_hash"), text.alias("_text"))
+    docs = docs.where(asked_for(routes)(F.xxhash64("_id", "_hash")))
     sent = docs.join(routes, docs["_id"].eqNullSafe(routes["doc_id"]) & (docs["_hash"] == routes["text_hash"]))
     sent = sent.select("a", "part", "role", "class", "_text").repartition("a", "part").sortWithinPartitions("a", "part", "role")
 
@@ -173,11 +231,12 @@ def confirm(pairs: DataFrame, classes: DataFrame, df: DataFrame, id_col: str, te
 def within_radius(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     sigs = classes.select("class", "sig")
     both = pairs.join(sigs.withColumnsRenamed({"class": "a", "sig": "sig_a"}), "a").join(sigs.withColumnsRenamed({"class": "b", "sig": "sig_b"}), "b")
-    return both.where(distance("sig_a", "sig_b") <= RADIUS).select("a", "b")
+    return both.where(near("sig_a", "sig_b")).select("a", "b")
 
 
-def cross_pairs(members: DataFrame, components: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs within RADIUS that share a bucket but no component, without those that have the bucket's least class.
+def cross_pairs(members: DataFrame, components: DataFrame, classes: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs within the radii that share a bucket but no component, without those that have the bucket's least class;
+    or for every class that is not of the least class's component only the ``nearest`` one.
 
     The members of the least class's own component (the heads) are paired with the others only, and the others among themselves.
     """
@@ -199,29 +258,30 @@ def cross_pairs(members: DataFrame, components: DataFrame, classes: DataFrame) -
     dealt = rows.select("key", "class", "comp", "other", "own", "sig", F.explode(F.concat(mixed, among)).alias("cell")).select("key", "cell.*", "class", "comp", "other", "own", "sig")
     dealt = dealt.repartition("key", "kind", "i", "j").sortWithinPartitions("key", "kind", "i", "j")
 
-    def compare(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+    def compare(rows: list[tuple]) -> Iterator[tuple[int, int, int]]:
         kind, i, j = rows[0][1:4]
-        sigs = sig_matrix([r[8] for r in rows])
+        sigs, wides = sig_parts([r[8] for r in rows])
         ids, comps, others, owns = (np.array([r[k] for r in rows]) for k in (4, 5, 6, 7))
-        for x in range(len(rows)):
-            rest = slice(0, len(rows)) if kind == 0 else slice(x + 1, len(rows))
-            if kind == 0 and others[x]:
-                continue  # heads against others
-            wanted = comps[rest] != comps[x]
-            if kind == 0:
-                wanted &= others[rest]
+        for x in np.flatnonzero(others):
+            wanted = comps != comps[x]
+            if kind == 0:  # others against heads
+                wanted &= ~others
             elif i != j:  # pairs of one block meet in their own cell
-                wanted &= owns[rest] != owns[x]
+                wanted &= owns != owns[x]
+            if kind == 1 and not nearest:
+                wanted[: x + 1] = False  # either order is the same pair
             at = np.flatnonzero(wanted)
             if len(at):
-                near = at[(sigs[rest][at] != sigs[x]).sum(axis=1) <= RADIUS]
-                for y in ids[rest][near]:
-                    yield (int(ids[x]), int(y)) if ids[x] < y else (int(y), int(ids[x]))
+                d = distances(sigs[at], wides[at], sigs[x], wides[x])
+                close = [int(np.argmin(d))] if nearest else np.flatnonzero(d <= WIDE_RADIUS)
+                for y in close:
+                    if d[y] <= WIDE_RADIUS:
+                        yield int(ids[x]), int(ids[at[y]]), int(d[y])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
-            out: list[tuple[int, int]] = []
+            out: list[tuple[int, int, int]] = []
             for row in zip(*(batch.column(n).to_pylist() for n in ("key", "kind", "i", "j", "class", "comp", "other", "own", "sig"))):
                 if held and held[0][:4] != row[:4]:
                     out += compare(held)
@@ -231,12 +291,15 @@ def cross_pairs(members: DataFrame, components: DataFrame, classes: DataFrame) -
         if held:
             yield _pairs(list(compare(held)))
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    found = dealt.mapInArrow(run, "x long, y long, d int")
+    if nearest:
+        found = found.groupBy("x").agg(F.min(F.struct("d", "y")).alias("m")).select("x", "m.y")
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+def _pairs(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     rows = list(dict.fromkeys(rows))
-    return pa.record_batch([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    return pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32()))], names=["x", "y", "d"])
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -268,11 +331,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     members = stage(keys.join(stage(buckets.select("key", "center"), "buckets"), "key"), "members")
     stars = members.where("class <> center").select(F.col("center").alias("a"), F.col("class").alias("b")).distinct()
     stars = stage(within_radius(stars, classes), "stars")
-    links = confirm(stars, classes, df, id_col, text_col)
-    more = stage(cross_pairs(members, connected(links), classes).join(stars, ["a", "b"], "left_anti"), "cross")
-    links = links.union(confirm(more, classes, df, id_col, text_col))
-
-    labels = connected(links)
+    links, tested, labels = confirm(stars, classes, df, id_col, text_col), stars, None
+    for last in (False,) * NEAREST + (True,):
+        labels = connected(links)
+        more = cross_pairs(members, labels, classes, nearest=not last).join(tested, ["a", "b"], "left_anti")
+        more = stage(more, "cross")
+        if not more.isEmpty():
+            links, tested = links.union(confirm(more, classes, df, id_col, text_col)), tested.union(more)
+            labels = None
+    labels = connected(links) if labels is None else labels
     named = classes.join(labels, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     of_set = stage(named.join(least, "comp").select("set_id", "component_id"), "components")

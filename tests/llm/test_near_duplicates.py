@@ -106,6 +106,15 @@ def test_signature_distance_estimates_similarity():
     assert abs(sims - 0.8) < 0.2 and nd.similar(a, b)
 
 
+def test_radii_keep_pairs_above_the_threshold():
+    rng = np.random.default_rng(3)
+    for _ in range(300):  # similarity 0.75 to 0.77
+        both, own = rng.integers(0, 1 << 63, 600, dtype=np.uint64), rng.integers(0, 1 << 63, 190, dtype=np.uint64)
+        a, b = np.unique(np.concatenate([both, own[:95]])), np.unique(np.concatenate([both, own[95:]]))
+        if nd.similar(a, b):
+            assert nd.distances(*nd.sig_parts([nd.full_signature(a)]), *nd.sig_parts([nd.full_signature(b)]))[0] <= nd.WIDE_RADIUS
+
+
 def test_empty_table_and_no_links(spark, documents):
     assert run(documents([])) == []
     assert run(documents([(2, "one text"), (1, "another one")])) == [(1, 1, 1, True), (2, 1, 2, True)]
