@@ -6,6 +6,7 @@ them without a trained model. Doubles are rounded, because the order of a distri
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,20 +14,21 @@ from pyspark.sql import functions as F
 
 from ebbline.config import ALL_EVENTS, BUY, CART, PAGE, REMOVE, SEARCH, ChurnConfig
 from ebbline.functions.scalar import parse_vector
-from ebbline.operators import errors, folds, profiling, roi, strategy
+from ebbline.operators import errors, folds, profiling, strategy
 from ebbline.operators.comparison import compare_runs
 from ebbline.operators.days import client_days, daily_rollup, day_rows
 from ebbline.operators.derived import funnel_columns, trend_columns
 from ebbline.operators.metrics import Scored, binary_metrics, prediction_frame
 from ebbline.operators.profile import project, search_days, snapshot_profile
+from ebbline.operators.ranking import By, row_numbers
 from ebbline.operators.sampling import cap_rows, class_counts
 from ebbline.operators.snapshots import buyer_activity, dataset_bounds, grid_between, present_dates, snapshot_grid
 from ebbline.plans.backtest import run_rolling_backtest
 from ebbline.plans.feature_table import FeatureTable, assign_time_splits, build_feature_table, run_record
-from ebbline.plans.models import FAST, feature_importance, feature_names, fit, train_and_evaluate
+from ebbline.plans.models import FAST, class_weights, feature_importance, feature_names, fit, train_and_evaluate
 from ebbline.plans.strategy import run_roi_simulation, run_strategy_analysis
-from ebbline.session import stage
-from ebbline.sources import logs
+from ebbline.session import shared_folder, stage
+from ebbline.sources import logs, results
 from ebbline.sources.bindings import (
     ORDERS_CONFIG,
     STREAM_CONFIG,
@@ -109,8 +111,7 @@ def search_day_conversions(spark, sf_dir):
 
 
 def event_volume(spark, sf_dir):
-    activity = stream_activity(spark, sf_dir)
-    return logs.event_volume({e: activity.filter(F.col("event") == e) for e in ALL_EVENTS})
+    return logs.event_volume(stream_activity(spark, sf_dir))
 
 
 # --- snapshots, cohorts, labels -----------------------------------------------------------------
@@ -176,6 +177,28 @@ def feature_table(spark, sf_dir):
     return rounded(stream_table(spark, sf_dir).frame)
 
 
+def feature_table_salted(spark, sf_dir):
+    """Every join shuffled, and clients with more than a few rows spread over several tasks."""
+    activity, cfg = stream_activity(spark, sf_dir), replace(STREAM_CONFIG, broadcast_rows=0)
+    bounds = dataset_bounds(activity, hot_rows=70)
+    table = build_feature_table(activity, part_products(spark, sf_dir), cfg, bounds=bounds)
+    return rounded(table.frame)
+
+
+def feature_table_stored(spark, sf_dir):
+    """Through the five logs and the product table on disk, and the stored feature table."""
+    root = f"{shared_folder(spark)}/ebbline/logs-{uuid.uuid4().hex}"
+    activity = stream_activity(spark, sf_dir)
+    for event in ALL_EVENTS:
+        attribute = logs.LOG_ATTRIBUTE[event]
+        raw = activity.filter(F.col("event") == event).select("client_id", F.col("ts").alias("timestamp"), attribute)
+        raw.write.parquet(f"{root}/some/where/below/this/folder/{event}.parquet")
+    part_products(spark, sf_dir).write.parquet(f"{root}/product_properties.parquet")
+    table = build_feature_table(logs.read_activity(spark, root), logs.read_products(spark, root), STREAM_CONFIG)
+    results.write_feature_table(table.frame, f"{root}/features")
+    return rounded(results.read_feature_table(spark, f"{root}/features").select(*table.frame.columns))
+
+
 def run_metadata(spark, sf_dir):
     record = run_record(spark, stream_table(spark, sf_dir), "events")
     return record.withColumn("window_days", F.concat_ws(",", F.col("window_days").cast("array<string>")))
@@ -209,15 +232,40 @@ def metrics_by_snapshot(spark, sf_dir):
     return rounded(binary_metrics(predictions(spark, sf_dir), ["snapshot_date"]))
 
 
+# Rows per cell that make even small tables use many cells.
+SMALL_CELLS = 20
+
+
+def metrics_in_cells(spark, sf_dir):
+    return rounded(Scored(predictions(spark, sf_dir), (), SMALL_CELLS).metrics())
+
+
+def top_k_big_ids(spark, sf_dir):
+    """Client ids near 2^60, which doubles can't tell apart."""
+    moved = split_predictions(spark, sf_dir, "test").withColumn("client_id", F.col("client_id") + (1 << 60))
+    return rounded(strategy.top_k_strategy(Scored(moved, (), SMALL_CELLS)))
+
+
+def rank_with_nulls(spark, sf_dir):
+    """Ranks by a value that is NULL or NaN in many rows, then by ids near 2^60; per event type."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "event_type", "event_id + (1L << 60) AS event_id",
+        "CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN double('NaN') ELSE round(value) END AS value",
+    )
+    ranked = row_numbers(events, [By("value"), By("event_id", True)], ["event_type"], "place", SMALL_CELLS)
+    return ranked.selectExpr("event_type", "event_id - (1L << 60) AS event_id", "place")
+
+
 def predictions_with_errors(spark, sf_dir):
     return rounded(prediction_frame(predictions(spark, sf_dir)), 12)
 
 
 def _merged(spark, sf_dir) -> DataFrame:
-    profile = stage(stream_profile(spark, sf_dir, events=ALL_EVENTS), "profile")
-    scored = profile.selectExpr(*KEYS, "churn AS y_true", f"{RECENCY_SCORE.format(e=BUY)} AS y_score")
-    features = profile.drop("churn", "future_buy_count_3d", "future_active_days_3d")
-    return errors.with_features(prediction_frame(scored), features)
+    """Scored rows with all features of the table."""
+    table = _stored_table(spark, sf_dir)
+    scored = table.selectExpr(*KEYS, "churn AS y_true", f"{RECENCY_SCORE.format(e=BUY)} AS y_score")
+    features = table.select(*KEYS, *feature_names(table, STREAM_CONFIG))
+    return stage(errors.with_features(prediction_frame(scored), features), "merged")
 
 
 def error_profile(spark, sf_dir):
@@ -225,9 +273,14 @@ def error_profile(spark, sf_dir):
     return rounded(errors.error_profile(segmented, f"{BUY}_count_10d", "active_days_10d"))
 
 
+def error_profile_in_cells(spark, sf_dir):
+    segmented = errors.value_segments(_merged(spark, sf_dir), f"{BUY}_count_10d", SMALL_CELLS)
+    return rounded(errors.error_profile(segmented, f"{BUY}_count_10d", "active_days_10d"))
+
+
 def error_feature_means(kind: str):
     def query(spark, sf_dir):
-        return rounded(errors.error_feature_means(_merged(spark, sf_dir), kind))
+        return rounded(errors.error_feature_means(_merged(spark, sf_dir), kind), 6)
 
     return query
 
@@ -275,9 +328,7 @@ def roi_simulation(preset: str):
 
 
 def roi_best_strategies(spark, sf_dir):
-    top_k = strategy.top_k_strategy(Scored(split_predictions(spark, sf_dir, "test")))
-    best = roi.best_strategies(roi.expected_roi(roi.top_k_as_strategy(top_k), roi.scenarios_of("default")))
-    return rounded(best, 6)
+    return rounded(run_roi_simulation(_analysis(spark, sf_dir), "default")[1], 6)
 
 
 # --- folds --------------------------------------------------------------------------------------
@@ -324,13 +375,35 @@ def _stored_table(spark, sf_dir):
     return stage(stream_table(spark, sf_dir).frame, "features")
 
 
+def training_class_weights(spark, sf_dir):
+    weighted = class_weights(_stored_table(spark, sf_dir).filter("split = 'train'"))
+    return weighted.groupBy("churn", F.round("weight", 8).alias("weight")).agg(F.count("*").alias("n_rows"))
+
+
+def model_inputs(spark, sf_dir):
+    """Mean and deviation by which the linear model scales its inputs, per input column."""
+    table = _stored_table(spark, sf_dir)
+    names = feature_names(table, STREAM_CONFIG)
+    scaler = fit(table.filter("split = 'train'"), "logistic_regression", names, effort=FAST).stages[1]
+    rows = [(n, float(m), float(d)) for n, m, d in zip(names, scaler.mean.toArray(), scaler.std.toArray())]
+    return rounded(spark.createDataFrame(rows, "feature string, mean double, deviation double"), 6)
+
+
+def model_scored_rows(spark, sf_dir):
+    """Rows, positives and probabilities between 0 and 1 per model and split."""
+    scored = train_and_evaluate(_stored_table(spark, sf_dir), STREAM_CONFIG, effort=FAST).predictions
+    return scored.groupBy("model", "split").agg(
+        F.count("*").alias("n_rows"), F.sum("y_true").alias("positives"),
+        F.sum(F.col("y_score").between(0, 1).cast("bigint")).alias("n_probabilities"),
+    )
+
+
 def model_comparison(spark, sf_dir):
     return rounded(train_and_evaluate(_stored_table(spark, sf_dir), STREAM_CONFIG, effort=FAST).metrics)
 
 
 def best_model_refit(spark, sf_dir):
-    models = ("logistic_regression", "random_forest")
-    run = train_and_evaluate(_stored_table(spark, sf_dir), STREAM_CONFIG, models, FAST)
+    run = train_and_evaluate(_stored_table(spark, sf_dir), STREAM_CONFIG, effort=FAST)
     return rounded(run.refit_metrics)
 
 
@@ -415,6 +488,15 @@ def orders_rolling_folds(spark, sf_dir):
 
 
 QUERIES = {
+    "binary_metrics_in_cells": metrics_in_cells,
+    "top_k_big_ids": top_k_big_ids,
+    "rank_with_nulls": rank_with_nulls,
+    "error_profile_in_cells": error_profile_in_cells,
+    "feature_table_salted": feature_table_salted,
+    "feature_table_stored": feature_table_stored,
+    "training_class_weights": training_class_weights,
+    "model_inputs": model_inputs,
+    "model_scored_rows": model_scored_rows,
     "activity_daily_rollup": activity_daily_rollup,
     "client_active_days": client_active_days,
     "clean_page_log": clean_page_log,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RECORD_COLUMNS = (
@@ -16,10 +16,20 @@ RECORD_COLUMNS = (
 )
 
 
+# The order in which models with equal average precision are preferred.
+MODEL_ORDER = ("logistic_regression", "random_forest", "boosted_balanced", "boosted_subsampled")
+
+
+def preference() -> Column:
+    """Position of ``model`` in MODEL_ORDER; models that are not listed come last."""
+    place = F.array_position(F.array(*[F.lit(m) for m in MODEL_ORDER]), F.col("model"))
+    return F.when(place > 0, place).otherwise(len(MODEL_ORDER) + 1)
+
+
 def choose_best_model(metrics: DataFrame) -> DataFrame:
-    """The validation row with the highest average precision, then AUC, then F1."""
+    """The validation row with the highest average precision; of equal ones the first in MODEL_ORDER."""
     valid = metrics.filter(F.col("split") == "valid")
-    return valid.orderBy(F.desc("pr_auc"), F.desc("auc"), F.desc("f1"), "model").limit(1)
+    return valid.orderBy(F.desc("pr_auc"), preference(), "model").limit(1)
 
 
 def order_metrics(metrics: DataFrame) -> DataFrame:
@@ -28,16 +38,11 @@ def order_metrics(metrics: DataFrame) -> DataFrame:
 
 def compare_runs(records: DataFrame, metrics: DataFrame, refits: DataFrame) -> DataFrame:
     """One row per ``prefix``: run record, best validation model, and test metrics of the refitted model."""
-    quality = F.struct(
-        F.coalesce("pr_auc", F.lit(-1.0)).alias("first"),
-        F.coalesce("auc", F.lit(-1.0)).alias("second"),
-        F.coalesce("f1", F.lit(-1.0)).alias("third"),
-        "model",
-    )
+    rank = F.struct(-F.coalesce("pr_auc", F.lit(-1.0)), preference(), "model")
     best = (
         metrics.filter(F.col("split") == "valid")
         .groupBy("prefix")
-        .agg(F.max_by(F.struct("model", "auc", "pr_auc", "f1"), quality).alias("b"))
+        .agg(F.min_by(F.struct("model", "auc", "pr_auc", "f1"), rank).alias("b"))
         .select(
             "prefix",
             F.col("b.model").alias("best_valid_model"),

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbline.operators.ranking import By, row_numbers
-from ebbline.session import stage
 
 KEYS = ("client_id", "snapshot_date")
 # Segment names from the lowest to the highest quarter.
@@ -24,19 +23,23 @@ def value_segments(merged: DataFrame, column: str, bucket_rows: int = 500_000) -
 
     With fewer than four distinct values there are as many segments as values; a single value gives
     ``unknown``."""
-    staged = stage(merged, "merged")
-    stats = staged.agg(F.count(column).alias("n"), F.min(column).alias("low"), F.max(column).alias("high")).first()
+    stats = merged.agg(F.count(column).alias("n"), F.min(column).alias("low"), F.max(column).alias("high")).first()
     if stats.n == 0 or stats.low == stats.high:
-        return staged.withColumn("value_segment", F.lit("unknown"))
-    values = staged.select(column).filter(F.col(column).isNotNull()).distinct().limit(len(SEGMENTS)).count()
-    order = [By(column), By("client_id"), By("snapshot_date")]
-    ranked = row_numbers(staged.filter(F.col(column).isNotNull()), order, (), "_rank", bucket_rows)
-    # Cut points lie at (n - 1) * i / q counted from rank 1; a rank on a cut belongs to the lower segment.
-    steps = F.expr(f"((_rank - 1L) * {values} + {stats.n - 2}L) DIV {stats.n - 1}L")
+        return merged.withColumn("value_segment", F.lit("unknown"))
+    keys = [column, *KEYS]
+    narrow = merged.select(*keys).filter(F.col(column).isNotNull())
+    segments = narrow.select(column).distinct().limit(len(SEGMENTS)).count()
+    ranked = row_numbers(narrow, [By(k) for k in keys], (), "_rank", bucket_rows)
+    # Cut points lie at (n - 1) * i / q counted from rank 1; a rank on a cut belongs to the lower segment. Segment i ends
+    # with the last rank at or below its cut: these few rows are all that the wide rows are compared with.
+    last = {(stats.n - 1) * i // segments + 1: i for i in range(1, segments)}
+    ends = ranked.filter(F.col("_rank").isin(list(last))).orderBy("_rank").collect()
+    spot = F.struct(*keys)
+    ends = [F.struct(*[F.lit(r[k]).cast(merged.schema[k].dataType).alias(k) for k in keys]) for r in ends]
+    passed = sum(((spot > end).cast("int") for end in ends), F.lit(0))
     names = F.array(*[F.lit(s) for s in SEGMENTS])
-    named = ranked.withColumn("value_segment", F.get(names, F.greatest(steps - 1, F.lit(0)).cast("int"))).drop("_rank")
-    missing = staged.filter(F.col(column).isNull()).withColumn("value_segment", F.lit("unknown"))
-    return named.unionByName(missing)
+    segment = F.when(F.col(column).isNull(), "unknown").otherwise(F.get(names, passed))
+    return merged.withColumn("value_segment", segment)
 
 
 def error_profile(segmented: DataFrame, buy_count: str, active_days: str) -> DataFrame:

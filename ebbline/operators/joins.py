@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,17 +14,20 @@ def fits_broadcast(small: DataFrame, max_rows: int) -> bool:
 
 
 def join_key_table(
-    big: DataFrame, small: DataFrame, key: str, how: str, *, broadcast: bool, salts: int
+    big: DataFrame, small: DataFrame, key: str, how: str, *, broadcast: bool, salts: int, hot: Sequence[int] = ()
 ) -> DataFrame:
     """``big`` joined to ``small`` (unique on ``key``).
 
-    A checked small side is broadcast. Otherwise ``small`` is repeated once per salt and ``big``
-    rows of one key are spread over the salts by a hash of the row, which a retried task
-    reproduces. The salted key also keeps later aggregations from reusing this
-    partitioning, so adaptive skew splitting stays available.
+    A checked small side is broadcast. Otherwise only the rows of ``hot`` keys are spread, over ``salts`` parts by a hash of the
+    row, which a retried task reproduces, and only these keys of ``small`` are repeated. Rolled-up rows differ from
+    each other, so their hashes spread. Keys not known to be hot are left to adaptive skew splitting.
     """
     if broadcast:
         return big.join(F.broadcast(small), key, how)
-    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
-    salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_big.join(salted_small, [key, "_salt"], how).drop("_salt")
+    if not hot:
+        return big.join(small, key, how)
+    is_hot = F.col(key).isin(list(hot))
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*big.columns), F.lit(salts))).otherwise(0).cast("int")
+    parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_small = small.withColumn("_salt", F.explode(parts))
+    return big.withColumn("_salt", salt).join(salted_small, [key, "_salt"], how).drop("_salt")

@@ -37,7 +37,7 @@ from ebbline.config import (
     ChurnConfig,
 )
 from ebbline.operators.joins import fits_broadcast, join_key_table
-from ebbline.operators.snapshots import HOT_SKETCH, Bounds, SnapshotGrid, fan_out, hot_clients
+from ebbline.operators.snapshots import Bounds, SnapshotGrid, fan_out, hot_clients
 from ebbline.session import stage
 
 KEYS = ("snapshot_date", "client_id")
@@ -317,19 +317,18 @@ def snapshot_profile(
         buyers = stage(buyers, "buyers")  # every log is joined to it
     hot: Sequence[int] = ()
     if itemised:  # without items a client has few rows per day, however active it is
-        if bounds is None:
-            row = days.agg(F.count("*").alias("n"), F.expr(f"{HOT_SKETCH.format('client_id')} AS heaviest")).first()
-            hot = hot_clients(row.n, row.heaviest)
-        else:
-            hot = bounds.hot
+        hot = hot_clients(days, days.count()) if bounds is None else bounds.hot
 
-    def of_buyers(names: Sequence[str]) -> DataFrame:
-        rows = days.filter(F.col("event").isin(*names))
-        return join_key_table(rows, buyers, "client_id", "inner", broadcast=small, salts=cfg.join_salts)
+    def of_buyers(rows: DataFrame) -> DataFrame:
+        return join_key_table(rows, buyers, "client_id", "inner", broadcast=small, salts=cfg.join_salts, hot=hot)
 
     def rolled_up(names: Sequence[str], items: tuple[str, ...]) -> DataFrame:
-        rows = of_buyers(names)
-        return rows.select(*SPAN, "event", "day", *items, "n") if rolled and items else _rollup(rows, items)
+        rows = days.filter(F.col("event").isin(*names))
+        if rolled and items:
+            return of_buyers(rows.select("client_id", "event", "day", *items, "n"))
+        if small:  # the broadcast drops rows before they are grouped
+            return _rollup(of_buyers(rows), items)
+        return of_buyers(aggregate(rows, ("client_id", "event", "day", *items), {"n": "sum(n)"}))
 
     logs = []
     product_logs = [e for e in itemised if e in PRODUCT_EVENTS]
@@ -343,11 +342,12 @@ def snapshot_profile(
         logs.append(pages.selectExpr("*", "CAST(NULL AS BIGINT) AS category", "CAST(NULL AS DOUBLE) AS price"))
     if plain:
         logs.append(rolled_up(plain, ()))
-    local = _by_client(_union(logs), hot, cfg.join_salts)
+    # Without items the last grouping moves the rows to their client anyway.
+    local = _by_client(_union(logs), hot, cfg.join_salts) if itemised else _union(logs).withColumn("part", F.lit(0))
     copies = _fanned(local, grid, cfg, cfg.label_days)
     branches = [_item_parts(copies, m) if itemised else project(copies, (*KEYS, "event"), m.of_row())]
     if SEARCH in used:
-        searches = search_days(of_buyers([SEARCH, CART, BUY]), SPAN).repartition("client_id")
+        searches = search_days(of_buyers(days.filter(F.col("event").isin(SEARCH, CART, BUY))), SPAN).repartition("client_id")
         copies = _fanned(searches.withColumn("event", F.lit(SEARCH)), grid, cfg, 0)
         branches.append(_search_parts(copies, m))
     if cfg.cohort == "historical_buyers":  # clients without any row in the windows belong to the cohort too

@@ -1,27 +1,28 @@
 """Running totals and ranks over a total order, without sorting everything in one task.
 
-A plain window without ``partitionBy`` moves all rows to a single task. Here rows are cut into buckets
-of about equal size along the order; each bucket is sorted on its own and starts
-from the totals of the buckets before it. A value that alone fills several buckets gets a bucket
-of its own, cut further by the second order column, so ties cannot gather in one task either.
+A plain window without ``partitionBy`` moves all rows to a single task. Here rows are dealt into cells
+by ranges of the whole order, stored, sorted cell by cell, and start from the totals of the cells before theirs. The
+ranges compare the columns in their own types, NULL and NaN included, and cover all order columns, so
+neither ties nor large ids gather in one cell or change places. Every size takes the same path.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 4096
-EDGE_ACCURACY = 20_000
+from ebbline.session import stage
+
+MIN_CELLS = 4
 
 
 @dataclass(frozen=True)
 class By:
-    """One order column. The first two of an order must be numeric and exact as doubles."""
+    """One order column. NULL comes first in ascending and last in descending order."""
 
     name: str
     descending: bool = False
@@ -31,44 +32,12 @@ class By:
         return F.col(self.name).desc() if self.descending else F.col(self.name).asc()
 
 
-def _edges(df: DataFrame, columns: Sequence[str], buckets: int) -> list[list[float]]:
-    """For each column the inner edges of equally filled buckets, from one pass. The driver
-    receives a bounded number of values whatever the size of the table."""
-    probs = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
-    row = df.agg(
-        *[F.expr(f"percentile_approx(CAST({c} AS DOUBLE), array({probs}), {EDGE_ACCURACY}) AS {c}") for c in columns]
-    ).first()
-    return [sorted(set(row[c])) for c in columns]
-
-
-def count_edges(df: DataFrame, column: str, edges: list[float], out: str) -> DataFrame:
-    """Number of edges at or below the value."""
-    if not edges:
-        return df.withColumn(out, F.lit(0))
-    splits = [float("-inf"), *edges, float("inf")]
-    cast = f"{out}_value"
-    placed = Bucketizer(splits=splits, inputCol=cast, outputCol=out).transform(
-        df.withColumn(cast, F.col(column).cast("double"))
-    )
-    return placed.withColumn(out, F.col(out).cast("int")).drop(cast)
-
-
-def _place(df: DataFrame, order: Sequence[By], edges: list[list[float]]) -> DataFrame:
-    """Bucket number ``_b`` in ascending order of the first column: odd numbers hold exactly one edge value, even
-    ones the open range between two edges. ``_s`` cuts one-value buckets by the second column."""
-    first = edges[0]
-    placed = count_edges(df, order[0].name, first, "_i")
-    at_edge = F.lit(False)
-    if first:
-        values = F.expr(f"array({', '.join(f'{v!r}D' for v in first)})")
-        at_edge = (F.col("_i") > 0) & (F.get(values, F.col("_i") - 1) == F.col(order[0].name).cast("double"))
-    placed = placed.withColumn("_single", at_edge).withColumn(
-        "_b", F.when(F.col("_single"), 2 * F.col("_i") - 1).otherwise(2 * F.col("_i"))
-    )
-    if len(order) < 2:
-        return placed.withColumn("_s", F.lit(0)).drop("_i", "_single")
-    placed = count_edges(placed, order[1].name, edges[1], "_j")
-    return placed.withColumn("_s", F.when(F.col("_single"), F.col("_j")).otherwise(0)).drop("_i", "_j", "_single")
+def in_cells(df: DataFrame, order: Sequence[By], group: Sequence[str], bucket_rows: int) -> DataFrame:
+    """Stored rows with ``_cell``, the number of a range of (group, order) with about ``bucket_rows`` rows. Which range
+    a row falls in may differ between runs; totals do not."""
+    cells = max(MIN_CELLS, -(-df.count() // bucket_rows))
+    ranged = df.repartitionByRange(cells, *[F.col(g).asc() for g in group], *[by.sort for by in order])
+    return stage(ranged.withColumn("_cell", F.spark_partition_id()), "cells")
 
 
 def running_totals(
@@ -81,30 +50,22 @@ def running_totals(
     """Add ``sum(measure)`` from the first row of the group up to each row in the given total order.
 
     ``measures`` maps output names to SQL expressions; ``{"rank": "1"}`` is a row number. ``df`` is read up to
-    four times, so pass stored rows or a cheap projection of them. ``order`` must be total within a group.
+    three times and stored once, so pass a cheap projection. ``order`` must be total within a group.
     """
-    sorts = [by.sort for by in order]
     exprs = {name: F.expr(sql) for name, sql in measures.items()}
-    rows = df.count()
-    if rows <= bucket_rows:  # one task can sort this
-        window = Window.partitionBy(*group).orderBy(*sorts).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({name: F.sum(expr).over(window) for name, expr in exprs.items()})
-
-    edges = _edges(df, [by.name for by in order[:2]], min(MAX_BUCKETS, -(-rows // bucket_rows)))
-    placed = _place(df, order, edges)
-    cell = [*group, "_b", "_s"]
-    per_cell = placed.groupBy(*cell).agg(*[F.sum(expr).alias(f"_t_{name}") for name, expr in exprs.items()])
-    cell_order = [By("_b", order[0].descending).sort]
-    if len(order) > 1:
-        cell_order.append(By("_s", order[1].descending).sort)
-    # The cells are few: edges are bounded, and only single-value buckets are cut a second time.
-    before = Window.partitionBy(*group).orderBy(*cell_order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = in_cells(df, order, group, bucket_rows)
+    per_cell = placed.groupBy(*group, "_cell").agg(*[F.sum(expr).alias(f"_t_{name}") for name, expr in exprs.items()])
+    # As many rows as cells, and one more per group.
+    before = Window.partitionBy(*group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_cell.select(
-        *cell, *[F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)).alias(f"_o_{name}") for name in exprs]
+        *[F.col(c).alias(f"_k_{c}") for c in (*group, "_cell")],
+        *[F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)).alias(f"_o_{name}") for name in exprs],
     )
-    inside = Window.partitionBy(*cell).orderBy(*sorts).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*group, "_cell").orderBy(*[by.sort for by in order])
+    inside = inside.rowsBetween(Window.unboundedPreceding, 0)
     totals = {name: F.sum(expr).over(inside) + F.col(f"_o_{name}") for name, expr in exprs.items()}
-    return placed.join(offsets, cell).withColumns(totals).select(*df.columns, *exprs)
+    same = reduce(Column.__and__, [placed[c].eqNullSafe(offsets[f"_k_{c}"]) for c in (*group, "_cell")])
+    return placed.join(offsets, same).withColumns(totals).select(*df.columns, *exprs)
 
 
 def row_numbers(

@@ -25,13 +25,21 @@ def buyer_activity(activity: DataFrame, cfg: ChurnConfig) -> DataFrame:
     return join_key_table(activity, buyers, "client_id", "left_semi", broadcast=small, salts=cfg.join_salts)
 
 
-# Clients that hold more than this share of the rows are spread over several tasks.
-HOT_SHARE = 1 / 2000
-HOT_SKETCH = "approx_top_k({}, 1000, 100000)"
+# Rows of one client that a task can take; clients with more are spread over several tasks.
+HOT_ROWS = 2_000_000
+# Rows from which heavy clients are estimated. A client missed or added costs speed, never rows.
+HOT_SAMPLE = 20_000_000
 
 
-def hot_clients(total: int, heaviest) -> tuple[int, ...]:
-    return tuple(sorted(h["item"] for h in heaviest if h["item"] is not None and h["count"] > max(total * HOT_SHARE, 1000)))
+def hot_clients(activity: DataFrame, total: int, hot_rows: int = HOT_ROWS) -> tuple[int, ...]:
+    """Clients with more than about ``hot_rows`` rows, at most ``total / hot_rows`` of them. Rows are sampled and counted
+    per client with partial sums on the map side, so no task gathers more than its share of the clients."""
+    if total <= hot_rows:
+        return ()
+    share = min(1.0, HOT_SAMPLE / total)
+    rows = activity.select("client_id") if share == 1.0 else activity.select("client_id").sample(share, seed=7)
+    counts = rows.filter("client_id IS NOT NULL").groupBy("client_id").agg(F.count("*").alias("n"))
+    return tuple(sorted(r.client_id for r in counts.filter(F.col("n") > hot_rows * share).collect()))
 
 
 @dataclass(frozen=True)
@@ -63,15 +71,14 @@ def _buyer_bounds(activity: DataFrame, rows: str, hot: tuple[int, ...]) -> Bound
     return Bounds(*row, hot)
 
 
-def dataset_bounds(activity: DataFrame) -> Bounds:
-    """First and last event time over all logs, buyers only; heavy clients come from a sketch on the way.
+def dataset_bounds(activity: DataFrame, hot_rows: int = HOT_ROWS) -> Bounds:
+    """First and last event time over all logs, buyers only, and the heavy clients.
 
     The first and last day of the whole data almost always hold an event of some buyer, so only
     these days (and the small buy log) are grouped by client; if they do not, all events are.
     """
-    sketch = F.expr(f"{HOT_SKETCH.format('client_id')} AS heaviest")
-    whole = activity.agg(F.min("ts").alias("low"), F.max("ts").alias("high"), F.count("*").alias("n"), sketch).first()
-    hot = hot_clients(whole.n, whole.heaviest)
+    whole = activity.agg(F.min("ts").alias("low"), F.max("ts").alias("high"), F.count("*").alias("n")).first()
+    hot = hot_clients(activity, whole.n, hot_rows)
     if whole.low is None:
         return Bounds(None, None, 0)
     head_end, tail_start = whole.low.date() + DAY, whole.high.date()
@@ -158,11 +165,9 @@ def fan_out(
 
 def split_names(count: int) -> list[str]:
     """Split of each of ``count`` dates in time order: about 60 / 20 / 20 percent, never random."""
-    train = max(1, count * 3 // 5)
-    valid = max(train + 1, count * 4 // 5)
-    if valid >= count:
-        valid = count - 1
-    return ["train" if i < train else "valid" if i < valid else "test" for i in range(count)]
+    train = max(1, 3 * count // 5)
+    test = min(max(train + 1, 4 * count // 5), count - 1)
+    return [("train", "valid", "test")[(i >= train) + (i >= test)] for i in range(count)]
 
 
 def present_dates(table: DataFrame) -> list[dt.date]:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ebbline.functions.scalar import is_close, ratio_or_null, safe_divide
 from ebbline.operators.metrics import Scored, threshold_columns
-from ebbline.operators.ranking import count_edges
 
 # Shares of the top-K table and quantiles that join the regular thresholds.
 TOP_SHARES = (0.01, 0.02, 0.05, 0.10, 0.20)
@@ -61,8 +60,9 @@ def threshold_sweep(scored: Scored, thresholds: Sequence[float] | None = None) -
     pass over the histogram, whatever the number of thresholds."""
     thresholds = sorted(threshold_candidates(scored) if thresholds is None else thresholds)
     spark = scored.rows.sparkSession
+    reached = F.filter(F.array(*[F.lit(float(t)) for t in thresholds]), lambda t: t <= F.col("y_score"))
     places = (
-        count_edges(scored.cumulative, "y_score", thresholds, "place")
+        scored.cumulative.withColumn("place", F.size(reached))
         .groupBy("place")
         .agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
         .filter("place > 0")

@@ -197,11 +197,21 @@ splits AS (SELECT s, CASE WHEN i < a THEN 'train' WHEN i < CASE WHEN b >= n THEN
   FROM cuts)"""
 
 
-def feature_table_sql() -> str:
+def table_names() -> list[str]:
     names = ["l.buys AS future_buy_count_3d", "l.days AS future_active_days_3d", "l.churn", *PAGE_NAMES]
     for e in PRODUCT_EVENTS:
         names += product_names(e)
-    names += [*SEARCH_NAMES, "w.active_days_10d", "splits.split", *trend_names(), *funnel_names()]
+    return [*names, *SEARCH_NAMES, "w.active_days_10d", "splits.split", *trend_names(), *funnel_names()]
+
+
+def feature_columns() -> list[str]:
+    """Columns that are neither keys, labels nor the split."""
+    plain = [n.rsplit(" AS ", 1)[-1].rsplit(".", 1)[-1] for n in table_names()]
+    return [n for n in plain if n not in ("future_buy_count_3d", "future_active_days_3d", "churn", "split")]
+
+
+def feature_table_sql() -> str:
+    names = table_names()
     ctes = [*TABLE, *[product_cte(e) for e in PRODUCT_EVENTS], PAGE_CTE, search_cte(), SPLITS]
     joins = ["labels l", *[f"{e}_detail" for e in PRODUCT_EVENTS], "page_detail", "search_detail"]
     joined = " ".join(f"JOIN {j} USING (s, client_id)" for j in joins)
@@ -383,10 +393,11 @@ segmented AS (
 
 def means_sql(kind: str) -> str:
     one = " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, avg({c}) AS m FROM bad" for c in ("y_score", *WIDE_NAMES)
+        f"SELECT '{c}' AS feature, avg({c}) AS m FROM bad" for c in ("y_score", *feature_columns())
     )
-    bad = f"bad AS (SELECT * FROM wrong JOIN wide USING (s, client_id) WHERE error_type = '{kind}')"
-    return query([*SCORED, ERRORS, bad], f"SELECT feature, round(m, 8) AS mean_value FROM ({one}) WHERE m IS NOT NULL")
+    bad = f"""bad AS (SELECT f.*, wrong.y_score FROM wrong JOIN ({feature_table_sql()}) f
+  ON f.snapshot_date = wrong.s AND f.client_id = wrong.client_id WHERE error_type = '{kind}')"""
+    return query([*SCORED, ERRORS, bad], f"SELECT feature, round(m, 6) AS mean_value FROM ({one}) WHERE m IS NOT NULL")
 
 
 def worst_sql(kind: str) -> str:
@@ -676,7 +687,7 @@ FROM segmented GROUP BY error_type, value_segment""",
         f"SELECT {ROI_NAMES} FROM roi",
     ),
     "roi_best_strategies": query(
-        [*SCORED, TOP_K, *roi_ctes(TOP_K_STRATEGY, "default")],
+        [*SUMMARY, TOP_K, *roi_ctes(f"{TOP_K_STRATEGY} UNION ALL {THRESHOLD_STRATEGY}", "default")],
         f"""SELECT {ROI_NAMES} FROM (SELECT * FROM roi QUALIFY row_number() OVER
   (PARTITION BY scenario ORDER BY expected_net_profit DESC, expected_roi DESC, strategy_kind, strategy_label) <= 3)""",
     ),
@@ -704,3 +715,25 @@ FROM (SELECT vec_id, CAST(CAST(CAST(embedding AS DOUBLE[]) AS VARCHAR) AS DOUBLE
     "orders_buy_features": orders_features_sql(),
     "orders_rolling_folds": query([*ORDERS, *folds_cte("cohort")], FOLDS_SELECT),
 }
+
+# Other physical plans of the same results.
+ORACLES |= {
+    "binary_metrics_in_cells": ORACLES["binary_metrics"],
+    "top_k_big_ids": ORACLES["top_k_strategy"],
+    "error_profile_in_cells": ORACLES["error_profile"],
+    "feature_table_salted": ORACLES["feature_table"],
+    "feature_table_stored": ORACLES["feature_table"],
+    "rank_with_nulls": """SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY v NULLS FIRST, event_id DESC) AS place
+FROM (SELECT event_type, event_id, CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 'NaN'::DOUBLE ELSE round(value) END AS v
+      FROM events)""",
+    "training_class_weights": f"""SELECT churn, round(CAST(sum(count(*)) OVER () AS DOUBLE) / (2 * count(*)), 8) AS weight, count(*) AS n_rows
+FROM ({feature_table_sql()}) WHERE split = 'train' GROUP BY churn""",
+    "model_inputs": f"WITH t AS (SELECT * FROM ({feature_table_sql()}) WHERE split = 'train') "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(avg(coalesce({c}, 0)), 6) AS mean, round(stddev_samp(coalesce({c}, 0)), 6) AS deviation FROM t"
+        for c in feature_columns()
+    ),
+    "model_scored_rows": f"""SELECT model, split, count(*) AS n_rows, CAST(sum(churn) AS BIGINT) AS positives, count(*) AS n_probabilities
+FROM ({feature_table_sql()}) CROSS JOIN (SELECT unnest(['logistic_regression', 'random_forest', 'boosted_balanced', 'boosted_subsampled']) AS model)
+WHERE split IN ('valid', 'test') GROUP BY model, split""",
+}

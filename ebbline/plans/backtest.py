@@ -13,6 +13,7 @@ from ebbline.operators.metrics import binary_metrics
 from ebbline.operators.snapshots import present_dates
 from ebbline.plans.models import FULL, ROW_CAPS, Effort, feature_names, fit, score
 from ebbline.session import stage
+from ebbline.sources.results import write_csv
 
 
 def run_rolling_backtest(
@@ -21,8 +22,10 @@ def run_rolling_backtest(
     models: tuple[str, ...] = tuple(ROW_CAPS),
     min_train: int = 3,
     effort: Effort = FULL,
+    output: str | None = None,
+    caps: dict[str, int] = ROW_CAPS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Results per fold, model and split, and their summary. With ``table`` stored per snapshot every
+    """Results per fold, model and split, and their summary; both are written below ``output`` if it is given. With ``table`` stored per snapshot every
     filter below reads only the folders of its dates."""
     unknown = [m for m in models if m not in ROW_CAPS]
     if unknown:
@@ -35,10 +38,14 @@ def run_rolling_backtest(
         held_out = table.filter(F.col("snapshot_date").isin([fold.valid_date, fold.test_date]))
         split = F.when(F.col("snapshot_date") == F.lit(fold.valid_date), "valid").otherwise("test")
         for model in models:
-            fitted = fit(train, model, names, cfg.seed, effort)
+            fitted = fit(train, model, names, cfg.seed, effort, caps)
             tags = {"fold_id": F.lit(fold.fold_id), "model": F.lit(model), "split": split}
             scored.append(score(fitted, held_out, names).withColumns(tags))
     predictions = stage(reduce(DataFrame.unionByName, scored), "fold-predictions")
     metrics = binary_metrics(predictions, ("fold_id", "model", "split"))
     measured = stage(fold_results(metrics, fold_sizes(table, folds)), "fold-metrics")
-    return measured.orderBy("model", "fold_id", "split"), backtest_summary(measured)
+    summary = backtest_summary(measured)
+    if output:
+        write_csv(measured.orderBy("model", "fold_id", "split"), f"{output}/rolling_backtest_results")
+        write_csv(summary, f"{output}/rolling_backtest_summary")
+    return measured.orderBy("model", "fold_id", "split"), summary

@@ -22,7 +22,7 @@ from ebbline.operators.sampling import cap_rows
 from ebbline.session import stage
 from ebbline.sources import results
 
-# Training row caps per kind of model.
+# Training row caps per kind of model (the default of ``caps``), and the parameters in the registry below.
 ROW_CAPS = {
     "logistic_regression": 1_200_000,
     "random_forest": 300_000,
@@ -132,9 +132,11 @@ def class_weights(train: DataFrame) -> DataFrame:
     return train.withColumn("weight", weights[F.col("churn")])
 
 
-def fit(train: DataFrame, model: str, names: list[str], seed: int = 42, effort: Effort = FULL) -> PipelineModel:
-    """Fit on at most the capped number of rows; missing features count as 0."""
-    capped = cap_rows(train.na.fill(0, names), ROW_CAPS[model], seed)
+def fit(
+    train: DataFrame, model: str, names: list[str], seed: int = 42, effort: Effort = FULL, caps: dict[str, int] = ROW_CAPS
+) -> PipelineModel:
+    """Fit on at most ``caps[model]`` rows, a stratified sample by hash; missing features count as 0."""
+    capped = cap_rows(train.na.fill(0, names), caps[model], seed)
     weighted = class_weights(capped) if model in WEIGHTED else capped
     registry = model_registry(names, weighted.count(), seed, effort)
     return registry[model]().fit(weighted)
@@ -182,6 +184,7 @@ def train_and_evaluate(
     models: tuple[str, ...] = tuple(ROW_CAPS),
     effort: Effort = FULL,
     output: str | None = None,
+    caps: dict[str, int] = ROW_CAPS,
 ) -> TrainingRun:
     """Fit every model on train, score valid and test, refit the best on train + valid, score test once.
 
@@ -193,7 +196,7 @@ def train_and_evaluate(
     train, held_out = table.filter("split = 'train'"), table.filter("split IN ('valid', 'test')")
     scored = []
     for model in models:
-        fitted = fit(train, model, names, cfg.seed, effort)
+        fitted = fit(train, model, names, cfg.seed, effort, caps)
         scored.append(score(fitted, held_out, names, ("split",)).withColumn("model", F.lit(model)))
         if output:
             results.save_model(fitted, f"{output}/models/{model}")
@@ -202,7 +205,7 @@ def train_and_evaluate(
     metrics = order_metrics(stage(binary_metrics(predictions, ("model", "split")), "metrics"))
     best = choose_best_model(metrics).first().model
 
-    refitted = fit(table.filter("split IN ('train', 'valid')"), best, names, cfg.seed, effort)
+    refitted = fit(table.filter("split IN ('train', 'valid')"), best, names, cfg.seed, effort, caps)
     refit_scores = score(refitted, table.filter("split = 'test'"), names)
     tags = {"model": F.lit(best), "split": F.lit("test_refit")}
     refit_metrics = stage(binary_metrics(refit_scores.withColumns(tags), ("model", "split")), "refit-metrics")
@@ -226,7 +229,7 @@ def write_error_analysis(frame: DataFrame, table: DataFrame, names: list[str], c
     obs = cfg.observation_days
     buys = f"product_buy_count_{obs}d"
     merged = with_features(frame, table.select("client_id", "snapshot_date", *names))
-    segmented = value_segments(merged, buys)
+    segmented = stage(value_segments(merged, buys), "segmented")
     results.write_csv(error_profile(segmented, buys, f"active_days_{obs}d"), f"{prefix}_error_profile")
     for kind in ("false_positive", "false_negative"):
         results.write_csv(worst_cases(segmented, kind), f"{prefix}_{kind}_examples")

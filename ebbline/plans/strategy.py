@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ebbline.operators import strategy as ops
+from ebbline.operators.comparison import choose_best_model
 from ebbline.operators.metrics import Scored
 from ebbline.operators.roi import best_strategies, roi_simulation
 from ebbline.session import stage
-from ebbline.sources.results import write_csv
+from ebbline.sources.results import METRICS_SCHEMA, PREDICTION_SCHEMA, read_csv, write_csv, write_record
 
 
 @dataclass(frozen=True)
@@ -19,8 +22,16 @@ class StrategyAnalysis:
     valid_sweep: DataFrame
     test_sweep: DataFrame
     threshold_summary: DataFrame
-    valid_top_k: DataFrame
-    test_top_k: DataFrame
+    valid: Scored
+    test: Scored
+
+    @cached_property
+    def valid_top_k(self) -> DataFrame:
+        return ops.top_k_strategy(self.valid)
+
+    @cached_property
+    def test_top_k(self) -> DataFrame:
+        return ops.top_k_strategy(self.test)
 
 
 def run_strategy_analysis(valid: DataFrame, test: DataFrame) -> StrategyAnalysis:
@@ -35,8 +46,8 @@ def run_strategy_analysis(valid: DataFrame, test: DataFrame) -> StrategyAnalysis
         valid_sweep,
         test_sweep,
         ops.threshold_summary(test_sweep, chosen),
-        ops.top_k_strategy(valid_scored),
-        ops.top_k_strategy(test_scored),
+        valid_scored,
+        test_scored,
     )
 
 
@@ -58,3 +69,18 @@ def write_strategy(analysis: StrategyAnalysis, output: str, preset: str = "defau
         f"roi_summary{suffix}": best,
     }.items():
         write_csv(frame, f"{output}/{name}")
+
+
+def analyse_stored_run(spark: SparkSession, folder: str, preset: str = "default") -> StrategyAnalysis:
+    """Strategy analysis of a finished training run from its files: the best model by the stored metrics, its stored
+    predictions; results and a summary record are written beside them."""
+    best = choose_best_model(read_csv(spark, f"{folder}/metrics", METRICS_SCHEMA)).first()
+    parts = [read_csv(spark, f"{folder}/{best.model}_{s}_predictions", PREDICTION_SCHEMA) for s in ("valid", "test")]
+    analysis = run_strategy_analysis(*[stage(part, "predictions") for part in parts])
+    write_strategy(analysis, folder, preset)
+    summary = analysis.threshold_summary.filter("strategy = 'threshold_f1_opt'").select("targeted_users", "precision", "recall", "f1")
+    record = summary.withColumns(
+        {"model": F.lit(best.model), "valid_pr_auc": F.lit(best.pr_auc), "best_threshold": F.lit(analysis.best_threshold)}
+    )
+    write_record(record, f"{folder}/strategy_summary")
+    return analysis

@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,17 +44,33 @@ def require_columns(df: DataFrame, columns: list[str], what: str) -> None:
         raise ValueError(f"{what} lacks column(s) {missing}")
 
 
-def find_parquet(spark: SparkSession, root: str, stem: str, max_depth: int = 4) -> str:
-    """Path of ``stem.parquet`` (file or folder) at or below ``root``; the first in sort order."""
-    for depth in range(max_depth + 1):
-        pattern = "/".join([root.rstrip("/"), *["*"] * depth, f"{stem}.parquet"])
-        try:
-            files = spark.read.parquet(pattern).inputFiles()
-        except AnalysisException:
-            continue
-        marker = f"/{stem}.parquet"
-        return min(f[: f.index(marker) + len(marker)] for f in files)
-    raise FileNotFoundError(f"no {stem}.parquet under {root}")
+def find_parquet(spark: SparkSession, root: str, stem: str) -> str:
+    """Path of ``stem.parquet`` (file or folder) at or below ``root``, however deep; the first in sort order.
+
+    Folders are listed through Spark's file systems, so any store it reads will do. A folder of that name is a table
+    and not searched further; hidden folders and those of partition columns hold none.
+    """
+    jvm, context = spark._jvm, spark.sparkContext
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    store = top.getFileSystem(context._jsc.hadoopConfiguration())
+    found, folders = [], [top] if store.exists(top) else []
+    while folders:
+        for entry in store.listStatus(folders.pop()):
+            name = entry.getPath().getName()
+            if name == f"{stem}.parquet":
+                found.append(entry.getPath().toString())
+            elif entry.isDirectory() and name[:1] not in "._" and "=" not in name and not name.endswith(".parquet"):
+                folders.append(entry.getPath())
+    if not found:
+        raise FileNotFoundError(f"no {stem}.parquet under {root}")
+    return min(found)
+
+
+def whole(column: Column, dtype: T.DataType) -> Column:
+    """The column as a whole number; fractions are rounded, halves to the even neighbour."""
+    if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
+        column = F.bround(column, 0)
+    return column.cast("bigint")
 
 
 def typed_log(raw: DataFrame, event: str) -> DataFrame:
@@ -67,14 +82,15 @@ def typed_log(raw: DataFrame, event: str) -> DataFrame:
     if event in PRODUCT_EVENTS:
         kept = kept.filter(F.col("sku").isNotNull())
     if attribute == "query" and isinstance(raw.schema["query"].dataType, T.ArrayType):
-        kept = kept.withColumn("query", F.concat(F.lit("["), F.array_join("query", ", "), F.lit("]")))
+        kept = kept.withColumn("query", F.concat(F.lit("["), F.array_join("query", ", ", "NULL"), F.lit("]")))
     columns = {
-        "client_id": F.col("client_id").cast("bigint"),
+        "client_id": whole(F.col("client_id"), raw.schema["client_id"].dataType),
         "ts": to_event_time(F.col("timestamp")),
         "event": F.lit(event),
     }
     for name, dtype in ATTRIBUTE_TYPE.items():
-        columns[name] = (F.col(name) if name == attribute else F.lit(None)).cast(dtype)
+        value = F.col(name) if name == attribute else F.lit(None)
+        columns[name] = whole(value, raw.schema[name].dataType) if name == attribute and dtype == "bigint" else value.cast(dtype)
     return kept.select([c.alias(n) for n, c in columns.items()])
 
 
@@ -128,26 +144,36 @@ def typed_products(raw: DataFrame, unique: bool = True) -> DataFrame:
         column = F.col(name).try_cast(dtype) if name in raw.columns else F.lit(None).cast(dtype)
         return column.alias(name)
 
+    extra = ["embedding"] if "embedding" in raw.columns else []
     products = raw.filter(F.col("sku").isNotNull()).select(
-        F.col("sku").cast("bigint").alias("sku"), optional("category", "bigint"), optional("price", "double")
+        whole(F.col("sku"), raw.schema["sku"].dataType).alias("sku"),
+        optional("category", "bigint"),
+        optional("price", "double"),
+        *extra,
     )
     if not unique:
         return products
     preference = F.struct(
-        F.col("category").isNull().alias("no_category"), F.col("price").isNull().alias("no_price"), "category", "price"
+        F.col("category").isNull().alias("no_category"), F.col("price").isNull().alias("no_price"), "category", "price", *extra
     )
-    return products.groupBy("sku").agg(F.min(preference).alias("best")).select("sku", "best.category", "best.price")
+    columns = ["category", "price", *extra]
+    best = products.groupBy("sku").agg(F.min(preference).alias("best"))
+    return best.select("sku", *[f"best.{c}" for c in columns])
 
 
 def read_products(spark: SparkSession, root: str) -> DataFrame:
     return typed_products(spark.read.parquet(find_parquet(spark, root, "product_properties")))
 
 
-def event_volume(logs: dict[str, DataFrame]) -> DataFrame:
-    """Rows per log, largest first. Only the literal name is selected, so over Parquet files the
-    scan reads no column and takes the counts from the footers."""
-    names = reduce(DataFrame.unionByName, [log.select(F.lit(e).alias("event")) for e, log in logs.items()])
-    return names.groupBy("event").agg(F.count("*").alias("n_rows")).orderBy(F.desc("n_rows"), "event")
+def event_volume(activity: DataFrame) -> DataFrame:
+    """Rows per log, largest first, in one pass over the event column."""
+    known = activity.filter(F.col("event").isin(*ALL_EVENTS))
+    return known.groupBy("event").agg(F.count("*").alias("n_rows")).orderBy(F.desc("n_rows"), "event")
+
+
+def raw_events(raw: dict[str, DataFrame]) -> DataFrame:
+    """The name of its log for every raw row; no column of the files is read."""
+    return reduce(DataFrame.unionByName, [log.select(F.lit(e).alias("event")) for e, log in raw.items()])
 
 
 def raw_logs(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -56,7 +56,7 @@ def test_read_and_build_from_files(spark, tmp_path):
     assert counts[BUY] == 30 + 15 + 10 + 2 and counts[PAGE] == 60 and counts[SEARCH] == 30
     assert activity.filter("ts IS NULL").count() == 6
     assert activity.filter(F.col("event") == SEARCH).first().query.startswith("[1, 2, ")
-    volume = logs.event_volume(logs.raw_logs(spark, root)).collect()
+    volume = logs.event_volume(logs.raw_events(logs.raw_logs(spark, root))).collect()
     assert [r.n_rows for r in volume] == sorted((r.n_rows for r in volume), reverse=True)
     assert {r.event: r.n_rows for r in volume}[BUY] == 59
     plan = activity.filter(F.col("event") == PAGE)._jdf.queryExecution().optimizedPlan().toString()
@@ -105,11 +105,20 @@ def test_missing_input(spark, tmp_path):
 
 
 def test_first_file_in_sort_order(spark, tmp_path):
-    for folder, value in (("b", 2), ("a", 1)):
+    for folder, value in (("b", 2), ("z", 3), ("a/1/2/3/4/5/6", 1)):
         spark.createDataFrame([(value,)], "v int").write.parquet(f"{tmp_path}/{folder}/x.parquet")
     assert spark.read.parquet(logs.find_parquet(spark, str(tmp_path), "x")).first().v == 1
 
 
+def test_ids_are_rounded_and_lists_keep_their_gaps(spark):
+    raw = spark.createDataFrame([(1.5, "2025-01-01", 2.5), (2.4, "2025-01-01", 3.5)], "client_id double, timestamp string, sku double")
+    assert [(r.client_id, r.sku) for r in logs.typed_log(raw, BUY).collect()] == [(2, 2), (2, 4)]
+    lists = spark.createDataFrame([(1, "2025-01-01", [1, None, 3])], "client_id long, timestamp string, query array<int>")
+    assert logs.typed_log(lists, SEARCH).first().query == "[1, NULL, 3]"
+    items = spark.createDataFrame([(1, [1, 2]), (1, None)], "sku long, embedding array<int>")
+    assert logs.typed_products(items).columns == ["sku", "category", "price", "embedding"] and logs.typed_products(items).count() == 1
+
+
 def test_cleaned_log(spark):
     activity = activity_frame(spark, [row(1, at(1), PAGE, None), row(1, None, PAGE, 2), row(1, at(2), BUY, 5)])
     pages = logs.cleaned_logs(activity)[PAGE].collect()
@@ -147,10 +156,10 @@ def test_bounds_use_buyers_only(spark):
         assert kept.count() == 3
 
 
-def test_hot_clients():
-    heaviest = [{"item": 5, "count": 40_000}, {"item": 2, "count": 1_500}, {"item": None, "count": 90_000}, {"item": 8, "count": 900}]
-    assert hot_clients(1_000_000, heaviest) == (2, 5)
-    assert hot_clients(10_000_000, heaviest) == (5,)
+def test_hot_clients(spark):
+    rows = spark.range(1000).selectExpr("CASE WHEN id < 400 THEN 5 WHEN id < 550 THEN 2 WHEN id < 900 THEN NULL ELSE id END AS client_id")
+    assert hot_clients(rows, 1000, 100) == (2, 5) and hot_clients(rows, 1000, 200) == (5,)
+    assert hot_clients(rows, 1000, 1000) == ()
 
 
 def test_grid(spark):
