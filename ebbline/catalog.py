@@ -22,7 +22,7 @@ from ebbline.operators.metrics import Scored, binary_metrics, prediction_frame
 from ebbline.operators.profile import project, search_days, snapshot_profile
 from ebbline.operators.ranking import By, row_numbers
 from ebbline.operators.sampling import cap_rows, class_counts
-from ebbline.operators.snapshots import buyer_activity, dataset_bounds, grid_between, present_dates, snapshot_grid
+from ebbline.operators.snapshots import buyer_activity, dataset_bounds, grid_between, present_dates, rollup_bounds, snapshot_grid
 from ebbline.plans.backtest import run_rolling_backtest
 from ebbline.plans.feature_table import FeatureTable, assign_time_splits, build_feature_table, run_record
 from ebbline.plans.models import FAST, class_weights, feature_importance, feature_names, fit, train_and_evaluate
@@ -57,10 +57,11 @@ def stream_profile(
 
 
 def orders_profile(spark: SparkSession, sf_dir: str, details=()) -> DataFrame:
-    activity, cfg = order_activity(spark, sf_dir), ORDERS_CONFIG
-    bounds = dataset_bounds(activity)
-    products = part_products(spark, sf_dir)
-    return snapshot_profile(day_rows(activity), grid_between(bounds, cfg), cfg, products, (BUY,), details, bounds)
+    cfg = ORDERS_CONFIG
+    rollup = stage(daily_rollup(order_activity(spark, sf_dir)), "rollup")  # orders and lines are joined once
+    bounds = rollup_bounds(rollup)
+    grid = grid_between(bounds, cfg)
+    return snapshot_profile(rollup, grid, cfg, part_products(spark, sf_dir), (BUY,), details, bounds, rolled=True)
 
 
 def columns_like(df: DataFrame, *prefixes: str) -> DataFrame:

@@ -89,6 +89,11 @@ def dataset_bounds(activity: DataFrame, hot_rows: int = HOT_ROWS) -> Bounds:
     return _buyer_bounds(activity, "true", hot)
 
 
+def rollup_bounds(rollup: DataFrame, hot_rows: int = HOT_ROWS) -> Bounds:
+    """Bounds by whole days from a stored daily rollup; the grid asks for no more."""
+    return dataset_bounds(rollup.withColumn("ts", F.col("day").cast("timestamp_ntz")), hot_rows)
+
+
 @dataclass(frozen=True)
 class SnapshotGrid:
     """Regular midnights ``first + k * step``, ``k < count``."""

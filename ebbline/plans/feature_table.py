@@ -8,15 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.config import ALL_EVENTS, ChurnConfig
-from ebbline.operators.days import day_rows
+from ebbline.operators.days import daily_rollup
 from ebbline.operators.derived import funnel_columns, trend_columns
 from ebbline.operators.profile import project, snapshot_profile
 from ebbline.operators.snapshots import (
     Bounds,
     SnapshotGrid,
-    dataset_bounds,
     grid_between,
     present_dates,
+    rollup_bounds,
     split_column,
 )
 from ebbline.session import stage
@@ -46,18 +46,17 @@ def build_feature_table(
     bounds: Bounds | None = None,
     rollup: DataFrame | None = None,
 ) -> FeatureTable:
-    """``bounds`` skips the pass over the logs that finds them; ``rollup`` reuses a stored daily rollup.
+    """``bounds`` skips the passes that find them; ``rollup`` reuses a stored daily rollup.
 
-    The aggregate is staged once, because the split depends on the dates present in it; the derived columns are
+    The logs are read once, for the daily rollup; bounds, buyers, heavy clients and all branches read that. The aggregate is staged once, because the split depends on the dates present in it; the derived columns are
     a narrow projection of the staged rows.
     """
-    activity = sample_clients(activity, cfg.sample_frac, cfg.seed)
-    bounds = bounds or dataset_bounds(activity)
+    if rollup is None:
+        rollup = stage(daily_rollup(sample_clients(activity, cfg.sample_frac, cfg.seed)), "rollup")
+    days = sample_clients(rollup, cfg.sample_frac, cfg.seed)
+    bounds = bounds or rollup_bounds(days)
     grid = grid_between(bounds, cfg)
-    days = day_rows(activity) if rollup is None else sample_clients(rollup, cfg.sample_frac, cfg.seed)
-    profile = snapshot_profile(
-        days, grid, cfg, products, events=ALL_EVENTS, details=ALL_EVENTS, bounds=bounds, rolled=rollup is not None
-    )
+    profile = snapshot_profile(days, grid, cfg, products, ALL_EVENTS, ALL_EVENTS, bounds, rolled=True)
     staged = stage(profile, "profile")
     return FeatureTable(add_derived(assign_time_splits(staged), cfg), grid, cfg)
 
