@@ -26,6 +26,9 @@ HEADLINE = (
     "rolling_metrics",
     "orders_cohort_sizes",
     "orders_buy_features",
+    "roi_simulation",
+    "run_comparison",
+    "model_feature_importance",
 )
 REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
 

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from ebbline.oracle import ORACLES
 from compare import oracle_connection, oracle_rows, schema_differences, spark_rows
 
 QUICK = (
@@ -22,8 +23,16 @@ QUICK = (
     "rolling_metrics",
     "buy_count_histogram",
     "orders_buy_features",
+    "rank_with_nulls",
+    "binary_metrics_in_cells",
+    "top_k_big_ids",
+    "feature_table_salted",
+    "feature_table_stored",
+    "model_inputs",
+    "roi_best_strategies",
+    "false_positive_feature_means",
 )
-NAMES = sorted(contract.oracle_sql()) if os.environ.get("EBBLINE_ALL") else QUICK
+NAMES = sorted(ORACLES) if os.environ.get("EBBLINE_ALL") else QUICK
 
 
 @pytest.fixture(scope="module")
