@@ -28,7 +28,7 @@ HEADLINE = (
     "orders_buy_features",
     "roi_simulation",
     "run_comparison",
-    "model_feature_importance",
+    "feature_importance",
 )
 REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
 
