@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Entries a worker remembers between batches. A memory bound only: a forgotten entry is computed again.
 CACHE_ENTRIES = 400_000
+#: Bytes of text whose words are held as Python objects at a time.
+SLICE_BYTES = 3 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,15 +24,25 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [value or b"" for value in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def slices(batch: pa.RecordBatch, column: str = "_text") -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about SLICE_BYTES bytes of text, a longer text alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    piece = np.cumsum(sizes) // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """Apply ``make`` to every Arrow batch; it returns the columns of the rows it makes."""
+    """Apply ``make`` to Arrow batches with a column ``_text``; it returns the columns of the rows it makes."""
 
     arrow = _arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                columns = make(batch)
+            for part in slices(batch):
+                columns = make(part)
                 yield pa.record_batch([pa.array(columns[f.name], type=f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name].cast(f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)

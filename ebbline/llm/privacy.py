@@ -28,7 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ebbline.llm.common import map_batches
+from ebbline.llm.common import map_batches, slices
 from ebbline.session import stage
 
 KINDS = ("email", "ip", "card", "phone", "removed", "general")
@@ -153,12 +153,13 @@ def term_documents(df: DataFrame, text_col: str = "text") -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: Counter = Counter()
-            for text in batch.column(0).to_pylist():
-                if text:
-                    counts.update(set(TERM.findall(text.lower())))
+            for part in slices(batch):
+                for text in part.column("_text").to_pylist():
+                    if text:
+                        counts.update(set(TERM.findall(text.lower())))
             yield pa.record_batch([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
 
-    return df.select(F.col(text_col).cast("string")).mapInArrow(count, "term string, n long")
+    return df.select(F.col(text_col).cast("string").alias("_text")).mapInArrow(count, "term string, n long")
 
 
 def disclosures(df: DataFrame, found: DataFrame, text_col: str = "text", support: int = SUPPORT, remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ebbline.llm import files
+from ebbline.llm.common import slices
 from ebbline.session import stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -271,7 +272,7 @@ def write_token_files(df: DataFrame, path: str, folder: str, id_col: str = "doc_
         end = np.array([end_id], f"<u{encoder.width}").tobytes()
         open_file: ShardFile | None = None
         done = []
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             texts = batch.column("_text").to_pylist()
             for shard, doc_id, ids in zip(batch.column("_shard").to_pylist(), batch.column("_id").to_pylist(), encoder.encode(texts)):
                 if open_file is None or open_file.shard != shard:

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ebbline.llm.common import bounded, map_batches, texts_of
+from ebbline.llm.common import bounded, map_batches, slices, texts_of
 
 DECAY, SPAN, PIECE, STRIDE = 0.6, 7, 18, 9
 FLOOR = 0.5
@@ -43,7 +43,7 @@ COVER = 4
 #: A landmark must be worth so much for each toxic training text.
 LEAST_GAIN = 0.02
 PENALTY = 0.001
-SEEN_WORDS = 500_000
+SEEN_WORDS = 300_000
 #: Words evaluated at a time.
 CHUNK = 2048
 ALPHABET = 64
@@ -241,7 +241,7 @@ def choose_landmarks(sample: DataFrame, counts: dict[int, int], most: int = LAND
     """Fragments with the best log odds, greedily by the toxic texts they cover, each up to COVER times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             ids, parts, toxic = [], [], []
             for doc_id, text, label in zip(batch.column("_id").to_pylist(), texts_of(batch, "_text"), batch.column("toxic").to_pylist()):
                 found = {f for w in words_of(text) for f in fragments(normal(w))}
@@ -352,7 +352,7 @@ def score_texts(documents: DataFrame, model: Model, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = TextKernel(model.kernel) if model.kernel is not None else None
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             values = texts.values(texts_of(batch, "_text")) if texts is not None else np.zeros((batch.num_rows, len(model.alpha)))
             yield pa.record_batch([batch.column("doc_id"), batch.column("text_hash"), pa.array(model.score(values).astype(float))], names=["doc_id", "text_hash", "score"])
 
