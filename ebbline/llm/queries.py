@@ -98,11 +98,14 @@ WITH d AS (
 ), s AS (
   SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0
 ), windows AS (
-  SELECT DISTINCT item_id, n, list_slice(w, i, i + n - 1) AS g FROM s
+  SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g FROM s
+), runs AS (
+  SELECT doc_id, n, list_transform(range(1, greatest(len(w) - n + 2, 1)), lambda i: array_to_string(list_slice(w, i, i + n - 1), ' ')) AS g
+  FROM d, (SELECT DISTINCT n FROM windows)
 ), spots AS (
-  SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM windows)
+  SELECT doc_id, n, unnest(range(1, len(g) + 1)) AS i, unnest(g) AS g FROM runs
 ), found AS (
-  SELECT doc_id, i, windows.n AS n, item_id FROM spots JOIN windows ON windows.n = spots.n AND windows.g = list_slice(spots.w, i, i + spots.n - 1)
+  SELECT doc_id, i, windows.n AS n, item_id FROM spots JOIN windows USING (n, g)
 ), hits AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id
 ), items AS (
@@ -143,10 +146,12 @@ SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM x
     "op3_quality_rules": r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), runs AS (
+  SELECT doc_id, list_transform(range(1, greatest(len(w) - 6, 1)), lambda i: array_to_string(list_slice(w, i, i + 7), ' ')) AS g FROM d
 ), spots AS (
-  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 6, 1))) AS i FROM d
+  SELECT doc_id, unnest(range(1, len(g) + 1)) AS i, unnest(g) AS g FROM runs
 ), windows AS (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, list_slice(w, i, i + 7)) AS n FROM spots
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM spots
 ), repeats AS (
   SELECT doc_id, count(DISTINCT p) AS n_repeat_words
   FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM windows WHERE n > 1) GROUP BY doc_id
