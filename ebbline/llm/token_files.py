@@ -34,7 +34,8 @@ MAGIC = b"EFTOKEN1"
 #: Ids, documents, null document ids, bytes per id, bytes of either code.
 FOOTER = struct.Struct("<qqqqqq8s")
 READ_BYTES = 4 << 20
-KNOWN_CHUNKS = 700_000
+#: Chunks after which a new generation of remembered ones begins; two are kept.
+GENERATION = 150_000
 #: Chunks that are learned at a time, and how many of them are joined to a string.
 AT_ONCE, JOINED = 20_000, 200
 
@@ -133,6 +134,7 @@ class Encoder:
         # a token of a byte-level vocabulary has one character for each byte
         self.id_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())], np.int64)
         self.chunks: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -150,10 +152,15 @@ class Encoder:
         return re.split(r" (?=\S)", text) if _ODD_SPACE.search(text) else text.split(" ")
 
     def learn(self, chunks: set[str]) -> None:
-        fresh = list(chunks.difference(self.chunks))
-        if len(self.chunks) + len(fresh) > KNOWN_CHUNKS:
-            self.chunks = {}
-            fresh = list(chunks)
+        if len(self.chunks) > GENERATION:  # what is not asked for again goes with the older generation
+            self.older, self.chunks = self.chunks, {}
+        fresh = []
+        for chunk in chunks.difference(self.chunks):
+            ids = self.older.get(chunk)
+            if ids is None:
+                fresh.append(chunk)
+            else:
+                self.chunks[chunk] = ids
         for i in range(0, len(fresh), AT_ONCE):
             part = fresh[i : i + AT_ONCE]
             # Long strings cost the tokenizer far less than many short ones; the ids are cut where the bytes end.
