@@ -10,11 +10,12 @@ K(w, z) / K(z, z), where no subsequence of w weighs more than it does in z; belo
 the sum of squares are taken. Landmarks are the words and word beginnings that tell toxic training texts best from the others,
 chosen so that every toxic text is covered several times. With the kernel matrix M of the landmarks, k(text) M^(-1/2) is the
 Nyström map (of either half); a linear squared-hinge machine is trained on it and its margin turned into a probability by a
-logistic fit.
+logistic fit. Texts that these leave bare get landmarks of their own, however rare; only a fragment of a single toxic text, which nothing tells from chance, is
+taken just where no other stands in two.
 
 Training uses labels whose crc32(doc_id as text) mod 5 is not 0, at most TRAIN_ROWS a class in the order of a hash of the id,
 whole texts; nothing but the text enters a score. Of several labels of an id the largest counts, null labels are left out.
-Without training texts of both classes every score is the share of toxic ones (0 without any). Null and empty texts
+Without training texts of both classes, or without any fragment that tells them apart, every score is the share of toxic ones among all usable labels (0 without any). Null and empty texts
 have the score of a text without words. Repeated rows and null ids (not held out) are kept; other columns are not read.
 """
 
@@ -28,19 +29,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ebbline.llm.common import bounded, map_batches, slices, texts_of
+from ebbline.session import stage
 
 DECAY, SPAN, PIECE, STRIDE = 0.6, 7, 18, 9
 FLOOR = 0.5
 LANDMARKS = 64
 TRAIN_ROWS = 2000
-#: Toxic training texts that must hold a fragment (as a share, and as a number), and how many times the share of the others.
-LEAST_SHARE, LEAST_TEXTS, CONTRAST = 0.01, 3, 4
+#: Toxic training texts that must hold a fragment, and how many times the share of the others.
+LEAST_TEXTS, CONTRAST = 2, 4
 CANDIDATES = 1500
 COVER = 4
-#: A landmark must be worth so much for each toxic training text.
+#: A landmark worth less for each toxic training text is only taken for texts that no other covers.
 LEAST_GAIN = 0.02
 PENALTY = 0.001
 SEEN_WORDS = 300_000
@@ -253,28 +255,39 @@ def choose_landmarks(sample: DataFrame, counts: dict[int, int], most: int = LAND
     spots = sample.mapInArrow(run, "_id long, part string, toxic int")
     share = lambda label: F.sum((F.col("toxic") == label).cast("long")) / max(counts.get(label, 0), 1)
     weight = F.col("t") * F.log((F.col("t") + 1e-3) / (F.col("c") + 1e-3))
-    best = spots.groupBy("part").agg(share(1).alias("t"), share(0).alias("c"))
-    best = best.where((F.col("t") >= max(LEAST_SHARE, LEAST_TEXTS / max(counts.get(1, 0), 1))) & (F.col("t") > CONTRAST * F.col("c")))
-    best = best.withColumn("weight", weight).orderBy(F.desc("weight"), "part").limit(CANDIDATES)
-    rated = {r.part: math.log((r.t + 1e-3) / (r.c + 1e-3)) for r in best.collect()}
-    if not rated:
-        return []
+    best = spots.groupBy("part").agg(share(1).alias("t"), share(0).alias("c"), F.sum("toxic").alias("n"))
+    best = best.where((F.col("n") > 0) & (F.col("t") > CONTRAST * F.col("c"))).withColumn("weight", weight)
+    best = stage(best, "toxicity-fragments")
+    if best.where(F.col("n") >= LEAST_TEXTS).count():
+        best = best.where(F.col("n") >= LEAST_TEXTS)
+    # the best fragments of all, and the best of every toxic text
+    top = best.orderBy(F.desc("weight"), "part").limit(CANDIDATES).select("part")
+    held = spots.where("toxic = 1").select("part", "_id").join(best, "part")
+    rank = F.row_number().over(Window.partitionBy("_id").orderBy(F.desc("weight"), "part"))
+    wanted = top.union(held.withColumn("rank", rank).where(F.col("rank") <= COVER).select("part")).distinct()
     holders: dict[str, set[int]] = {}
-    for r in spots.where("toxic = 1").where(F.col("part").isin(list(rated))).select("part", "_id").collect():
+    rated: dict[str, float] = {}
+    for r in held.join(wanted, "part", "left_semi").select("part", "_id", "t", "c").collect():
         holders.setdefault(r.part, set()).add(r["_id"])
+        rated[r.part] = math.log((r.t + 1e-3) / (r.c + 1e-3))
     covered: dict[int, int] = {}
     chosen: list[str] = []
+    bare = False  # from now on for texts without a landmark only
     while len(chosen) < most and holders:
-        gain = lambda p: rated[p] * sum(1 / (1 + covered.get(i, 0)) for i in holders[p] if covered.get(i, 0) < COVER)
+        full = 1 if bare else COVER
+        gain = lambda p: rated[p] * sum(1 / (1 + covered.get(i, 0)) for i in holders[p] if covered.get(i, 0) < full)
         part = max(sorted(holders), key=lambda p: (gain(p), len(p)))  # of equal ones the most specific
-        if gain(part) < LEAST_GAIN * counts.get(1, 0):
+        if not bare and gain(part) < LEAST_GAIN * counts.get(1, 0):
+            bare = True
+            holders = {p: ids for p, ids in holders.items() if not all(i in covered for i in ids)}
+            continue
+        if gain(part) <= 0:
             break
         chosen.append(part)
-        held = holders.pop(part)
-        for i in held:
+        for i in holders.pop(part):
             covered[i] = covered.get(i, 0) + 1
-        for p in [p for p in holders if p.startswith(part) or part.startswith(p)]:
-            del holders[p]  # the same word
+        # the same word
+        holders = {p: ids for p, ids in holders.items() if not (p.startswith(part) or part.startswith(p)) and not (bare and all(i in covered for i in ids))}
     return chosen
 
 
@@ -314,13 +327,13 @@ def logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, landmarks: int = LANDMARKS, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    from ebbline.session import stage
-
     sample = stage(training_rows(documents, labels, rows, id_col, text_col), "toxicity-sample")
     counts = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    labelled = {r.toxic: r["count"] for r in training_labels(labels).groupBy("toxic").count().collect()}
     chosen = choose_landmarks(sample, counts, landmarks) if len(counts) == 2 else []
     if not chosen:
-        share = counts.get(1, 0) / max(sum(counts.values()), 1)
+        # not that of the sample, which holds as many of either class
+        share = labelled.get(1, 0) / max(sum(labelled.values()), 1)
         return Model(None, np.zeros(0), 0.0, 0.0, 0.0, share)
     kernel = Kernel(chosen)
 
@@ -340,7 +353,6 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, landm
     alpha, bias = both @ w[:-1], float(w[-1])
     slope, offset = logistic(x @ alpha + bias, y)
     # the sample has other shares of the classes than the labels
-    labelled = {r.toxic: r["count"] for r in training_labels(labels).groupBy("toxic").count().collect()}
     offset += math.log(labelled[1] / labelled[0]) - math.log((y > 0).sum() / (y < 0).sum())
     return Model(kernel, alpha, bias, slope, offset)
 

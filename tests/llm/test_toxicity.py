@@ -106,3 +106,34 @@ def test_query(spark, sf_dir):
     rows = op6_toxicity(spark, sf_dir).collect()
     assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     assert all(r.predicted == (r.score >= 0.5) for r in rows)
+
+
+def rare(n, insults):
+    """Texts of which a fifth is toxic, each insult held by few of them."""
+    rng = random.Random(3)
+    common = [f"word{i}x" for i in range(300)]
+    docs, labels = [], []
+    for i in range(n):
+        toxic = int(i % 5 == 0)
+        words = rng.choices(common, k=20) + ([f"{rng.choice(insults)}"] if toxic else [])
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, toxic))
+    return docs, labels
+
+
+def test_rare_insults_are_learned(spark):
+    insults = ["".join(random.Random(k).choices("bcdfgklmnprstvz", k=3) + random.Random(k + 999).choices("aeiou", k=1) + random.Random(k + 77).choices("bdgkpqxz", k=4)) for k in range(150)]
+    docs, labels = rare(6000, insults)
+    got = tx.toxicity(*frames(spark, docs, labels)).where("held_out").collect()
+    truth = {i: t for i, _, t in labels}
+    found = [r.predicted for r in got if truth[r.doc_id]]
+    wrong = [r.predicted for r in got if not truth[r.doc_id]]
+    assert np.mean(found) > 0.35 and np.mean(wrong) < 0.02
+
+
+def test_score_without_landmarks_is_the_share_of_all_labels(spark, monkeypatch):
+    monkeypatch.setattr(tx, "choose_landmarks", lambda *_: [])
+    docs, labels = rare(1000, ["blimp"])
+    model = tx.train(*frames(spark, docs, labels), rows=50)
+    usable = [t for i, _, t in labels if zlib.crc32(str(i).encode()) % 5]
+    assert model.share == pytest.approx(np.mean(usable)) and model.share < 0.5
