@@ -12,6 +12,10 @@ following words lie inside it, and equal passages retain the same positions.
 3. Every suffix is compared with the nearest ones of other documents before and after it: the match is extended to the right and to the
    left. Matches of at least MIN_WORDS are merged per document.
    The first and last suffixes of each sorted range meet their neighbours of the next range in a second, small comparison.
+4. Where a prefix stands at two places only, that comparison is complete. Where it stands at more, the partner need not be the
+   neighbour: other documents that share the words after the prefix, but not those before it, can sort in between. There every window of MIN_WORDS
+   words is found by the hash of the whole window, at the retained position that its own minimiser is; a window that another
+   document holds is a match.
 
 Null, empty and short texts have no passage. Equal rows (id and text) are one document. Null ids are kept, and are told apart by
 their texts. Other columns are not read. Positions are word numbers, the end is exclusive.
@@ -37,7 +41,7 @@ AROUND = SPARSE - 1
 ROWS = 20_000
 
 _random = np.random.default_rng(20240301)
-_PLACES = _random.integers(0, 1 << 63, PREFIX, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLACES = _random.integers(0, 1 << 63, MIN_WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -58,14 +62,19 @@ def run_hashes(words: np.ndarray, at: np.ndarray | slice, length: int) -> np.nda
     return _mix(total)
 
 
-def retained(words: np.ndarray) -> np.ndarray:
-    """The minimiser positions whose prefix fits the text."""
+def anchors(words: np.ndarray) -> np.ndarray:
+    """The retained position of every window of MIN_WORDS words."""
     if len(words) < MIN_WORDS:
         return np.zeros(0, np.int64)
     grams = run_hashes(words, slice(None), GRAM)[: len(words) - PREFIX + 1]
     windows = np.lib.stride_tricks.sliding_window_view(grams, SPARSE)
     parts = [windows[i : i + 65536].argmin(axis=1) + np.arange(i, min(i + 65536, len(windows))) for i in range(0, len(windows), 65536)]
-    return np.unique(np.concatenate(parts))
+    return np.concatenate(parts)
+
+
+def retained(words: np.ndarray) -> np.ndarray:
+    """The minimiser positions whose prefix fits the text."""
+    return np.unique(anchors(words))
 
 
 DOC = ("doc_id", "text_hash")
@@ -99,23 +108,28 @@ def _documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def shared(found: DataFrame) -> DataFrame:
-    """The suffixes whose prefix stands in two documents at least, as one row per document with its ``spots``."""
+    """The suffixes whose prefix stands in two documents at least, as one row per document with its ``spots``; ``many``: at
+    more than two places."""
     doc = F.xxhash64(*DOC)
-    prefixes = found.groupBy("prefix").agg(F.min(doc).alias("a"), F.max(doc).alias("b"))
-    prefixes = stage(prefixes.where("a <> b").select("prefix"), "shared-prefixes")
+    prefixes = found.groupBy("prefix").agg(F.min(doc).alias("a"), F.max(doc).alias("b"), F.count(F.lit(1)).alias("n"))
+    prefixes = stage(prefixes.where("a <> b").selectExpr("prefix", "n > 2 AS many"), "shared-prefixes")
     kept = found.join(prefixes, "prefix")
-    return kept.groupBy(*DOC).agg(F.collect_set(F.struct("pos", "prefix")).alias("spots"))
+    return kept.groupBy(*DOC).agg(F.collect_set(F.struct("pos", "prefix", "many")).alias("spots"))
 
 
 SUFFIX = "prefix long, after binary, before binary, doc_id long, text_hash long, pos int"
 NAMES = ("prefix", "after", "before", "doc_id", "text_hash", "pos")
 
 
-def with_surroundings(df: DataFrame, spots: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The shared suffixes with the codes of the words after the prefix, and before the position in reverse."""
+def _with_spots(df: DataFrame, spots: DataFrame, id_col: str, text_col: str) -> DataFrame:
     docs = _documents(df, id_col, text_col)
     spots = spots.withColumnsRenamed({"doc_id": "_d", "text_hash": "_t"})
-    rows = docs.join(spots, docs["doc_id"].eqNullSafe(spots["_d"]) & docs["text_hash"].eqNullSafe(spots["_t"])).select(*DOC, "_text", "spots")
+    return docs.join(spots, docs["doc_id"].eqNullSafe(spots["_d"]) & docs["text_hash"].eqNullSafe(spots["_t"])).select(*DOC, "_text", "spots")
+
+
+def with_surroundings(df: DataFrame, spots: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The shared suffixes with the codes of the words after the prefix, and before the position in reverse."""
+    rows = _with_spots(df, spots, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,12 +230,52 @@ def matches(rows: DataFrame, partitions: int) -> DataFrame:
     return found.where("NOT edge").select(*columns).union(_neighbours(rims, False).select(*columns))
 
 
+WINDOW = "prefix long, window long, doc_id long, text_hash long, start int"
+
+
+def windows(df: DataFrame, spots: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """prefix and window (hashes), doc_id, text_hash, start of the windows whose retained position has a prefix at many places."""
+    rows = _with_spots(df, spots.withColumn("spots", F.filter("spots", lambda s: s["many"])).where("size(spots) > 0"), id_col, text_col)
+    names, types = [c.split()[0] for c in WINDOW.split(", ")], (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, text_hash, text, places in zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), texts_of(batch, "_text"), batch.column("spots").to_pylist()):
+                words = word_hashes(text)
+                at = anchors(words)
+                places = sorted((s["pos"], s["prefix"]) for s in places)
+                pos = np.array([s[0] for s in places])
+                spot = np.minimum(np.searchsorted(pos, at), len(pos) - 1)
+                starts = np.flatnonzero(pos[spot] == at)
+                prefixes = np.array([s[1] for s in places], np.int64)[spot[starts]]
+                hashes = run_hashes(words, starts, MIN_WORDS).view(np.int64)
+                for i in range(0, len(starts), ROWS):
+                    n = len(starts[i : i + ROWS])
+                    columns = (prefixes[i : i + n], hashes[i : i + n], [doc_id] * n, [text_hash] * n, starts[i : i + n].astype(np.int32))
+                    yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+    return rows.mapInArrow(run, WINDOW)
+
+
+def window_matches(found: DataFrame) -> DataFrame:
+    """The columns of ``matches`` for the windows that another document holds, each with one of the others."""
+    place = F.struct(F.xxhash64(*DOC).alias("doc"), *DOC, "start")
+    held = found.groupBy("prefix", "window").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a.doc <> b.doc")
+    held = stage(held, "shared-windows")
+    other = F.when(F.xxhash64(*DOC) == F.col("a.doc"), F.col("b")).otherwise(F.col("a"))
+    rows = found.join(held, ["prefix", "window"]).withColumn("other", other)
+    end = (F.col("start") + MIN_WORDS).alias("end")
+    return rows.select(*DOC, "start", end, F.col("other.doc_id").alias("other_doc_id"), F.col("other.start").alias("other_start"))
+
+
 def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None) -> DataFrame:
     """doc_id, text_hash, start, end, n_words, other_doc_id, other_start: the merged passages of every document that
     has any, with one place where a part of it stands as well."""
     found = stage(suffixes(df, id_col, text_col), "suffixes")
-    rows = with_surroundings(df, stage(shared(found), "spots"), id_col, text_col)
+    spots = stage(shared(found), "spots")
+    rows = with_surroundings(df, spots, id_col, text_col)
     every = matches(rows, partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    every = every.union(window_matches(stage(windows(df, spots, id_col, text_col), "windows")))
     # Islands of overlapping or touching spans of one document.
     spans = every.groupBy(*DOC, "start", "end").agg(F.min(F.struct("other_doc_id", "other_start")).alias("other"))
     line = Window.partitionBy(*DOC).orderBy("start", "end")

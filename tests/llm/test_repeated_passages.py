@@ -88,3 +88,21 @@ def test_equal_passages_retain_equal_positions():
             inside = {int(p) - before for p in rp.retained(words) if before <= p <= before + rp.MIN_WORDS - rp.PREFIX}
             found.append(inside)
         assert found[0] & found[1]
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_passages_that_end_in_a_common_phrase(spark, documents, partitions):
+    """Two documents share own words and a phrase that many others hold, before or after other words."""
+    rng = random.Random(11)
+    own = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    texts = []
+    for own_words in (8, 15, 25, 60):
+        for ahead in (True, False):
+            phrase = own(45)
+            for _ in range(3):
+                passage = own(own_words) + phrase if ahead else phrase + own(own_words)
+                texts += [own(30) + passage + own(30), own(5) + passage + own(70)]
+            texts += [own(20) + phrase + own(20) for _ in range(60)]
+    rng.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    assert spans(rp.repeated_passages(documents(rows), partitions=partitions)) == brute(rows)
