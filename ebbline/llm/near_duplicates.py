@@ -318,8 +318,9 @@ def connected(links: DataFrame) -> DataFrame:
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id and kept of every row."""
+def grouped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_hash, n_shingles, set_id, comp (a number of the component) and component_id (its least id) of every row; the last
+    two are null for empty sets."""
     rows = signatures(df, id_col, text_col)
     # A class is named by the number of one of its rows, whose text stands for it.
     one = F.min_by(F.struct("row", "doc_id", "text_hash", "sig"), "row")
@@ -342,14 +343,26 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     labels = connected(links) if labels is None else labels
     named = classes.join(labels, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    of_set = stage(named.join(least, "comp").select("set_id", "component_id"), "components")
-    out = rows.select("doc_id", "text_hash", "n_shingles", "set_id").join(of_set, "set_id", "left")
+    of_set = stage(named.join(least, "comp").select("set_id", "comp", "component_id"), "components")
+    return rows.select("doc_id", "text_hash", "n_shingles", "set_id").join(of_set, "set_id", "left")
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id and kept of every row."""
+    out = grouped(df, id_col, text_col)
     component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def kept_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay: one of each group (or all rows with its id), with the columns of ``df``."""
-    out = near_duplicates(df, id_col, text_col).where("kept").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).distinct()
-    return df.join(out, F.col(id_col).cast("long").eqNullSafe(F.col("_d")) & F.xxhash64(F.col(text_col).cast("string")).eqNullSafe(F.col("_t")), "left_semi")
-
+    """The rows of ``df`` that stay, with its columns: exactly one of each component, of those with its least id the one with the
+    least text hash, and one of equal rows (id and text) without words."""
+    alike = grouped(df, id_col, text_col).groupBy("comp", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")).alias("one")
+    linked = alike.where("comp IS NOT NULL").groupBy("comp").agg(one).select("one.doc_id", "one.text_hash", "one.n")
+    chosen = stage(linked.union(alike.where("comp IS NULL").select("doc_id", "text_hash", "n")).toDF("_d", "_t", "_n"), "chosen")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_d")) & F.xxhash64(F.col(text_col).cast("string")).eqNullSafe(F.col("_t"))
+    single = df.join(chosen.where("_n = 1"), same, "left_semi")
+    # Only rows that occur more than once are shuffled to take one of them.
+    repeated = df.join(chosen.where("_n > 1"), same).dropDuplicates(["_d", "_t"])
+    return single.union(repeated.select(*df.columns))

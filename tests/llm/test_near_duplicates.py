@@ -123,3 +123,19 @@ def test_empty_table_and_no_links(spark, documents):
 def test_chain_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "a long, b long")
     assert {r["class"]: r.comp for r in nd.connected(chain).collect()} == {i: 0 for i in range(201)} | {500: 500, 501: 500}
+
+
+def test_one_row_of_each_component_stays(spark, documents):
+    base = [f"word{i}" for i in range(60)]
+    near = lambda k: " ".join(base + [f"end{k}"])
+    rows = [(1, near(1))] * 3 + [(1, near(2)), (2, near(3))]  # repeated rows, and two texts of the least id
+    rows += [(None, "other " + " ".join(reversed(base))), (None, "others " + " ".join(reversed(base)))] * 2  # near copies without ids
+    rows += [(7, "a text that stands alone here"), (8, ""), (8, ""), (8, None), (9, "")]
+    df = documents(rows)
+    kept = nd.kept_rows(df)
+    assert kept.columns == df.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sum(bool(t) and t.startswith("word0") for _, t in got) == 1 and [i for i, t in got if t and t.startswith("word0")] == [1]
+    assert sum(bool(t) and t.startswith("other") for _, t in got) == 1
+    assert sorted((r for r in got if not r[1] or r[0] == 7), key=str) == sorted([(7, "a text that stands alone here"), (8, ""), (8, None), (9, "")], key=str)
+    assert len(got) == 6
