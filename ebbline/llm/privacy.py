@@ -126,11 +126,11 @@ CONTEXT = "array<struct<entity: string, term: string, start: int, end: int>>"
 
 
 def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH) -> DataFrame:
-    """The stored base result: row (a number of the row), doc_id, text_hash, counts, base spans and contexts."""
-    schema = "row long, doc_id long, text_hash long, n_email long, n_ip long, n_card long, n_phone long, base string, base_sha256 string, contexts " + CONTEXT
+    """The stored base result: row (a number of the row), doc_id, text_hash, counts, base spans, distinct entities and contexts."""
+    schema = "row long, doc_id long, text_hash long, n_email long, n_ip long, n_card long, n_phone long, base string, base_sha256 string, entities array<string>, contexts " + CONTEXT
 
     def make(batch):
-        out: dict[str, list] = {k: [] for k in ("n_email", "n_ip", "n_card", "n_phone", "base", "base_sha256", "contexts")}
+        out: dict[str, list] = {k: [] for k in ("n_email", "n_ip", "n_card", "n_phone", "base", "base_sha256", "entities", "contexts")}
         for text in batch.column("_text").to_pylist():
             spans = base_spans(text) if text else []
             kinds = Counter(s[0] for s in spans)
@@ -139,6 +139,7 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: i
             base = joined([s[:3] for s in spans])
             out["base"].append(base)
             out["base_sha256"].append(hashlib.sha256(base.encode()).hexdigest())
+            out["entities"].append(sorted({f"{kind}:{entity}" for kind, _, _, entity in spans}))
             out["contexts"].append(contexts(text, spans, reach) if spans else [])
         return {"row": batch.column("_row"), "doc_id": batch.column("_id"), "text_hash": batch.column("_hash")} | out
 
@@ -166,8 +167,8 @@ def disclosures(df: DataFrame, found: DataFrame, text_col: str = "text", support
     """entity, term, disclosure and kind ("removed" or "general") of the pairs above the thresholds."""
     spots = found.select("row", F.explode("contexts").alias("c")).select("row", "c.entity", "c.term").distinct()
     pairs = stage(spots.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support), "privacy-pairs")
-    # Every entity with a pair stands in the base spans; its documents are counted once each.
-    holders = found.select("row", F.explode(F.array_distinct(F.transform("contexts", lambda c: c["entity"]))).alias("entity"))
+    # The documents of an entity are all that hold it, also those where no term is near it.
+    holders = found.select(F.explode("entities").alias("entity"))
     entities = holders.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     terms = stage(pairs.select("term").distinct(), "privacy-terms")
     # Only terms of a pair need a count; if they are few, Catalyst broadcasts them and the others are never shuffled.

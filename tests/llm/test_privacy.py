@@ -105,3 +105,16 @@ def test_sanitise(spark, documents):
     assert "@" not in got[104] and "[EMAIL]" in got[104]
     assert p.sanitise(documents([])).count() == 0 and p.private_spans(documents([])).count() == 0
     assert p.redact("Call Bob Now 1", "general:5:8,removed:9:12") == "Call [NAME]  1"
+
+
+def test_entities_count_in_documents_without_terms_near(spark, documents):
+    text = "Please ask Zarathustra at zara@mail.example.com today"
+    rows = [(i, text) for i in range(4)] + [(10 + i, f"{i} | zara@mail.example.com | {i}") for i in range(12)] + [(50 + i, "nothing here") for i in range(16)]
+    found = p.find(documents(rows))
+    told = {r.term: r.disclosure for r in p.disclosures(documents(rows), found, generalise=-9.0).collect()}
+    # 32 documents, 16 hold the entity, 4 the term, all 4 near the entity
+    assert math.isclose(told["zarathustra"], math.log2(32 * 4 / (16 * 4)) / math.log2(32 / 16))
+    mixed = rows + [(70 + i, "Zarathustra alone") for i in range(1)]
+    # PMI log2(33 * 4 / (16 * 5)) over IC log2(33 / 16); from the 4 documents with a term near it would be 0.89
+    got = {r.term: r.disclosure for r in p.disclosures(documents(mixed), p.find(documents(mixed)), generalise=-9.0).collect()}
+    assert math.isclose(got["zarathustra"], math.log2(33 * 4 / (16 * 5)) / math.log2(33 / 16))
