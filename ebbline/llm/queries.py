@@ -35,6 +35,12 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.decontaminate(documents, items, proximity=False).drop("text_hash")
 
 
+def benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op5 with both kinds of matches: its columns and n_near_items."""
+    documents, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontamination.decontaminate(documents, items, proximity=True).drop("text_hash")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).drop("text_hash")
 
@@ -68,6 +74,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "benchmark_proximity": benchmark_proximity,
     "op6_toxicity": op6_toxicity,
     "op8_mix_sources": op8_mix_sources,
     "op7_token_files": op7_token_files,

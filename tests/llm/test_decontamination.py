@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import __spark_entry__
 from ebbline.llm import decontamination as dc
 from ebbline.llm.queries import ORACLES, op5_benchmark_decontamination
 from tests.compare import oracle_connection, oracle_rows, schema_differences, spark_rows
@@ -93,3 +94,12 @@ def test_proximity(spark):
     docs, bench = tables(spark, [(1, near), (2, apart), (3, item), (4, "nothing")], [(1, item)])
     got = {r.doc_id: (r.contaminated, r.n_near_items) for r in dc.decontaminate(docs, bench).collect()}
     assert got == {1: (False, 1), 2: (False, 0), 3: (True, 1), 4: (False, 0)}
+
+
+def test_registered_query_returns_proximity_matches(spark, save, documents):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+    near = "so alpha beta then gamma delta and epsilon zeta eta x theta iota kappa lambda mu"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    sf_dir = save(documents=documents([(1, near), (2, item), (3, "nothing")]), benchmark=items)
+    got = __spark_entry__.queries()["benchmark_proximity"](spark, sf_dir)
+    assert {r.doc_id: (r.contaminated, r.n_near_items) for r in got.collect()} == {1: (False, 1), 2: (True, 1), 3: (False, 0)}
