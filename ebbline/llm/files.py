@@ -20,7 +20,9 @@ from ebbline.session import shared_folder
 SHARD_BYTES = 256 << 20
 SMALL_SHARD_BYTES = 1 << 20
 SMALL_SHARDS = 192
-#: Sampled keys per shard from which the bounds are taken.
+#: Shards at most: beyond them shards grow with the data, so the driver's share stays bounded.
+MAX_SHARDS = 20_000
+#: Sampled keys per shard from which the bounds are taken, so about 800,000 at most.
 KEYS_PER_SHARD = 40
 
 
@@ -55,7 +57,7 @@ class Draft:
 
 
 def shard_count(total_bytes: int) -> int:
-    return max(-(-total_bytes // SHARD_BYTES), min(-(-total_bytes // SMALL_SHARD_BYTES), SMALL_SHARDS), 1)
+    return min(max(-(-total_bytes // SHARD_BYTES), min(-(-total_bytes // SMALL_SHARD_BYTES), SMALL_SHARDS), 1), MAX_SHARDS)
 
 
 def sharder(df: DataFrame, key: str, tie: Column, size: Column) -> tuple[int, callable]:

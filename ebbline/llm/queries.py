@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbline.llm import decontamination, files, mixing, near_duplicates, privacy, quality, repeated_passages, token_counts, token_files, toxicity, warc
+from ebbline.llm import decontamination, files, fingerprints, mixing, near_duplicates, privacy, quality, repeated_passages, token_counts, token_files, toxicity, warc
 from ebbline.llm.common import read_table
 
 
@@ -68,6 +68,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(token_counts.VOCABULARY))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_privacy": op1_privacy,
     "op2_warc_writer": op2_warc_writer,
@@ -80,6 +84,7 @@ QUERIES = {
     "op7_token_files": op7_token_files,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_token_counts": op10_token_counts,
+    "op12_fingerprints": op12_fingerprints,
 }
 #: Pre-tokens, tokenizer files and learned models are no SQL; tests compare those queries with brute force.
 ORACLES: dict[str, str] = {
