@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbline.llm import decontamination, files, fingerprints, mixing, near_duplicates, privacy, quality, repeated_passages, token_counts, token_files, toxicity, warc
+from ebbline.llm import decontamination, files, fingerprints, hard_negatives, mixing, near_duplicates, privacy, quality, repeated_passages, token_counts, token_files, toxicity, warc
 from ebbline.llm.common import read_table
 
 
@@ -72,6 +72,14 @@ def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(read_table(spark, sf_dir, "documents"))
 
 
+#: Some labels are made wrong on purpose.
+NOISY_LABEL = "CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END"
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"), label=NOISY_LABEL)
+
+
 QUERIES = {
     "op1_privacy": op1_privacy,
     "op2_warc_writer": op2_warc_writer,
@@ -85,9 +93,28 @@ QUERIES = {
     "op9_repeated_passages": op9_repeated_passages,
     "op10_token_counts": op10_token_counts,
     "op12_fingerprints": op12_fingerprints,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 #: Pre-tokens, tokenizer files and learned models are no SQL; tests compare those queries with brute force.
 ORACLES: dict[str, str] = {
+    "op13_hard_negatives": r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, a.label = v.label AS same, v.vec_id,
+    CAST(list_sum(list_transform(a.q, lambda x, i: x * v.q[i])) AS BIGINT) AS score
+  FROM v AS a, v WHERE a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
+""",
     "op2_warc_writer": r"""
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages
