@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbline.llm import decontamination, files, fingerprints, hard_negatives, mixing, near_duplicates, privacy, quality, repeated_passages, token_counts, token_files, toxicity, warc
+from ebbline.llm import alignment, decontamination, files, fingerprints, hard_negatives, mixing, near_duplicates, privacy, quality, repeated_passages, token_counts, token_files, toxicity, warc
 from ebbline.llm.common import read_table
 
 
@@ -68,6 +68,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(token_counts.VOCABULARY))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return alignment.token_alignment(documents, public_tokenizers.path(alignment.VOCABULARY_A), public_tokenizers.path(alignment.VOCABULARY_B))
+
+
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(read_table(spark, sf_dir, "documents"))
 
@@ -92,6 +97,7 @@ QUERIES = {
     "op7_token_files": op7_token_files,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_token_counts": op10_token_counts,
+    "op11_token_alignment": op11_token_alignment,
     "op12_fingerprints": op12_fingerprints,
     "op13_hard_negatives": op13_hard_negatives,
 }
