@@ -26,8 +26,8 @@ import functools
 import hashlib
 import itertools
 import re
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +38,11 @@ from ebbline.session import stage
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters of a range, and fragments that are composed at a time.
-RANGE_CHARS, FAN = 1 << 15, 16
+RANGE_CHARS, FAN = 1 << 17, 16
 #: Words and their characters that a worker remembers; words that are learned at a time, and how many are joined to a string.
 WORDS, WORD_CHARS, AT_ONCE, JOINED = 400_000, 16 << 20, 20_000, 200
-#: Links of a batch of words that are written out at a time; a larger group is counted by its distinct ids.
-LINKS = 4_000_000
+#: Links of a group that are written out; those of a larger one are counted by its distinct ids.
+LARGE = 40_000
 #: Pairs of ids that are broadcast at most; their counts reach such a bound that no more can.
 COMMON_PAIRS = 400_000
 #: A white space after a character that is none ends a token of A. Only signs that both engines of patterns call white space are used.
@@ -78,9 +78,6 @@ class Tokens:
         j = [0, *np.searchsorted(self.b_ends, ends, "right").tolist(), len(self.b)]
         return [Tokens(self.a[i[k] : i[k + 1]], self.a_ends[i[k] : i[k + 1]], self.b[j[k] : j[k + 1]], self.b_ends[j[k] : j[k + 1]]) for k in range(len(ends) + 1)]
 
-    def text(self) -> str:
-        return f"{','.join(map(str, self.a.tolist()))}|{','.join(map(str, self.b.tolist()))}"
-
 
 def tokens(a=(), a_ends=(), b=(), b_ends=()) -> Tokens:
     return Tokens(*(np.asarray(x, np.int64) for x in (a, a_ends, b, b_ends)))
@@ -91,10 +88,11 @@ NONE = tokens()
 
 @dataclass(frozen=True)
 class Fragment:
-    """``head`` holds everything where no common end is known (``tail`` is None)."""
+    """``closed`` holds whole groups one after another; they end where both sides do. ``head`` holds everything where no common end
+    is known (``tail`` is None)."""
 
     head: Tokens = NONE
-    closed: tuple[Tokens, ...] = field(default=())
+    closed: Tokens = NONE
     tail: Tokens | None = None
 
     @classmethod
@@ -102,47 +100,61 @@ class Fragment:
         ends = whole.common_ends()
         if not len(ends):
             return cls(whole)
-        head, *closed, tail = whole.cut(ends)
-        return cls(head, tuple(closed), tail)
+        if len(ends) == 1:
+            head, tail = whole.cut(ends)
+            return cls(head, NONE, tail)
+        return cls(*whole.cut(ends[[0, -1]]))
 
     def __add__(self, other: Fragment) -> Fragment:
         """The fragment of both ranges, ``other`` after this one."""
-        open_end = self.head if self.tail is None else self.tail
-        seam = open_end + other.head
-        ends = seam.common_ends()
-        *groups, rest = seam.cut(ends)
-        if other.tail is not None:  # the seam ends at the other's first common end
-            last, after = other.closed, other.tail
-        elif groups:
-            last, after = (), rest
-        else:
-            return Fragment(self.head, self.closed, seam) if self.tail is not None else Fragment(seam)
-        if self.tail is not None:
-            return Fragment(self.head, (*self.closed, *groups, *last), after)
-        return Fragment(groups[0], (*groups[1:], *last), after)
-
-    def groups(self) -> tuple[Tokens, ...]:
-        """All groups of a whole text: its first group is open to the left only for who does not know that nothing comes before."""
+        seam = Fragment.of((self.head if self.tail is None else self.tail) + other.head)
+        if seam.tail is None:  # still no common end
+            return Fragment(self.head, self.closed, seam.head) if self.tail is not None else seam
+        tail = other.tail if other.tail is not None else seam.tail  # the other's first common end is the seam's last
         if self.tail is None:
-            return ()
-        if len(self.tail.a) or len(self.tail.b):
+            return Fragment(seam.head, seam.closed + other.closed, tail)
+        return Fragment(self.head, self.closed + seam.head + seam.closed + other.closed, tail)
+
+    def whole(self) -> Tokens:
+        """The tokens of a whole text; nothing comes before its first group, and its tokens end with it."""
+        if self.tail is None or len(self.tail.a) or len(self.tail.b):
             raise ValueError("the tokens of a whole text end with it")
-        return (self.head, *self.closed)
+        return self.head + self.closed
 
 
-def link_counts(groups: Iterable[Tokens]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs of ids (A << 32 | B) that are linked in the groups, and how often."""
-    codes, times, held = [NONE.a], [NONE.a], 0
-    for g in groups:
-        a, n_a = np.unique(g.a, return_counts=True)
-        b, n_b = np.unique(g.b, return_counts=True)
-        codes.append(((a[:, None] << 32) | b).ravel())
-        times.append((n_a[:, None] * n_b).ravel())
-        held += len(codes[-1])
-        if held > LINKS:
-            merged = _summed(np.concatenate(codes), np.concatenate(times))
-            codes, times, held = [merged[0]], [merged[1]], 0
-    return _summed(np.concatenate(codes), np.concatenate(times))
+@dataclass(frozen=True)
+class Groups:
+    """The groups of tokens that end together: where they end, their tokens of A and B, their texts, and
+    the distinct linked pairs of ids (A << 32 | B) with the group and how often they occur in it."""
+
+    ends: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    texts: list[str]
+    codes: np.ndarray
+    times: np.ndarray
+    owners: np.ndarray
+
+    @classmethod
+    def of(cls, whole: Tokens) -> Groups:
+        a, b, ends = whole.a, whole.b, whole.common_ends()
+        group_a, group_b = np.searchsorted(ends, whole.a_ends), np.searchsorted(ends, whole.b_ends)
+        p, q = np.bincount(group_a, minlength=len(ends)), np.bincount(group_b, minlength=len(ends))
+        text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        to_a, to_b = [0, *np.cumsum(p).tolist()], [0, *np.cumsum(q).tolist()]
+        texts = [f"{','.join(text_a[i:j])}|{','.join(text_b[k:m])}" for i, j, k, m in zip(to_a, to_a[1:], to_b, to_b[1:])]
+        large = np.flatnonzero(p * q > LARGE)
+        small = ~np.isin(group_a, large)
+        each = q[group_a[small]]  # B tokens that an A token is linked with
+        at = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each) + np.repeat((np.cumsum(q) - q)[group_a[small]], each)
+        codes, owners, times = [(np.repeat(a[small], each) << 32) | b[at]], [np.repeat(group_a[small], each)], [np.ones(len(at), np.int64)]
+        for g in large.tolist():
+            x, n_x = np.unique(a[to_a[g] : to_a[g + 1]], return_counts=True)
+            y, n_y = np.unique(b[to_b[g] : to_b[g + 1]], return_counts=True)
+            codes.append(((x[:, None] << 32) | y).ravel())
+            times.append((n_x[:, None] * n_y).ravel())
+            owners.append(np.full(len(codes[-1]), g))
+        return cls(ends, p, q, texts, np.concatenate(codes), np.concatenate(times), np.concatenate(owners))
 
 
 def _summed(codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -255,36 +267,17 @@ class Aligner:
         a, b = (np.concatenate([p[k] for p in held]) if held else NONE.a for k in (1, 2))
         ends = np.cumsum([len(w.encode()) for p in held for w in p[0]], dtype=np.int64)
         whole = Tokens(a, np.cumsum(self.a_sizes[a]), b, np.cumsum(self.b_sizes[b]))
-        common = whole.common_ends()
+        groups = Groups.of(whole)
+        common, p, q = groups.ends, groups.n_a, groups.n_b
         if not np.isin(ends, common, assume_unique=True).all():
             raise ValueError("a token goes on after the end of a word")
-        group_a, group_b = np.searchsorted(common, whole.a_ends), np.searchsorted(common, whole.b_ends)
-        p, q = np.bincount(group_a, minlength=len(common)), np.bincount(group_b, minlength=len(common))
         word_of = np.searchsorted(ends, common)
         n = len(ends)
         counts = [np.bincount(word_of, weights=x, minlength=n).astype(np.int64) if len(common) else np.zeros(n, np.int64) for x in (p, q, np.ones(len(common)), p * q)]
-        text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        to_a, to_b = [0, *np.cumsum(p).tolist()], [0, *np.cumsum(q).tolist()]
-        groups = [f"{','.join(text_a[to_a[g] : to_a[g + 1]])}|{','.join(text_b[to_b[g] : to_b[g + 1]])}" for g in range(len(common))]
         until = [0, *np.cumsum(counts[2]).tolist()]
-        texts = iter([";".join(groups[until[w] : until[w + 1]]) for w in range(n)])
-
-        codes, times, owners = [NONE.a], [NONE.a], [NONE.a]
-        large = np.flatnonzero(p * q > LINKS // 100)
-        small = ~np.isin(group_a, large)
-        each = q[group_a[small]]  # B tokens that an A token is linked with
-        at = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each) + np.repeat((np.cumsum(q) - q)[group_a[small]], each)
-        codes.append((np.repeat(a[small], each) << 32) | b[at])
-        owners.append(word_of[np.repeat(group_a[small], each)])
-        times.append(np.ones(len(at), np.int64))
-        for g in large:
-            c, t = link_counts([Tokens(a[to_a[g] : to_a[g + 1]], NONE.a, b[to_b[g] : to_b[g + 1]], NONE.a)])
-            codes.append(c)
-            times.append(t)
-            owners.append(np.full(len(c), word_of[g]))
-        code, time, owner = (np.concatenate(x) for x in (codes, times, owners))
-        ids = self._pair_ids(code)
-        key, time = _summed((owner << 32) | ids, time)
+        texts = iter([";".join(groups.texts[until[w] : until[w + 1]]) for w in range(n)])
+        ids = self._pair_ids(groups.codes)
+        key, time = _summed((word_of[groups.owners] << 32) | ids, groups.times)
         n_pairs = np.bincount(key >> 32, minlength=n)
 
         spread = np.full(len(words), -1, np.int64)
@@ -353,7 +346,7 @@ COUNTS = "n_a long, n_b long, n_groups long, n_links long"
 LINKED = "pairs array<long>, times array<long>"
 LEAF = f"row long, doc_id long, {COUNTS}, groups_sha256 string, {LINKED}, n long, a_at long, a_text string, b_at long, b_text string"
 OPEN = ", ".join(f"{side}_{part} array<long>" for side in ("head", "tail") for part in ("a", "a_ends", "b", "b_ends"))
-#: ``at`` is the byte at which the closed groups of a row begin.
+#: ``at`` is the byte at which the first closed group of a row ends.
 CLOSED = f"at long, groups string, n_groups long, n_links long, {LINKED}"
 FRAGMENT = f"row long, n long, n_a long, n_b long, same boolean, cut boolean, {OPEN}, {CLOSED}"
 
@@ -367,13 +360,12 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         yield batch.slice(i, 1).to_pylist()[0]
 
 
-def _closed(groups: tuple[Tokens, ...]) -> dict:
-    if not groups:
+def _closed(run: Tokens) -> dict:
+    if not len(run.a):
         return {}
-    codes, times = link_counts(groups)
-    links = sum(len(g.a) * len(g.b) for g in groups)
-    # the groups' order is that of their ends
-    return {"at": int(groups[0].a_ends[-1]), "groups": ";".join(g.text() for g in groups), "n_groups": len(groups), "n_links": links, "pairs": codes, "times": times}
+    groups = Groups.of(run)
+    codes, times = _summed(groups.codes, groups.times)
+    return {"at": int(groups.ends[0]), "groups": ";".join(groups.texts), "n_groups": len(groups.ends), "n_links": int((groups.n_a * groups.n_b).sum()), "pairs": codes, "times": times}
 
 
 def _opened(f: Fragment) -> dict:
@@ -385,7 +377,7 @@ def _opened(f: Fragment) -> dict:
 
 def _fragment(row: dict) -> Fragment:
     head, tail = (tokens(*(row[f"{side}_{x}"] for x in ("a", "a_ends", "b", "b_ends"))) for side in ("head", "tail"))
-    return Fragment(head, (), tail if row["cut"] else None)
+    return Fragment(head, NONE, tail if row["cut"] else None)
 
 
 def _leaves(df: DataFrame, id_col: str, text_col: str, path_a: str, path_b: str) -> DataFrame:
@@ -440,8 +432,7 @@ def _composed(fragments: DataFrame, last: bool) -> DataFrame:
 
         def finished() -> pa.RecordBatch:
             if last:
-                whole = Fragment(held.head, (), held.tail)
-                return _batch(schema, [{"row": key[0]} | _closed(whole.groups())])
+                return _batch(schema, [{"row": key[0]} | _closed(held.whole())])
             return _batch(schema, [{"row": key[0], "n": key[1]} | _opened(held)])
 
         for r in (row for batch in batches for row in _rows(batch)):
@@ -450,9 +441,9 @@ def _composed(fragments: DataFrame, last: bool) -> DataFrame:
                     yield finished()
                 key, held = (r["row"], r["n"] // FAN), Fragment()
             held = held + _fragment(r)
-            if held.closed:
+            if len(held.closed.a):
                 yield _batch(schema, [{"row": key[0]} | _closed(held.closed)])
-                held = Fragment(held.head, (), held.tail)
+                held = Fragment(held.head, NONE, held.tail)
         if key is not None:
             yield finished()
 

@@ -99,12 +99,16 @@ def test_words_are_forgotten_without_loss(spark, documents, monkeypatch):
         assert one["n_groups"].tolist() == [len(groups)] and one["n_links"].tolist() == [sum(len(a) * len(b) for a, b in groups)]
 
 
-def test_a_large_group_is_counted_by_its_distinct_ids():
+def test_a_large_group_is_counted_by_its_distinct_ids(monkeypatch):
     rng = np.random.default_rng(1)
-    g = al.tokens(rng.integers(0, 5, 300), [], rng.integers(0, 4, 200), [])
-    codes, times = al.link_counts([g, g])
-    want = Counter((int(a) << 32) | int(b) for a in g.a for b in g.b)
-    assert dict(zip(codes.tolist(), times.tolist())) == {c: 2 * n for c, n in want.items()}
+    a, b = rng.integers(1, 5, 90).tolist(), rng.integers(0, 4, 70).tolist()
+    g = al.tokens(a, np.arange(90) * 2 + 1, b, [*range(0, 138, 2), 179])
+    want = Counter((x << 32) | y for x in a for y in b)
+    for large in (10, 10_000):
+        monkeypatch.setattr(al, "LARGE", large)
+        groups = al.Groups.of(g)
+        codes, times = al._summed(groups.codes, groups.times)
+        assert dict(zip(codes.tolist(), times.tolist())) == want and groups.ends.tolist() == [179]
 
 
 sides = st.lists(st.integers(1, 4), max_size=30)
@@ -117,7 +121,7 @@ def streams(a, b):
 
 def as_lists(f):
     one = lambda t: None if t is None else [x.tolist() for x in t.parts()]
-    return one(f.head), [one(g) for g in f.closed], one(f.tail)
+    return one(f.head), one(f.closed), one(f.tail)
 
 
 @settings(max_examples=300, deadline=None)
