@@ -6,10 +6,11 @@ Shape of the plan:
    in any cohort, so the large logs are cut down to buyers before anything is shuffled.
 2. The remaining rows are rolled up to (client, log, day, item): a narrow shuffle with map-side aggregation, in
    which a hot client is spread over its items and days.
-3. The rollup is partitioned by client. Clients that hold very many rows get several parts, cut by
-   category or page, found by a sketch beforehand. Everything up to the client is now local: the
+3. The rollup is partitioned by client. Everything up to the client is now local: the
    fan-out to snapshots, items, categories, and the aggregation per client and snapshot.
-   Rows are copied per snapshot only here, so the copies are never shuffled.
+   Rows are copied per snapshot only here, so the copies are never shuffled. Clients that hold very many rows, known
+   from a stored table, get several parts, cut by item; the parts of one of their categories, one row each, are then merged, so that
+   its share is counted whole.
 4. Distinct items and categories are counted by grouping first, so no ``count(distinct)`` expands rows. Distinct
    days are bits of a word, joined with ``bit_or``.
 5. The last grouping by ``(snapshot_date, client_id)`` merges the parts: it shuffles about one row per
@@ -36,8 +37,8 @@ from ebbline.config import (
     SEARCH,
     ChurnConfig,
 )
-from ebbline.operators.joins import fits_broadcast, join_key_table
-from ebbline.operators.snapshots import Bounds, SnapshotGrid, fan_out, hot_clients
+from ebbline.operators.joins import HotKeys, fits_broadcast, hot_keys, join_key_table, part_of
+from ebbline.operators.snapshots import Bounds, SnapshotGrid, fan_out
 from ebbline.session import stage
 
 KEYS = ("snapshot_date", "client_id")
@@ -130,7 +131,10 @@ def buy_spans(days: DataFrame) -> DataFrame:
 def attach_products(days: DataFrame, products: DataFrame, cfg: ChurnConfig) -> DataFrame:
     """Category and price of each product event; events of unknown products are kept."""
     small = fits_broadcast(products, cfg.broadcast_rows)
-    return join_key_table(days, products, "sku", "left", broadcast=small, salts=cfg.join_salts)
+    if small:
+        return join_key_table(days, products, "sku", "left", broadcast=True)
+    days = stage(days, "product-days")  # counted, then joined
+    return join_key_table(days, products, "sku", "left", broadcast=False, hot=hot_keys(days, "sku", least_parts=cfg.join_salts))
 
 
 def _rollup(rows: DataFrame, items: tuple[str, ...], sums: tuple[str, ...] = ("n",)) -> DataFrame:
@@ -138,13 +142,20 @@ def _rollup(rows: DataFrame, items: tuple[str, ...], sums: tuple[str, ...] = ("n
     return aggregate(rows, (*SPAN, "event", "day", *items), {c: f"sum({c})" for c in sums})
 
 
-def _by_client(rows: DataFrame, hot: Sequence[int], parts: int) -> DataFrame:
-    """Partition by client; hot clients in ``parts`` pieces along categories and pages."""
-    part = "0"
-    if hot:
-        ids = ", ".join(f"{h}L" for h in hot)
-        part = f"CASE WHEN client_id IN ({ids}) THEN pmod(xxhash64(event, coalesce(category, item)), {parts}) ELSE 0 END"
-    return rows.selectExpr("*", f"CAST({part} AS INT) AS part").repartition("client_id", "part")
+def _by_client(marked: DataFrame) -> DataFrame:
+    """Partition by client; the rows of a heavy client (``_parts`` is set) in parts along its items."""
+    return marked.withColumn("part", part_of("event", "item")).drop("_parts").repartition("client_id", "part")
+
+
+def _item_branches(rows: DataFrame, hot: HotKeys | None, grid: SnapshotGrid, cfg: ChurnConfig, m: Measures) -> list[DataFrame]:
+    """Category sums per client and snapshot, of heavy clients in a branch of their own."""
+    if hot is None:
+        local = rows.withColumn("part", F.lit(0)).repartition("client_id", "part")
+        return [_item_parts(_fanned(local, grid, cfg, cfg.label_days), m).drop("part")]
+    marked = stage(hot.mark(rows, "client_id"), "marked")  # read by both branches
+    cold, heavy = (_by_client(marked.filter(f"_parts IS {kind}")) for kind in ("NULL", "NOT NULL"))
+    cold, heavy = (_item_parts(_fanned(local, grid, cfg, cfg.label_days), m) for local in (cold, heavy))
+    return [cold.drop("part"), _merged_parts(heavy, m)]
 
 
 def _fanned(rows: DataFrame, grid: SnapshotGrid, cfg: ChurnConfig, ahead: int) -> DataFrame:
@@ -180,6 +191,12 @@ def _item_parts(rows: DataFrame, m: Measures) -> DataFrame:
     )
 
 
+def _merged_parts(parts: DataFrame, m: Measures) -> DataFrame:
+    """Categories whose items were dealt to several parts as one row again; an item is in one part only."""
+    sums = {c: f"sum({c})" for c in ("n_items", "price_sum", "price_n")}
+    return aggregate(parts, (*KEYS, "event", "category"), m.merged() | sums | {"price_max": "max(price_max)"})
+
+
 def search_days(days: DataFrame, keys: tuple[str, ...] = ("client_id",)) -> DataFrame:
     """Searches per client and day, with flags for a cart or buy on the same and on the next day.
 
@@ -315,12 +332,12 @@ def snapshot_profile(
     small = bounds.n_buyers <= cfg.broadcast_rows if bounds else fits_broadcast(buyers, cfg.broadcast_rows)
     if not small:
         buyers = stage(buyers, "buyers")  # every log is joined to it
-    hot: Sequence[int] = ()
+    hot = None
     if itemised:  # without items a client has few rows per day, however active it is
-        hot = hot_clients(days, days.count()) if bounds is None else bounds.hot
+        hot = hot_keys(days, "client_id", least_parts=cfg.join_salts) if bounds is None else bounds.hot
 
     def of_buyers(rows: DataFrame) -> DataFrame:
-        return join_key_table(rows, buyers, "client_id", "inner", broadcast=small, salts=cfg.join_salts, hot=hot)
+        return join_key_table(rows, buyers, "client_id", "inner", broadcast=small, hot=hot)
 
     def rolled_up(names: Sequence[str], items: tuple[str, ...]) -> DataFrame:
         rows = days.filter(F.col("event").isin(*names))
@@ -343,9 +360,10 @@ def snapshot_profile(
     if plain:
         logs.append(rolled_up(plain, ()))
     # Without items the last grouping moves the rows to their client anyway.
-    local = _by_client(_union(logs), hot, cfg.join_salts) if itemised else _union(logs).withColumn("part", F.lit(0))
-    copies = _fanned(local, grid, cfg, cfg.label_days)
-    branches = [_item_parts(copies, m) if itemised else project(copies, (*KEYS, "event"), m.of_row())]
+    if itemised:
+        branches = _item_branches(_union(logs), hot, grid, cfg, m)
+    else:
+        branches = [project(_fanned(_union(logs), grid, cfg, cfg.label_days), (*KEYS, "event"), m.of_row())]
     if SEARCH in used:
         searches = search_days(of_buyers(days.filter(F.col("event").isin(SEARCH, CART, BUY))), SPAN).repartition("client_id")
         copies = _fanned(searches.withColumn("event", F.lit(SEARCH)), grid, cfg, 0)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.config import BUY, ChurnConfig
-from ebbline.operators.joins import fits_broadcast, join_key_table
+from ebbline.operators.joins import HOT_ROWS, HotKeys, fits_broadcast, hot_keys, join_key_table
 
 DAY = dt.timedelta(days=1)
 
@@ -22,40 +22,24 @@ def buyer_activity(activity: DataFrame, cfg: ChurnConfig) -> DataFrame:
     """Events of clients that ever bought."""
     buyers = ever_buyers(activity)
     small = fits_broadcast(buyers, cfg.broadcast_rows)
-    return join_key_table(activity, buyers, "client_id", "left_semi", broadcast=small, salts=cfg.join_salts)
-
-
-# Rows of one client that a task can take; clients with more are spread over several tasks.
-HOT_ROWS = 2_000_000
-# Rows from which heavy clients are estimated. A client missed or added costs speed, never rows.
-HOT_SAMPLE = 20_000_000
-
-
-def hot_clients(activity: DataFrame, total: int, hot_rows: int = HOT_ROWS) -> tuple[int, ...]:
-    """Clients with more than about ``hot_rows`` rows, at most ``total / hot_rows`` of them. Rows are sampled and counted
-    per client with partial sums on the map side, so no task gathers more than its share of the clients."""
-    if total <= hot_rows:
-        return ()
-    share = min(1.0, HOT_SAMPLE / total)
-    rows = activity.select("client_id") if share == 1.0 else activity.select("client_id").sample(share, seed=7)
-    counts = rows.filter("client_id IS NOT NULL").groupBy("client_id").agg(F.count("*").alias("n"))
-    return tuple(sorted(r.client_id for r in counts.filter(F.col("n") > hot_rows * share).collect()))
+    hot = None if small else hot_keys(activity, "client_id", least_parts=cfg.join_salts)
+    return join_key_table(activity, buyers, "client_id", "left_semi", broadcast=small, hot=hot)
 
 
 @dataclass(frozen=True)
 class Bounds:
-    """Time span of the buyers' events, number of buyers, and clients known to hold very many rows."""
+    """Time span of the buyers' events, number of buyers, and the clients known to hold very many rows."""
 
     min_ts: dt.datetime | None
     max_ts: dt.datetime | None
     n_buyers: int
-    hot: tuple[int, ...] = ()
+    hot: HotKeys | None = None
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(self.min_ts, self.max_ts)], "min_ts timestamp_ntz, max_ts timestamp_ntz")
 
 
-def _buyer_bounds(activity: DataFrame, rows: str, hot: tuple[int, ...]) -> Bounds:
+def _buyer_bounds(activity: DataFrame, rows: str, hot: HotKeys | None) -> Bounds:
     """Bounds over the events of buyers that match ``rows``. One aggregate per client takes the place of a
     join with the buyers, and partial aggregation absorbs hot clients."""
     per_client = (
@@ -78,7 +62,7 @@ def dataset_bounds(activity: DataFrame, hot_rows: int = HOT_ROWS) -> Bounds:
     these days (and the small buy log) are grouped by client; if they do not, all events are.
     """
     whole = activity.agg(F.min("ts").alias("low"), F.max("ts").alias("high"), F.count("*").alias("n")).first()
-    hot = hot_clients(activity, whole.n, hot_rows)
+    hot = hot_keys(activity, "client_id", whole.n, hot_rows)
     if whole.low is None:
         return Bounds(None, None, 0)
     head_end, tail_start = whole.low.date() + DAY, whole.high.date()

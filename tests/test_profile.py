@@ -7,8 +7,10 @@ import pytest
 from fixtures import DAY, PRODUCTS, START, activity_frame, at, brute_force, product_frame, random_rows, row
 
 from ebbline.config import ALL_EVENTS, BUY, CART, PAGE, SEARCH, ChurnConfig
+from ebbline.operators import joins as joins_module
 from ebbline.operators import profile as profile_module
 from ebbline.operators.days import daily_rollup, day_rows
+from ebbline.operators.joins import HotKeys, hot_keys, join_key_table
 from ebbline.operators.profile import snapshot_profile
 from ebbline.operators.snapshots import Bounds, dataset_bounds, grid_between
 from ebbline.session import stage
@@ -53,10 +55,14 @@ def test_salted_joins_give_the_same(spark):
     check(got, expected)
 
 
+def heavy(spark, parts):
+    return HotKeys(spark.createDataFrame(list(parts.items()), "key long, parts int"), len(parts))
+
+
 def test_hot_client_in_parts_gives_the_same(spark):
     rows = random_rows(4, n_rows=1500, hot=True)
     found = dataset_bounds(activity_frame(spark, rows))
-    bounds = Bounds(found.min_ts, found.max_ts, found.n_buyers, hot=(1, 5))
+    bounds = Bounds(found.min_ts, found.max_ts, found.n_buyers, hot=heavy(spark, {1: 5, 5: 3}))
     got, expected = build(spark, rows, replace(CFG, join_salts=5), bounds=bounds)
     check(got, expected)
 
@@ -64,11 +70,51 @@ def test_hot_client_in_parts_gives_the_same(spark):
 def test_hot_client_is_spread_by_item(spark):
     rows = [(c, PAGE, None, i) for c in (1, 2) for i in range(40)] + [(1, BUY, 7, i) for i in range(40)]
     df = spark.createDataFrame(rows, "client_id long, event string, category long, item long")
-    spread = profile_module._by_client(df, hot=[1], parts=8)
+    spread = profile_module._by_client(heavy(spark, {1: 8}).mark(df, "client_id"))
     parts = dict(spread.groupBy("client_id").agg({"part": "max"}).collect())
     assert parts[2] == 0 and parts[1] > 3
-    # a category stays together, so that its share can be counted inside the part
-    assert spread.filter("category = 7").select("part").distinct().count() == 1
+    # also the items of one category are spread
+    assert spread.filter("category = 7").select("part").distinct().count() > 3
+
+
+def test_dominant_category_of_one_client_is_spread(spark):
+    """One client whose items nearly all lie in one category, in many parts: its share is that of the whole category."""
+    rows = [row(1, at(d, i), event, 100 + i) for event in (BUY, CART) for d in range(3, 40) for i in range(12)]
+    rows += [row(1, at(d), BUY, 1) for d in range(5, 40, 2)] + [row(2, at(d), BUY, 1 + d % 3) for d in range(60)]
+    products = [(100 + i, 7, 2.0 * i) for i in range(12)] + [(1, 8, 1.0), (2, 8, 3.0), (3, 9, None)]
+    activity = activity_frame(spark, rows)
+    found = dataset_bounds(activity)
+    grid = grid_between(found, CFG)
+    frame = product_frame(spark, products)
+    for cfg in (CFG, replace(CFG, broadcast_rows=0)):
+        bounds = Bounds(found.min_ts, found.max_ts, found.n_buyers, hot=heavy(spark, {1: 9}))
+        got = snapshot_profile(day_rows(activity), grid, cfg, frame, ALL_EVENTS, ALL_EVENTS, bounds)
+        check(got, brute_force(rows, products, cfg, grid.dates))
+        share = got.filter("client_id = 1").agg({"product_buy_top_category_share_20d": "max"}).first()[0]
+        assert 0.9 < share < 1
+
+
+def test_hot_keys_are_data(spark):
+    """100,000 heavy clients: they are counted, stored and joined, and no list of them stands in a plan."""
+    rows = spark.range(400_000).selectExpr("id % 130000 AS client_id", "id AS x")  # of 0..9999 there are 4, of the others 3
+    hot = hot_keys(rows.filter("client_id < 100000 OR x < 130000"), "client_id", hot_rows=2)
+    assert hot.count == 100_000 and hot.table.agg({"parts": "max"}).first()[0] == 2
+    small = spark.range(110_000).selectExpr("id AS client_id", "id * 2 AS y")
+    joined = join_key_table(rows, small, "client_id", "inner", broadcast=False, hot=hot)
+    plan = joined._jdf.queryExecution().toString()
+    assert len(plan) < 20_000 and " IN (" not in plan and " INSET " not in plan
+    assert joined.count() == rows.filter("client_id < 110000").count() == joined.filter("y = client_id * 2").count()
+    assert joined.columns == ["client_id", "x", "y"]
+    assert hot_keys(rows, "client_id", hot_rows=1_000_000) is None and hot_keys(rows.filter("false"), "client_id", hot_rows=1) is None
+
+
+def test_shuffled_hot_keys_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(joins_module, "HOT_BROADCAST", 0)
+    rows = random_rows(9, n_rows=800, hot=True)
+    found = dataset_bounds(activity_frame(spark, rows), hot_rows=60)
+    assert found.hot.count == 1
+    got, expected = build(spark, rows, replace(CFG, broadcast_rows=0), bounds=found)
+    check(got, expected)
 
 
 def test_windows_of_several_words(spark, monkeypatch):

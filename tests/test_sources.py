@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from ebbline.config import ALL_EVENTS, BUY, CART, PAGE, REMOVE, SEARCH, ChurnConfig
 from ebbline.functions import scalar
 from ebbline.operators.days import client_days, daily_rollup, day_rows
+from ebbline.operators.joins import hot_keys
 from ebbline.operators.snapshots import (
     Bounds,
     SnapshotGrid,
     buyer_activity,
     dataset_bounds,
     grid_between,
-    hot_clients,
     split_names,
 )
 from ebbline.plans.feature_table import build_feature_table, run_record
@@ -158,8 +158,9 @@ def test_bounds_use_buyers_only(spark):
 
 def test_hot_clients(spark):
     rows = spark.range(1000).selectExpr("CASE WHEN id < 400 THEN 5 WHEN id < 550 THEN 2 WHEN id < 900 THEN NULL ELSE id END AS client_id")
-    assert hot_clients(rows, 1000, 100) == (2, 5) and hot_clients(rows, 1000, 200) == (5,)
-    assert hot_clients(rows, 1000, 1000) == ()
+    found = [hot_keys(rows, "client_id", 1000, n) for n in (100, 200)]
+    assert [sorted(r.key for r in f.table.collect()) for f in found] == [[2, 5], [5]]
+    assert hot_keys(rows, "client_id", 1000, 1000) is None
 
 
 def test_grid(spark):
