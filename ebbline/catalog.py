@@ -8,23 +8,25 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.config import ALL_EVENTS, BUY, CART, PAGE, REMOVE, SEARCH, ChurnConfig
+from ebbline.config import ALL_EVENTS, BUY, CART, COHORTS, PAGE, REMOVE, SEARCH, ChurnConfig
 from ebbline.functions.scalar import parse_vector
 from ebbline.operators import errors, folds, profiling, strategy
-from ebbline.operators.comparison import compare_runs
+from ebbline.operators.comparison import choose_best_model
 from ebbline.operators.days import client_days, daily_rollup, day_rows
 from ebbline.operators.derived import funnel_columns, trend_columns
 from ebbline.operators.metrics import Scored, binary_metrics, prediction_frame
+from ebbline.operators.profile import definition_rates as profile_rates
 from ebbline.operators.profile import project, search_days, snapshot_profile
 from ebbline.operators.ranking import By, row_numbers
 from ebbline.operators.sampling import cap_rows, class_counts
 from ebbline.operators.snapshots import buyer_activity, dataset_bounds, grid_between, present_dates, rollup_bounds, snapshot_grid
 from ebbline.plans.backtest import run_rolling_backtest
-from ebbline.plans.feature_table import FeatureTable, assign_time_splits, build_feature_table, run_record
+from ebbline.plans.feature_table import FeatureTable, assign_time_splits, build_feature_table, build_feature_tables, run_record
 from ebbline.plans.models import FAST, class_weights, feature_importance, feature_names, fit, train_and_evaluate
 from ebbline.plans.strategy import run_roi_simulation, run_strategy_analysis
 from ebbline.session import shared_folder, stage
@@ -36,6 +38,7 @@ from ebbline.sources.bindings import (
     part_products,
     stream_activity,
 )
+from ebbline.sources.runs import read_runs, write_run
 
 KEYS = ["snapshot_date", "client_id"]
 CAP = 300
@@ -423,27 +426,33 @@ def rolling_backtest_logistic(spark, sf_dir):
 # --- comparison and descriptions ----------------------------------------------------------------
 
 
-def run_comparison(spark, sf_dir):
-    """The three cohort definitions, each with two fixed scores in the place of models."""
+DEFINITIONS = [(cohort, STREAM_CONFIG.churn) for cohort in COHORTS]
+
+
+def definition_rates(spark, sf_dir):
+    """Three cohorts by two churn rules from one pass over the events."""
     activity = stream_activity(spark, sf_dir)
     bounds = dataset_bounds(activity)
-    grid = grid_between(bounds, STREAM_CONFIG)
-    scored, records = None, None
-    for name in ("historical_buyers", "recently_active_buyers", "recent_engaged_buyers"):
-        cfg = replace(STREAM_CONFIG, cohort=name)
-        profile = stage(snapshot_profile(day_rows(activity), grid, cfg, events=(BUY, PAGE), bounds=bounds), "profile")
-        record = run_record(spark, FeatureTable(profile, grid, cfg), "events").withColumn("prefix", F.lit(name))
-        rows = assign_time_splits(profile)
-        for model, event in (("buy_score", BUY), ("page_score", PAGE)):
-            one = rows.selectExpr(
-                *KEYS, "split", "churn AS y_true", f"{RECENCY_SCORE.format(e=event)} AS y_score",
-                f"'{name}' AS prefix", f"'{model}' AS model",
-            )
-            scored = one if scored is None else scored.unionByName(one)
-        records = record if records is None else records.unionByName(record)
+    profile = snapshot_profile(day_rows(activity), grid_between(bounds, STREAM_CONFIG), STREAM_CONFIG, events=(BUY,), bounds=bounds, every_definition=True)
+    return rounded(profile_rates(profile))
+
+
+def run_comparison(spark, sf_dir):
+    """Three stored runs, one per cohort, each with its full feature table and two fixed scores in the place of models."""
+    tables = build_feature_tables(stream_activity(spark, sf_dir), part_products(spark, sf_dir), STREAM_CONFIG, DEFINITIONS)
+    scored = reduce(DataFrame.unionByName, [
+        table.frame.selectExpr(*KEYS, "split", "churn AS y_true", f"{RECENCY_SCORE.format(e=event)} AS y_score", f"'{cohort}' AS prefix", f"'{model}' AS model")
+        for (cohort, _), table in tables.items()
+        for model, event in (("buy_score", BUY), ("page_score", PAGE))
+    ])
     metrics = stage(binary_metrics(scored, ["prefix", "model", "split"]), "metrics")
-    refits = metrics.filter("model = 'buy_score' AND split = 'test'")
-    return rounded(compare_runs(records, metrics, refits))
+    root = f"{shared_folder(spark)}/ebbline/runs-{uuid.uuid4().hex}"
+    for (cohort, _), table in tables.items():
+        own = metrics.filter(F.col("prefix") == cohort)
+        best = choose_best_model(own).select("model")
+        refit = own.filter("split = 'test'").join(F.broadcast(best), "model", "left_semi").withColumn("split", F.lit("test_refit"))
+        write_run(root, cohort, run_record(spark, table, "events"), own.filter("split <> 'train'"), refit)
+    return rounded(read_runs(spark, root).compare())
 
 
 def histogram_of(column: str):
@@ -552,6 +561,7 @@ QUERIES = {
     "feature_importance": model_feature_importance,
     "rolling_backtest_logistic": rolling_backtest_logistic,
     "run_comparison": run_comparison,
+    "definition_rates": definition_rates,
     "active_days_histogram": histogram_of("active_days_10d"),
     "buy_count_histogram": histogram_of(f"{BUY}_count_10d"),
     "label_distribution": label_distribution,

@@ -1,4 +1,8 @@
-"""Choice of a model from its metrics, and comparison of runs under several definitions."""
+"""Choice of a model from its metrics, and comparison of runs under several definitions.
+
+There are two choices. While training, the first model with the highest average precision wins. From stored metrics, ties of
+average precision go by ROC-AUC, then by F1.
+"""
 
 from __future__ import annotations
 
@@ -26,19 +30,29 @@ def preference() -> Column:
     return F.when(place > 0, place).otherwise(len(MODEL_ORDER) + 1)
 
 
-def choose_best_model(metrics: DataFrame) -> DataFrame:
+def first_best_model(metrics: DataFrame) -> DataFrame:
     """The validation row with the highest average precision; of equal ones the first in MODEL_ORDER."""
     valid = metrics.filter(F.col("split") == "valid")
     return valid.orderBy(F.desc("pr_auc"), preference(), "model").limit(1)
 
 
+def _by_metrics() -> list[Column]:
+    """Higher metrics first and undefined ones last; full ties by MODEL_ORDER."""
+    return [-F.coalesce(c, F.lit(-1.0)) for c in ("pr_auc", "auc", "f1")] + [preference(), F.col("model")]
+
+
+def choose_best_model(metrics: DataFrame) -> DataFrame:
+    """The validation row with the highest average precision, then ROC-AUC, then F1."""
+    return metrics.filter(F.col("split") == "valid").orderBy(*_by_metrics()).limit(1)
+
+
 def order_metrics(metrics: DataFrame) -> DataFrame:
     return metrics.orderBy(F.asc("split"), F.desc("pr_auc"), F.desc("auc"))
 
 
 def compare_runs(records: DataFrame, metrics: DataFrame, refits: DataFrame) -> DataFrame:
     """One row per ``prefix``: run record, best validation model, and test metrics of the refitted model."""
-    rank = F.struct(-F.coalesce("pr_auc", F.lit(-1.0)), preference(), "model")
+    rank = F.struct(*_by_metrics())
     best = (
         metrics.filter(F.col("split") == "valid")
         .groupBy("prefix")

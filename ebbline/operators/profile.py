@@ -22,6 +22,7 @@ The many similar columns are written as SQL expressions, one string each.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -31,6 +32,8 @@ from ebbline.config import (
     ALL_EVENTS,
     BUY,
     CART,
+    CHURN_RULES,
+    COHORTS,
     ENGAGEMENT_EVENTS,
     PAGE,
     PRODUCT_EVENTS,
@@ -44,6 +47,8 @@ from ebbline.session import stage
 KEYS = ("snapshot_date", "client_id")
 SPAN = ("client_id", "first_buy", "last_buy")
 WORD_BITS = 62
+# The cohort that holds all the others.
+WIDEST = "historical_buyers"
 TEXT_SUMS = ("n", "n_text", "text_chars", "text_words")
 SEARCH_PARTS = ("chars", "words", "to_cart", "to_buy")
 
@@ -233,27 +238,34 @@ def _search_parts(rows: DataFrame, m: Measures) -> DataFrame:
     return project(rows, (*KEYS, "event"), m.of_row() | parts)
 
 
-def _cohort_filter(cfg: ChurnConfig) -> str:
-    if cfg.cohort == "historical_buyers":
+def _cohort_filter(cohort: str, cfg: ChurnConfig) -> str:
+    if cohort == "historical_buyers":
         return "true"  # the fan-out already requires a buy before the snapshot
     last = f"least({', '.join(f'{e}_recency' for e in ENGAGEMENT_EVENTS)})"
-    if cfg.cohort == "recently_active_buyers":
+    if cohort == "recently_active_buyers":
         return f"{last} IS NOT NULL"
     return f"{BUY}_recency IS NOT NULL AND {last} <= {cfg.recent_days}"
 
 
+def _churn_rule(churn: str, m: Measures) -> str:
+    rule = "coalesce(n_future, 0L) = 0"
+    if churn == "no_buy_and_low_future_activity":
+        rule += f" AND {_future_days(m)} <= {m.cfg.low_activity_days}"
+    return rule
+
+
+def _future_days(m: Measures) -> str:
+    return _distinct_days([f"coalesce({c}, 0L)" for c in m.future])
+
+
+def _bits(conditions: list[str]) -> str:
+    """Bit i is set where condition i holds."""
+    return " | ".join(f"CASE WHEN {c} THEN {1 << i} ELSE 0 END" for i, c in enumerate(conditions))
+
+
 def _label_columns(m: Measures) -> dict[str, str]:
     cfg = m.cfg
-    buys = "coalesce(n_future, 0L)"
-    active = _distinct_days([f"coalesce({c}, 0L)" for c in m.future])
-    rule = f"{buys} = 0"
-    if cfg.churn == "no_buy_and_low_future_activity":
-        rule += f" AND {active} <= {cfg.low_activity_days}"
-    return {
-        f"future_buy_count_{cfg.label_days}d": buys,
-        f"future_active_days_{cfg.label_days}d": active,
-        "churn": f"CASE WHEN {rule} THEN 1 ELSE 0 END",
-    }
+    return {f"future_buy_count_{cfg.label_days}d": "coalesce(n_future, 0L)", f"future_active_days_{cfg.label_days}d": _future_days(m)}
 
 
 def _event_columns(m: Measures, event: str, detailed: bool) -> dict[str, str]:
@@ -316,14 +328,21 @@ def snapshot_profile(
     details: tuple[str, ...] = (),
     bounds: Bounds | None = None,
     rolled: bool = False,
+    every_definition: bool = False,
 ) -> DataFrame:
     """Cohort rows with labels and the features of ``events``.
 
+    With ``every_definition`` the rows are the members of any cohort, and ``cohort_bits`` and ``churn_bits`` in the place of
+    ``churn`` say to which cohorts of COHORTS a row belongs and by which rules of CHURN_RULES it churned; ``of_definition`` picks one. The
+    features of a client do not depend on the definition, so one pass over the logs serves all of them.
+
     ``details`` names the logs whose item, price or text features are wanted; the others are grouped
     without their items. The engagement logs are always read: cohort and label need them. ``bounds`` of the same
     data saves the passes for the number of buyers and the hot clients; ``rolled`` says that ``days`` is a stored
     daily rollup.
     """
+    if every_definition:
+        cfg = replace(cfg, cohort=WIDEST)
     m = Measures(cfg)
     used = [e for e in ALL_EVENTS if e in events or e in ENGAGEMENT_EVENTS]
     itemised = [e for e in used if e in details and e != SEARCH]
@@ -378,9 +397,14 @@ def snapshot_profile(
         sums |= m.of_event(e)
         if e in details:
             sums |= _detail_aggregates(m, e)
-    profile = aggregate(parts, KEYS, sums).filter(_cohort_filter(cfg))
-
+    profile = aggregate(parts, KEYS, sums)
     public = _label_columns(m)
+    if every_definition:
+        public["cohort_bits"] = _bits([_cohort_filter(c, cfg) for c in COHORTS])
+        public["churn_bits"] = _bits([_churn_rule(c, m) for c in CHURN_RULES])
+    else:
+        profile = profile.filter(_cohort_filter(cfg.cohort, cfg))
+        public["churn"] = f"CASE WHEN {_churn_rule(cfg.churn, m)} THEN 1 ELSE 0 END"
     for e in ALL_EVENTS:
         if e in events:
             public |= _event_columns(m, e, e in details)
@@ -388,3 +412,29 @@ def snapshot_profile(
         words = [" | ".join(f"coalesce({e}_{c}, 0L)" for e in ALL_EVENTS) for c in m.past]
         public[f"active_days_{cfg.observation_days}d"] = _distinct_days(words)
     return project(profile, KEYS, public)
+
+
+def _has_bit(column: str, names: dict, name: str) -> str:
+    return f"{column} & {1 << list(names).index(name)} <> 0"
+
+
+def of_definition(profile: DataFrame, cohort: str, churn: str) -> DataFrame:
+    """The rows of one cohort with the label of one rule, as ``snapshot_profile`` makes them for that definition alone."""
+    label = f"CASE WHEN {_has_bit('churn_bits', CHURN_RULES, churn)} THEN 1 ELSE 0 END AS churn"
+    columns = [label if c == "churn_bits" else f"`{c}`" for c in profile.columns if c != "cohort_bits"]
+    return profile.filter(_has_bit("cohort_bits", COHORTS, cohort)).selectExpr(*columns)
+
+
+def definition_rates(profile: DataFrame) -> DataFrame:
+    """Rows, churners and churn rate per snapshot under every cohort and churn rule, in one grouping of a profile with bits."""
+    pairs = F.array(*[
+        F.struct(
+            F.lit(c).alias("cohort"), F.lit(r).alias("churn_rule"),
+            F.expr(_has_bit("cohort_bits", COHORTS, c)).alias("member"), F.expr(_has_bit("churn_bits", CHURN_RULES, r)).cast("bigint").alias("churned"),
+        )
+        for c in COHORTS for r in CHURN_RULES
+    ])
+    each = profile.select("snapshot_date", F.explode(pairs).alias("d")).filter("d.member")
+    return each.groupBy("d.cohort", "d.churn_rule", "snapshot_date").agg(
+        F.count("*").alias("cohort_size"), F.sum("d.churned").alias("churned"), F.avg("d.churned").alias("churn_rate")
+    )

@@ -504,21 +504,21 @@ splits AS (SELECT prefix, s, CASE WHEN i < floor(n * 0.6) THEN 'train' WHEN i <
         f"pred AS ({scored('buy_score', 'product_buy')} UNION ALL {scored('page_score', 'page_visit')})",
         *metric_ctes("pred", "prefix, model, split"),
         """best AS (SELECT * FROM measured WHERE split = 'valid'
-  QUALIFY row_number() OVER (PARTITION BY prefix ORDER BY pr_auc DESC, auc DESC, f1 DESC, model DESC) = 1)""",
+  QUALIFY row_number() OVER (PARTITION BY prefix ORDER BY pr_auc DESC, auc DESC, f1 DESC, model) = 1)""",
         f"texts AS (SELECT * FROM (VALUES {texts}) v(prefix, detail))",
     ]
     return query(
         ctes,
-        """SELECT t.prefix, t.prefix AS active_user_definition, t.detail AS active_user_definition_detail,
+        f"""SELECT t.prefix, t.prefix AS active_user_definition, t.detail AS active_user_definition_detail,
   'no_buy_in_label_window' AS churn_definition,
   'user is churned if there is no product_buy in the next label window' AS churn_definition_detail,
-  (SELECT count(*) FROM cohorts x WHERE x.prefix = t.prefix) AS row_count, CAST(17 AS BIGINT) AS feature_count,
+  (SELECT count(*) FROM cohorts x WHERE x.prefix = t.prefix) AS row_count, CAST({len(table_names()) + 2} AS BIGINT) AS feature_count,
   (SELECT count(*) FROM grid) AS snapshot_count,
   b.model AS best_valid_model, round(b.auc, 8) AS valid_auc, round(b.pr_auc, 8) AS valid_pr_auc, round(b.f1, 8) AS valid_f1,
   r.model AS test_refit_model, round(r.auc, 8) AS test_refit_auc, round(r.pr_auc, 8) AS test_refit_pr_auc,
   round(r.f1, 8) AS test_refit_f1, round(r.positive_rate, 8) AS test_positive_rate
 FROM texts t JOIN best b USING (prefix)
-     JOIN measured r ON r.prefix = t.prefix AND r.model = 'buy_score' AND r.split = 'test'""",
+     JOIN measured r ON r.prefix = t.prefix AND r.model = b.model AND r.split = 'test'""",
     )
 
 
@@ -579,6 +579,17 @@ def labels_sql(rule: str) -> str:
     )
 
 
+def definitions_sql() -> str:
+    """Each cohort with each churn rule, one after another."""
+    cohorts = "\n  UNION ALL ".join(f"SELECT '{n}' AS cohort, s, client_id FROM ({text})" for n, text in COHORTS.items())
+    rules = " UNION ALL ".join(f"SELECT '{n}' AS churn_rule, s, client_id, CASE WHEN {rule} THEN 1 ELSE 0 END AS churn FROM labels" for n, rule in RULES.items())
+    return query(
+        [*BASE, f"cohort AS ({COHORTS['historical_buyers']})", labels_cte(), f"cohorts AS ({cohorts})", f"rules AS ({rules})"],
+        """SELECT cohort, churn_rule, s AS snapshot_date, count(*) AS cohort_size, CAST(sum(churn) AS BIGINT) AS churned,
+  round(avg(churn), 8) AS churn_rate FROM cohorts JOIN rules USING (s, client_id) GROUP BY ALL""",
+    )
+
+
 def cohort_sql(name: str) -> str:
     return query([*BASE, f"cohort AS ({COHORTS[name]})"], "SELECT s AS snapshot_date, client_id FROM cohort")
 
@@ -705,6 +716,7 @@ FROM segmented GROUP BY error_type, value_segment""",
   round(avg(positive_rate), 8) AS positive_rate_mean FROM results GROUP BY model, split""",
     ),
     "run_comparison": comparison_sql(),
+    "definition_rates": definitions_sql(),
     "active_days_histogram": histogram_sql("active_days_10d"),
     "buy_count_histogram": histogram_sql("product_buy_count_10d"),
     "label_distribution": query(cohort_base(), "SELECT churn, count(*) AS n_rows FROM labels GROUP BY churn"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ebbline.config import ALL_EVENTS, ChurnConfig
 from ebbline.operators.days import daily_rollup
 from ebbline.operators.derived import funnel_columns, trend_columns
-from ebbline.operators.profile import project, snapshot_profile
+from ebbline.operators.profile import of_definition, project, snapshot_profile
 from ebbline.operators.snapshots import (
     Bounds,
     SnapshotGrid,
@@ -61,6 +61,24 @@ def build_feature_table(
     return FeatureTable(add_derived(assign_time_splits(staged), cfg), grid, cfg)
 
 
+def build_feature_tables(
+    activity: DataFrame, products: DataFrame, cfg: ChurnConfig, definitions: list[tuple[str, str]], rollup: DataFrame | None = None
+) -> dict[tuple[str, str], FeatureTable]:
+    """The feature table of every (cohort, churn rule), all from one profile that is computed and stored once."""
+    if rollup is None:
+        rollup = stage(daily_rollup(sample_clients(activity, cfg.sample_frac, cfg.seed)), "rollup")
+    days = sample_clients(rollup, cfg.sample_frac, cfg.seed)
+    bounds = rollup_bounds(days)
+    grid = grid_between(bounds, cfg)
+    profile = snapshot_profile(days, grid, cfg, products, ALL_EVENTS, ALL_EVENTS, bounds, rolled=True, every_definition=True)
+    staged = stage(profile, "definitions")
+    out = {}
+    for cohort, churn in definitions:
+        own = replace(cfg, cohort=cohort, churn=churn)
+        out[cohort, churn] = FeatureTable(add_derived(assign_time_splits(of_definition(staged, cohort, churn)), own), grid, own)
+    return out
+
+
 def run_record(spark: SparkSession, table: FeatureTable, dataset_root: str) -> DataFrame:
     """One row that describes the run. ``feature_count`` counts all columns, keys and label included."""
     cfg = table.config

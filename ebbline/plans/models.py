@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbline.config import ChurnConfig
-from ebbline.operators.comparison import choose_best_model, order_metrics
+from ebbline.operators.comparison import first_best_model, order_metrics
 from ebbline.operators.errors import error_feature_means, error_profile, value_segments, with_features, worst_cases
 from ebbline.operators.metrics import binary_metrics, prediction_frame
 from ebbline.operators.sampling import cap_rows
@@ -203,7 +203,7 @@ def train_and_evaluate(
             results.write_csv(feature_importance(spark, fitted, names), f"{output}/feature_importance_{model}")
     predictions = stage(reduce(DataFrame.unionByName, scored), "model-predictions")
     metrics = order_metrics(stage(binary_metrics(predictions, ("model", "split")), "metrics"))
-    best = choose_best_model(metrics).first().model
+    best = first_best_model(metrics).first().model
 
     refitted = fit(table.filter("split IN ('train', 'valid')"), best, names, cfg.seed, effort, caps)
     refit_scores = score(refitted, table.filter("split = 'test'"), names)

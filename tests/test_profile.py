@@ -6,12 +6,12 @@ from dataclasses import replace
 import pytest
 from fixtures import DAY, PRODUCTS, START, activity_frame, at, brute_force, product_frame, random_rows, row
 
-from ebbline.config import ALL_EVENTS, BUY, CART, PAGE, SEARCH, ChurnConfig
+from ebbline.config import ALL_EVENTS, BUY, CART, CHURN_RULES, COHORTS, PAGE, SEARCH, ChurnConfig
 from ebbline.operators import joins as joins_module
 from ebbline.operators import profile as profile_module
 from ebbline.operators.days import daily_rollup, day_rows
 from ebbline.operators.joins import HotKeys, hot_keys, join_key_table
-from ebbline.operators.profile import snapshot_profile
+from ebbline.operators.profile import definition_rates, of_definition, snapshot_profile
 from ebbline.operators.snapshots import Bounds, dataset_bounds, grid_between
 from ebbline.session import stage
 
@@ -45,6 +45,27 @@ def test_random_logs(spark, cohort, churn):
     check(got, expected)
 
 
+def test_every_definition_from_one_pass(spark):
+    rows = random_rows(11)
+    activity = activity_frame(spark, rows)
+    bounds = dataset_bounds(activity)
+    grid = grid_between(bounds, CFG)
+    products = product_frame(spark, PRODUCTS)
+    all_at_once = stage(snapshot_profile(day_rows(activity), grid, CFG, products, ALL_EVENTS, ALL_EVENTS, bounds, every_definition=True), "all")
+    rates = {(r.cohort, r.churn_rule, r.snapshot_date): (r.cohort_size, r.churned) for r in definition_rates(all_at_once).collect()}
+    for cohort in COHORTS:
+        for churn in CHURN_RULES:
+            cfg = replace(CFG, cohort=cohort, churn=churn)
+            one = of_definition(all_at_once, cohort, churn)
+            alone = snapshot_profile(day_rows(activity), grid, cfg, products, ALL_EVENTS, ALL_EVENTS, bounds)
+            assert one.columns == alone.columns
+            expected = brute_force(rows, PRODUCTS, cfg, grid.dates)
+            check(one, expected)
+            for s in {s for s, _ in expected}:
+                labels = [f["churn"] for (t, _), f in expected.items() if t == s]
+                assert rates[cohort, churn, s] == (len(labels), sum(labels))
+
+
 def test_leak_safe(spark):
     got, expected = build(spark, random_rows(2), replace(CFG, leak_safe=True))
     check(got, expected)

@@ -31,6 +31,8 @@ QUICK = (
     "model_inputs",
     "roi_best_strategies",
     "false_positive_feature_means",
+    "definition_rates",
+    "run_comparison",
 )
 NAMES = sorted(ORACLES) if os.environ.get("EBBLINE_ALL") else QUICK
 
