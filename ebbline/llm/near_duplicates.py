@@ -14,8 +14,9 @@ shares a key is then measured by WIDE more minima of 4 bits; there, WIDE_RADIUS
 Large buckets are never paired in full. First every member of a bucket is compared with the bucket's least class;
 confirmed links join classes to components. A pair inside one component needs no further test. Only buckets that still hold
 several components go on: their members are dealt in blocks to cells of bounded size, where signatures of different components are
-compared. In NEAREST rounds every class proposes its nearest one of another component only, which joins most; in the last round
-all pairs within the radii are confirmed on the texts. So the components are those of all links.
+compared. As long as that finds links, every class proposes its nearest one of another component only, in one of PARTS parts of the
+keys a round: so few pairs join nearly all of a large group. In the last round all pairs within the radii whose classes are still in
+different components are confirmed on the texts, each proposed in the least key that it shares. So the components are those of all links.
 
 A row's component_id is the least doc_id reachable (null ids are never the least), kept says that it is the row's own. Repeated
 rows are copies of each other. Null ids are kept; a group of null ids only has a null component. Other columns are not read.
@@ -47,7 +48,8 @@ RADIUS = CHUNKS * (ERRORS + 1) - 1
 #: Members of a bucket in a block, and links of one class that are confirmed together.
 BLOCK, LINKS = 512, 200
 MAX_ROUNDS = 60
-NEAREST = 2
+#: Rounds of nearest partners at most, and parts into which their keys are cut.
+NEAREST, PARTS = 12, 16
 #: Bits of the summary that keeps texts nobody asks for out of a shuffle: 1 MB whatever the input.
 FILTER_BITS = 1 << 23
 
@@ -262,6 +264,7 @@ def cross_pairs(members: DataFrame, components: DataFrame, classes: DataFrame, n
         kind, i, j = rows[0][1:4]
         sigs, wides = sig_parts([r[8] for r in rows])
         ids, comps, others, owns = (np.array([r[k] for r in rows]) for k in (4, 5, 6, 7))
+        keys = None if nearest else chunk_keys(sigs)
         for x in np.flatnonzero(others):
             wanted = comps != comps[x]
             if kind == 0:  # others against heads
@@ -273,8 +276,11 @@ def cross_pairs(members: DataFrame, components: DataFrame, classes: DataFrame, n
             at = np.flatnonzero(wanted)
             if len(at):
                 d = distances(sigs[at], wides[at], sigs[x], wides[x])
-                close = [int(np.argmin(d))] if nearest else np.flatnonzero(d <= WIDE_RADIUS)
-                for y in close:
+                close = np.array([np.argmin(d)]) if nearest else np.flatnonzero(d <= WIDE_RADIUS)
+                if not nearest and len(close):  # a pair meets in all keys that it shares
+                    shared = np.where(keys[at[close]] == keys[x], keys[x], np.iinfo(np.int64).max)
+                    close = close[shared.min(axis=1) == rows[0][0]]
+                for y in close.tolist():
                     if d[y] <= WIDE_RADIUS:
                         yield int(ids[x]), int(ids[at[y]]), int(d[y])
 
@@ -332,15 +338,19 @@ def grouped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     members = stage(keys.join(stage(buckets.select("key", "center"), "buckets"), "key"), "members")
     stars = members.where("class <> center").select(F.col("center").alias("a"), F.col("class").alias("b")).distinct()
     stars = stage(within_radius(stars, classes), "stars")
-    links, tested, labels = confirm(stars, classes, df, id_col, text_col), stars, None
-    for last in (False,) * NEAREST + (True,):
-        labels = connected(links) if labels is None else labels
-        more = cross_pairs(members, labels, classes, nearest=not last).join(tested, ["a", "b"], "left_anti")
-        more = stage(more, "cross")
-        if not more.isEmpty():
-            links, tested = links.union(confirm(more, classes, df, id_col, text_col)), tested.union(more)
-            labels = None
-    labels = connected(links) if labels is None else labels
+    links, tested = confirm(stars, classes, df, id_col, text_col), stars
+    labels, joins, last = connected(links), True, False
+    for part in range(NEAREST + 1):
+        last = not joins or part == NEAREST
+        some = members if last else members.where(F.pmod("key", F.lit(PARTS)) == part % PARTS)
+        more = stage(cross_pairs(some, labels, classes, nearest=not last).join(tested, ["a", "b"], "left_anti"), "cross")
+        found = None if more.isEmpty() else confirm(more, classes, df, id_col, text_col)
+        joins = found is not None and not found.isEmpty()
+        if joins:
+            labels = connected(links := links.union(found))
+        if last:
+            break
+        tested = tested.union(more)
     named = classes.join(labels, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     of_set = stage(named.join(least, "comp").select("set_id", "comp", "component_id"), "components")

@@ -139,3 +139,47 @@ def test_one_row_of_each_component_stays(spark, documents):
     assert sum(bool(t) and t.startswith("other") for _, t in got) == 1
     assert sorted((r for r in got if not r[1] or r[0] == 7), key=str) == sorted([(7, "a text that stands alone here"), (8, ""), (8, None), (9, "")], key=str)
     assert len(got) == 6
+
+
+def test_a_long_chain_of_near_copies(spark, documents, monkeypatch):
+    """Each text differs from the one before in a few words, so only neighbours are linked; and a second group of texts whose pairs lie
+    just below the similarity, all within the radii."""
+    monkeypatch.setattr(nd, "BLOCK", 64)
+    proposed = []
+    cross = nd.cross_pairs
+
+    def counted(*args, **options):
+        out = cross(*args, **options)
+        proposed.append(out.count())
+        return out
+
+    monkeypatch.setattr(nd, "cross_pairs", counted)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(700):
+        rows.append((10_000 - i, " ".join(words)))
+        words[rng.randrange(100)] = f"n{i}"
+    base = [f"b{i}" for i in range(100)]
+    for i in range(60):
+        own = list(base)
+        for k in (10, 50, 90):
+            own[k] = f"o{i}-{k}"
+        rows.append((i, " ".join(own)))
+    got = {r.doc_id: r.component_id for r in nd.near_duplicates(documents(rows)).collect()}
+    texts = dict(rows)
+    sets = {i: nd.shingle_set(t.encode()) for i, t in texts.items()}
+    parent = {i: i for i in texts}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i] = parent[parent[i]]
+        return i
+
+    ids = sorted(texts)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            if (a < 1000) == (b < 1000) and root(a) != root(b) and nd.similar(sets[a], sets[b]):
+                parent[max(root(a), root(b))] = min(root(a), root(b))
+    assert got == {i: root(i) for i in ids}
+    assert max(proposed) < 12 * len(rows)  # of about 20,000 pairs of the chain within the radii
