@@ -37,7 +37,7 @@ READ_BYTES = 4 << 20
 #: Chunks after which a new generation of remembered ones begins; two are kept.
 GENERATION = 150_000
 #: Chunks that are learned at a time, and how many of them are joined to a string.
-AT_ONCE, JOINED = 20_000, 200
+AT_ONCE, JOINED = 20_000, 100
 
 
 class EliasFano:
@@ -154,13 +154,11 @@ class Encoder:
     def learn(self, chunks: set[str]) -> None:
         if len(self.chunks) > GENERATION:  # what is not asked for again goes with the older generation
             self.older, self.chunks = self.chunks, {}
-        fresh = []
-        for chunk in chunks.difference(self.chunks):
-            ids = self.older.get(chunk)
-            if ids is None:
-                fresh.append(chunk)
-            else:
-                self.chunks[chunk] = ids
+        missing = chunks.difference(self.chunks)
+        fresh = list(missing.difference(self.older))
+        if len(fresh) < len(missing):
+            older = self.older
+            self.chunks |= {chunk: older[chunk] for chunk in missing.difference(fresh)}
         for i in range(0, len(fresh), AT_ONCE):
             part = fresh[i : i + AT_ONCE]
             # Long strings cost the tokenizer far less than many short ones; the ids are cut where the bytes end.
@@ -178,17 +176,18 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         step: list[list[str] | None] = [self.cut(t) for t in texts]
+        heads: list[str] = []
         fresh: set[str] = set()
         for parts in step:
-            if parts:
-                fresh.update(parts[1:])
+            heads.append(parts.pop(0) if parts else "")
+            fresh.update(parts or ())
         self.learn(fresh)
-        for text, parts in zip(texts, step):
+        known = self.chunks.__getitem__
+        for text, head, parts in zip(texts, heads, step):
             if parts is None:
                 yield self.ids(text)
             else:
-                head = self.ids(parts[0]) if parts[0] else b""
-                yield head + b"".join(map(self.chunks.__getitem__, parts[1:]))
+                yield (self.ids(head) if head else b"") + b"".join(map(known, parts))
 
 
 _ODD_SPACE = re.compile(r" (?:\s|$)")
