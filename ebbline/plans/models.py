@@ -1,14 +1,19 @@
-"""Spark ML models on the feature table: registry, training, choice, refit, importance."""
+"""Spark ML models on the feature table: registry, training, choice, refit, importance.
+
+The features are assembled to vectors and stored once; every fit and score reads these, and the fits run side by side. A fitted model holds
+the assembler too, so it can be saved and applied to a feature table.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import DCT, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +24,7 @@ from ebbline.operators.comparison import first_best_model, order_metrics
 from ebbline.operators.errors import error_feature_means, error_profile, value_segments, with_features, worst_cases
 from ebbline.operators.metrics import binary_metrics, prediction_frame
 from ebbline.operators.sampling import cap_rows
+from ebbline.plans.threads import THREADS, concurrently
 from ebbline.session import stage
 from ebbline.sources import results
 
@@ -61,32 +67,50 @@ def feature_names(table: DataFrame, cfg: ChurnConfig) -> list[str]:
     return [f.name for f in table.schema if isinstance(f.dataType, kinds) and f.name not in dropped]
 
 
-def _pipeline(names: list[str], model, scaled: bool = False) -> Pipeline:
-    assembler = VectorAssembler(inputCols=names, outputCol="raw" if scaled else "features", handleInvalid="keep")
-    scaler = [StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)] if scaled else []
-    return Pipeline(stages=[assembler, *scaler, model])
+def assembler(names: list[str]) -> VectorAssembler:
+    return VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
+
+
+def assembled(table: DataFrame, names: list[str]) -> DataFrame:
+    """Keys, label and split (if there) with the features as one vector; missing features count as 0. Lazy."""
+    if "features" in table.columns:
+        return table
+    kept = [c for c in ("client_id", "snapshot_date", "churn", "split") if c in table.columns]
+    return assembler(names).transform(table.na.fill(0, names)).select(*kept, "features")
+
 
+def _scaled(model) -> list:
+    """Scaled features and a constant 1 in the place of an intercept, so that it is penalised like the other coefficients. The
+    optimiser passes over constant columns; a cosine transform, which is a rotation and so leaves penalty and loss as they are, spreads the
+    constant over all inputs."""
+    return [
+        StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
+        SQLTransformer(statement="SELECT *, 1D AS one FROM __THIS__"),
+        VectorAssembler(inputCols=["scaled", "one"], outputCol="with_one"),
+        DCT(inputCol="with_one", outputCol="inputs"),
+        model,
+    ]
 
-def model_registry(names: list[str], n_rows: int, seed: int = 42, effort: Effort = FULL) -> dict[str, Callable]:
-    """Unfitted pipelines in the order in which ties between models are resolved.
+
+def model_registry(n_rows: int, seed: int = 42, effort: Effort = FULL) -> dict[str, Callable]:
+    """Unfitted pipelines on assembled rows, in the order in which ties between models are resolved.
 
     Class weights average to one, so the logistic penalty of strength 1 is ``1 / n_rows`` here.
     """
     common = {"featuresCol": "features", "labelCol": "churn"}
     return {
-        "logistic_regression": lambda: _pipeline(
-            names,
+        "logistic_regression": lambda: _scaled(
             LogisticRegression(
                 maxIter=effort.iterations,
+                tol=1e-9,
                 regParam=1.0 / max(n_rows, 1),
                 standardization=False,
+                fitIntercept=False,
                 weightCol="weight",
-                **common,
-            ),
-            scaled=True,
+                **common | {"featuresCol": "inputs"},
+            )
         ),
-        "random_forest": lambda: _pipeline(
-            names,
+        "random_forest": lambda: [
             RandomForestClassifier(
                 numTrees=effort.trees,
                 maxDepth=effort.forest_depth,
@@ -95,10 +119,9 @@ def model_registry(names: list[str], n_rows: int, seed: int = 42, effort: Effort
                 weightCol="weight",
                 seed=seed,
                 **common,
-            ),
-        ),
-        "boosted_balanced": lambda: _pipeline(
-            names,
+            )
+        ],
+        "boosted_balanced": lambda: [
             GBTClassifier(
                 maxIter=effort.rounds,
                 stepSize=0.05,
@@ -107,10 +130,9 @@ def model_registry(names: list[str], n_rows: int, seed: int = 42, effort: Effort
                 weightCol="weight",
                 seed=seed,
                 **common,
-            ),
-        ),
-        "boosted_subsampled": lambda: _pipeline(
-            names,
+            )
+        ],
+        "boosted_subsampled": lambda: [
             GBTClassifier(
                 maxIter=effort.rounds,
                 stepSize=0.05,
@@ -119,8 +141,8 @@ def model_registry(names: list[str], n_rows: int, seed: int = 42, effort: Effort
                 featureSubsetStrategy="0.8",
                 seed=seed,
                 **common,
-            ),
-        ),
+            )
+        ],
     }
 
 
@@ -135,16 +157,16 @@ def class_weights(train: DataFrame) -> DataFrame:
 def fit(
     train: DataFrame, model: str, names: list[str], seed: int = 42, effort: Effort = FULL, caps: dict[str, int] = ROW_CAPS
 ) -> PipelineModel:
-    """Fit on at most ``caps[model]`` rows, a stratified sample by hash; missing features count as 0."""
-    capped = cap_rows(train.na.fill(0, names), caps[model], seed)
+    """Fit on at most ``caps[model]`` rows, a stratified sample by hash. ``train`` is a feature table or already assembled."""
+    capped = cap_rows(assembled(train, names), caps[model], seed)
     weighted = class_weights(capped) if model in WEIGHTED else capped
-    registry = model_registry(names, weighted.count(), seed, effort)
-    return registry[model]().fit(weighted)
+    stages = model_registry(weighted.count(), seed, effort)[model]()
+    return PipelineModel([assembler(names), *Pipeline(stages=stages).fit(weighted).stages])
 
 
 def score(fitted: PipelineModel, rows: DataFrame, names: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
     """Probability of churn per row, with the keys and the columns to ``keep``."""
-    scored = fitted.transform(rows.na.fill(0, names))
+    scored = PipelineModel(fitted.stages[1:]).transform(assembled(rows, names))
     return scored.select(
         "client_id",
         "snapshot_date",
@@ -154,13 +176,38 @@ def score(fitted: PipelineModel, rows: DataFrame, names: list[str], keep: tuple[
     )
 
 
+def linear_coefficients(fitted: PipelineModel) -> np.ndarray:
+    """Coefficients of the scaled features and, last, the intercept: the model's own ones turned back."""
+    own = fitted.stages[-1].coefficients.toArray()
+    n = len(own)
+    at = np.arange(n)
+    turn = np.cos(np.pi * at[:, None] * (2 * at + 1) / (2 * n)) * np.sqrt(2 / n)
+    turn[0] /= np.sqrt(2)
+    return own @ turn
+
+
+def logistic_gradient(fitted: PipelineModel, train: DataFrame, names: list[str]) -> DataFrame:
+    """``position, coefficient, gradient`` of the penalised weighted log loss at the fitted coefficients, all 0 at the optimum. It is computed from
+    the rows alone: weights, scaled inputs and coefficients, without the optimiser's own summary."""
+    coefficients = [float(c) for c in fitted.stages[-1].coefficients.toArray()]
+    inputs = PipelineModel(fitted.stages[1:-1]).transform(class_weights(assembled(train, names)))
+    rows = inputs.select("weight", "churn", vector_to_array("inputs").alias("x"))
+    beta = F.array(*[F.lit(c) for c in coefficients])
+    z = F.aggregate(F.zip_with("x", beta, lambda x, b: x * b), F.lit(0.0), lambda a, x: a + x)
+    pulls = rows.select("weight", "x", (F.col("weight") * (1 / (1 + F.exp(-z)) - F.col("churn"))).alias("pull"))
+    each = pulls.select("weight", "pull", F.posexplode("x").alias("position", "value"))
+    sums = each.groupBy("position").agg(F.sum(F.col("pull") * F.col("value")).alias("loss"), F.sum("weight").alias("n"))
+    own = F.element_at(beta, F.col("position") + 1)
+    return sums.select("position", own.alias("coefficient"), ((F.col("loss") + own) / F.col("n")).alias("gradient"))
+
+
 def feature_importance(spark: SparkSession, fitted: PipelineModel, names: list[str], keep: int = 50) -> DataFrame:
     """The ``keep`` most important features; absolute coefficients for the linear model."""
     model = fitted.stages[-1]
     if hasattr(model, "featureImportances"):
         values = model.featureImportances.toArray()
     else:
-        values = abs(model.coefficients.toArray())
+        values = abs(linear_coefficients(fitted)[:-1])
     rows = [(name, float(value)) for name, value in zip(names, values)]
     return (
         spark.createDataFrame(rows, "feature string, importance double")
@@ -185,18 +232,20 @@ def train_and_evaluate(
     effort: Effort = FULL,
     output: str | None = None,
     caps: dict[str, int] = ROW_CAPS,
+    threads: int = THREADS,
 ) -> TrainingRun:
-    """Fit every model on train, score valid and test, refit the best on train + valid, score test once.
+    """Fit every model on train, ``threads`` at a time, score valid and test, refit the best on train + valid, score test once.
 
     ``table`` must be stored (it is read many times). With ``output`` models, predictions, metrics, error analysis
     and importances are written below that folder.
     """
     spark = table.sparkSession
     names = feature_names(table, cfg)
-    train, held_out = table.filter("split = 'train'"), table.filter("split IN ('valid', 'test')")
+    vectors = stage(assembled(table, names), "assembled")
+    train, held_out = vectors.filter("split = 'train'"), vectors.filter("split IN ('valid', 'test')")
+    fits = concurrently(spark, {model: partial(fit, train, model, names, cfg.seed, effort, caps) for model in models}, threads)
     scored = []
-    for model in models:
-        fitted = fit(train, model, names, cfg.seed, effort, caps)
+    for model, fitted in fits.items():
         scored.append(score(fitted, held_out, names, ("split",)).withColumn("model", F.lit(model)))
         if output:
             results.save_model(fitted, f"{output}/models/{model}")
@@ -205,8 +254,8 @@ def train_and_evaluate(
     metrics = order_metrics(stage(binary_metrics(predictions, ("model", "split")), "metrics"))
     best = first_best_model(metrics).first().model
 
-    refitted = fit(table.filter("split IN ('train', 'valid')"), best, names, cfg.seed, effort, caps)
-    refit_scores = score(refitted, table.filter("split = 'test'"), names)
+    refitted = fit(vectors.filter("split IN ('train', 'valid')"), best, names, cfg.seed, effort, caps)
+    refit_scores = score(refitted, vectors.filter("split = 'test'"), names)
     tags = {"model": F.lit(best), "split": F.lit("test_refit")}
     refit_metrics = stage(binary_metrics(refit_scores.withColumns(tags), ("model", "split")), "refit-metrics")
     importance = feature_importance(spark, refitted, names)

@@ -22,6 +22,8 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # models are fitted in threads; each fit gets its share of the executors
+        .config("spark.scheduler.mode", "FAIR")
     )
     if master is not None:
         builder = builder.master(master)

@@ -1,12 +1,14 @@
 """Training, backtest and strategy plans end to end with small ensembles."""
 
+import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 
 from ebbline.catalog import STREAM_CONFIG, stream_table
 from ebbline.operators.comparison import compare_runs
 from ebbline.plans.backtest import run_rolling_backtest
 from ebbline.plans.feature_table import run_record
-from ebbline.plans.models import FAST, ROW_CAPS, Effort, feature_importance, feature_names, fit, score, train_and_evaluate
+from ebbline.plans.models import FAST, ROW_CAPS, Effort, feature_importance, assembled, feature_names, fit, linear_coefficients, logistic_gradient, score, train_and_evaluate
 from ebbline.plans.strategy import run_roi_simulation, run_strategy_analysis, write_strategy
 from ebbline.session import stage
 from ebbline.sources import results
@@ -86,3 +88,50 @@ def test_backtest(table):
     assert {r.folds for r in summary.collect()} == {2}
     with pytest.raises(ValueError):
         run_rolling_backtest(table, STREAM_CONFIG, ("oracle",))
+
+
+def test_fits_side_by_side_equal_fits_in_turn(table, monkeypatch):
+    """The same metrics from one thread and from four; the vectors are assembled once."""
+    from ebbline.plans import backtest
+
+    calls = []
+    once = backtest.assembled
+    monkeypatch.setattr(backtest, "assembled", lambda *args: calls.append(1) or once(*args))
+    models = ("logistic_regression", "random_forest", "boosted_balanced")
+    one, four = (backtest.run_rolling_backtest(table, STREAM_CONFIG, models, effort=TINY, threads=n)[0] for n in (1, 4))
+    assert len(calls) == 2
+
+    def key(r):
+        return r.fold_id, r.model, r.split
+
+    for a, b in zip(sorted(one.collect(), key=key), sorted(four.collect(), key=key), strict=True):
+        assert key(a) == key(b) and a.train_rows == b.train_rows
+        assert a.auc == pytest.approx(b.auc, abs=1e-6) and a.pr_auc == pytest.approx(b.pr_auc, abs=1e-6)
+
+
+def test_an_error_in_a_thread_is_raised(spark):
+    from ebbline.plans.threads import concurrently
+
+    assert concurrently(spark, {"a": lambda: spark.range(3).count(), "b": lambda: 2}) == {"a": 3, "b": 2}
+    with pytest.raises(ZeroDivisionError):
+        concurrently(spark, {"a": lambda: 1 / 0, "b": lambda: 2})
+    assert concurrently(spark, {}) == {}
+
+
+def test_linear_model_is_at_its_minimum(table):
+    """The gradient is small at the optimum and not after a few steps; the intercept is a penalised coefficient."""
+    train = table.filter("split = 'train'")
+    names = feature_names(table, STREAM_CONFIG)
+    norms = []
+    for effort in (Effort(iterations=3), Effort()):
+        fitted = fit(train, "logistic_regression", names, effort=effort)
+        rows = logistic_gradient(fitted, train, names).collect()
+        assert len(rows) == len(names) + 1 and fitted.stages[-1].intercept == 0
+        norms.append(max(abs(r.gradient) for r in rows))
+    assert norms[1] < 1e-5 < norms[0]
+    # turned back, the coefficients score scaled features and a constant
+    rows = PipelineModel(fitted.stages[1:-1]).transform(assembled(train, names)).limit(50)
+    beta = linear_coefficients(fitted)
+    for r in fitted.stages[-1].transform(rows).collect():
+        z = float(np.dot(beta[:-1], r.scaled.toArray()) + beta[-1])
+        assert r.probability[1] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
