@@ -118,6 +118,40 @@ def event_volume(spark, sf_dir):
     return logs.event_volume(stream_activity(spark, sf_dir))
 
 
+def stored_logs(spark, sf_dir) -> str:
+    """The five logs and the product table as files below a new folder."""
+    root = f"{shared_folder(spark)}/ebbline/logs-{uuid.uuid4().hex}"
+    activity = stream_activity(spark, sf_dir)
+    for event in ALL_EVENTS:
+        attribute = logs.LOG_ATTRIBUTE[event]
+        raw = activity.filter(F.col("event") == event).select("client_id", F.col("ts").alias("timestamp"), attribute)
+        raw.write.parquet(f"{root}/some/where/below/this/folder/{event}.parquet")
+    part_products(spark, sf_dir).write.parquet(f"{root}/product_properties.parquet")
+    return root
+
+
+def event_volume_footers(spark, sf_dir):
+    return logs.footer_volume(spark, stored_logs(spark, sf_dir))
+
+
+def cleaned_logs_by_view(spark, sf_dir):
+    """The strict logs through views, as SQL users see them: rows, clients, missing pages and days."""
+    cleaned = logs.cleaned_logs(logs.read_activity(spark, stored_logs(spark, sf_dir)))
+    logs.register_views({f"strict_{e}": df for e, df in cleaned.items()})
+    return reduce(DataFrame.unionByName, [
+        spark.sql(f"""SELECT '{e}' AS event, count(*) AS n_rows, count(DISTINCT client_id) AS n_clients,
+          count(DISTINCT date_trunc('DAY', timestamp)) AS n_days, count({logs.LOG_ATTRIBUTE[e]}) AS n_values FROM strict_{e}""")
+        for e in ALL_EVENTS
+    ])
+
+
+def text_times(spark, sf_dir):
+    """Times as text, some of them missing and some unreadable."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    text = events.selectExpr("CASE WHEN event_id % 7 = 0 THEN 'no time at all' WHEN event_id % 11 <> 0 THEN CAST(ts AS STRING) END AS timestamp")
+    return logs.time_quality(text)
+
+
 # --- snapshots, cohorts, labels -----------------------------------------------------------------
 
 
@@ -191,18 +225,21 @@ def feature_table_salted(spark, sf_dir):
 
 def feature_table_stored(spark, sf_dir):
     """Through the five logs and the product table on disk, and the stored feature table."""
-    root = f"{shared_folder(spark)}/ebbline/logs-{uuid.uuid4().hex}"
-    activity = stream_activity(spark, sf_dir)
-    for event in ALL_EVENTS:
-        attribute = logs.LOG_ATTRIBUTE[event]
-        raw = activity.filter(F.col("event") == event).select("client_id", F.col("ts").alias("timestamp"), attribute)
-        raw.write.parquet(f"{root}/some/where/below/this/folder/{event}.parquet")
-    part_products(spark, sf_dir).write.parquet(f"{root}/product_properties.parquet")
+    root = stored_logs(spark, sf_dir)
     table = build_feature_table(logs.read_activity(spark, root), logs.read_products(spark, root), STREAM_CONFIG)
     results.write_feature_table(table.frame, f"{root}/features")
     return rounded(results.read_feature_table(spark, f"{root}/features").select(*table.frame.columns))
 
 
+def snapshot_rewrite(spark, sf_dir):
+    """A stored feature table after one snapshot was rewritten in place with a changed column."""
+    table = stream_table(spark, sf_dir)
+    path = f"{shared_folder(spark)}/ebbline/features-{uuid.uuid4().hex}"
+    results.write_feature_table(table.frame, path)
+    results.rewrite_snapshots(spark, path, lambda rows: rows.withColumn("active_days_10d", F.col("active_days_10d") + 100), [table.grid.dates[1]])
+    return results.read_feature_table(spark, path).select("snapshot_date", "client_id", "active_days_10d", "churn", "split")
+
+
 def run_metadata(spark, sf_dir):
     record = run_record(spark, stream_table(spark, sf_dir), "events")
     return record.withColumn("window_days", F.concat_ws(",", F.col("window_days").cast("array<string>")))
@@ -297,6 +334,17 @@ def worst_cases(kind: str):
     return query
 
 
+def damaged_predictions(spark, sf_dir):
+    """A CSV of predictions with damaged lines: lines that fit, lines that do not, and what the good ones hold."""
+    frame = prediction_frame(predictions(spark, sf_dir)).selectExpr("client_id", "snapshot_date", "y_true", "y_score", "y_pred", "error_type")
+    path = f"{shared_folder(spark)}/ebbline/damaged-{uuid.uuid4().hex}"
+    damaged = F.when(F.col("client_id") % 5 == 0, F.lit("lost")).otherwise(F.col("y_true").cast("string"))
+    results.write_csv(frame.withColumn("y_true", damaged), path)
+    checked = results.read_csv_checked(spark, path, results.PREDICTION_SCHEMA)
+    good = checked.filter(F.col(results.BAD_LINE).isNull()).agg(F.sum("y_true").alias("positives"), F.round(F.sum("y_score"), 6).alias("score_sum"))
+    return results.line_counts(checked).crossJoin(good)
+
+
 def threshold_candidates(spark, sf_dir):
     scored = Scored(split_predictions(spark, sf_dir, "valid"))
     return strategy.threshold_frame(spark, strategy.threshold_candidates(scored)).select("threshold")
@@ -586,6 +634,11 @@ QUERIES = {
     "logistic_optimality": logistic_optimality,
     "run_comparison": run_comparison,
     "definition_rates": definition_rates,
+    "event_volume_footers": event_volume_footers,
+    "cleaned_logs_by_view": cleaned_logs_by_view,
+    "text_times": text_times,
+    "snapshot_rewrite": snapshot_rewrite,
+    "damaged_predictions": damaged_predictions,
     "active_days_histogram": histogram_of("active_days_10d"),
     "buy_count_histogram": histogram_of(f"{BUY}_count_10d"),
     "label_distribution": label_distribution,

@@ -728,6 +728,28 @@ FROM results, (VALUES ('logistic_regression'), ('random_forest'), ('boosted_bala
     ),
     "run_comparison": comparison_sql(),
     "definition_rates": definitions_sql(),
+    "event_volume_footers": query([EV], "SELECT event, count(*) AS n_rows FROM ev GROUP BY event"),
+    "cleaned_logs_by_view": query(
+        [EV],
+        """SELECT event, count(*) AS n_rows, count(DISTINCT client_id) AS n_clients, count(DISTINCT d) AS n_days,
+  CASE WHEN event = 'search_query' THEN count(props) ELSE count(*) FILTER (WHERE event = 'page_visit' OR k IS NOT NULL) END AS n_values
+FROM ev WHERE ts IS NOT NULL GROUP BY event""",
+    ),
+    "text_times": """SELECT count(*) FILTER (WHERE event_id % 7 <> 0 AND event_id % 11 <> 0) AS n_times,
+  count(*) FILTER (WHERE event_id % 7 <> 0 AND event_id % 11 = 0) AS n_missing, count(*) FILTER (WHERE event_id % 7 = 0) AS n_unreadable,
+  CAST(min(ts) FILTER (WHERE event_id % 7 <> 0 AND event_id % 11 <> 0) AS DATE) AS first_day,
+  CAST(max(ts) FILTER (WHERE event_id % 7 <> 0 AND event_id % 11 <> 0) AS DATE) AS last_day FROM events""",
+    "snapshot_rewrite": query(
+        [*TABLE, SPLITS],
+        """SELECT s AS snapshot_date, client_id, active_days_10d + CASE WHEN s = (SELECT s FROM grid ORDER BY s OFFSET 1 LIMIT 1) THEN 100 ELSE 0 END
+  AS active_days_10d, churn, split FROM wide JOIN labels USING (s, client_id) JOIN splits USING (s)""",
+    ),
+    "damaged_predictions": query(
+        SCORED,
+        """SELECT count(*) FILTER (WHERE client_id % 5 <> 0) AS n_good, count(*) FILTER (WHERE client_id % 5 = 0) AS n_bad,
+  CAST(sum(y_true) FILTER (WHERE client_id % 5 <> 0) AS BIGINT) AS positives, round(sum(y_score) FILTER (WHERE client_id % 5 <> 0), 6) AS score_sum
+FROM pred""",
+    ),
     "active_days_histogram": histogram_sql("active_days_10d"),
     "buy_count_histogram": histogram_sql("product_buy_count_10d"),
     "label_distribution": query(cohort_base(), "SELECT churn, count(*) AS n_rows FROM labels GROUP BY churn"),

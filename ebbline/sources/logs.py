@@ -171,6 +171,29 @@ def event_volume(activity: DataFrame) -> DataFrame:
     return known.groupBy("event").agg(F.count("*").alias("n_rows")).orderBy(F.desc("n_rows"), "event")
 
 
+def footer_volume(spark: SparkSession, root: str) -> DataFrame:
+    """Rows per stored log, largest first, from the Parquet footers: no row is read. The counts are pushed down by the second
+    generation of Spark's file sources, which is switched on in a session of its own."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    counts = [own.read.parquet(find_parquet(spark, root, e)).agg(F.count("*").alias("n_rows")).select(F.lit(e).alias("event"), "n_rows") for e in ALL_EVENTS]
+    return reduce(DataFrame.unionByName, counts).orderBy(F.desc("n_rows"), "event")
+
+
+def time_quality(raw: DataFrame, time: str = "timestamp") -> DataFrame:
+    """How many rows of a log have a time, have none, and have one that can't be read (they become NULL and match no window), with
+    the first and last day of the others."""
+    parsed = raw.select(F.col(time).isNull().alias("none"), to_event_time(F.col(time)).alias("ts"))
+    return parsed.agg(
+        F.count("ts").alias("n_times"),
+        F.count_if("none").alias("n_missing"),
+        F.count_if(~F.col("none") & F.col("ts").isNull()).alias("n_unreadable"),
+        F.to_date(F.min("ts")).alias("first_day"),
+        F.to_date(F.max("ts")).alias("last_day"),
+    )
+
+
 def raw_events(raw: dict[str, DataFrame]) -> DataFrame:
     """The name of its log for every raw row; no column of the files is read."""
     return reduce(DataFrame.unionByName, [log.select(F.lit(e).alias("event")) for e, log in raw.items()])

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ebbline.session import stage
+
 METRIC_FIELDS = ("auc", "pr_auc", "precision", "recall", "f1", "top_10pct_churn_recall", "positive_rate")
 
 METRICS_SCHEMA = T.StructType(
@@ -56,6 +61,15 @@ def read_feature_table(spark: SparkSession, path: str) -> DataFrame:
     return table.withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
 
 
+def rewrite_snapshots(spark: SparkSession, path: str, change: Callable[[DataFrame], DataFrame], dates: list[dt.date]) -> None:
+    """Replace the rows of the given snapshots of a stored feature table by ``change`` of them. Only their folders are read and written; the
+    changed rows are staged first, because a folder that is read can't be overwritten. A snapshot that ``change`` leaves without rows is kept."""
+    table = read_feature_table(spark, path)
+    changed = stage(change(table.filter(F.col("snapshot_date").isin(dates))), "rewritten").select(table.columns)
+    balanced = changed.hint("rebalance", F.col("snapshot_date"))
+    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("snapshot_date").parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
@@ -64,6 +78,23 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+BAD_LINE = "_bad_line"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of ``schema`` and ``_bad_line``: the text of a line that does not fit the schema, whose columns are NULL where they can't be
+    read. Lines are told apart by whether they fit, so a NULL in a good line is a missing value. The parsed rows are staged: a parser that
+    is asked for fewer columns would find other lines good."""
+    with_line = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
+    reader = spark.read.schema(with_line).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE)
+    return stage(reader.csv(path), "checked")
+
+
+def line_counts(checked: DataFrame) -> DataFrame:
+    """Good and bad lines of ``read_csv_checked``."""
+    return checked.agg(F.count_if(F.col(BAD_LINE).isNull()).alias("n_good"), F.count_if(F.col(BAD_LINE).isNotNull()).alias("n_bad"))
+
+
 def write_record(record: DataFrame, path: str) -> None:
     record.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 

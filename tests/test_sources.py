@@ -225,3 +225,44 @@ def test_scalars(spark):
     assert days == [dt.datetime(2024, 1, 2), None, None]
     close = spark.createDataFrame([(0.5, 0.5000001), (0.5, 0.51)], "a double, b double")
     assert [r.c for r in close.select(scalar.is_close(F.col("a"), F.col("b")).alias("c")).collect()] == [True, False]
+
+
+def test_rewrite_touches_only_its_snapshots(spark, tmp_path):
+    path = str(tmp_path / "features")
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    results.write_feature_table(spark.createDataFrame([(d, c, c) for d in days for c in range(5)], "snapshot_date date, client_id long, x long"), path)
+
+    def files(day):
+        return {p.name: p.stat().st_mtime_ns for p in (tmp_path / "features" / f"snapshot_date={day}").glob("*.parquet")}
+
+    before = {d: files(d) for d in days}
+    results.rewrite_snapshots(spark, path, lambda rows: rows.filter("client_id > 0").withColumn("x", F.col("x") * 10), [days[1]])
+    assert files(days[0]) == before[days[0]] and files(days[2]) == before[days[2]] and files(days[1]) != before[days[1]]
+    rows = {(r.snapshot_date, r.client_id): r.x for r in results.read_feature_table(spark, path).collect()}
+    assert len(rows) == 14 and rows[days[1], 4] == 40 and rows[days[0], 4] == 4 and (days[1], 0) not in rows
+
+
+def test_footers_are_counted_without_reading_rows(spark, tmp_path):
+    root = str(tmp_path / "logs")
+    write_logs(spark, root)
+    counts = logs.footer_volume(spark, root)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedAggregation: [COUNT(*)]") == 5
+    assert {r.event: r.n_rows for r in counts.collect()} == {e: df.count() for e, df in logs.raw_logs(spark, root).items()}
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+
+
+def test_damaged_lines_are_counted(spark, tmp_path):
+    path = tmp_path / "lines.csv"
+    path.write_text("client_id,snapshot_date,y_true,y_score,y_pred,error_type\n1,2024-01-01,1,0.5,1,correct\n2,2024-01-01,x,0.5,1,correct\n3,,0,,0,\nfour\n")
+    checked = results.read_csv_checked(spark, str(path), results.PREDICTION_SCHEMA)
+    counts = results.line_counts(checked).first()
+    assert (counts.n_good, counts.n_bad) == (2, 2)
+    good = {r.client_id: r for r in checked.filter(F.col(results.BAD_LINE).isNull()).collect()}
+    assert sorted(good) == [1, 3] and good[3].y_score is None
+
+
+def test_text_times(spark):
+    rows = [("2024-01-01 10:00:00",), ("2024-01-03",), ("never",), (None,), ("2024-13-01",)]
+    found = logs.time_quality(spark.createDataFrame(rows, "timestamp string")).first()
+    assert tuple(found) == (2, 1, 2, dt.date(2024, 1, 1), dt.date(2024, 1, 3))
