@@ -17,6 +17,7 @@ several components go on: their members are dealt in blocks to cells of bounded
 compared. As long as that finds links, every class proposes its nearest one of another component only, in one of PARTS parts of the
 keys a round: so few pairs join nearly all of a large group. In the last round all pairs within the radii whose classes are still in
 different components are confirmed on the texts, each proposed in the least key that it shares. So the components are those of all links.
+Of keys that the same classes share only the least is kept; it is also the least shared one of all pairs in it.
 
 A row's component_id is the least doc_id reachable (null ids are never the least), kept says that it is the row's own. Repeated
 rows are copies of each other. Null ids are kept; a group of null ids only has a null component. Other columns are not read.
@@ -334,7 +335,10 @@ def grouped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     classes = stage(classes.select("set_id", "least", F.col("one.row").alias("class"), "one.doc_id", "one.text_hash", "one.sig"), "classes")
 
     keys = key_rows(classes)  # cheaper to make twice than to store
-    buckets = keys.groupBy("key").agg(F.min("class").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    hashes = [F.bit_xor(F.xxhash64("class", F.lit(i))).alias(f"h{i}") for i in range(2)]
+    buckets = keys.groupBy("key").agg(F.min("class").alias("center"), F.count(F.lit(1)).alias("n"), *hashes).where("n > 1")
+    # Near copies agree in many keys: of keys with the same classes only the least is needed.
+    buckets = buckets.groupBy("center", "n", "h0", "h1").agg(F.min("key").alias("key"))
     members = stage(keys.join(stage(buckets.select("key", "center"), "buckets"), "key"), "members")
     stars = members.where("class <> center").select(F.col("center").alias("a"), F.col("class").alias("b")).distinct()
     stars = stage(within_radius(stars, classes), "stars")
