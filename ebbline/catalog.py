@@ -26,8 +26,20 @@ from ebbline.operators.ranking import By, row_numbers
 from ebbline.operators.sampling import cap_rows, class_counts
 from ebbline.operators.snapshots import buyer_activity, dataset_bounds, grid_between, present_dates, rollup_bounds, snapshot_grid
 from ebbline.plans.backtest import run_rolling_backtest
+from ebbline.plans.ensembles import bootstrap_class_counts, leaf_residuals, with_draws
 from ebbline.plans.feature_table import FeatureTable, assign_time_splits, build_feature_table, build_feature_tables, run_record
-from ebbline.plans.models import FAST, class_weights, feature_importance, feature_names, fit, logistic_gradient, train_and_evaluate
+from ebbline.plans.models import (
+    FAST,
+    LEAF_PENALTY,
+    STEP,
+    assembled,
+    class_weights,
+    feature_importance,
+    feature_names,
+    fit,
+    logistic_gradient,
+    train_and_evaluate,
+)
 from ebbline.plans.strategy import run_roi_simulation, run_strategy_analysis
 from ebbline.session import shared_folder, stage
 from ebbline.sources import logs, results
@@ -493,6 +505,28 @@ def logistic_optimality(spark, sf_dir):
     return found.crossJoin(train.agg(F.count("*").alias("n_rows"), F.sum("churn").cast("bigint").alias("positives")))
 
 
+def bootstrap_weights(spark, sf_dir):
+    """Rows, draws and summed weights of each class in the bootstraps of a forest of ten."""
+    train = _stored_table(spark, sf_dir).filter("split = 'train'")
+    counts = bootstrap_class_counts(with_draws(train, 10, STREAM_CONFIG.seed))
+    total = F.round(F.col("n_draws") * F.col("class_weight"), 6)
+    return counts.select("part", "churn", "n_rows", "n_draws", total.alias("weight_sum"))
+
+
+#: No leaf of a boosted tree misses the optimum of its penalised loss by more than this.
+LEAF_BOUND = 1e-6
+
+
+def boosted_leaf_values(spark, sf_dir):
+    """Per tree of the boosted model: its rows and whether all leaf values are optimal under the penalty."""
+    table = _stored_table(spark, sf_dir)
+    names = feature_names(table, STREAM_CONFIG)
+    train = stage(assembled(table.filter("split = 'train'"), names), "assembled")
+    fitted = fit(train, "boosted_subsampled", names, effort=FAST)
+    residuals = leaf_residuals(fitted.stages[1:], train, STEP, LEAF_PENALTY)
+    return residuals.select("tree", "n_rows", "positives", (F.col("residual") < LEAF_BOUND).alias("optimal"))
+
+
 # --- comparison and descriptions ----------------------------------------------------------------
 
 
@@ -632,6 +666,8 @@ QUERIES = {
     "rolling_backtest_logistic": rolling_backtest_logistic,
     "rolling_backtest": rolling_backtest,
     "logistic_optimality": logistic_optimality,
+    "bootstrap_weights": bootstrap_weights,
+    "boosted_leaf_values": boosted_leaf_values,
     "run_comparison": run_comparison,
     "definition_rates": definition_rates,
     "event_volume_footers": event_volume_footers,

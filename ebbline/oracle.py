@@ -3,6 +3,8 @@ same tables. It shares no code with the Spark plans: range joins, ``count(DISTIN
 
 from __future__ import annotations
 
+import math
+
 STREAM = {"obs": 10, "label": 3, "step": 3, "recent": 2, "windows": (1, 3, 7, 10), "pairs": ((3, 10), (1, 7))}
 EVENTS = ("page_visit", "add_to_cart", "remove_from_cart", "product_buy", "search_query")
 PRODUCT_EVENTS = ("add_to_cart", "remove_from_cart", "product_buy")
@@ -761,6 +763,35 @@ FROM (SELECT vec_id, CAST(CAST(CAST(embedding AS DOUBLE[]) AS VARCHAR) AS DOUBLE
     "orders_rolling_folds": query([*ORDERS, *folds_cte("cohort")], FOLDS_SELECT),
 }
 
+
+
+def bootstraps_sql(parts: int) -> str:
+    """Poisson draws of the train rows from the hash of each bootstrap, and the classes' weights."""
+    keys = " UNION ALL ".join(f"SELECT {p} AS part, churn, {uniform(43 + p, 'client_id', 's')} AS u FROM train" for p in range(parts))
+    total, bounds = 0.0, []
+    for k in range(13):
+        total += math.exp(-1) / math.factorial(k)
+        bounds.append(int(total * (1 << 52)))
+    draws = " + ".join(f"CAST(u >= {bound} AS INTEGER)" for bound in bounds)
+    train = "train AS (SELECT client_id, s, churn FROM labels JOIN splits USING (s) WHERE split = 'train')"
+    drawn = f"drawn AS (SELECT part, churn, {draws} AS n FROM ({keys}))"
+    return query(
+        [*TABLE, SPLITS, train, drawn],
+        """SELECT part, churn, count(*) AS n_rows, CAST(sum(n) AS BIGINT) AS n_draws,
+  round(CAST(sum(sum(n)) OVER (PARTITION BY part) AS DOUBLE) / count(*) OVER (PARTITION BY part), 6) AS weight_sum
+FROM drawn WHERE n > 0 GROUP BY part, churn""",
+    )
+
+
+ORACLES |= {
+    "bootstrap_weights": bootstraps_sql(10),
+    "boosted_leaf_values": query(
+        [*TABLE, SPLITS],
+        """SELECT CAST(tree AS INTEGER) AS tree, count(*) AS n_rows, CAST(sum(churn) AS BIGINT) AS positives, true AS optimal
+FROM labels JOIN splits USING (s) CROSS JOIN range(5) trees(tree) WHERE split = 'train' GROUP BY tree""",
+    ),
+}
+
 # Other physical plans of the same results.
 ORACLES |= {
     "binary_metrics_in_cells": ORACLES["binary_metrics"],

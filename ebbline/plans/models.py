@@ -24,6 +24,7 @@ from ebbline.operators.comparison import first_best_model, order_metrics
 from ebbline.operators.errors import error_feature_means, error_profile, value_segments, with_features, worst_cases
 from ebbline.operators.metrics import binary_metrics, prediction_frame
 from ebbline.operators.sampling import cap_rows
+from ebbline.plans.ensembles import fit_forest, penalised_leaves
 from ebbline.plans.threads import THREADS, concurrently
 from ebbline.session import stage
 from ebbline.sources import results
@@ -35,7 +36,9 @@ ROW_CAPS = {
     "boosted_balanced": 1_500_000,
     "boosted_subsampled": 1_200_000,
 }
-WEIGHTED = ("logistic_regression", "random_forest", "boosted_balanced")
+WEIGHTED = ("logistic_regression", "boosted_balanced")  # the forest weighs classes in each bootstrap
+STEP = 0.05
+LEAF_PENALTY = 1.0
 
 
 @dataclass(frozen=True)
@@ -43,6 +46,7 @@ class Effort:
     """Size of the ensembles."""
 
     trees: int = 300
+    bootstraps: int = 30
     rounds: int = 400
     forest_depth: int = 12
     boost_depth: int = 6
@@ -50,7 +54,7 @@ class Effort:
 
 
 FULL = Effort()
-FAST = Effort(trees=10, rounds=5, forest_depth=4, boost_depth=3, iterations=30)
+FAST = Effort(trees=10, bootstraps=2, rounds=5, forest_depth=4, boost_depth=3, iterations=30)
 
 
 def feature_names(table: DataFrame, cfg: ChurnConfig) -> list[str]:
@@ -110,21 +114,20 @@ def model_registry(n_rows: int, seed: int = 42, effort: Effort = FULL) -> dict[s
                 **common | {"featuresCol": "inputs"},
             )
         ),
-        "random_forest": lambda: [
+        "random_forest": lambda trees=effort.trees: [
             RandomForestClassifier(
-                numTrees=effort.trees,
+                numTrees=trees,
                 maxDepth=effort.forest_depth,
                 minInstancesPerNode=10,
                 featureSubsetStrategy="sqrt",
                 weightCol="weight",
-                seed=seed,
                 **common,
             )
         ],
         "boosted_balanced": lambda: [
             GBTClassifier(
                 maxIter=effort.rounds,
-                stepSize=0.05,
+                stepSize=STEP,
                 maxDepth=effort.boost_depth,
                 featureSubsetStrategy="0.8",
                 weightCol="weight",
@@ -135,7 +138,7 @@ def model_registry(n_rows: int, seed: int = 42, effort: Effort = FULL) -> dict[s
         "boosted_subsampled": lambda: [
             GBTClassifier(
                 maxIter=effort.rounds,
-                stepSize=0.05,
+                stepSize=STEP,
                 maxDepth=effort.boost_depth,
                 subsamplingRate=0.8,
                 featureSubsetStrategy="0.8",
@@ -160,8 +163,14 @@ def fit(
     """Fit on at most ``caps[model]`` rows, a stratified sample by hash. ``train`` is a feature table or already assembled."""
     capped = cap_rows(assembled(train, names), caps[model], seed)
     weighted = class_weights(capped) if model in WEIGHTED else capped
-    stages = model_registry(weighted.count(), seed, effort)[model]()
-    return PipelineModel([assembler(names), *Pipeline(stages=stages).fit(weighted).stages])
+    unfitted = model_registry(weighted.count(), seed, effort)[model]
+    if model == "random_forest":
+        stages = fit_forest(capped, lambda trees: unfitted(trees)[0], effort.trees, effort.bootstraps, seed)
+    else:
+        stages = Pipeline(stages=unfitted()).fit(weighted).stages
+    if model == "boosted_subsampled":
+        stages = penalised_leaves(stages[0], capped, STEP, LEAF_PENALTY)
+    return PipelineModel([assembler(names), *stages])
 
 
 def score(fitted: PipelineModel, rows: DataFrame, names: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
@@ -203,9 +212,9 @@ def logistic_gradient(fitted: PipelineModel, train: DataFrame, names: list[str])
 
 def feature_importance(spark: SparkSession, fitted: PipelineModel, names: list[str], keep: int = 50) -> DataFrame:
     """The ``keep`` most important features; absolute coefficients for the linear model."""
-    model = fitted.stages[-1]
-    if hasattr(model, "featureImportances"):
-        values = model.featureImportances.toArray()
+    trees = [part for part in fitted.stages if hasattr(part, "featureImportances")]
+    if trees:
+        values = np.average([t.featureImportances.toArray() for t in trees], axis=0, weights=[t.getNumTrees for t in trees])
     else:
         values = abs(linear_coefficients(fitted)[:-1])
     rows = [(name, float(value)) for name, value in zip(names, values)]

@@ -7,8 +7,9 @@ from pyspark.ml import PipelineModel
 from ebbline.catalog import STREAM_CONFIG, stream_table
 from ebbline.operators.comparison import compare_runs
 from ebbline.plans.backtest import run_rolling_backtest
+from ebbline.plans.ensembles import bootstrap_class_counts, leaf_residuals, with_draws
 from ebbline.plans.feature_table import run_record
-from ebbline.plans.models import FAST, ROW_CAPS, Effort, feature_importance, assembled, feature_names, fit, linear_coefficients, logistic_gradient, score, train_and_evaluate
+from ebbline.plans.models import FAST, LEAF_PENALTY, ROW_CAPS, STEP, Effort, feature_importance, assembled, feature_names, fit, linear_coefficients, logistic_gradient, score, train_and_evaluate
 from ebbline.plans.strategy import run_roi_simulation, run_strategy_analysis, write_strategy
 from ebbline.session import stage
 from ebbline.sources import results
@@ -135,3 +136,67 @@ def test_linear_model_is_at_its_minimum(table):
     for r in fitted.stages[-1].transform(rows).collect():
         z = float(np.dot(beta[:-1], r.scaled.toArray()) + beta[-1])
         assert r.probability[1] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+
+
+def test_draws_follow_the_poisson_law(spark):
+    """Shares of 0, 1, 2, ... draws, other draws in other bootstraps, and classes of equal weight in each."""
+    rows = spark.range(20_000).selectExpr("id AS client_id", "DATE'2024-01-01' AS snapshot_date", "int(id % 10 = 0) AS churn")
+    drawn = with_draws(rows, 2, 42)
+    shares = {r.n: r["count"] / 20_000 for r in drawn.groupBy(F.col("draws")[0].alias("n")).count().collect()}
+    for k, share in enumerate((0.3679, 0.3679, 0.1839, 0.0613)):
+        assert shares[k] == pytest.approx(share, abs=0.015)
+    together = drawn.selectExpr("corr(draws[0], draws[1])").first()[0]
+    assert abs(together) < 0.03
+    sums = [r.n_draws * r.class_weight for r in bootstrap_class_counts(drawn).collect()]
+    assert len(sums) == 4 and sums[0] > 9_000
+    per_part = {(r.part, round(r.n_draws * r.class_weight, 6)) for r in bootstrap_class_counts(drawn).collect()}
+    assert len(per_part) == 2
+
+
+def test_forest_of_bootstraps_is_the_mean_of_its_parts(table, tmp_path):
+    names = feature_names(table, STREAM_CONFIG)
+    train, test = (assembled(table.filter(f"split = '{s}'"), names) for s in ("train", "test"))
+    fitted = fit(train, "random_forest", names, effort=Effort(trees=5, bootstraps=2, forest_depth=3))
+    parts = fitted.stages[1:-1]
+    assert [p.getNumTrees for p in parts] == [3, 2]
+    expected = {}
+    for part in parts:
+        for r in part.transform(test).collect():
+            key = (r.client_id, r.snapshot_date)
+            expected[key] = expected.get(key, 0.0) + r[part.getProbabilityCol()][1] * part.getNumTrees / 5
+    path = str(tmp_path / "forest")
+    results.save_model(fitted, path)
+    for model in (fitted, PipelineModel.load(path)):
+        scored = {(r.client_id, r.snapshot_date): r.y_score for r in score(model, test, names).collect()}
+        assert scored == pytest.approx(expected, abs=1e-12)
+    again = fit(train.repartition(5), "random_forest", names, effort=Effort(trees=5, bootstraps=2, forest_depth=3))
+    assert [p.numFeatures for p in again.stages[1:-1]] == [p.numFeatures for p in parts]
+
+
+def test_boosted_leaves_are_penalised(table, tmp_path):
+    """Leaf values tree by tree against numpy, from the leaves that the fitted trees put the rows in."""
+    names = feature_names(table, STREAM_CONFIG)
+    train = assembled(table.filter("split = 'train'"), names)
+    fitted = fit(train, "boosted_subsampled", names, effort=Effort(rounds=4, boost_depth=3))
+    boosted, scores = fitted.stages[1:]
+    rows = boosted.transform(train).collect()
+    leaves = np.array([r.leaves.toArray().astype(int) for r in rows])
+    churn = np.array([float(r.churn) for r in rows])
+    width = scores.getOrDefault(scores.width)
+    values = np.array(scores.getOrDefault(scores.values)).reshape(4, width)
+    margin = np.zeros(len(rows))
+    for tree in range(4):
+        p = 1 / (1 + np.exp(-margin))
+        for leaf in range(width):
+            at = leaves[:, tree] == leaf
+            want = STEP * (churn - p)[at].sum() / ((p * (1 - p))[at].sum() + LEAF_PENALTY)
+            assert values[tree, leaf] == pytest.approx(want, abs=1e-9)
+        margin += values[tree, leaves[:, tree]]
+    assert sorted(r.y_score for r in score(fitted, train, names).collect()) == pytest.approx(sorted(1 / (1 + np.exp(-margin))))
+    path = str(tmp_path / "boosted")
+    results.save_model(fitted, path)
+    loaded = score(PipelineModel.load(path), train, names)
+    assert sorted(r.y_score for r in loaded.collect()) == pytest.approx(sorted(1 / (1 + np.exp(-margin))))
+    residuals = leaf_residuals(fitted.stages[1:], train, STEP, LEAF_PENALTY).collect()
+    assert sorted(r.tree for r in residuals) == [0, 1, 2, 3] and max(r.residual for r in residuals) < 1e-9
+    assert {r.n_rows for r in residuals} == {len(rows)}

@@ -32,6 +32,8 @@ QUICK = (
     "roi_best_strategies",
     "false_positive_feature_means",
     "definition_rates",
+    "bootstrap_weights",
+    "boosted_leaf_values",
     "run_comparison",
 )
 NAMES = sorted(ORACLES) if os.environ.get("EBBLINE_ALL") else QUICK
