@@ -39,10 +39,11 @@ def parse_vector(text: Column) -> Column:
     return F.coalesce(numbers, F.array().cast("array<double>"))
 
 
-def uniform_key(seed: int, *keys: str) -> Column:
+def uniform_key(seed: int | Column, *keys: str) -> Column:
     """52 uniform bits from the row keys: stable across retries, engines and partitionings,
     and exact as a double."""
-    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    first = seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))
+    text = F.concat_ws(":", first, *[F.col(k).cast("string") for k in keys])
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
 
 

@@ -26,15 +26,12 @@ KEYS = ("client_id", "snapshot_date")
 DRAW_BOUNDS = [int(p * UNIFORM_KEY_RANGE) for p in accumulate(exp(-1) / factorial(k) for k in range(13))]
 
 
-def bootstrap_draws(seed: int, part: int) -> Column:
-    """How often a row stands in bootstrap ``part``: a Poisson number from the hash of its keys, so every engine, retry and
-    partitioning draws the same. The cap on training rows uses the hash of ``seed`` itself."""
-    key = uniform_key(seed + 1 + part, *KEYS)
-    return sum((F.when(key >= bound, 1).otherwise(0) for bound in DRAW_BOUNDS), F.lit(0))
-
-
 def with_draws(rows: DataFrame, parts: int, seed: int) -> DataFrame:
-    return rows.withColumn("draws", F.array(*[bootstrap_draws(seed, part).cast("byte") for part in range(parts)]))
+    """``draws``: how often a row stands in each bootstrap, Poisson numbers from hashes of its keys, so every engine, retry and
+    partitioning draws the same. The cap on training rows uses the hash of ``seed`` itself."""
+    bounds = F.array(*[F.lit(bound) for bound in DRAW_BOUNDS])
+    keys = F.transform(F.sequence(F.lit(seed + 1), F.lit(seed + parts)), lambda part: uniform_key(part, *KEYS))
+    return rows.withColumn("draws", F.transform(keys, lambda key: F.size(F.filter(bounds, lambda bound: key >= bound)).cast("byte")))
 
 
 def bootstrap_class_counts(drawn: DataFrame) -> DataFrame:
