@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ebbline.llm import alignment, decontamination, files, fingerprints, hard_negatives, mixing, near_duplicates, privacy, quality, repeated_passages, token_counts, token_files, toxicity, warc
 from ebbline.llm.common import read_table
+from ebbline.session import stage
 
 
 def op1_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "fail_bits", "sole_rule", "policy")
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op3's policies reject and what each of their rules alone rejects, from the stored ledger."""
+    return quality.ablations(stage(quality.ledger(read_table(spark, sf_dir, "documents")), "quality-ledger"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -89,6 +95,7 @@ QUERIES = {
     "op1_privacy": op1_privacy,
     "op2_warc_writer": op2_warc_writer,
     "op3_quality_rules": op3_quality_rules,
+    "quality_ablations": quality_ablations,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "benchmark_proximity": benchmark_proximity,
@@ -221,3 +228,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f[1]
 FROM r
 """,
 }
+
+_CASES = ", ".join(
+    f"('{policy.version}', {policy.mask}, '{rule.name}', {1 << i})"
+    for policy in quality.POLICIES
+    for i, rule in enumerate(quality.RULES)
+    if policy.mask >> i & 1
+)
+ORACLES["quality_ablations"] = f"""
+SELECT cases.policy, rule, count(*) AS documents, count(*) FILTER (WHERE fail_bits & mask <> 0) AS rejected,
+  count(*) FILTER (WHERE fail_bits & bit <> 0) AS failing, count(*) FILTER (WHERE fail_bits & mask = bit) AS kept_without
+FROM ({ORACLES["op3_quality_rules"]}) CROSS JOIN (VALUES {_CASES}) cases(policy, mask, rule, bit) GROUP BY cases.policy, rule"""

@@ -1,8 +1,10 @@
 import random
 from collections import Counter
 
+import pytest
+
 from ebbline.llm import quality as q
-from ebbline.llm.queries import ORACLES, op3_quality_rules
+from ebbline.llm.queries import ORACLES, QUERIES
 from tests.compare import oracle_connection, oracle_rows, schema_differences, spark_rows
 
 
@@ -48,9 +50,10 @@ def test_policies_and_ablations(spark):
     assert len(report) == sum(p.mask.bit_count() for p in q.POLICIES)
 
 
-def test_query_matches_sql(spark, sf_dir):
+@pytest.mark.parametrize("name", ["op3_quality_rules", "quality_ablations"])
+def test_query_matches_sql(spark, sf_dir, name):
     con = oracle_connection(sf_dir)
-    df = op3_quality_rules(spark, sf_dir)
-    sql = ORACLES["op3_quality_rules"]
+    df = QUERIES[name](spark, sf_dir)
+    sql = ORACLES[name]
     assert schema_differences(df, con, sql) == []
     assert spark_rows(df) == oracle_rows(con, sql)
