@@ -6,10 +6,12 @@ longer than SPAN count nothing, strings longer than PIECE are taken in overlappi
 
 A text is a bag of sentences and these a bag of words; words are runs without ASCII white space, lower-cased, of letters and digits only,
 and single characters in a row ("i d i o t") make one word; marks stand at either end of a word. The value of a landmark z for a word w is
-K(w, z) / K(z, z), where no subsequence of w weighs more than it does in z; below FLOOR it counts as 0. For a text, the largest square over its distinct words and the logarithm of
-the sum of squares are taken. Landmarks are the words and word beginnings that tell toxic training texts best from the others,
+K(w, z) / K(z, z), where no subsequence of w weighs more than it does in z; below FLOOR, which is less than an insult reaches with a character
+inserted in each of its gaps, it counts as 0. For a text, three values of each landmark are taken: the largest square over its distinct words, the logarithm of the sum
+of squares, and that sum over the root of the number of distinct words (the kernel of the text as a bag, normalised by its length, so that one chance hit in a long text tells little);
+the last two also of all landmarks together. Landmarks are the words and word beginnings that tell toxic training texts best from the others,
 chosen so that every toxic text is covered several times. With the kernel matrix M of the landmarks, k(text) M^(-1/2) is the
-Nyström map (of either half); a linear squared-hinge machine is trained on it and its margin turned into a probability by a
+Nyström map (of each of the three); a linear squared-hinge machine is trained on it and its margin turned into a probability by a
 logistic fit. Texts that these leave bare get landmarks of their own, however rare; only a fragment of a single toxic text, which nothing tells from chance, is
 taken just where no other stands in two.
 
@@ -35,8 +37,8 @@ from ebbline.llm.common import bounded, map_batches, slices, texts_of
 from ebbline.session import stage
 
 DECAY, SPAN, PIECE, STRIDE = 0.6, 7, 18, 9
-FLOOR = 0.5
-LANDMARKS = 64
+FLOOR = 0.25
+LANDMARKS = 256
 TRAIN_ROWS = 2000
 #: Toxic training texts that must hold a fragment, and how many times the share of the others.
 LEAST_TEXTS, CONTRAST = 2, 4
@@ -187,13 +189,17 @@ class TextKernel:
                 else:
                     self.far.add(word)
         size = len(self.kernel.landmarks)
-        out = np.zeros((len(texts), 2 * size), np.float32)
+        out = np.zeros((len(texts), 3 * size + 2), np.float32)
         for i, bag in enumerate(bags):
             hits = [self.near[w] for w in bag if w in self.near]
             if hits:
                 squares = np.square(hits)  # what is only half alike counts a quarter
+                sums = np.sum(squares, axis=0)
+                total, length = sums.sum(), math.sqrt(len(bag))
                 out[i, :size] = np.max(squares, axis=0)
-                out[i, size:] = np.log1p(np.sum(squares, axis=0)) / 4
+                out[i, size : 2 * size] = np.log1p(sums) / 4
+                out[i, 2 * size : -2] = np.minimum(sums / length, 1)
+                out[i, -2:] = np.log1p(total) / 2, total / length
         return out
 
 
@@ -348,9 +354,10 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, landm
     values, vectors = np.linalg.eigh(kernel.gram / np.outer(scale, scale))
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 0.05))) @ vectors.T
     per_class = np.where(y > 0, 0.5 / (y > 0).sum(), 0.5 / (y < 0).sum())
-    both = np.kron(np.eye(2), root)  # the largest values and the sums are mapped alike
-    w = squared_hinge(x @ both, y, per_class)
-    alpha, bias = both @ w[:-1], float(w[-1])
+    mapping = np.eye(x.shape[1])  # the three values are mapped alike, those of all landmarks stay
+    mapping[:-2, :-2] = np.kron(np.eye(3), root)
+    w = squared_hinge(x @ mapping, y, per_class)
+    alpha, bias = mapping @ w[:-1], float(w[-1])
     slope, offset = logistic(x @ alpha + bias, y)
     # the sample has other shares of the classes than the labels
     offset += math.log(labelled[1] / labelled[0]) - math.log((y > 0).sum() / (y < 0).sum())
