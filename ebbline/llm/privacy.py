@@ -6,9 +6,12 @@ n(e) that hold entity e, n(t) that hold term t anywhere and n(e,t) that hold t w
 
     PMI(e; t) = log2(n * n(e,t) / (n(e) * n(t)))      IC(e) = log2(n / n(e))      disclosure = PMI / IC <= 1.
 
-A disclosure of 1 means that whoever sees the term knows the entity. A term that meets an entity in at least ``support`` documents
+A disclosure of 1 means that whoever sees the term knows the entity. A pair that meets in fewer than ``support`` documents may meet by chance: there
+the share n(e,t) / n(t) in the PMI is drawn to that of the whole corpus by ``support`` documents more of the term, s: (n(e,t) + s * n(e) / n) / (n(t) + s). So
+a term that stands nowhere but next to an entity of a single document loses two bits (it is generalised in a corpus of a hundred documents, removed in one of
+a million), and a common word discloses nothing. A term
 is removed from the entity's neighbourhood if its disclosure is at least REMOVE, and generalised to its class if it is at least
-GENERALISE. An entity that all documents hold carries no information (IC 0) and discloses nothing.
+GENERALISE. All pairs are rated. An entity that all documents hold carries no information (IC 0) and discloses nothing.
 
 Spans are kind:start:end in code points, end exclusive, by start and then kind in the order of KINDS. Base kinds match leftmost,
 without overlaps within a kind; matches that fail their check are dropped and not tried again. A null or empty text has no
@@ -35,6 +38,7 @@ KINDS = ("email", "ip", "card", "phone", "removed", "general")
 BASE_KINDS = KINDS[:4]
 #: Characters on either side of an entity in which a term is near it.
 REACH = 60
+#: Documents a pair must meet in to be rated by its bare counts.
 SUPPORT = 3
 REMOVE, GENERALISE = 0.9, 0.7
 MIN_LETTERS = 3
@@ -166,7 +170,7 @@ def term_documents(df: DataFrame, text_col: str = "text") -> DataFrame:
 def disclosures(df: DataFrame, found: DataFrame, text_col: str = "text", support: int = SUPPORT, remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:
     """entity, term, disclosure and kind ("removed" or "general") of the pairs above the thresholds."""
     spots = found.select("row", F.explode("contexts").alias("c")).select("row", "c.entity", "c.term").distinct()
-    pairs = stage(spots.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support), "privacy-pairs")
+    pairs = stage(spots.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")), "privacy-pairs")
     # The documents of an entity are all that hold it, also those where no term is near it.
     holders = found.select(F.explode("entities").alias("entity"))
     entities = holders.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
@@ -176,7 +180,9 @@ def disclosures(df: DataFrame, found: DataFrame, text_col: str = "text", support
     n = found.count()
     both = pairs.join(entities, "entity").join(counted, "term").where(F.col("n_entity") < n)
     bits = lambda top, below: F.log2(top / below)
-    score = bits(F.lit(float(n)) * F.col("n_both"), F.col("n_entity").cast("double") * F.col("n_term")) / bits(F.lit(float(n)), F.col("n_entity"))
+    met, of_term, of_entity = F.col("n_both").cast("double"), F.col("n_term").cast("double"), F.col("n_entity").cast("double")
+    rare = F.when(F.col("n_both") < support, F.lit(float(support))).otherwise(F.lit(0.0))
+    score = bits(F.lit(float(n)) * (met + rare * of_entity / n), of_entity * (of_term + rare)) / bits(F.lit(float(n)), of_entity)
     rated = both.withColumn("disclosure", score).where(F.col("disclosure") >= generalise)
     return rated.select("entity", "term", "disclosure", F.when(F.col("disclosure") >= remove, "removed").otherwise("general").alias("kind"))
 

@@ -57,10 +57,11 @@ def reference(rows):
         kinds = {}
         for c in spots:
             both = sum(any(x["entity"] == c["entity"] and x["term"] == c["term"] for x in o) for o in near)
-            holds = sum(any(x["entity"] == c["entity"] for x in o) for o in near)
+            holds = sum(any(f"{kind}:{entity}" == c["entity"] for kind, _, _, entity in b) for b in base)
             n_term = sum(c["term"] in t for t in terms)
-            if both >= p.SUPPORT and holds < n:
-                told = math.log2(n * both / (holds * n_term)) / math.log2(n / holds)
+            if holds < n:
+                share = both / n_term if both >= p.SUPPORT else (both + p.SUPPORT * holds / n) / (n_term + p.SUPPORT)
+                told = math.log2(share / (holds / n)) / math.log2(n / holds)
                 if told >= p.GENERALISE:
                     key = (c["start"], c["end"])
                     kinds[key] = max(kinds.get(key, ""), "removed" if told >= p.REMOVE else "general")
@@ -118,3 +119,22 @@ def test_entities_count_in_documents_without_terms_near(spark, documents):
     # PMI log2(33 * 4 / (16 * 5)) over IC log2(33 / 16); from the 4 documents with a term near it would be 0.89
     got = {r.term: r.disclosure for r in p.disclosures(documents(mixed), p.find(documents(mixed)), generalise=-9.0).collect()}
     assert math.isclose(got["zarathustra"], math.log2(33 * 4 / (16 * 5)) / math.log2(33 / 16))
+
+
+def test_pairs_of_rare_entities(spark, documents):
+    """An entity of a single document: the name and a rare word near it are rated, a word of more documents and common ones stay."""
+    rows = [(i, "people ask about water and light") for i in range(4000)] + [(5000 + i, "the harbour keeps its boats") for i in range(20)]
+    rows += [(9000, "people ask Quintessa of the harbour: quin@mail.example.com")]
+    text = rows[-1][1]
+
+    def named(rows, **thresholds):
+        got = {r.doc_id: r for r in p.private_spans(documents(rows), **thresholds).collect()}
+        assert all(not r.spans for i, r in got.items() if i != 9000)
+        spans = [x.split(":") for x in got[9000].spans.split(",")]
+        assert got[9000].n_terms == len(spans) - 1
+        return {(kind, text[int(s) : int(e)]) for kind, s, e in spans} - {("email", "quin@mail.example.com")}
+
+    assert named(rows) == {("general", "Quintessa")}
+    few = [r for r in rows if not 5003 <= r[0] < 9000]  # "the" and "harbour" in four documents
+    assert named(few) == {("general", "Quintessa"), ("general", "the"), ("general", "harbour")}
+    assert named(few, remove=0.8) == {("removed", "Quintessa"), ("general", "the"), ("general", "harbour")}
