@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Entries a worker remembers between batches. A memory bound only: a forgotten entry is computed again.
 CACHE_ENTRIES = 400_000
@@ -55,6 +55,28 @@ def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores before it until no column of ``df`` is called so."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def quoted(df: DataFrame) -> list[str]:
+    """The columns of ``df`` as select reads them, whatever signs are in their names."""
+    return ["`{}`".format(c.replace("`", "``")) for c in df.columns]
+
+
+def without_rows(df: DataFrame, marked: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``df`` whose id and text hash are not those of a row of ``marked`` (doc_id, text_hash)."""
+    d, t = unused(df, "_d", "_t")
+    marked = marked.select(F.col("doc_id").alias(d), F.col("text_hash").alias(t)).distinct()
+    return df.join(marked, F.col(id_col).cast("long").eqNullSafe(F.col(d)) & F.xxhash64(F.col(text_col).cast("string")).eqNullSafe(F.col(t)), "left_anti")
+
+
 def bounded(cache: dict | set, entries: int = CACHE_ENTRIES) -> None:
     """Empty a cache that has outgrown its bound."""
     if len(cache) > entries:

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ebbline.llm.common import without_rows
 from ebbline.session import stage
 
 WINDOW = 10
@@ -153,5 +154,4 @@ def decontaminate(documents: DataFrame, items: DataFrame, window: int = WINDOW,
 def clean_rows(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``documents`` that hold no window of an item, with their columns."""
     hit = decontaminate(documents, items, id_col=id_col, text_col=text_col, proximity=False).where("contaminated")
-    hit = hit.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).distinct()
-    return documents.join(hit, F.col(id_col).cast("long").eqNullSafe(F.col("_d")) & F.xxhash64(F.col(text_col).cast("string")).eqNullSafe(F.col("_t")), "left_anti")
+    return without_rows(documents, hit, id_col, text_col)

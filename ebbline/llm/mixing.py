@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ebbline.llm.common import quoted, unused
 from ebbline.session import stage
 
 WEIGHTS = (5, 2, 1)
@@ -84,16 +85,16 @@ def mix_plan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
 def mix(df: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
     """The rows of ``df``, each as often as the mix takes it, with the columns of ``df``."""
     plan = mix_plan(df, id_col=id_col, **settings).where("copies > 0")
-    plan = plan.groupBy(F.col("doc_id").alias("_mix_id"), F.col("row_hash").alias("_mix_hash")).agg(F.sum("copies").alias("_mix_copies"))
-    rows = df.withColumn("_mix_row", row_hash(df)).dropDuplicates([id_col, "_mix_row"])
-    joined = rows.join(plan, rows[id_col].eqNullSafe(plan["_mix_id"]) & (rows["_mix_row"] == plan["_mix_hash"]))
-    copies = F.explode(F.array_repeat(F.lit(1), F.col("_mix_copies").cast("int")))
-    return joined.select(*(rows[c] for c in df.columns), copies.alias("_mix_copy")).drop("_mix_copy")
+    one, named, hashed, copies, copy = unused(df, "_mix_row", "_mix_id", "_mix_hash", "_mix_copies", "_mix_copy")
+    plan = plan.groupBy(F.col("doc_id").alias(named), F.col("row_hash").alias(hashed)).agg(F.sum("copies").alias(copies))
+    rows = df.withColumn(one, row_hash(df)).dropDuplicates([id_col, one])
+    joined = rows.join(plan, F.col(id_col).eqNullSafe(F.col(named)) & (F.col(one) == F.col(hashed)))
+    return joined.select(*quoted(df), F.explode(F.array_repeat(F.lit(1), F.col(copies).cast("int"))).alias(copy)).drop(copy)
 
 
 def row_hash(df: DataFrame) -> Column:
     """A number below 2^60 from the whole row."""
-    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0")) for c in df.columns]
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in quoted(df)]
     return _number(F.concat_ws("\1", *parts), 15)
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType
 from xxhash import xxh64_intdigest
 
-from ebbline.llm.common import map_batches, texts_of
+from ebbline.llm.common import map_batches, quoted, texts_of, unused
 from ebbline.session import stage
 
 SHINGLE = 5
@@ -367,12 +367,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def kept_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, with its columns: exactly one of each component, of those with its least id the one with the
     least text hash, and one of equal rows (id and text) without words."""
+    d, t, n = unused(df, "_d", "_t", "_n")
     alike = grouped(df, id_col, text_col).groupBy("comp", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
     one = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")).alias("one")
     linked = alike.where("comp IS NOT NULL").groupBy("comp").agg(one).select("one.doc_id", "one.text_hash", "one.n")
-    chosen = stage(linked.union(alike.where("comp IS NULL").select("doc_id", "text_hash", "n")).toDF("_d", "_t", "_n"), "chosen")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_d")) & F.xxhash64(F.col(text_col).cast("string")).eqNullSafe(F.col("_t"))
-    single = df.join(chosen.where("_n = 1"), same, "left_semi")
+    chosen = stage(linked.union(alike.where("comp IS NULL").select("doc_id", "text_hash", "n")).toDF(d, t, n), "chosen")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(d)) & F.xxhash64(F.col(text_col).cast("string")).eqNullSafe(F.col(t))
+    single = df.join(chosen.where(F.col(n) == 1), same, "left_semi")
     # Only rows that occur more than once are shuffled to take one of them.
-    repeated = df.join(chosen.where("_n > 1"), same).dropDuplicates(["_d", "_t"])
-    return single.union(repeated.select(*df.columns))
+    repeated = df.join(chosen.where(F.col(n) > 1), same).dropDuplicates([d, t])
+    return single.union(repeated.select(*quoted(df)))

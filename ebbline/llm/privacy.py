@@ -31,7 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ebbline.llm.common import map_batches, slices
+from ebbline.llm.common import map_batches, quoted, slices, unused
 from ebbline.session import stage
 
 KINDS = ("email", "ip", "card", "phone", "removed", "general")
@@ -229,13 +229,14 @@ def redact(text: str | None, spans: str) -> str | None:
 def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **thresholds) -> DataFrame:
     """``df`` with the texts redacted. A row meets its spans again by its id and a hash of its text."""
     spans = private_spans(df, id_col, text_col, **thresholds).where("spans <> ''").dropDuplicates(["doc_id", "text_hash"])
-    spans = spans.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), F.col("spans").alias("_spans"))
+    d, t, marked = unused(df, "_d", "_t", "_spans")
+    spans = spans.select(F.col("doc_id").alias(d), F.col("text_hash").alias(t), F.col("spans").alias(marked))
     text = F.col(text_col).cast("string")
-    rows = df.join(spans, F.col(id_col).cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(text) == F.col("_t")), "left")
+    rows = df.join(spans, F.col(id_col).cast("long").eqNullSafe(F.col(d)) & (F.xxhash64(text) == F.col(t)), "left")
 
     @F.pandas_udf("string")
     def redacted(texts: pd.Series, marks: pd.Series) -> pd.Series:
         return pd.Series([redact(t, m) for t, m in zip(texts, marks)], dtype=object)
 
-    new = F.when(F.col("_spans").isNull(), text).otherwise(redacted(text, F.col("_spans")))
-    return rows.withColumn(text_col, new).select(*df.columns)
+    new = F.when(F.col(marked).isNull(), text).otherwise(redacted(text, F.col(marked)))
+    return rows.withColumn(text_col, new).select(*quoted(df))

@@ -10,13 +10,15 @@ The vocabulary is a public one and is never trained here. Its file ranks the pie
 the piece of rank r is -ln(r + 1), held in whole micronats so that sums are exact. A character that no piece
 covers costs UNKNOWN_NATS more than the rarest piece and counts one token per UTF-8 byte (byte fallback).
 
-Null and empty texts have no pre-token and count 0. Rows are independent: repeated rows and null ids are
+Only the states of the prefix that a pre-token shares with the next one are kept, so a pre-token of millions of characters needs no more memory than its own
+text. Null and empty texts have no pre-token and count 0. Rows are independent: repeated rows and null ids are
 kept as they are, columns other than the named two are not read.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 from collections.abc import Iterable, Iterator
 
@@ -73,17 +75,26 @@ class TrieCounter:
         return alive, best
 
     def count(self, sorted_words: Iterable[str]) -> Iterator[tuple[str, int]]:
-        path: list[tuple[list, int]] = [self.start]  # the state of every prefix of the last word
+        path: list[tuple[list, int]] = [self.start]  # the states of the prefixes that the last word shares with the next
         last = ""
-        for word in sorted_words:
-            shared, most = 0, min(len(word), len(last))
-            while shared < most and word[shared] == last[shared]:
-                shared += 1
+        for word, after in itertools.pairwise(itertools.chain(sorted_words, [""])):
+            shared, needed = _shared(word, last), _shared(word, after)
             del path[shared + 1 :]
-            for char in word[shared:]:
-                path.append(self._extend(*path[-1], char))
+            state = path[-1]
+            for depth, char in enumerate(word[shared:], shared + 1):
+                state = self._extend(*state, char)
+                if depth <= needed:
+                    path.append(state)
             last = word
-            yield word, -path[-1][1] % SHIFT
+            yield word, -state[1] % SHIFT
+
+
+def _shared(a: str, b: str) -> int:
+    """Length of the common prefix."""
+    most = min(len(a), len(b))
+    if a[:most] == b[:most]:
+        return most
+    return next(i for i, (x, y) in enumerate(zip(a, b)) if x != y)
 
 
 @functools.lru_cache(maxsize=1)

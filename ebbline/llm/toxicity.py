@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ebbline.llm.common import bounded, map_batches, slices, texts_of
+from ebbline.llm.common import bounded, map_batches, slices, texts_of, without_rows
 from ebbline.session import stage
 
 DECAY, SPAN, PIECE, STRIDE = 0.6, 7, 18, 9
@@ -385,5 +385,5 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def clean_rows(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``documents`` that are not predicted toxic, with their columns."""
-    toxic = toxicity(documents, labels).where("predicted = 1").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).distinct()
-    return documents.join(toxic, F.col(id_col).cast("long").eqNullSafe(F.col("_d")) & F.xxhash64(F.col(text_col).cast("string")).eqNullSafe(F.col("_t")), "left_anti")
+    model = train(documents, labels, id_col=id_col, text_col=text_col)
+    return without_rows(documents, score_texts(documents, model, id_col, text_col).where("predicted = 1"), id_col, text_col)

@@ -1,3 +1,4 @@
+import tracemalloc
 import public_tokenizers
 import sentencepiece
 from tokenizers import Tokenizer, models
@@ -55,3 +56,13 @@ def test_scores_follow_ranks():
     assert "<unk>" not in scores and "<0x0A>" not in scores
     ordered = sorted(scores, key=scores.get, reverse=True)
     assert model.get_score(model.piece_to_id(ordered[0])) >= model.get_score(model.piece_to_id(ordered[100]))
+
+
+def test_long_words_need_little_memory():
+    counter = tc.TrieCounter({"▁": 0, "a": -1, "aa": -1, "b": -2})
+    words = sorted(["a" * 200_000, "a" * 200 + "b", "b" * 200_000, "a", "ab"])
+    alone = {w: dict(counter.count([w]))[w] for w in words}
+    tracemalloc.start()
+    assert dict(counter.count(words)) == alone
+    assert tracemalloc.get_traced_memory()[1] < 2_000_000
+    tracemalloc.stop()
