@@ -10,7 +10,8 @@ occurs where the lists of its terms intersect. Lists are taken from the rarest t
 item the SEEDS positions with the rarest terms (by training document postings) are seeds; a diagonal on which fewer seeds
 meet than any window has cannot hold a window. The diagonals that are left are checked on the texts of their documents, which
 is less to shuffle than the lists of frequent terms: the positions that match are counted in runs, and a run of ``window`` words (or the whole of a shorter item) is an exact match. For
-proximity, the seeds of an item that meet within ``slop`` positions of one diagonal are counted.
+proximity, the seeds of an item that meet within ``slop`` positions of one diagonal are counted: an item whose words stand in their order,
+with up to ``slop`` words put in or left out, though no ten of them in a row.
 
 Null and empty texts have no words: n_words 0, never hit; an item without words matches nothing. Repeated document rows
 give repeated result rows; of repeated items each id counts once. Documents are told apart by id and a hash of the
@@ -74,9 +75,9 @@ def seeds(item_words: DataFrame, frequencies: DataFrame, window: int = WINDOW, c
     return rows.select("item", "item_words", "ipos", "term_id").distinct()
 
 
-def candidate_diagonals(postings: DataFrame, seed_rows: DataFrame, count: int = SEEDS) -> DataFrame:
+def candidate_diagonals(spots: DataFrame, count: int = SEEDS) -> DataFrame:
     """The stored diagonals of an item in a document on which ``count`` seeds meet, or all of a shorter item."""
-    met = seed_diagonals(postings, seed_rows).groupBy(*DOC, "item", "diag").agg(F.count_distinct("ipos").alias("met"), F.first("item_words").alias("item_words"))
+    met = spots.groupBy(*DOC, "item", "diag").agg(F.count_distinct("ipos").alias("met"), F.first("item_words").alias("item_words"))
     found = met.where(F.col("met") >= F.least(F.lit(count), "item_words")).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), "item", "diag", "item_words")
     return stage(found, "diagonals")
 
@@ -102,18 +103,21 @@ def phrase_matches(documents: DataFrame, diagonals: DataFrame, items: DataFrame,
     return runs.withColumn("length", length).where(F.col("length") >= F.least(F.lit(window), "item_words")).select(*DOC, "item_id", (F.col("diag") + F.col("ipos")).alias("pos"))
 
 
-def seed_diagonals(postings: DataFrame, seed_rows: DataFrame) -> DataFrame:
-    """The offset-adjusted lists of the seeds."""
-    lists = postings.where("pos > 0").join(seed_rows, "term_id")
-    return lists.select(*DOC, "item", "item_words", "ipos", (F.col("pos") - F.col("ipos")).alias("diag"))
+def seed_diagonals(postings: DataFrame, seed_rows: DataFrame, count: int = SEEDS, slop: int = SLOP, near: int = NEAR_SEEDS) -> DataFrame:
+    """The stored offset-adjusted lists of the seeds, without the entries that have fewer others within ``slop`` diagonals on
+    either side than the weaker of both matches needs. All entries of a match stay; the lists are shuffled once for both."""
+    least = seed_rows.groupBy("item").agg(F.least(F.lit(count), F.lit(near), F.count_distinct("ipos")).alias("least"))
+    lists = postings.where("pos > 0").join(seed_rows.join(least, "item"), "term_id")
+    spots = lists.select(*DOC, "item", "item_words", "ipos", (F.col("pos") - F.col("ipos")).alias("diag"), "least")
+    around = Window.partitionBy(*DOC, "item").orderBy("diag").rangeBetween(-slop, slop)
+    return stage(spots.withColumn("met", F.count(F.lit(1)).over(around)).where("met >= least").drop("met", "least"), "spots")
 
 
-def proximity_matches(postings: DataFrame, seed_rows: DataFrame, slop: int = SLOP, near: int = NEAR_SEEDS) -> DataFrame:
+def proximity_matches(spots: DataFrame, seed_rows: DataFrame, slop: int = SLOP, near: int = NEAR_SEEDS) -> DataFrame:
     """doc_id, text_hash, item: at least ``near`` different seeds of the item (all of an item with fewer) in the order of the
     item up to ``slop`` shifts, that is on diagonals at most ``slop`` apart."""
     # Diagonals at most slop apart share a block of 2 * slop in one of two tilings shifted by slop.
-    spots = seed_diagonals(postings, seed_rows).distinct()
-    tiles = spots.withColumn("tile", F.explode(F.array(F.floor(F.col("diag") / (2 * slop)) * 2, F.floor((F.col("diag") + slop) / (2 * slop)) * 2 + 1)))
+    tiles = spots.distinct().withColumn("tile", F.explode(F.array(F.floor(F.col("diag") / (2 * slop)) * 2, F.floor((F.col("diag") + slop) / (2 * slop)) * 2 + 1)))
     seeds_of = seed_rows.groupBy("item").agg(F.count_distinct("ipos").alias("seeds"))
     tile = Window.partitionBy(*DOC, "item", "tile").orderBy("diag").rangeBetween(0, slop)
     counted = tiles.withColumn("met", F.size(F.collect_set("ipos").over(tile)))
@@ -131,14 +135,15 @@ def decontaminate(documents: DataFrame, items: DataFrame, window: int = WINDOW,
     postings = build_index(documents, terms, id_col, text_col)
     frequencies = postings.where("pos > 0").groupBy("term_id").agg(F.count(F.lit(1)).alias("df"))
     seed_rows = stage(seeds(item_words, frequencies, window, count), "seeds")
-    diagonals = candidate_diagonals(postings, seed_rows, count)
+    spots = seed_diagonals(postings, seed_rows, count)
+    diagonals = candidate_diagonals(spots, count)
     matches = stage(phrase_matches(documents, diagonals, texts, window, id_col, text_col), "matches")
     hits = matches.groupBy(*DOC).agg(F.count_distinct("pos").alias("n_hit"))
     names = matches.select(*DOC, "item_id").distinct().groupBy(*DOC).agg(F.count(F.lit(1)).alias("n_items"), F.array_join(F.array_sort(F.collect_list(F.col("item_id").cast("string"))), ",").alias("ids"))
     headers = postings.where("pos = 0").select(*DOC, "n_words")
     counted = [hits, names]
     if proximity:
-        counted.append(proximity_matches(postings, seed_rows).groupBy(*DOC).agg(F.count(F.lit(1)).alias("n_near_items")))
+        counted.append(proximity_matches(spots, seed_rows).groupBy(*DOC).agg(F.count(F.lit(1)).alias("n_near_items")))
     rows = headers
     for more in counted:
         more = more.withColumnsRenamed({"doc_id": "_d", "text_hash": "_t"})

@@ -38,13 +38,12 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
-    return decontamination.decontaminate(documents, items, proximity=False).drop("text_hash")
+    return decontamination.decontaminate(documents, items).drop("text_hash")
 
 
 def benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op5 with both kinds of matches: its columns and n_near_items."""
-    documents, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
-    return decontamination.decontaminate(documents, items, proximity=True).drop("text_hash")
+    """op5, which now returns both kinds of matches."""
+    return op5_benchmark_decontamination(spark, sf_dir)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,9 +161,30 @@ WITH d AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id
 ), items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS k FROM found) GROUP BY doc_id
+), item_terms AS (
+  SELECT item_id, len(w) AS l, unnest(range(len(w))) AS ipos, unnest(w) AS term FROM (SELECT DISTINCT item_id, w FROM b WHERE len(w) > 0)
+), postings AS (
+  SELECT * FROM (SELECT doc_id, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM item_terms)
+), frequencies AS (
+  SELECT term, count(*) AS f FROM postings GROUP BY term
+), places AS (
+  SELECT *, unnest(range(greatest(ipos - 9, 0), least(ipos, greatest(l - 10, 0)) + 1)) AS wstart FROM item_terms
+), seeds AS (
+  SELECT DISTINCT item_id, ipos, term FROM (
+    SELECT item_id, ipos, term, row_number() OVER (PARTITION BY item_id, wstart ORDER BY coalesce(f, 0), ipos) AS k FROM places LEFT JOIN frequencies USING (term)) WHERE k <= 3
+), needed AS (
+  SELECT item_id, least(4, count(*)) AS needed FROM seeds GROUP BY item_id
+), lists AS (
+  SELECT doc_id, item_id, ipos, pos - ipos AS diag FROM postings JOIN seeds USING (term)
+), met AS (
+  SELECT x.doc_id, x.item_id, x.diag, count(DISTINCT y.ipos) AS met FROM (SELECT DISTINCT doc_id, item_id, diag FROM lists) AS x
+  JOIN lists AS y ON x.doc_id = y.doc_id AND x.item_id = y.item_id AND y.diag BETWEEN x.diag AND x.diag + 5 GROUP BY ALL
+), near AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_near_items FROM met JOIN needed USING (item_id) WHERE met >= needed GROUP BY doc_id
 )
-SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  coalesce(n_near_items, 0) AS n_near_items
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)
 """,
     "op8_mix_sources": r"""
 WITH d AS (
@@ -229,6 +249,7 @@ FROM r
 """,
 }
 
+ORACLES["benchmark_proximity"] = ORACLES["op5_benchmark_decontamination"]
 _CASES = ", ".join(
     f"('{policy.version}', {policy.mask}, '{rule.name}', {1 << i})"
     for policy in quality.POLICIES

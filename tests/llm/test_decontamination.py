@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import __spark_entry__
 from ebbline.llm import decontamination as dc
@@ -103,3 +104,38 @@ def test_registered_query_returns_proximity_matches(spark, save, documents):
     sf_dir = save(documents=documents([(1, near), (2, item), (3, "nothing")]), benchmark=items)
     got = __spark_entry__.queries()["benchmark_proximity"](spark, sf_dir)
     assert {r.doc_id: (r.contaminated, r.n_near_items) for r in got.collect()} == {1: (False, 1), 2: (True, 1), 3: (False, 0)}
+
+
+def brute_near(rows, items):
+    """Items with a proximity match per document, by the definition."""
+    split = tokens
+    texts = {i: split(t) for i, t in items}
+    vocabulary = {w for t in texts.values() for w in t}
+    df = Counter(w for _, t in rows for w in split(t) if w in vocabulary)
+    out = {}
+    for doc_id, text in rows:
+        out[doc_id] = 0
+        for w in texts.values():
+            seeds = set()
+            for start in range(max(len(w) - dc.WINDOW, 0) + 1):
+                seeds |= set(sorted(range(start, min(start + dc.WINDOW, len(w))), key=lambda i: (df[w[i]], i))[: dc.SEEDS])
+            spots = [(p - i, i) for p, x in enumerate(split(text), 1) for i in seeds if w[i] == x]
+            best = max((len({i for e, i in spots if d <= e <= d + dc.SLOP}) for d, _ in spots), default=0)
+            out[doc_id] += bool(w) and best >= min(dc.NEAR_SEEDS, len(seeds))
+    return out
+
+
+def test_proximity_equals_the_definition(spark):
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([1, 3, 9, 10, 14, 30])))) for i in range(12)] + [(50, ""), (51, "w1 " * 14)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(0, 150)))) for i in range(40)] + [(90, None), (91, "w1 " * 60)]
+    for n, (_, text) in enumerate(items[:12]):
+        words = text.split()
+        for k in range(4):  # words put in and left out
+            changed = [x for w in words for x in ([w, "new"] if rng.random() < 0.25 else [] if rng.random() < 0.15 else [w])]
+            rows.append((100 + 10 * n + k, " ".join(rng.choices(vocabulary, k=k * 7) + changed)))
+    docs, bench = tables(spark, rows, items)
+    got = {r.doc_id: r.n_near_items for r in dc.decontaminate(docs, bench).collect()}
+    want = brute_near(rows, items)
+    assert got == want and len(set(want.values())) > 2
