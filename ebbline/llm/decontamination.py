@@ -66,13 +66,14 @@ def number_terms(item_words: DataFrame) -> DataFrame:
 
 
 def seeds(item_words: DataFrame, frequencies: DataFrame, window: int = WINDOW, count: int = SEEDS) -> DataFrame:
-    """The ``count`` rarest positions of every window of every item: item, item_words, ipos, term_id."""
+    """The ``count`` rarest positions of every window of every item: item, item_words, ipos, term_id and the number of seeds of the item."""
     rated = item_words.join(frequencies, "term_id", "left").withColumn("df", F.coalesce("df", F.lit(0).cast("long")))
     last = F.greatest(F.col("item_words") - window, F.lit(0))
     starts = F.explode(F.sequence(F.greatest(F.col("ipos") - window + 1, F.lit(0)), F.least(F.col("ipos"), last)))
     rank = F.row_number().over(Window.partitionBy("item", "wstart").orderBy("df", "ipos"))
     rows = rated.withColumn("wstart", starts).withColumn("rank", rank).where(F.col("rank") <= count)
-    return rows.select("item", "item_words", "ipos", "term_id").distinct()
+    rows = rows.select("item", "item_words", "ipos", "term_id").distinct()
+    return rows.withColumn("seeds", F.count(F.lit(1)).over(Window.partitionBy("item")))
 
 
 def candidate_diagonals(spots: DataFrame, count: int = SEEDS) -> DataFrame:
@@ -106,9 +107,9 @@ def phrase_matches(documents: DataFrame, diagonals: DataFrame, items: DataFrame,
 def seed_diagonals(postings: DataFrame, seed_rows: DataFrame, count: int = SEEDS, slop: int = SLOP, near: int = NEAR_SEEDS) -> DataFrame:
     """The stored offset-adjusted lists of the seeds, without the entries that have fewer others within ``slop`` diagonals on
     either side than the weaker of both matches needs. All entries of a match stay; the lists are shuffled once for both."""
-    least = seed_rows.groupBy("item").agg(F.least(F.lit(count), F.lit(near), F.count_distinct("ipos")).alias("least"))
-    lists = postings.where("pos > 0").join(seed_rows.join(least, "item"), "term_id")
-    spots = lists.select(*DOC, "item", "item_words", "ipos", (F.col("pos") - F.col("ipos")).alias("diag"), "least")
+    lists = postings.where("pos > 0").join(seed_rows, "term_id")
+    least = F.least(F.lit(count), F.lit(near), "seeds").alias("least")
+    spots = lists.select(*DOC, "item", "item_words", "ipos", (F.col("pos") - F.col("ipos")).alias("diag"), least)
     around = Window.partitionBy(*DOC, "item").orderBy("diag").rangeBetween(-slop, slop)
     return stage(spots.withColumn("met", F.count(F.lit(1)).over(around)).where("met >= least").drop("met", "least"), "spots")
 
@@ -118,7 +119,7 @@ def proximity_matches(spots: DataFrame, seed_rows: DataFrame, slop: int = SLOP,
     item up to ``slop`` shifts, that is on diagonals at most ``slop`` apart."""
     # Diagonals at most slop apart share a block of 2 * slop in one of two tilings shifted by slop.
     tiles = spots.distinct().withColumn("tile", F.explode(F.array(F.floor(F.col("diag") / (2 * slop)) * 2, F.floor((F.col("diag") + slop) / (2 * slop)) * 2 + 1)))
-    seeds_of = seed_rows.groupBy("item").agg(F.count_distinct("ipos").alias("seeds"))
+    seeds_of = seed_rows.select("item", "seeds").distinct()
     tile = Window.partitionBy(*DOC, "item", "tile").orderBy("diag").rangeBetween(0, slop)
     counted = tiles.withColumn("met", F.size(F.collect_set("ipos").over(tile)))
     best = counted.groupBy(*DOC, "item").agg(F.max("met").alias("met"))
