@@ -76,25 +76,26 @@ class TrieCounter:
 
     def count(self, sorted_words: Iterable[str]) -> Iterator[tuple[str, int]]:
         path: list[tuple[list, int]] = [self.start]  # the states of the prefixes that the last word shares with the next
-        last = ""
+        shared = 0
         for word, after in itertools.pairwise(itertools.chain(sorted_words, [""])):
-            shared, needed = _shared(word, last), _shared(word, after)
             del path[shared + 1 :]
-            state = path[-1]
-            for depth, char in enumerate(word[shared:], shared + 1):
+            state, needed = path[-1], _shared(word, after)
+            for char in word[shared:needed]:
                 state = self._extend(*state, char)
-                if depth <= needed:
-                    path.append(state)
-            last = word
+                path.append(state)
+            for char in word[max(shared, needed) :]:
+                state = self._extend(*state, char)
+            shared = needed
             yield word, -state[1] % SHIFT
 
 
 def _shared(a: str, b: str) -> int:
     """Length of the common prefix."""
     most = min(len(a), len(b))
-    if a[:most] == b[:most]:
-        return most
-    return next(i for i, (x, y) in enumerate(zip(a, b)) if x != y)
+    n = 0
+    while n < most and a[n] == b[n]:
+        n += 1
+    return n
 
 
 @functools.lru_cache(maxsize=1)
