@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from ebbline.session import stage
 
 MIN_CELLS = 4
+# Rows of a cell by default. A cell is a partition, so ``bucket_rows`` below this asks for at most FINE_CELLS cells; tables
+# that need more get cells of CELL_ROWS rows.
+CELL_ROWS = 500_000
+FINE_CELLS = 200
 
 
 @dataclass(frozen=True)
@@ -32,10 +36,18 @@ class By:
         return F.col(self.name).desc() if self.descending else F.col(self.name).asc()
 
 
+def cell_count(n_rows: int, bucket_rows: int) -> int:
+    """Cells for ``n_rows`` rows: tasks and offsets stay few, however small the wished cells are."""
+    cells = -(-n_rows // bucket_rows)
+    if cells > FINE_CELLS:
+        cells = max(FINE_CELLS, -(-n_rows // max(bucket_rows, CELL_ROWS)))
+    return max(MIN_CELLS, cells)
+
+
 def in_cells(df: DataFrame, order: Sequence[By], group: Sequence[str], bucket_rows: int) -> DataFrame:
-    """Stored rows with ``_cell``, the number of a range of (group, order) with about ``bucket_rows`` rows. Which range
-    a row falls in may differ between runs; totals do not."""
-    cells = max(MIN_CELLS, -(-df.count() // bucket_rows))
+    """Stored rows with ``_cell``, the number of a range of (group, order) with about ``bucket_rows`` rows, or more if these
+    would be too many cells. Which range a row falls in may differ between runs; totals do not."""
+    cells = cell_count(df.count(), bucket_rows)
     ranged = df.repartitionByRange(cells, *[F.col(g).asc() for g in group], *[by.sort for by in order])
     return stage(ranged.withColumn("_cell", F.spark_partition_id()), "cells")
 
@@ -45,7 +57,7 @@ def running_totals(
     measures: dict[str, str],
     order: Sequence[By],
     group: Sequence[str] = (),
-    bucket_rows: int = 500_000,
+    bucket_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Add ``sum(measure)`` from the first row of the group up to each row in the given total order.
 
@@ -69,6 +81,6 @@ def running_totals(
 
 
 def row_numbers(
-    df: DataFrame, order: Sequence[By], group: Sequence[str] = (), name: str = "rank", bucket_rows: int = 500_000
+    df: DataFrame, order: Sequence[By], group: Sequence[str] = (), name: str = "rank", bucket_rows: int = CELL_ROWS
 ) -> DataFrame:
     return running_totals(df, {name: "1L"}, order, group, bucket_rows)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ebbline.operators import errors, folds, profiling, roi, sampling, strategy
 from ebbline.operators.comparison import choose_best_model
 from ebbline.operators.metrics import Scored, binary_metrics, prediction_frame
-from ebbline.operators.ranking import By, row_numbers, running_totals
+from ebbline.operators.ranking import CELL_ROWS, FINE_CELLS, By, cell_count, in_cells, row_numbers, running_totals
 
 D = dt.date(2024, 1, 1)
 SCHEMA = "client_id long, snapshot_date date, y_true int, y_score double, g string"
@@ -99,6 +99,16 @@ def test_bucketed_ranks_equal_plain_ranks(spark, kind, descending):
     assert cells == 500
 
 
+def test_small_cells_stay_few(spark):
+    """The number of cells, each a partition, does not follow the rows of a large table when cells are wished small."""
+    assert cell_count(6_000_000, 20) == FINE_CELLS and cell_count(400, 20) == 20
+    assert cell_count(1000 * CELL_ROWS, 20) == cell_count(1000 * CELL_ROWS, CELL_ROWS) == 1000
+    df = spark.range(4 * FINE_CELLS).selectExpr("id AS k", "id % 3 AS v")
+    assert in_cells(df, [By("v"), By("k")], (), 1).select("_cell").distinct().count() <= FINE_CELLS
+    ranked = row_numbers(df, [By("v"), By("k")], (), "place", bucket_rows=1).collect()
+    assert [r.k for r in sorted(ranked, key=lambda r: r.place)] == sorted(range(4 * FINE_CELLS), key=lambda k: (k % 3, k))
+
+
 def test_running_totals_of_values(spark):
     df = spark.createDataFrame([(float(i % 17), i, i) for i in range(200)], "x double, k long, v long")
     got = running_totals(df, {"cum": "v"}, [By("x"), By("k")], bucket_rows=9).collect()
