@@ -8,7 +8,8 @@ Shape of the plan:
    which a hot client is spread over its items and days.
 3. The rollup is partitioned by client. Everything up to the client is now local: the
    fan-out to snapshots, items, categories, and the aggregation per client and snapshot.
-   Rows are copied per snapshot only here, so the copies are never shuffled. Clients that hold very many rows, known
+   Rows are copied per snapshot only here, so the copies are never shuffled. The number of partitions follows the number of
+   copies, which the size of the shuffled rows does not tell, so a task groups no more of them on larger tables. Clients that hold very many rows, known
    from a stored table, get several parts, cut by item; the parts of one of their categories, one row each, are then merged, so that
    its share is counted whole.
 4. Distinct items and categories are counted by grouping first, so no ``count(distinct)`` expands rows. Distinct
@@ -49,6 +50,8 @@ SPAN = ("client_id", "first_buy", "last_buy")
 WORD_BITS = 62
 # The cohort that holds all the others.
 WIDEST = "historical_buyers"
+# Copies of rows, one per snapshot, that a task groups; each takes about a KB of its hash tables.
+TASK_COPIES = 500_000
 TEXT_SUMS = ("n", "n_text", "text_chars", "text_words")
 SEARCH_PARTS = ("chars", "words", "to_cart", "to_buy")
 
@@ -147,18 +150,24 @@ def _rollup(rows: DataFrame, items: tuple[str, ...], sums: tuple[str, ...] = ("n
     return aggregate(rows, (*SPAN, "event", "day", *items), {c: f"sum({c})" for c in sums})
 
 
-def _by_client(marked: DataFrame) -> DataFrame:
+def fan_out_tasks(n_rows: int, cfg: ChurnConfig) -> int:
+    """Partitions by client in which the copies of ``n_rows`` rows are TASK_COPIES each."""
+    snapshots = -(-(cfg.observation_days + cfg.label_days) // cfg.snapshot_step_days)
+    return max(1, -(-n_rows * snapshots // TASK_COPIES))
+
+
+def _by_client(marked: DataFrame, tasks: int) -> DataFrame:
     """Partition by client; the rows of a heavy client (``_parts`` is set) in parts along its items."""
-    return marked.withColumn("part", part_of("event", "item")).drop("_parts").repartition("client_id", "part")
+    return marked.withColumn("part", part_of("event", "item")).drop("_parts").repartition(tasks, "client_id", "part")
 
 
-def _item_branches(rows: DataFrame, hot: HotKeys | None, grid: SnapshotGrid, cfg: ChurnConfig, m: Measures) -> list[DataFrame]:
+def _item_branches(rows: DataFrame, hot: HotKeys | None, tasks: int, grid: SnapshotGrid, cfg: ChurnConfig, m: Measures) -> list[DataFrame]:
     """Category sums per client and snapshot, of heavy clients in a branch of their own."""
     if hot is None:
-        local = rows.withColumn("part", F.lit(0)).repartition("client_id", "part")
+        local = rows.withColumn("part", F.lit(0)).repartition(tasks, "client_id", "part")
         return [_item_parts(_fanned(local, grid, cfg, cfg.label_days), m).drop("part")]
     marked = stage(hot.mark(rows, "client_id"), "marked")  # read by both branches
-    cold, heavy = (_by_client(marked.filter(f"_parts IS {kind}")) for kind in ("NULL", "NOT NULL"))
+    cold, heavy = (_by_client(marked.filter(f"_parts IS {kind}"), tasks) for kind in ("NULL", "NOT NULL"))
     cold, heavy = (_item_parts(_fanned(local, grid, cfg, cfg.label_days), m) for local in (cold, heavy))
     return [cold.drop("part"), _merged_parts(heavy, m)]
 
@@ -338,7 +347,7 @@ def snapshot_profile(
 
     ``details`` names the logs whose item, price or text features are wanted; the others are grouped
     without their items. The engagement logs are always read: cohort and label need them. ``bounds`` of the same
-    data saves the passes for the number of buyers and the hot clients; ``rolled`` says that ``days`` is a stored
+    data saves the passes for the number of rows, of buyers and the hot clients; ``rolled`` says that ``days`` is a stored
     daily rollup.
     """
     if every_definition:
@@ -379,12 +388,14 @@ def snapshot_profile(
     if plain:
         logs.append(rolled_up(plain, ()))
     # Without items the last grouping moves the rows to their client anyway.
+    n_rows = bounds.n_rows if bounds and bounds.n_rows is not None else days.count() if itemised or SEARCH in used else 0
+    tasks = fan_out_tasks(n_rows, cfg)
     if itemised:
-        branches = _item_branches(_union(logs), hot, grid, cfg, m)
+        branches = _item_branches(_union(logs), hot, tasks, grid, cfg, m)
     else:
         branches = [project(_fanned(_union(logs), grid, cfg, cfg.label_days), (*KEYS, "event"), m.of_row())]
     if SEARCH in used:
-        searches = search_days(of_buyers(days.filter(F.col("event").isin(SEARCH, CART, BUY))), SPAN).repartition("client_id")
+        searches = search_days(of_buyers(days.filter(F.col("event").isin(SEARCH, CART, BUY))), SPAN).repartition(tasks, "client_id")
         copies = _fanned(searches.withColumn("event", F.lit(SEARCH)), grid, cfg, 0)
         branches.append(_search_parts(copies, m))
     if cfg.cohort == "historical_buyers":  # clients without any row in the windows belong to the cohort too

@@ -28,18 +28,19 @@ def buyer_activity(activity: DataFrame, cfg: ChurnConfig) -> DataFrame:
 
 @dataclass(frozen=True)
 class Bounds:
-    """Time span of the buyers' events, number of buyers, and the clients known to hold very many rows."""
+    """Time span of the buyers' events, number of buyers, the clients known to hold very many rows, and the rows of all clients."""
 
     min_ts: dt.datetime | None
     max_ts: dt.datetime | None
     n_buyers: int
     hot: HotKeys | None = None
+    n_rows: int | None = None
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(self.min_ts, self.max_ts)], "min_ts timestamp_ntz, max_ts timestamp_ntz")
 
 
-def _buyer_bounds(activity: DataFrame, rows: str, hot: HotKeys | None) -> Bounds:
+def _buyer_bounds(activity: DataFrame, rows: str, hot: HotKeys | None, n_rows: int) -> Bounds:
     """Bounds over the events of buyers that match ``rows``. One aggregate per client takes the place of a
     join with the buyers, and partial aggregation absorbs hot clients."""
     per_client = (
@@ -52,7 +53,7 @@ def _buyer_bounds(activity: DataFrame, rows: str, hot: HotKeys | None) -> Bounds
         )
     )
     row = per_client.filter("bought").agg(F.min("low"), F.max("high"), F.count("*")).first()
-    return Bounds(*row, hot)
+    return Bounds(*row, hot, n_rows)
 
 
 def dataset_bounds(activity: DataFrame, hot_rows: int = HOT_ROWS) -> Bounds:
@@ -67,10 +68,10 @@ def dataset_bounds(activity: DataFrame, hot_rows: int = HOT_ROWS) -> Bounds:
         return Bounds(None, None, 0)
     head_end, tail_start = whole.low.date() + DAY, whole.high.date()
     in_head, in_tail = f"ts < TIMESTAMP_NTZ '{head_end}'", f"ts >= TIMESTAMP_NTZ '{tail_start}'"
-    found = _buyer_bounds(activity, f"({in_head} OR {in_tail})", hot)
+    found = _buyer_bounds(activity, f"({in_head} OR {in_tail})", hot, whole.n)
     if found.min_ts is not None and found.min_ts.date() < head_end and found.max_ts.date() >= tail_start:
         return found
-    return _buyer_bounds(activity, "true", hot)
+    return _buyer_bounds(activity, "true", hot, whole.n)
 
 
 def rollup_bounds(rollup: DataFrame, hot_rows: int = HOT_ROWS) -> Bounds:

@@ -1,6 +1,7 @@
 """Feature rows against brute force on hand-made and random logs, in every physical variant."""
 
 import datetime as dt
+import re
 from dataclasses import replace
 
 import pytest
@@ -115,6 +116,25 @@ def test_dominant_category_of_one_client_is_spread(spark):
         assert 0.9 < share < 1
 
 
+@pytest.mark.parametrize("hot_rows", [None, 5])
+def test_fan_out_tasks_follow_the_rows(spark, monkeypatch, hot_rows):
+    """Copies per snapshot are grouped in as many partitions as their number asks for, not in as many as fit the size of a shuffle."""
+    rows = random_rows(3)
+    activity = activity_frame(spark, rows)
+    bounds = dataset_bounds(activity, hot_rows) if hot_rows else dataset_bounds(activity)
+    assert bounds.n_rows == activity.count() and (bounds.hot is None) == (hot_rows is None)
+    monkeypatch.setattr(profile_module, "TASK_COPIES", 100)
+    tasks = profile_module.fan_out_tasks(bounds.n_rows, CFG)
+    assert tasks == -(-bounds.n_rows * 4 // 100) > 8
+    assert profile_module.fan_out_tasks(10 * bounds.n_rows, CFG) >= 10 * (tasks - 1)
+    got, expected = build(spark, rows, CFG, bounds=bounds)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    branches = 1 if hot_rows is None else 2
+    by_part = [line for line in plan.splitlines() if re.search(rf"hashpartitioning\(client_id#\d+L, part#\d+, {tasks}\), REPARTITION_BY_NUM", line)]
+    assert len(by_part) == branches
+    check(got, expected)
+
+
 def test_hot_keys_are_data(spark):
     """100,000 heavy clients: they are counted, stored and joined, and no list of them stands in a plan."""
     rows = spark.range(400_000).selectExpr("id % 130000 AS client_id", "id AS x")  # of 0..9999 there are 4, of the others 3
