@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ebbline.operators import errors, folds, profiling, roi, sampling, strategy
+from ebbline.operators import errors, folds, profiling, ranking, roi, sampling, strategy
 from ebbline.operators.comparison import choose_best_model
 from ebbline.operators.metrics import Scored, binary_metrics, prediction_frame
 from ebbline.operators.ranking import CELL_ROWS, FINE_CELLS, By, cell_count, in_cells, row_numbers, running_totals
@@ -109,6 +109,17 @@ def test_small_cells_stay_few(spark):
     assert [r.k for r in sorted(ranked, key=lambda r: r.place)] == sorted(range(4 * FINE_CELLS), key=lambda k: (k % 3, k))
 
 
+def test_segments_in_few_cells(spark, monkeypatch):
+    """Segments wished in tiny cells are ranked in FINE_CELLS cells at most and stay the same."""
+    made = []
+    real = ranking.cell_count
+    monkeypatch.setattr(ranking, "cell_count", lambda *a: made.append(real(*a)) or made[-1])
+    df = spark.range(2 * FINE_CELLS).selectExpr("id AS client_id", "DATE '2024-01-01' AS snapshot_date", "id % 11 AS v")
+    fine, coarse = (errors.value_segments(df, "v", rows).select("client_id", "value_segment") for rows in (1, CELL_ROWS))
+    assert made == [FINE_CELLS, ranking.MIN_CELLS]
+    assert sorted(map(tuple, fine.collect())) == sorted(map(tuple, coarse.collect()))
+
+
 def test_running_totals_of_values(spark):
     df = spark.createDataFrame([(float(i % 17), i, i) for i in range(200)], "x double, k long, v long")
     got = running_totals(df, {"cum": "v"}, [By("x"), By("k")], bucket_rows=9).collect()
