@@ -37,6 +37,9 @@ ROW_CAPS = {
     "boosted_subsampled": 1_200_000,
 }
 WEIGHTED = ("logistic_regression", "boosted_balanced")  # the forest weighs classes in each bootstrap
+# Rows in a partition on which the linear model is fitted. It passes over its capped rows up to hundreds of times, so a pass
+# has no more tasks than these rows need, however many files the table has.
+FIT_ROWS = 100_000
 STEP = 0.05
 LEAF_PENALTY = 1.0
 
@@ -157,17 +160,23 @@ def class_weights(train: DataFrame) -> DataFrame:
     return train.withColumn("weight", weights[F.col("churn")])
 
 
+def few_partitions(rows: DataFrame, n_rows: int) -> DataFrame:
+    return rows.repartition(max(1, -(-n_rows // FIT_ROWS)))
+
+
 def fit(
     train: DataFrame, model: str, names: list[str], seed: int = 42, effort: Effort = FULL, caps: dict[str, int] = ROW_CAPS
 ) -> PipelineModel:
     """Fit on at most ``caps[model]`` rows, a stratified sample by hash. ``train`` is a feature table or already assembled."""
     capped = cap_rows(assembled(train, names), caps[model], seed)
     weighted = class_weights(capped) if model in WEIGHTED else capped
-    unfitted = model_registry(weighted.count(), seed, effort)[model]
+    n_rows = weighted.count()
+    unfitted = model_registry(n_rows, seed, effort)[model]
     if model == "random_forest":
         stages = fit_forest(capped, lambda trees: unfitted(trees)[0], effort.trees, effort.bootstraps, seed)
     else:
-        stages = Pipeline(stages=unfitted()).fit(weighted).stages
+        rows = few_partitions(weighted, n_rows) if model == "logistic_regression" else weighted
+        stages = Pipeline(stages=unfitted()).fit(rows).stages
     if model == "boosted_subsampled":
         stages = penalised_leaves(stages[0], capped, STEP, LEAF_PENALTY)
     return PipelineModel([assembler(names), *stages])

@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 
 from ebbline.catalog import STREAM_CONFIG, stream_table
 from ebbline.operators.comparison import compare_runs
+from ebbline.plans import models as models_module
 from ebbline.plans.backtest import run_rolling_backtest
 from ebbline.plans.ensembles import bootstrap_class_counts, leaf_residuals, with_draws
 from ebbline.plans.feature_table import run_record
@@ -65,6 +66,18 @@ def test_feature_names_hold_no_label(table):
     assert not [n for n in names if n.startswith("future_")]
 
 
+def test_linear_model_is_fitted_in_few_partitions(table, monkeypatch):
+    """The partitions that the optimiser passes over follow the rows it fits, not the files of the table."""
+    names, seen, real = feature_names(table, STREAM_CONFIG), [], models_module.few_partitions
+    train = table.filter("split = 'train'").repartition(40)
+    n_rows = train.count()
+    monkeypatch.setattr(models_module, "FIT_ROWS", n_rows - 1)
+    monkeypatch.setattr(models_module, "few_partitions", lambda *a: seen.append(real(*a)) or seen[-1])
+    fitted = fit(train, "logistic_regression", names, effort=TINY)
+    assert [(rows.rdd.getNumPartitions(), rows.count()) for rows in seen] == [(2, n_rows)]
+    assert len(linear_coefficients(fitted)) == len(names) + 1
+
+
 @pytest.mark.parametrize("model", sorted(ROW_CAPS))
 def test_every_model_scores_probabilities(table, model):
     names = feature_names(table, STREAM_CONFIG)
