@@ -236,6 +236,13 @@ def within_radius(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.where(near("sig_a", "sig_b")).select("a", "b")
 
 
+def with_signatures(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rows`` with the signature of their class, which is joined once a class, in however many buckets (at most as many as keys) it is."""
+    of_class = F.collect_list(F.struct(*[c for c in rows.columns if c != "class"])).alias("_rows")
+    found = rows.groupBy("class").agg(of_class).join(classes.select("class", "sig"), "class")
+    return found.select("class", "sig", F.explode("_rows").alias("_row")).select("class", "_row.*", "sig")
+
+
 def cross_pairs(members: DataFrame, components: DataFrame, classes: DataFrame, nearest: bool) -> DataFrame:
     """Pairs within the radii that share a bucket but no component, without those that have the bucket's least class;
     or for every class that is not of the least class's component only the ``nearest`` one.
@@ -248,7 +255,7 @@ def cross_pairs(members: DataFrame, components: DataFrame, classes: DataFrame, n
     marked = labelled.join(heads, "key").withColumn("other", F.col("comp") != F.col("head_comp"))
     counts = marked.groupBy("key").agg(F.sum(F.when(F.col("other"), 1).otherwise(0)).alias("n_other"), F.sum(F.when(~F.col("other") & (F.col("class") != F.col("center")), 1).otherwise(0)).alias("n_head"))
     counts = stage(counts.where("n_other > 1 OR (n_other = 1 AND n_head > 0)"), "mixed")
-    rows = marked.where("class <> center").join(counts, "key").join(classes.select("class", "sig"), "class")
+    rows = with_signatures(marked.where("class <> center").join(counts, "key").select("key", "class", "comp", "other", "n_other", "n_head"), classes)
     blocks = lambda n: F.greatest(F.ceil(F.col(n) / BLOCK), F.lit(1)).cast("int")
     rows = rows.withColumns({"ho": blocks("n_head"), "oo": blocks("n_other")})
     own = F.pmod(F.xxhash64("class", "key"), F.when(F.col("other"), F.col("oo")).otherwise(F.col("ho"))).cast("int")

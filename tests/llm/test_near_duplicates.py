@@ -183,3 +183,12 @@ def test_a_long_chain_of_near_copies(spark, documents, monkeypatch):
                 parent[max(root(a), root(b))] = min(root(a), root(b))
     assert got == {i: root(i) for i in ids}
     assert max(proposed) < 12 * len(rows)  # of about 20,000 pairs of the chain within the radii
+
+
+def test_signatures_are_joined_once_a_class(spark):
+    rows = spark.createDataFrame([(k, c, 10 * c) for c in range(5) for k in range(20)], "key long, class long, comp long")
+    classes = spark.createDataFrame([(c, bytes([c])) for c in range(7)], "class long, sig binary")
+    found = nd.with_signatures(rows, classes)
+    assert sorted((r.key, r["class"], r.comp, bytes(r.sig)) for r in found.collect()) == sorted((k, c, 10 * c, bytes([c])) for c in range(5) for k in range(20))
+    joined = found._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")
+    assert "Generate explode" in joined[0] and "Aggregate [class" in joined[1]
