@@ -52,6 +52,8 @@ WORD_BITS = 62
 WIDEST = "historical_buyers"
 # Copies of rows, one per snapshot, that a task groups; each takes about a KB of its hash tables.
 TASK_COPIES = 500_000
+# Partitions by client of small tables.
+LEAST_TASKS = 8
 TEXT_SUMS = ("n", "n_text", "text_chars", "text_words")
 SEARCH_PARTS = ("chars", "words", "to_cart", "to_buy")
 
@@ -151,12 +153,12 @@ def _rollup(rows: DataFrame, items: tuple[str, ...], sums: tuple[str, ...] = ("n
 
 
 def fan_out_tasks(n_rows: int, cfg: ChurnConfig) -> int:
-    """Partitions by client in which the copies of ``n_rows`` rows are TASK_COPIES each."""
+    """Partitions by client in which the copies of ``n_rows`` rows are TASK_COPIES each, LEAST_TASKS at least."""
     snapshots = -(-(cfg.observation_days + cfg.label_days) // cfg.snapshot_step_days)
-    return max(1, -(-n_rows * snapshots // TASK_COPIES))
+    return max(LEAST_TASKS, -(-n_rows * snapshots // TASK_COPIES))
 
 
-def _by_client(marked: DataFrame, tasks: int) -> DataFrame:
+def _by_client(marked: DataFrame, tasks: int = LEAST_TASKS) -> DataFrame:
     """Partition by client; the rows of a heavy client (``_parts`` is set) in parts along its items."""
     return marked.withColumn("part", part_of("event", "item")).drop("_parts").repartition(tasks, "client_id", "part")
 
