@@ -17,16 +17,18 @@ import functools
 import json
 import os
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ebbline.llm import files
-from ebbline.llm.common import slices
+from ebbline.llm.common import bounded, slices
 from ebbline.session import stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -39,6 +41,9 @@ READ_BYTES = 4 << 20
 GENERATION = 400_000
 #: Chunks that are learned at a time, and how many of them are joined to a string.
 AT_ONCE, JOINED = 20_000, 100
+SIGNS = string.punctuation
+#: Chunks whose ids are put together at a time.
+GATHERED = 1 << 18
 
 
 class EliasFano:
@@ -135,6 +140,8 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         # a token of a byte-level vocabulary has one character for each byte
         self.id_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())], np.int64)
+        self.model = self.tokenizer.model
+        self.bare: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -147,22 +154,54 @@ class Encoder:
         found = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(found, f"<u{self.width}").tobytes()
 
-    def cut(self, text: str) -> list[str] | None:
-        """Chunks without the space in front of all but the first; null if the text can't be cut."""
-        if not self.by_chunk or any(s in text for s in self.special):
-            return None
-        return re.split(r" (?=\S)", text) if _ODD_SPACE.search(text) else text.split(" ")
+    def can_cut(self, text: str) -> bool:
+        return self.by_chunk and not any(s in text for s in self.special)
 
-    def learn(self, chunks: set[str]) -> None:
+    def known(self, stems: list[str]) -> list[bytes]:
+        """The ids of chunks with a space before them, learned where they are not remembered."""
         if len(self.chunks) > GENERATION:  # what is not asked for again goes with the older generation
             self.older, self.chunks = self.chunks, {}
-        missing = chunks.difference(self.chunks)
-        fresh = list(missing.difference(self.older))
-        if len(fresh) < len(missing):
-            older = self.older
-            self.chunks |= {chunk: older[chunk] for chunk in missing.difference(fresh)}
+        found = list(map(self.chunks.get, stems))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        fresh = []
+        for stem in dict.fromkeys([stems[i] for i in missing]):
+            ids = self.older.get(stem)
+            if ids is None:
+                fresh.append(stem)
+            else:
+                self.chunks[stem] = ids
+        self.learn(fresh)
+        for i in missing:
+            found[i] = self.chunks[stems[i]]
+        return found
+
+    def letters(self, part: str) -> list[int]:
+        """The ids of a space and letters or of letters alone: one part, which goes straight to the tokenizer's model, its bytes
+        written as the vocabulary does."""
+        return [t.id for t in self.model.tokenize(part.translate(_AS_BYTES))]
+
+    def learn(self, fresh: list[str]) -> None:
+        others, tokenize = [], self.model.tokenize
         for i in range(0, len(fresh), AT_ONCE):
-            part = fresh[i : i + AT_ONCE]
+            words, ids, ends = [], [], []
+            for stem in fresh[i : i + AT_ONCE]:
+                if stem.isascii() and stem.isalpha():  # most
+                    ids += [t.id for t in tokenize("\u0120" + stem)]
+                elif _LETTERS.fullmatch(stem):
+                    ids += self.letters(f" {stem}")
+                elif lines := _TWO_LINES.fullmatch(stem):
+                    ids += self.letters(f" {lines[1]}")
+                    ids += np.frombuffer(self.without_space([lines[2]])[0], f"<u{self.width}").tolist()
+                    ids += self.letters(lines[3])
+                else:
+                    others.append(stem)
+                    continue
+                words.append(stem)
+                ends.append(len(ids) * self.width)
+            data = np.array(ids, f"<u{self.width}").tobytes()
+            self.chunks.update(zip(words, [data[a:b] for a, b in zip([0, *ends], ends)]))
+        for i in range(0, len(others), AT_ONCE):
+            part = others[i : i + AT_ONCE]
             # Long strings cost the tokenizer far less than many short ones; the ids are cut where the bytes end.
             strings = ["".join(f" {c}" for c in part[k : k + JOINED]) for k in range(0, len(part), JOINED)]
             ids = np.concatenate([np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)])
@@ -177,22 +216,75 @@ class Encoder:
                 first = last
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        step: list[list[str] | None] = [self.cut(t) for t in texts]
-        heads: list[str] = []
-        fresh: set[str] = set()
-        for parts in step:
-            heads.append(parts.pop(0) if parts else "")
-            fresh.update(parts or ())
-        self.learn(fresh)
-        known = self.chunks.__getitem__
-        for text, head, parts in zip(texts, heads, step):
-            if parts is None:
-                yield self.ids(text)
-            else:
-                yield (self.ids(head) if head else b"") + b"".join(map(known, parts))
+        """The ids of each text. Arrow cuts the texts and numbers their distinct chunks, so that Python handles each of these once."""
+        kinds = [(2 if _ODD_SPACE.search(t) else 1) if self.can_cut(t) else 0 for t in texts]
+        plain = pc.split_pattern(pa.array([t for t, kind in zip(texts, kinds) if kind == 1], pa.string()), " ")
+        odd = pa.array([re.split(r" (?=\S)", t) for t, kind in zip(texts, kinds) if kind == 2], plain.type)
+        ids = [self.ids_of_cut(plain), self.ids_of_cut(odd)]
+        for text, kind in zip(texts, kinds):
+            yield next(ids[kind - 1]) if kind else self.ids(text)
+
+    def ids_of_cut(self, texts: pa.ListArray) -> Iterator[bytes]:
+        """The ids of texts cut into chunks without the space in front of all but the first."""
+        if not len(texts):
+            return
+        values, firsts = texts.flatten(), texts.offsets.to_numpy()
+        heads = self.without_space(_strings(values.take(texts.offsets[:-1])))
+        later = np.ones(len(values), bool)
+        later[firsts[:-1]] = False
+        coded = values.filter(pa.array(later)).dictionary_encode()
+        known = self.ids_of_chunks(coded.dictionary)
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // self.width
+        begins, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(known), f"<u{self.width}")
+        places = coded.indices.to_numpy()
+        ends = np.zeros(len(places) + 1, np.int64)
+        np.cumsum(sizes[places], out=ends[1:])
+        ends = (ends[firsts - np.arange(len(firsts))] * self.width).tolist()  # of each text
+        data = b"".join(self._gather(ids, begins, sizes, places[i : i + GATHERED]) for i in range(0, len(places), GATHERED))
+        for head, first, last in zip(heads, ends, ends[1:]):
+            yield head + data[first:last]
+
+    def ids_of_chunks(self, chunks: pa.StringArray) -> list[bytes]:
+        """The ids of distinct chunks. Signs at the end of a word are a part of their own, so only the word is learned."""
+        trimmed = pc.ascii_rtrim(chunks, characters=SIGNS)
+        words = pc.if_else(pc.match_substring_regex(trimmed, f"[0-9{_LATIN}]$"), trimmed, chunks)
+        stems = _strings(words)
+        known = self.known(stems)
+        signed = pc.not_equal(pc.binary_length(chunks), pc.binary_length(words)).to_numpy(zero_copy_only=False).nonzero()[0]
+        tails = [c[len(stems[i]) :] for i, c in zip(signed.tolist(), _strings(chunks.take(pa.array(signed))))]
+        for i, tail in zip(signed.tolist(), self.without_space(tails)):
+            known[i] += tail
+        return known
+
+    def without_space(self, texts: list[str]) -> list[bytes]:
+        """The ids of short strings that occur often."""
+        bounded(self.bare)
+        fresh = list(set(texts).difference(self.bare))
+        for text, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
+            self.bare[text] = np.array(found.ids, f"<u{self.width}").tobytes()
+        return [self.bare[t] for t in texts]
+
+    @staticmethod
+    def _gather(ids: np.ndarray, begins: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> bytes:
+        """The ids of the chunks at ``places``, one after another."""
+        n = sizes[places]
+        ends = np.cumsum(n)
+        return ids[np.arange(ends[-1]) + np.repeat(begins[places] - ends + n, n)].tobytes()
 
 
 _ODD_SPACE = re.compile(r" (?:\s|$)")
+#: Letters of the Latin script, which no version of Unicode takes for anything else, and their bytes as a byte-level vocabulary writes them.
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_LETTERS = re.compile(f"[{_LATIN}]+")
+#: A word, signs and the end of its line, a word.
+_TWO_LINES = re.compile(f"([{_LATIN}]+)([{re.escape(string.punctuation)}]*\n)([{_LATIN}]+)")
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_BYTE_SIGNS = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)).difference(_SHOWN)))}
+_AS_BYTES = {c: "".join(_BYTE_SIGNS[b] for b in chr(c).encode()) for c in [0x20, *range(0xC0, 0x250)]}
+
+
+def _strings(column: pa.StringArray) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 @functools.lru_cache(maxsize=1)

@@ -39,6 +39,20 @@ def test_chunks_give_the_ids_of_the_whole_text(texts):
     assert [np.frombuffer(b, "<u2").tolist() for b in encoder.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@given(st.lists(st.text(alphabet="aZéøɏɐ×ªß1²_'-.,\n\n  ", max_size=40), max_size=8))
+@settings(max_examples=200, deadline=None)
+def test_words_signs_and_lines_give_the_ids_of_the_whole_text(texts):
+    plain = Tokenizer.from_file(PATH)
+    encoder = tf._encoder(PATH)
+    assert [np.frombuffer(b, "<u2").tolist() for b in encoder.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_word_is_learned_once_whatever_signs_follow_it():
+    encoder = tf.Encoder(PATH)
+    list(encoder.encode(["Some wörd, wörd. (wörd) wörd!! wörd", "A wörd; x-y, x-y"]))
+    assert set(encoder.chunks) == {"wörd", "(wörd", "x-y"}
+
+
 def expected(rows):
     plain, out, start = Tokenizer.from_file(PATH), [], 0
     for doc_id, text in rows:
