@@ -24,10 +24,10 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [value or b"" for value in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
-def slices(batch: pa.RecordBatch, column: str = "_text") -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of about SLICE_BYTES bytes of text, a longer text alone."""
+def slices(batch: pa.RecordBatch, column: str = "_text", most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``most`` bytes of text (SLICE_BYTES by default), a longer text alone."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    piece = np.cumsum(sizes) // SLICE_BYTES
+    piece = np.cumsum(sizes) // (most or SLICE_BYTES)
     cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):
         if b > a:

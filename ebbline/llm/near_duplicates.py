@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType
 from xxhash import xxh64_intdigest
 
-from ebbline.llm.common import map_batches, quoted, texts_of, unused
+from ebbline.llm.common import map_batches, quoted, slices, texts_of, unused
 from ebbline.session import stage
 
 SHINGLE = 5
@@ -217,7 +217,7 @@ def confirm(pairs: DataFrame, classes: DataFrame, df: DataFrame, id_col: str, te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, head_set = None, None
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             out = []
             for a, role, one, text in zip(batch.column("a").to_pylist(), batch.column("role").to_pylist(), batch.column("class").to_pylist(), texts_of(batch, "_text")):
                 if role == 0:

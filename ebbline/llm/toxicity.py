@@ -48,8 +48,10 @@ COVER = 4
 LEAST_GAIN = 0.02
 PENALTY = 0.001
 SEEN_WORDS = 300_000
-#: Words evaluated at a time.
-CHUNK = 2048
+#: Bytes of text whose words are held at a time while texts are scored: a worker keeps what it once took from the system.
+SCORED_BYTES = 1 << 20
+#: Words whose values are held, and words evaluated, at a time.
+WORDS_AT_ONCE, CHUNK = 8192, 2048
 ALPHABET = 64
 
 _SINGLES = re.compile(rb"(?:(?<=\s)|^)(?:[A-Za-z0-9][.,*_-]?[ ]+){2,}[A-Za-z0-9](?![A-Za-z0-9])")
@@ -180,8 +182,8 @@ class TextKernel:
         bounded(self.far, SEEN_WORDS)
         bounded(self.near, SEEN_WORDS)
         fresh = list(set().union(*bags).difference(self.far, self.near)) if bags else []
-        for i in range(0, len(fresh), 50_000):
-            part = fresh[i : i + 50_000]
+        for i in range(0, len(fresh), WORDS_AT_ONCE):
+            part = fresh[i : i + WORDS_AT_ONCE]
             found = self.kernel.values([normal(w) for w in part])
             for word, row, some in zip(part, found, found.any(axis=1)):
                 if some:
@@ -371,7 +373,7 @@ def score_texts(documents: DataFrame, model: Model, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = TextKernel(model.kernel) if model.kernel is not None else None
-        for batch in (part for whole in batches for part in slices(whole)):
+        for batch in (part for whole in batches for part in slices(whole, most=SCORED_BYTES)):
             values = texts.values(texts_of(batch, "_text")) if texts is not None else np.zeros((batch.num_rows, len(model.alpha)))
             yield pa.record_batch([batch.column("doc_id"), batch.column("text_hash"), pa.array(model.score(values).astype(float))], names=["doc_id", "text_hash", "score"])
 

@@ -3,9 +3,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ebbline.llm import toxicity as tx
+from ebbline.llm.common import slices
 from ebbline.llm.queries import op6_toxicity
 
 
@@ -137,3 +139,11 @@ def test_score_without_landmarks_is_the_share_of_all_labels(spark, monkeypatch):
     model = tx.train(*frames(spark, docs, labels), rows=50)
     usable = [t for i, _, t in labels if zlib.crc32(str(i).encode()) % 5]
     assert model.share == pytest.approx(np.mean(usable)) and model.share < 0.5
+
+
+def test_texts_are_scored_in_small_slices():
+    batch = pa.RecordBatch.from_pydict({"_text": ["x" * 300_000] * 12 + [None, "y" * 5_000_000]})
+    parts = list(slices(batch, most=tx.SCORED_BYTES))
+    assert pa.Table.from_batches(parts).column("_text").to_pylist() == batch.column("_text").to_pylist()
+    assert all(p.num_rows == 1 or p.column("_text").nbytes < 2 * tx.SCORED_BYTES for p in parts if p.column("_text")[-1].as_py() != "y" * 5_000_000)
+    assert len(parts) > len(list(slices(batch)))
