@@ -315,18 +315,45 @@ def _pairs(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32()))], names=["x", "y", "d"])
 
 
+def rooted(edges: DataFrame) -> DataFrame:
+    """class and comp of every end of the edges (a, b): each class points to its least neighbour, or to itself if that is greater, and the
+    pointers are followed to the roots of the trees that they form. Each step halves the depth and is stored."""
+    both = edges.select("a", "b").union(edges.select("b", "a")).toDF("class", "to")
+    trees = stage(both.groupBy("class").agg(F.min("to").alias("to")).select("class", F.least("class", "to").alias("comp")), "trees")
+    for _ in range(MAX_ROUNDS):
+        above = trees.select(F.col("class").alias("comp"), F.col("comp").alias("next"))
+        jumped = stage(trees.select("class", "comp").join(above, "comp").select("class", F.col("comp").alias("old"), F.col("next").alias("comp")), "trees")
+        trees = jumped.select("class", "comp")
+        if jumped.where("old <> comp").isEmpty():
+            return trees
+    raise RuntimeError(f"trees were not followed to their roots in {MAX_ROUNDS} rounds")
+
+
+def between(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """The links (a, b) that join different components, as pairs of the components, each once. A class without a label is one of its own."""
+    ends = links.join(labels.toDF("a", "comp_a"), "a", "left").join(labels.toDF("b", "comp_b"), "b", "left")
+    ends = ends.select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b")).where("a <> b")
+    return ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def relabelled(labels: DataFrame, joined: DataFrame) -> DataFrame:
+    """The stored labels after their components were joined as ``joined`` (class, comp) says, with the classes that only it has."""
+    moved = labels.join(joined.toDF("comp", "next"), "comp", "left").select("class", F.coalesce("next", "comp").alias("comp"))
+    return stage(moved.union(joined.join(labels, "class", "left_anti").select("class", "comp")), "labels")
+
+
 def connected(links: DataFrame) -> DataFrame:
-    """class and comp (the least class reachable) of every class with a link: labels go to neighbours and then jump to
-    the label's own label, so chains shorten by halves. Each round is stored."""
-    edges = stage(links.select("a", "b").union(links.select("b", "a")).toDF("class", "to").distinct(), "edges")
-    labels = stage(edges.groupBy("class").agg(F.min("to").alias("to")).select("class", F.least("class", "to").alias("comp")), "labels")
+    """class and comp (the least class reachable) of every class with a link.
+
+    Round after round the trees of ``rooted`` are drawn together into their roots, so a link is read again only while its ends are
+    apart. A class that no neighbour points to has a lesser one in the next round, so two rounds at least halve the classes left."""
+    edges = stage(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    labels = None
     for _ in range(MAX_ROUNDS):
-        near = edges.join(labels.withColumnsRenamed({"class": "to", "comp": "near"}), "to").groupBy("class").agg(F.min("near").alias("near"))
-        moved = labels.join(near, "class").select("class", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
-        jump = labels.select(F.col("class").alias("comp"), F.col("comp").alias("next"))
-        labels_new = stage(moved.join(jump, "comp").select("class", "old", F.least("comp", "next").alias("comp")), "labels")
-        labels = labels_new.select("class", "comp")
-        if labels_new.where("old <> comp").isEmpty():
+        trees = rooted(edges)
+        labels = trees if labels is None else relabelled(labels, trees)
+        edges = stage(between(edges, trees), "edges")
+        if edges.isEmpty():
             return labels
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
@@ -353,8 +380,8 @@ def grouped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         more = stage(cross_pairs(some, labels, classes, nearest=not last).join(tested, ["a", "b"], "left_anti"), "cross")
         found = None if more.isEmpty() else confirm(more, classes, df, id_col, text_col)
         joins = found is not None and not found.isEmpty()
-        if joins:
-            labels = connected(links := links.union(found))
+        if joins:  # only the components that the new links join are connected anew
+            labels = relabelled(labels, connected(between(found, labels)))
         if last:
             break
         tested = tested.union(more)

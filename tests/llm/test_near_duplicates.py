@@ -192,3 +192,59 @@ def test_signatures_are_joined_once_a_class(spark):
     assert sorted((r.key, r["class"], r.comp, bytes(r.sig)) for r in found.collect()) == sorted((k, c, 10 * c, bytes([c])) for c in range(5) for k in range(20))
     joined = found._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")
     assert "Generate explode" in joined[0] and "Aggregate [class" in joined[1]
+
+
+def test_components_of_any_graph(spark):
+    rng = random.Random(4)
+    pairs = [(999, i) for i in range(40)] + [(i, i - 1) for i in range(1100, 1040, -1)]  # a star with the greatest number in its middle, a chain
+    for i in range(30):  # chains whose least numbers lie apart
+        pairs += [(2000 + i, 3000 + i), (3000 + i, 2001 + i)]
+    pairs += [(rng.randrange(4000, 4400), rng.randrange(4000, 4400)) for _ in range(220)]
+    pairs = [(a, b) for a, b in pairs if a != b]
+    parent = {x: x for pair in pairs for x in pair}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    got = nd.connected(spark.createDataFrame(pairs + pairs[:50], "a long, b long")).collect()
+    assert sorted((r["class"], r.comp) for r in got) == sorted((x, root(x)) for x in parent)
+    assert nd.connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_links_are_read_while_their_ends_are_apart(spark, documents, monkeypatch):
+    """A link inside a component is not read again, neither by later rounds of one call nor after more links are found."""
+    stored, given, confirmed = [], [], []
+    stage, connected, confirm = nd.stage, nd.connected, nd.confirm
+
+    def staged(df, label):
+        out = stage(df, label)
+        stored.extend([out.count()] if label == "edges" else [])
+        return out
+
+    def watched(function, counts, of_result):
+        def call(*args):
+            out = function(*args)
+            counts.append((out if of_result else args[0]).count())
+            return out
+
+        return call
+
+    monkeypatch.setattr(nd, "stage", staged)
+    nd.connected(spark.range(1, 301).selectExpr("0L AS a", "id AS b"))
+    assert stored == [300, 0]
+    monkeypatch.setattr(nd, "connected", watched(connected, given, False))
+    monkeypatch.setattr(nd, "confirm", watched(confirm, confirmed, True))
+    rng = random.Random(5)
+    words, rows = [f"w{i}" for i in range(100)], []
+    for i in range(200):
+        rows.append((1_000 - i, " ".join(words)))
+        for k in rng.sample(range(100), 2):
+            words[k] = f"n{i}-{k}"
+    rng.shuffle(rows)
+    assert {r.component_id for r in nd.near_duplicates(documents(rows)).collect()} == {min(i for i, _ in rows)}
+    assert len(given) > 1 and sum(given) <= sum(confirmed)
