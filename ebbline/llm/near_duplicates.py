@@ -9,7 +9,9 @@ hashed shingles, BITS bits each; two sets of similarity J differ in about (1 - J
 pair of signatures that differ in at most RADIUS symbols: they are cut into CHUNKS chunks, and by the pigeonhole
 principle some chunk of such a pair differs in at most ERRORS symbols, so the pair agrees in one of the keys made by
 leaving ERRORS symbols out of a chunk. At similarity 0.75 a pair lies outside RADIUS with a probability of 3e-6. What
-shares a key is then measured by WIDE more minima of 4 bits; there, WIDE_RADIUS loses a pair with a probability of 1e-6.
+shares a key is then measured by WIDE more minima of 4 bits; there, WIDE_RADIUS loses a pair with a probability of 1e-6. Last, the
+parities of the shingles' numbers in PARITIES parts of their space are compared: where they differ, a shingle is in one set only, so
+pairs that differ in too many for the similarity are ruled out for certain, most of those just below it in texts of some hundred words.
 
 Large buckets are never paired in full. First every member of a bucket is compared with the bucket's least class;
 confirmed links join classes to components. A pair inside one component needs no further test. Only buckets that still hold
@@ -42,6 +44,7 @@ SHINGLE = 5
 PERCENT = 75
 SYMBOLS, BITS = 40, 16
 WIDE, WIDE_RADIUS = 512, 166
+PARITIES = 1024
 CHUNKS, ERRORS = 8, 2
 #: The largest distance that the pigeonhole principle covers.
 RADIUS = CHUNKS * (ERRORS + 1) - 1
@@ -62,6 +65,8 @@ _WIDE_SHIFTS = _random.integers(0, 1 << 32, WIDE, dtype=np.uint32)
 #: How many of the two symbols in a byte are not 0.
 _DIFFERENT = np.array([(b & 15 > 0) + (b >> 4 > 0) for b in range(256)], np.uint8)
 SIG_BYTES = 2 * SYMBOLS
+WIDE_END = SIG_BYTES + WIDE // 2
+PARITY_END = WIDE_END + PARITIES // 8
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -103,23 +108,38 @@ def wide_signature(shingles: np.ndarray) -> np.ndarray:
     return bits[::2] | bits[1::2] << 4
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """PARITIES bits: whether the number of shingles in a part of their space is odd."""
+    counts = np.bincount((shingles >> np.uint64(32)).astype(np.int64) % PARITIES, minlength=PARITIES)
+    return np.packbits((counts & 1).astype(np.uint8))
+
+
 def full_signature(shingles: np.ndarray) -> bytes:
-    return signature(shingles).tobytes() + wide_signature(shingles).tobytes()
+    return signature(shingles).tobytes() + wide_signature(shingles).tobytes() + parities(shingles).tobytes() + np.uint32(len(shingles)).tobytes()
+
+
+def sig_parts(values) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The matrices of both signatures, and of the parities with the size of the set."""
+    all_bytes = np.frombuffer(b"".join(values), np.uint8).reshape(-1, PARITY_END + 4)
+    return np.ascontiguousarray(all_bytes[:, :SIG_BYTES]).view(np.uint16), all_bytes[:, SIG_BYTES:WIDE_END], all_bytes[:, WIDE_END:]
 
 
-def sig_parts(values) -> tuple[np.ndarray, np.ndarray]:
-    """The matrices of both signatures."""
-    both = np.frombuffer(b"".join(values), np.uint8).reshape(-1, SIG_BYTES + WIDE // 2)
-    return np.ascontiguousarray(both[:, :SIG_BYTES]).view(np.uint16), both[:, SIG_BYTES:]
+def may_be_similar(odds: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """False where the parities (with the size) alone show that two sets are less similar than PERCENT: a part with different parities
+    holds at least one shingle of one set only."""
+    size = lambda m: np.ascontiguousarray(m[:, PARITIES // 8 :]).view(np.uint32)[:, 0].astype(np.int64)
+    apart = np.bitwise_count(odds[:, : PARITIES // 8] ^ others[:, : PARITIES // 8]).sum(axis=1, dtype=np.int64)
+    return (100 + PERCENT) * apart <= (100 - PERCENT) * (size(odds) + size(others))
 
 
-def distances(sigs: np.ndarray, wides: np.ndarray, sig: np.ndarray, wide: np.ndarray) -> np.ndarray:
-    """Distances of the wide signatures; beyond either radius, WIDE + 1."""
+def distances(sigs: np.ndarray, wides: np.ndarray, odds: np.ndarray, sig: np.ndarray, wide: np.ndarray, odd: np.ndarray) -> np.ndarray:
+    """Distances of the wide signatures, of one row or as many; beyond either radius or ruled out by the parities, WIDE + 1."""
     far = np.full(len(sigs), WIDE + 1, np.int32)
     near = np.flatnonzero((sigs != sig).sum(axis=1) <= RADIUS)
     if len(near):
-        d = _DIFFERENT[wides[near] ^ (wide[near] if wide.ndim == 2 else wide)].sum(axis=1, dtype=np.int32)
-        far[near] = np.where(d <= WIDE_RADIUS, d, WIDE + 1)
+        d = _DIFFERENT[wides[near] ^ (wide[near] if len(wide) > 1 else wide)].sum(axis=1, dtype=np.int32)
+        close = (d <= WIDE_RADIUS) & may_be_similar(odds[near], odd[near] if len(odd) > 1 else odd)
+        far[near] = np.where(close, d, WIDE + 1)
     return far
 
 
@@ -247,7 +267,8 @@ def cross_pairs(members: DataFrame, components: DataFrame, classes: DataFrame, n
     """Pairs within the radii that share a bucket but no component, without those that have the bucket's least class;
     or for every class that is not of the least class's component only the ``nearest`` one.
 
-    The members of the least class's own component (the heads) are paired with the others only, and the others among themselves.
+    The members of the least class's own component (the heads) are paired with the others only, and the others among themselves; up to
+    BLOCK of both in one cell.
     """
     labelled = members.join(components, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
     labelled = stage(labelled, "labelled")
@@ -264,12 +285,13 @@ def cross_pairs(members: DataFrame, components: DataFrame, classes: DataFrame, n
     cell = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
     mixed = F.when(F.col("n_head") == 0, F.array().cast("array<struct<kind:int,i:int,j:int>>")).when(F.col("other"), F.transform(up_to("ho"), lambda h: cell(0, h, F.col("own")))).otherwise(F.transform(up_to("oo"), lambda o: cell(0, F.col("own"), o)))
     among = F.when(F.col("other"), F.transform(up_to("oo"), lambda o: cell(1, F.least(o, F.col("own")), F.greatest(o, F.col("own"))))).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int>>"))
-    dealt = rows.select("key", "class", "comp", "other", "own", "sig", F.explode(F.concat(mixed, among)).alias("cell")).select("key", "cell.*", "class", "comp", "other", "own", "sig")
+    cells = F.when(F.col("n_head") + F.col("n_other") <= BLOCK, F.array(cell(2, F.lit(0), F.lit(0)))).otherwise(F.concat(mixed, among))
+    dealt = rows.select("key", "class", "comp", "other", "own", "sig", F.explode(cells).alias("cell")).select("key", "cell.*", "class", "comp", "other", "own", "sig")
     dealt = dealt.repartition("key", "kind", "i", "j").sortWithinPartitions("key", "kind", "i", "j")
 
     def compare(rows: list[tuple]) -> Iterator[tuple[int, int, int]]:
         kind, i, j = rows[0][1:4]
-        sigs, wides = sig_parts([r[8] for r in rows])
+        sigs, wides, odds = sig_parts([r[8] for r in rows])
         ids, comps, others, owns = (np.array([r[k] for r in rows]) for k in (4, 5, 6, 7))
         keys = None if nearest else chunk_keys(sigs)
         for x in np.flatnonzero(others):
@@ -278,11 +300,11 @@ def cross_pairs(members: DataFrame, components: DataFrame, classes: DataFrame, n
                 wanted &= ~others
             elif i != j:  # pairs of one block meet in their own cell
                 wanted &= owns != owns[x]
-            if kind == 1 and not nearest:
-                wanted[: x + 1] = False  # either order is the same pair
+            if kind != 0 and not nearest:
+                wanted[: x + 1] &= ~others[: x + 1]  # either order is the same pair
             at = np.flatnonzero(wanted)
             if len(at):
-                d = distances(sigs[at], wides[at], sigs[x], wides[x])
+                d = distances(sigs[at], wides[at], odds[at], sigs[x : x + 1], wides[x : x + 1], odds[x : x + 1])
                 close = np.array([np.argmin(d)]) if nearest else np.flatnonzero(d <= WIDE_RADIUS)
                 if not nearest and len(close):  # a pair meets in all keys that it shares
                     shared = np.where(keys[at[close]] == keys[x], keys[x], np.iinfo(np.int64).max)

@@ -248,3 +248,33 @@ def test_links_are_read_while_their_ends_are_apart(spark, documents, monkeypatch
     rng.shuffle(rows)
     assert {r.component_id for r in nd.near_duplicates(documents(rows)).collect()} == {min(i for i, _ in rows)}
     assert len(given) > 1 and sum(given) <= sum(confirmed)
+
+
+def test_parities_rule_out_only_unlike_sets():
+    rng = np.random.default_rng(7)
+    unlike, ruled_out = 0, 0
+    for n in (1, 2, 5, 30, 150, 400, 3000):
+        for own in (0, 1, n // 12, n // 8, n // 7, n // 6, n // 5, n // 3):
+            for _ in range(20):
+                both, left, right = (rng.integers(0, 1 << 63, k, dtype=np.uint64) for k in (n, own, rng.integers(0, own + 1)))
+                a, b = np.unique(np.concatenate([both, left])), np.unique(np.concatenate([both, right]))
+                odds = [nd.sig_parts([nd.full_signature(x)])[2] for x in (a, b)]
+                assert nd.may_be_similar(*odds)[0] or not nd.similar(a, b)
+                unlike += n in (30, 150) and not nd.similar(a, b)
+                ruled_out += n in (30, 150) and not nd.may_be_similar(*odds)[0]
+    assert unlike > 20 and ruled_out > 0.7 * unlike
+
+
+def test_texts_just_below_the_similarity_are_not_paired(spark, documents, monkeypatch):
+    """A large group of texts that are all nearly linked does not send all its pairs to be confirmed on the texts."""
+    proposed = []
+    confirm = nd.confirm
+    monkeypatch.setattr(nd, "confirm", lambda pairs, *args: proposed.append(pairs.count()) or confirm(pairs, *args))
+    rows = []
+    for i in range(60):
+        words = [f"b{k}" for k in range(100)]
+        for k in (10, 50, 90):
+            words[k] = f"o{i}-{k}"
+        rows.append((i, " ".join(words)))
+    assert run(documents(rows)) == ordered(brute(rows)) == [(i, 96, i, True) for i in range(60)]
+    assert sum(proposed) < 4 * len(rows)  # of 1,770 pairs
