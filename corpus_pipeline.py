@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ebbline.llm import decontamination, mixing, near_duplicates, queries, toxicity
-from ebbline.llm.common import read_table
+from ebbline.llm.common import read_table, small_batches
 from ebbline.session import stage
 
 
@@ -31,7 +31,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write the ids of every row in binary files and return what is read back from them."""
-    return queries.token_file_rows(docs)
+    with small_batches(spark):
+        return queries.token_file_rows(docs)
 
 
 STAGES = [

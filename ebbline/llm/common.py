@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 CACHE_ENTRIES = 400_000
 #: Bytes of text whose words are held as Python objects at a time.
 SLICE_BYTES = 3 << 20
+#: Bytes of an Arrow batch inside ``small_batches``. By default Spark sends 10,000 rows at a time, 30 MB of common texts, and both the
+#: executor and its workers keep from the system what a batch once took.
+BATCH_BYTES = 2 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,14 +38,28 @@ def slices(batch: pa.RecordBatch, column: str = "_text", most: int | None = None
             yield batch.slice(a, b - a)
 
 
-def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """Apply ``make`` to Arrow batches with a column ``_text``; it returns the columns of the rows it makes."""
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is computed meanwhile goes to Python in Arrow batches of about BATCH_BYTES; a size that the session already has stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    ours = spark.conf.get(name, None) is None
+    if ours:
+        spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if ours:
+            spark.conf.unset(name)
+
+
+def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str, most: int | None = None) -> DataFrame:
+    """Apply ``make`` to Arrow batches with a column ``_text``, cut into ``slices``; it returns the columns of the rows it makes."""
 
     arrow = _arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=most):
                 columns = make(part)
                 yield pa.record_batch([pa.array(columns[f.name], type=f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name].cast(f.type) for f in arrow], schema=arrow)
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType
 from xxhash import xxh64_intdigest
 
-from ebbline.llm.common import map_batches, quoted, slices, texts_of, unused
+from ebbline.llm.common import map_batches, quoted, slices, small_batches, texts_of, unused
 from ebbline.session import stage
 
 SHINGLE = 5
@@ -55,6 +55,8 @@ MAX_ROUNDS = 60
 NEAREST, PARTS = 12, 16
 #: Bits of the summary that keeps texts nobody asks for out of a shuffle: 1 MB whatever the input.
 FILTER_BITS = 1 << 23
+#: Classes whose keys are sent back together.
+KEYED = 1024
 
 _random = np.random.default_rng(20240229)
 _PLACES = _random.integers(0, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -184,8 +186,8 @@ def key_rows(classes: DataFrame) -> DataFrame:
     """key, class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for batch in (whole.slice(i, KEYED) for i in range(0, whole.num_rows, KEYED)):
                 keys = chunk_keys(sig_parts(batch.column("sig").to_pylist())[0])
                 ids = np.repeat(batch.column("class").to_numpy(zero_copy_only=False), keys.shape[1])
                 yield pa.record_batch([pa.array(keys.ravel()), pa.array(ids)], names=["key", "class"])
@@ -415,7 +417,8 @@ def grouped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id and kept of every row."""
-    out = grouped(df, id_col, text_col)
+    with small_batches(df.sparkSession):
+        out = grouped(df, id_col, text_col)
     component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
@@ -424,7 +427,9 @@ def kept_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """The rows of ``df`` that stay, with its columns: exactly one of each component, of those with its least id the one with the
     least text hash, and one of equal rows (id and text) without words."""
     d, t, n = unused(df, "_d", "_t", "_n")
-    alike = grouped(df, id_col, text_col).groupBy("comp", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    with small_batches(df.sparkSession):
+        found = grouped(df, id_col, text_col)
+    alike = found.groupBy("comp", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
     one = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")).alias("one")
     linked = alike.where("comp IS NOT NULL").groupBy("comp").agg(one).select("one.doc_id", "one.text_hash", "one.n")
     chosen = stage(linked.union(alike.where("comp IS NULL").select("doc_id", "text_hash", "n")).toDF(d, t, n), "chosen")

@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ebbline.llm.common import bounded, map_batches, slices, texts_of, without_rows
+from ebbline.llm.common import bounded, map_batches, slices, small_batches, texts_of, without_rows
 from ebbline.session import stage
 
 DECAY, SPAN, PIECE, STRIDE = 0.6, 7, 18, 9
@@ -50,8 +50,12 @@ PENALTY = 0.001
 SEEN_WORDS = 300_000
 #: Bytes of text whose words are held at a time while texts are scored: a worker keeps what it once took from the system.
 SCORED_BYTES = 1 << 20
+#: The same of the sample's texts, whose fragments are many times their words.
+SAMPLED_BYTES = 1 << 18
 #: Words whose values are held, and words evaluated, at a time.
-WORDS_AT_ONCE, CHUNK = 8192, 2048
+WORDS_AT_ONCE, CHUNK = 2048, 512
+#: Triples of words that meet all landmarks at a time.
+TRIPLES_AT_ONCE = 8192
 ALPHABET = 64
 
 _SINGLES = re.compile(rb"(?:(?<=\s)|^)(?:[A-Za-z0-9][.,*_-]?[ ]+){2,}[A-Za-z0-9](?![A-Za-z0-9])")
@@ -162,19 +166,23 @@ class Kernel:
                 got = np.bincount(inverse, weight[triple]).astype(np.float32)  # weight of each triple in its piece
                 which, row = np.divmod(spots, empty + 1)
                 starts = np.flatnonzero(np.r_[True, which[1:] != which[:-1]])
-                total = np.add.reduceat(np.minimum(got[:, None], self.own[row]) * self.weights[row], starts)
                 ids = np.array([part[w][0] for w in which[starts]])
-                np.maximum.at(out, ids, total)
+                ends = np.r_[starts[1:], len(row)]
+                for words_of_part in np.array_split(np.arange(len(starts)), len(row) // TRIPLES_AT_ONCE + 1):
+                    first, last = starts[words_of_part[0]], ends[words_of_part[-1]]
+                    some = row[first:last]
+                    total = np.add.reduceat(np.minimum(got[first:last, None], self.own[some]) * self.weights[some], starts[words_of_part] - first)
+                    np.maximum.at(out, ids[words_of_part], total)
         out[out < FLOOR] = 0
         return out
 
 
 class TextKernel:
-    """Values of whole texts; words that are near no landmark are remembered."""
+    """Values of whole texts; words are remembered, those near a landmark with the numbers of such landmarks and their values."""
 
     def __init__(self, kernel: Kernel) -> None:
         self.kernel = kernel
-        self.near: dict[bytes, np.ndarray] = {}
+        self.near: dict[bytes, tuple[bytes, bytes]] = {}
         self.far: set[bytes] = set()
 
     def values(self, texts: Sequence[bytes]) -> np.ndarray:
@@ -185,9 +193,10 @@ class TextKernel:
         for i in range(0, len(fresh), WORDS_AT_ONCE):
             part = fresh[i : i + WORDS_AT_ONCE]
             found = self.kernel.values([normal(w) for w in part])
-            for word, row, some in zip(part, found, found.any(axis=1)):
-                if some:
-                    self.near[word] = row.copy()
+            for word, row in zip(part, found):
+                at = np.flatnonzero(row)
+                if len(at):
+                    self.near[word] = at.astype(np.int32).tobytes(), row[at].tobytes()
                 else:
                     self.far.add(word)
         size = len(self.kernel.landmarks)
@@ -195,7 +204,10 @@ class TextKernel:
         for i, bag in enumerate(bags):
             hits = [self.near[w] for w in bag if w in self.near]
             if hits:
-                squares = np.square(hits)  # what is only half alike counts a quarter
+                squares = np.zeros((len(hits), size), np.float32)
+                for row, (at, value) in zip(squares, hits):
+                    row[np.frombuffer(at, np.int32)] = np.frombuffer(value, np.float32)
+                np.square(squares, out=squares)  # what is only half alike counts a quarter
                 sums = np.sum(squares, axis=0)
                 total, length = sums.sum(), math.sqrt(len(bag))
                 out[i, :size] = np.max(squares, axis=0)
@@ -251,7 +263,7 @@ def choose_landmarks(sample: DataFrame, counts: dict[int, int], most: int = LAND
     """Fragments with the best log odds, greedily by the toxic texts they cover, each up to COVER times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole)):
+        for batch in (part for whole in batches for part in slices(whole, most=SAMPLED_BYTES)):
             ids, parts, toxic = [], [], []
             for doc_id, text, label in zip(batch.column("_id").to_pylist(), texts_of(batch, "_text"), batch.column("toxic").to_pylist()):
                 found = {f for w in words_of(text) for f in fragments(normal(w))}
@@ -348,7 +360,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, landm
     def make(batch):
         return {"id": batch.column("_id"), "toxic": batch.column("toxic"), "k": TextKernel(kernel).values(texts_of(batch, "_text")).tolist()}
 
-    found = sorted(map_batches(sample, make, "id long, toxic int, k array<float>").collect())
+    found = sorted(map_batches(sample, make, "id long, toxic int, k array<float>", SAMPLED_BYTES).collect())
     x = np.array([r.k for r in found], float)
     y = np.array([2.0 * r.toxic - 1 for r in found])
     # K_ij / sqrt(K_ii K_jj); its inverse square root is the Nyström map
@@ -387,5 +399,8 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def clean_rows(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``documents`` that are not predicted toxic, with their columns."""
-    model = train(documents, labels, id_col=id_col, text_col=text_col)
-    return without_rows(documents, score_texts(documents, model, id_col, text_col).where("predicted = 1"), id_col, text_col)
+    with small_batches(documents.sparkSession):
+        model = train(documents, labels, id_col=id_col, text_col=text_col)
+        toxic = score_texts(documents, model, id_col, text_col).where("predicted = 1").select("doc_id", "text_hash")
+        toxic = stage(toxic, "toxic")
+    return without_rows(documents, toxic, id_col, text_col)

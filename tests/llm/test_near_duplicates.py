@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from ebbline.llm import near_duplicates as nd
+from ebbline.llm import common, near_duplicates as nd
 from ebbline.llm.queries import op4_near_duplicates
 
 
@@ -278,3 +280,26 @@ def test_texts_just_below_the_similarity_are_not_paired(spark, documents, monkey
         rows.append((i, " ".join(words)))
     assert run(documents(rows)) == ordered(brute(rows)) == [(i, 96, i, True) for i in range(60)]
     assert sum(proposed) < 4 * len(rows)  # of 1,770 pairs
+
+
+def test_what_goes_to_python_goes_in_small_batches(spark, documents, monkeypatch):
+    """Executors and their workers keep what a batch once took; by default it holds 10,000 texts of any length."""
+    name, seen, stage = "spark.sql.execution.arrow.maxBytesPerBatch", [], nd.stage
+    before = spark.conf.get(name, None)
+    monkeypatch.setattr(nd, "stage", lambda df, label: seen.append(spark.conf.get(name, None)) or stage(df, label))
+    rows = [(i, " ".join(f"w{k}" for k in range(i % 3, 40))) for i in range(9)]
+    assert run(documents(rows)) == ordered(brute(rows))
+    assert len(seen) > 5 and set(seen) == {str(common.BATCH_BYTES)} and spark.conf.get(name, None) == before
+    sizes = lambda batches: (pa.record_batch([pa.array([b.nbytes])], names=["n"]) for b in batches)
+    texts = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 3000).alias("_text"))
+    with common.small_batches(spark):
+        got = [r.n for r in texts.mapInArrow(sizes, "n long").collect()]
+    assert sum(got) > 4000 * 3000 and max(got) < 1.1 * common.BATCH_BYTES
+    with pytest.raises(ValueError), common.small_batches(spark):
+        raise ValueError
+    assert spark.conf.get(name, None) == before
+    spark.conf.set(name, "12345")  # one's own size stays
+    with common.small_batches(spark):
+        assert spark.conf.get(name) == "12345"
+    assert spark.conf.get(name) == "12345"
+    spark.conf.unset(name)

@@ -1,5 +1,6 @@
 import itertools
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -147,3 +148,22 @@ def test_texts_are_scored_in_small_slices():
     assert pa.Table.from_batches(parts).column("_text").to_pylist() == batch.column("_text").to_pylist()
     assert all(p.num_rows == 1 or p.column("_text").nbytes < 2 * tx.SCORED_BYTES for p in parts if p.column("_text")[-1].as_py() != "y" * 5_000_000)
     assert len(parts) > len(list(slices(batch)))
+
+
+def test_words_take_little_memory():
+    """Words near a landmark are remembered by the few values that they have, and few triples meet all landmarks at a time."""
+    rng = random.Random(5)
+    stems = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=14)) for _ in range(250)]
+    kernel = tx.Kernel([f"^{s}$" for s in stems])
+    words = [s[:k] + c + s[k:] for s in stems for k in (4, 6, 8, 10) for c in "xy"]
+    texts = [" ".join(words[i : i + 100]).encode() for i in range(0, len(words), 100)]
+    scorer = tx.TextKernel(kernel)
+    tracemalloc.start()
+    got = scorer.values(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for text, value in zip(texts, got):
+        squares = np.square(kernel.values([tx.normal(w) for w in set(text.split())]))
+        assert value[:250] == pytest.approx(squares.max(axis=0), abs=1e-4) and value[250:500] == pytest.approx(np.log1p(squares.sum(axis=0)) / 4, abs=1e-4)
+    assert len(scorer.near) == len(set(words)) and sum(len(x) for entry in scorer.near.values() for x in entry) < 100 * len(words)
+    assert peak < 60 << 20
