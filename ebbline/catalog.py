@@ -29,6 +29,7 @@ from ebbline.plans.backtest import run_rolling_backtest
 from ebbline.plans.ensembles import bootstrap_class_counts, leaf_residuals, with_draws
 from ebbline.plans.feature_table import FeatureTable, assign_time_splits, build_feature_table, build_feature_tables, run_record
 from ebbline.plans.models import (
+    ALL_ROWS,
     FAST,
     LEAF_PENALTY,
     STEP,
@@ -497,10 +498,10 @@ GRADIENT_BOUND = 1e-5
 
 
 def logistic_optimality(spark, sf_dir):
-    """The linear model at full effort: whether its penalised loss, differentiated by the rows, is at its minimum."""
+    """The linear model at full effort on all training rows: whether its penalised loss, differentiated by the rows, is at its minimum."""
     train = _stored_table(spark, sf_dir).filter("split = 'train'")
     names = feature_names(train, STREAM_CONFIG)
-    gradient = logistic_gradient(fit(train, "logistic_regression", names), train, names)
+    gradient = logistic_gradient(fit(train, "logistic_regression", names, caps=ALL_ROWS), train, names)
     found = gradient.agg(F.count("*").alias("n_coefficients"), (F.max(F.abs("gradient")) < GRADIENT_BOUND).alias("optimal"))
     return found.crossJoin(train.agg(F.count("*").alias("n_rows"), F.sum("churn").cast("bigint").alias("positives")))
 

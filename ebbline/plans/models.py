@@ -37,7 +37,8 @@ ROW_CAPS = {
     "boosted_subsampled": 1_200_000,
 }
 WEIGHTED = ("logistic_regression", "boosted_balanced")  # the forest weighs classes in each bootstrap
-# Rows in a partition on which the linear model is fitted. It passes over its capped rows up to hundreds of times, so a pass
+ALL_ROWS: dict[str, int] = {}  # as ``caps``: no model's training rows are capped
+# Rows in a partition on which the linear model is fitted. It passes over its rows up to hundreds of times, so a pass
 # has no more tasks than these rows need, however many files the table has.
 FIT_ROWS = 100_000
 STEP = 0.05
@@ -167,8 +168,9 @@ def few_partitions(rows: DataFrame, n_rows: int) -> DataFrame:
 def fit(
     train: DataFrame, model: str, names: list[str], seed: int = 42, effort: Effort = FULL, caps: dict[str, int] = ROW_CAPS
 ) -> PipelineModel:
-    """Fit on at most ``caps[model]`` rows, a stratified sample by hash. ``train`` is a feature table or already assembled."""
-    capped = cap_rows(assembled(train, names), caps[model], seed)
+    """Fit on at most ``caps[model]`` rows, a stratified sample by hash, or on all rows of a model without cap. ``train`` is a feature
+    table or already assembled."""
+    capped = cap_rows(assembled(train, names), caps.get(model), seed)
     weighted = class_weights(capped) if model in WEIGHTED else capped
     n_rows = weighted.count()
     unfitted = model_registry(n_rows, seed, effort)[model]

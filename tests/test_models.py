@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 
+from ebbline import catalog
 from ebbline.catalog import STREAM_CONFIG, stream_table
 from ebbline.operators.comparison import compare_runs
 from ebbline.plans import models as models_module
@@ -151,6 +152,18 @@ def test_linear_model_is_at_its_minimum(table):
         assert r.probability[1] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
 
 
+def test_linear_optimality_is_of_all_training_rows(spark, monkeypatch):
+    """The fit takes every training row that the gradient is taken over, also where the models' runs are capped."""
+    rows = spark.range(200).selectExpr(
+        "id AS client_id", "DATE'2024-01-01' AS snapshot_date", "IF(id < 160, 'train', 'test') AS split",
+        "int(id % 3 = 0) AS churn", "double(id % 7) AS a", "double(id * id % 11) AS b",
+    )
+    monkeypatch.setattr(catalog, "_stored_table", lambda *_: rows)
+    monkeypatch.setitem(ROW_CAPS, "logistic_regression", 50)
+    found = catalog.logistic_optimality(spark, "")
+    assert [r.asDict() for r in found.collect()] == [{"n_coefficients": 3, "optimal": True, "n_rows": 160, "positives": 54}]
+
+
 def test_draws_follow_the_poisson_law(spark):
     """Shares of 0, 1, 2, ... draws, other draws in other bootstraps, and classes of equal weight in each."""
     rows = spark.range(20_000).selectExpr("id AS client_id", "DATE'2024-01-01' AS snapshot_date", "int(id % 10 = 0) AS churn")
