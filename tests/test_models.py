@@ -152,18 +152,38 @@ def test_linear_model_is_at_its_minimum(table):
         assert r.probability[1] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
 
 
-def test_linear_optimality_is_of_all_training_rows(spark, monkeypatch):
-    """The fit takes every training row that the gradient is taken over, also where the models' runs are capped."""
-    rows = spark.range(200).selectExpr(
+def small_rows(spark):
+    return spark.range(200).selectExpr(
         "id AS client_id", "DATE'2024-01-01' AS snapshot_date", "IF(id < 160, 'train', 'test') AS split",
         "int(id % 3 = 0) AS churn", "double(id % 7) AS a", "double(id * id % 11) AS b",
     )
-    monkeypatch.setattr(catalog, "_stored_table", lambda *_: rows)
+
+
+def test_linear_optimality_is_of_all_training_rows(spark, monkeypatch):
+    """The fit takes every training row that the gradient is taken over, also where the models' runs are capped."""
+    monkeypatch.setattr(catalog, "_stored_table", lambda *_: small_rows(spark))
     monkeypatch.setitem(ROW_CAPS, "logistic_regression", 50)
     found = catalog.logistic_optimality(spark, "")
     assert [r.asDict() for r in found.collect()] == [{"n_coefficients": 3, "optimal": True, "n_rows": 160, "positives": 54}]
 
 
+def test_newton_steps_end_at_the_minimum(spark, tmp_path):
+    """From an optimiser that spent its iterations; one that ended before its limit is left alone."""
+    train, names = small_rows(spark).filter("split = 'train'"), ["a", "b"]
+    norms = []
+    for effort in (Effort(iterations=1), Effort(iterations=1, newton=6)):
+        fitted = fit(train, "logistic_regression", names, effort=effort)
+        norms.append(max(abs(r.gradient) for r in logistic_gradient(fitted, train, names).collect()))
+    assert norms[1] < 1e-8 and norms[0] > 1e-4 and fitted.stages[-1].intercept == 0
+    path = str(tmp_path / "linear")
+    results.save_model(fitted, path)
+    own, loaded = ({r.client_id: r.y_score for r in score(m, train, names).collect()} for m in (fitted, PipelineModel.load(path)))
+    assert len(own) == 160 and own == loaded
+    ended = [linear_coefficients(fit(train, "logistic_regression", names, effort=e)) for e in (Effort(), Effort(newton=6))]
+    assert ended[0] == pytest.approx(ended[1], abs=1e-14)
+    assert ended[0] == pytest.approx(linear_coefficients(fitted), abs=1e-4)
+
+
 def test_draws_follow_the_poisson_law(spark):
     """Shares of 0, 1, 2, ... draws, other draws in other bootstraps, and classes of equal weight in each."""
     rows = spark.range(20_000).selectExpr("id AS client_id", "DATE'2024-01-01' AS snapshot_date", "int(id % 10 = 0) AS churn")
